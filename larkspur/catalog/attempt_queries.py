@@ -9,6 +9,7 @@ from larkspur.catalog.base import ATTEMPTS, NEEDS, attempts, needs, query, r6, t
 from larkspur.operators import gap, search
 from larkspur.operators.checks import round_history
 from larkspur.plans.order_stats import group_medians, take_hashed
+from larkspur.plans.shared import cut
 
 PROMPT = "close-up photograph of a part with a {label} fault"
 SPACE = {"rank": [8, 16, 32], "rate": [0.0001, 0.0002, 0.0003]}
@@ -46,22 +47,24 @@ def _quotas(tries):
 
 
 def _picked(spark, sf):
-    tries = attempts(spark, sf)
+    tries = cut(attempts(spark, sf))
+    winners = cut(search.best_attempt(tries, "sample", "round", "score", ["label"]))
     bar = group_medians(tries.where(F.col("round") == 1), [], "score", "threshold").select("threshold")
-    return search.filter_and_topup(tries, best(spark, sf), _quotas(tries), "label",
-                                   "sample", "round", "score", bar)
+    quotas = cut(_quotas(tries))
+    return search.filter_and_topup(tries, winners, quotas, "label",
+                                   "sample", "round", "score", bar), quotas
 
 
 @query("filter_and_topup", f"WITH {TOPUP} SELECT label, sample, round, score, picked FROM picked")
 def _filter_and_topup(spark, sf):
-    return _picked(spark, sf)
+    return _picked(spark, sf)[0]
 
 
 @query("topup_shortfall", f"""WITH {TOPUP}
 SELECT label, quota, count(*) FILTER (picked = 'kept') AS kept, count(*) FILTER (picked = 'topped_up') AS topped_up,
   quota - count(picked) AS shortfall FROM quotas LEFT JOIN picked USING (label) GROUP BY label, quota""")
 def _topup_shortfall(spark, sf):
-    return search.still_owed(_picked(spark, sf), _quotas(attempts(spark, sf)), "label")
+    return search.still_owed(*_picked(spark, sf), "label")
 
 
 @query("quota_sample", """

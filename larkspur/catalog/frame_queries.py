@@ -261,7 +261,9 @@ def version_table(spark, sf):
         F.concat(F.lit("v"), number, F.when(F.col("vno") < 10, "-real").otherwise("-made")).alias("name"),
         F.when(F.col("vno") > 0, F.concat(F.lit("v"), (F.col("vno") - 1).cast("string"))).alias("parent_id"),
         F.timestamp_seconds(F.col("vno") * 86400).alias("created"),
-        (F.col("vno") < 19).alias("published"), "vno", "own_frames")
+        (F.col("vno") < 19).alias("published"), "vno", "own_frames",
+        F.transform(F.sequence("vno", F.lit(0).cast("bigint"), F.lit(-1).cast("bigint")),
+                    lambda n: F.concat(F.lit("v"), n.cast("string"))).alias("lineage"))
 
 
 @query("version_stats", f"""WITH {FRAMES}
@@ -314,13 +316,13 @@ def _thinnest_class(spark, sf):
 
 @query("before_after", f"""WITH {LINEAGE},
 cum AS (SELECT l.vno, f.label, count(*) AS have FROM lineage l JOIN frames f ON f.version_id = l.ancestor GROUP BY 1, 2)
-SELECT coalesce(a.vno, b.vno + 1) AS vno, label, coalesce(b.have, 0) AS before, coalesce(a.have, 0) AS after,
+SELECT coalesce(a.vno, b.vno + 1) AS vno, coalesce(a.label, b.label) AS label, coalesce(b.have, 0) AS before, coalesce(a.have, 0) AS after,
   coalesce(a.have, 0) - coalesce(b.have, 0) AS delta
 FROM (SELECT * FROM cum WHERE vno > 0) a FULL JOIN (SELECT * FROM cum WHERE vno < (SELECT max(vno) FROM cum)) b
-  ON a.vno = b.vno + 1 AND a.label = b.label, LATERAL (SELECT coalesce(a.label, b.label) AS label)""")
+  ON a.vno = b.vno + 1 AND a.label = b.label""")
 def _before_after(spark, sf):
     f = frames(spark, sf)
-    v = vs.with_lineage(version_table(spark, sf))
+    v = version_table(spark, sf)
     own = f.groupBy("version_id", "label").agg(F.count(F.lit(1)).alias("n"))
     cum = (vs.effective_frames(own, v).groupBy(F.col("seen_from").alias("version_id"), "label")
            .agg(F.sum("n").alias("have"))
@@ -371,7 +373,7 @@ def _annotated_share(spark, sf):
 s AS (SELECT l.vno, count(*) AS size FROM lineage l JOIN frames f ON f.version_id = l.ancestor GROUP BY 1)
 SELECT vno, size, lag(size) OVER (ORDER BY vno) AS previous, size > lag(size) OVER (ORDER BY vno) AS grew FROM s""")
 def _growth_check(spark, sf):
-    v = vs.with_lineage(version_table(spark, sf))
+    v = version_table(spark, sf)
     own = v.select("version_id", "own_frames")
     sizes = vs.effective_frames(own, v.select("version_id", "lineage")).groupBy("seen_from").agg(
         F.sum("own_frames").alias("size"))
@@ -416,7 +418,7 @@ def _ancestry(spark, sf):
 @query("effective_frames", f"""WITH {LINEAGE}
 SELECT l.version_id AS seen_from, f.label, count(*) AS frames FROM lineage l JOIN frames f ON f.version_id = l.ancestor GROUP BY 1, 2""")
 def _effective_frames(spark, sf):
-    v = vs.with_lineage(version_table(spark, sf))
+    v = version_table(spark, sf)
     own = frames(spark, sf).groupBy("version_id", "label").agg(F.count(F.lit(1)).alias("n"))
     return vs.effective_frames(own, v).groupBy("seen_from", "label").agg(F.sum("n").alias("frames"))
 
@@ -445,7 +447,7 @@ def _lineage(spark, sf):
     models = table(spark, sf, "orders").select(
         F.concat(F.lit("m"), "o_orderkey").alias("model_id"),
         F.concat(F.lit("v"), F.col("o_orderkey") % 20).alias("version_id"))
-    rows = lineage(models, vs.with_lineage(version_table(spark, sf)), frames(spark, sf))
+    rows = lineage(models, version_table(spark, sf), frames(spark, sf))
     return rows.groupBy("version_id", "origin", "label").agg(
         F.count_distinct("model_id").alias("models"), F.sum("frames").alias("frames"))
 

@@ -234,7 +234,7 @@ def _render_chat(spark, sf):
 
 
 @query("truncate_tokens", r"""
-WITH t AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), x -> x <> '') AS w FROM documents)
+WITH t AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents)
 SELECT doc_id, len(w) AS n_tokens, len(w) > 512 AS truncated,
   md5(CASE WHEN len(w) > 512 THEN array_to_string(w[1:512], ' ') ELSE text END) AS text_md5 FROM t""")
 def _truncate_tokens(spark, sf):

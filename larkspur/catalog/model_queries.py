@@ -13,7 +13,7 @@ from larkspur.plans.versions import VersionStore
 # ---- similarity -------------------------------------------------------------
 
 NEAR = VECTORS + """,
-c AS (SELECT vec_id, label, origin, list_transform(embedding, x -> x::DOUBLE) AS e FROM vectors),
+c AS (SELECT vec_id, label, origin, embedding::DOUBLE[] AS e FROM vectors),
 sims AS (SELECT a.vec_id, b.vec_id AS ref, a.label, b.label AS ref_label, b.origin AS ref_origin, a.origin,
     round(list_cosine_similarity(a.e, b.e), 9) AS s FROM c a JOIN c b ON a.vec_id <> b.vec_id)"""
 
@@ -72,11 +72,11 @@ def _accuracy(spark, sf):
 
 @query("class_report", f"""WITH {PRED},
 labels_ AS (SELECT label FROM preds UNION SELECT pred FROM preds),
-c AS (SELECT l.label, (SELECT count(*) FROM preds p WHERE p.label = l.label AND p.pred = l.label) AS tp,
+k AS (SELECT l.label, (SELECT count(*) FROM preds p WHERE p.label = l.label AND p.pred = l.label) AS tp,
   (SELECT count(*) FROM preds p WHERE p.pred = l.label) AS predicted,
   (SELECT count(*) FROM preds p WHERE p.label = l.label) AS support FROM labels_ l),
 r AS (SELECT label, coalesce(tp / nullif(predicted, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall,
-  coalesce(2.0 * tp / nullif(predicted + support, 0), 0) AS f1, support FROM c),
+  coalesce(2.0 * tp / nullif(predicted + support, 0), 0) AS f1, support FROM k),
 u AS (SELECT * FROM r UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM r
   UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
     sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM r)

@@ -13,7 +13,7 @@ EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 
 
 def event_stream(spark, sf):
-    raw = jobs.read_stream(spark, f"{sf}/events.parquet", EVENT_SCHEMA, "parquet")
+    raw = jobs.read_stream(spark, f"{sf}/events.parquet*", EVENT_SCHEMA, "parquet")
     return raw.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.operators.scoring import score_distribution
 from larkspur.plans.order_stats import take_top
-from larkspur.plans.shared import attach
+from larkspur.plans.shared import attach, cut
 
 ORIGINAL = "original"
 
@@ -42,23 +42,27 @@ def filter_and_topup(attempts: DataFrame, best: DataFrame, quotas: DataFrame, la
 
     quotas: (label, quota). Adds `picked` = 'kept' or 'topped_up'. Within a
     class the highest scores are taken; ties go by md5 of (sample, round).
+    Both inputs are used several times: pass tables, not long plans.
     """
     uid = F.concat_ws(":", F.col(sample).cast("string"), F.col(round_).cast("string"))
     columns = [label, sample, round_, score]
 
+    bar = threshold
+    if not isinstance(threshold, float):
+        found = threshold.collect()  # one number
+        bar = found[0][0] if found and found[0][0] is not None else 0.0
+
     def gated(df: DataFrame) -> DataFrame:
-        df = df.select(*columns).withColumn("_uid", uid)
-        if isinstance(threshold, float):
-            return df.where(F.col(score) >= threshold)
-        bar = F.coalesce(threshold.scalar(), F.lit(0.0))
-        return df.where(F.col(score) >= bar)
+        return df.select(*columns).withColumn("_uid", uid).where(F.col(score) >= bar)
 
-    kept = take_top(gated(best), [label], quotas, "quota", score, "_uid")
+    quotas = cut(quotas.select(label, "quota"))
+    kept = cut(take_top(gated(best), [label], quotas, "quota", score, "_uid"))
     counts = kept.groupBy(label).agg(F.count(F.lit(1)).alias("_kept"))
     owed = (attach(quotas.select(label, "quota"), counts, [label], "left")
             .select(label, F.greatest(
                 F.col("quota") - F.coalesce("_kept", F.lit(0)), F.lit(0)).alias("owed"))
             .where(F.col("owed") > 0))
+    owed = cut(owed)
     spare = gated(attempts.join(best.select(sample, round_), [sample, round_], "left_anti"))
     extra = take_top(spare, [label], owed, "owed", score, "_uid")
     return (kept.withColumn("picked", F.lit("kept"))

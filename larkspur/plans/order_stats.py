@@ -6,6 +6,10 @@ answer, a second pass counts exactly, and just the rows inside the bracket are
 ever sorted. Sketches may differ between runs; the results cannot, because
 everything returned is derived from exact counts, and a bracket that misses
 fails the job instead of returning a wrong row.
+
+The quota functions write their per-group cut-off table (one row per group) to
+shared storage, so they run a job when called. Plans stay flat that way: the
+input is not planned again inside every later use of the cut-offs.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.plans.shared import attach
+from larkspur.plans.shared import attach, cut
 
 ACCURACY = 10_000
 
@@ -81,7 +85,7 @@ def mark_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
              # '~' sorts after every hex digit: the whole group fits
              .select(*keys, F.coalesce("_e._b", F.lit("~")).alias("_edge"),
                      F.coalesce("_e.room", F.lit(0)).alias("_room")))
-    marked = attach(rows, edges, keys, "left")
+    marked = attach(rows, cut(edges), keys, "left")
     on_edge = F.coalesce(F.col("_b") == F.col("_edge"), F.lit(False))
     clear = marked.where(~on_edge).withColumn(
         out, F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
@@ -141,7 +145,7 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
 def take_top(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
              score: str, uid: str) -> DataFrame:
     """The `quota` highest-scored rows of every group; ties in md5(uid) order."""
-    cutoffs = quota_cutoffs(df, keys, quotas, quota, score)
+    cutoffs = cut(quota_cutoffs(df, keys, quotas, quota, score))
     marked = attach(df, cutoffs, keys)
     s = F.col(score)
     above = marked.where((s > F.col("cutoff"))
