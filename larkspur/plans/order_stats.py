@@ -31,12 +31,14 @@ def _group_window(keys: list[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def _bracket_counts(rows: DataFrame, keys: list[str], lo: Column, hi: Column) -> DataFrame:
-    """(keys, _side, _v, _n): values outside [lo, hi] fold into one row a side."""
+def _bracket_counts(rows: DataFrame, keys: list[str], lo: Column, hi: Column,
+                    *carry: str) -> DataFrame:
+    """(keys, _side, _v, _n, carry): values outside [lo, hi] fold into one row a side."""
     side = (F.when(F.col("_v") < lo, -1).when(F.col("_v") > hi, 1).otherwise(0))
-    return (rows.select(*keys, side.alias("_side"), "_v")
-            .select(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_v"))
-            .groupBy(*keys, "_side", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    return (rows.select(*keys, side.alias("_side"), "_v", *carry)
+            .select(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_v"), *carry)
+            .groupBy(*keys, "_side", "_v").agg(
+                F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in carry]))
 
 
 def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
@@ -109,10 +111,10 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
     null cutoff means the whole group fits.
     """
     rows = _finite(df, keys, score)
-    shares = [i / grid for i in range(grid + 1)]
+    shares = ", ".join(f"{i / grid}D" for i in range(grid + 1))
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_total"),
-        F.percentile_approx("_v", shares, ACCURACY).alias("_cuts"))
+        F.expr(f"percentile_approx(_v, array({shares}), {ACCURACY})").alias("_cuts"))
     wanted = quotas.select(*keys, F.col(quota).cast("bigint").alias("_q"))
     sketch = attach(sketch, wanted, keys).withColumn(
         "_q", F.least("_q", "_total"))
@@ -125,10 +127,9 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
         F.coalesce(lo, F.lit(float("-inf"))).alias("_lo"),
         F.coalesce(hi, F.lit(float("inf"))).alias("_hi"))
     counts = _bracket_counts(
-        attach(rows, bounds.drop("_q"), keys), keys, F.col("_lo"), F.col("_hi"))
+        attach(rows, bounds, keys), keys, F.col("_lo"), F.col("_hi"), "_q")
     down = _group_window(keys).orderBy(F.desc("_side"), F.desc("_v"))
-    ranked = attach(counts.withColumn("_upto", F.sum("_n").over(down)),
-                    bounds.select(*keys, "_q"), keys)
+    ranked = counts.withColumn("_upto", F.sum("_n").over(down))
     hit = (F.col("_upto") >= F.col("_q")) & (F.col("_upto") - F.col("_n") < F.col("_q"))
     found = F.max(F.when(hit, F.struct(
         F.col("_v").alias("v"), (F.col("_q") - F.col("_upto") + F.col("_n")).alias("need"),
