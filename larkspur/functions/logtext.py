@@ -15,21 +15,24 @@ METRIC_NAMES = [
 KPI_NAMES = ["far", "recall", "final_train_loss", "loss"]
 
 # The two shapes a named number takes, and the optional arrow
-# whose right-hand side replaces the number. The arrow sits in a lookahead so
-# that it never consumes text of the next match.
+# whose right-hand side replaces the number. The arrow part holds no letter, so
+# consuming it can never swallow the start of the next match.
 _NUMBER = r"(-?\d+(?:\.\d+)?)"
-_ARROW = r"(?=(?:\s*%?\s*-+>\s*" + _NUMBER + r")?)"
+_ARROW = r"(?:\s*%?\s*-+>\s*" + _NUMBER + r")?"
 NAMED = r"(?U)([A-Za-z][A-Za-z0-9_\-]*)\s*[=:]\s*" + _NUMBER + r"\s*%?" + _ARROW
 BARE_PERCENT = r"(?U)\b([A-Za-z][A-Za-z0-9_]*)\s+" + _NUMBER + "%" + _ARROW
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """array<struct<name, value>> of one pattern, in text order."""
-    groups = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)) for i in (1, 2, 3)]
-    zipped = F.arrays_zip(*[g.alias(n) for g, n in zip(groups, ("n", "v", "a"))])
-    return F.transform(zipped, lambda m: F.struct(
-        F.lower(m["n"]).alias("name"),
-        F.coalesce(m["a"].try_cast("double"), m["v"].try_cast("double")).alias("value")))
+    """array<struct<name, value>> of one pattern, in text order.
+
+    The text is scanned once; the groups are read from the short matches.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda m: F.struct(
+        F.lower(F.regexp_extract(m, pattern, 1)).alias("name"),
+        F.coalesce(F.regexp_extract(m, pattern, 3).try_cast("double"),
+                   F.regexp_extract(m, pattern, 2).try_cast("double")).alias("value")))
 
 
 def metric_list(text: Column) -> Column:
@@ -42,18 +45,19 @@ def metric_map(text: Column) -> Column:
     """map<name, value>; the later match of a name wins.
 
     Folding over the match list keeps this a projection: no explode, no
-    shuffle, one output row per text.
+    shuffle, one output row per text, and the matches are computed once.
     """
-    pairs = metric_list(text)
-    names = F.array_distinct(F.transform(pairs, lambda m: m["name"]))
-    return F.map_from_arrays(names, F.transform(
-        names, lambda n: F.element_at(F.filter(pairs, lambda m: m["name"] == n), -1)["value"]))
+    def put(found: Column, m: Column) -> Column:
+        others = F.map_filter(found, lambda k, v: k != m["name"])
+        return F.map_concat(others, F.create_map(m["name"], m["value"]))
+
+    empty = F.expr("cast(map() as map<string,double>)")
+    return F.aggregate(metric_list(text), empty, put)
 
 
 def extract_metrics(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row per (text row, metric)."""
-    return logs.select(
-        *keys, F.explode(metric_map(F.col(text))).alias("name", "value"))
+    return logs.select(*keys, F.explode(metric_map(F.col(text))).alias("name", "value"))
 
 
 def probe_pairs(line: Column) -> Column:

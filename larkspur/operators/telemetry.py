@@ -53,15 +53,17 @@ def loop_points(log: DataFrame) -> DataFrame:
         _point("cost", F.lit("gpu_seconds"), F.col("duration_sec")))).otherwise(empty)
     spent = F.when(tokens != 0, F.array(
         _point("cost", F.lit("agent_tokens"), tokens))).otherwise(empty)
-    kpi = _kpi_points(metric_map(F.coalesce("summary", F.lit(""))), "kpi")
-    return log.where(F.col("seq").isNotNull()).select(
+    kpi = _kpi_points(F.col("_m"), "kpi")
+    log = log.where(F.col("seq").isNotNull()).withColumn(
+        "_m", metric_map(F.coalesce("summary", F.lit(""))))
+    return log.select(
         "seq", iteration_index(F.col("iter")).alias("iteration"),
         F.explode(F.concat(kpi, gpu, spent)).alias("p")).select("seq", "iteration", "p.*")
 
 
 def stage_points(records: DataFrame, keys: Sequence[str] = ("stage",)) -> DataFrame:
     """Finished stages -> metric, duration and headline KPI points with a failed flag."""
-    metrics = metric_map(F.col("output"))
+    metrics = F.col("_m")
     stage = F.transform(F.map_entries(metrics), lambda e: _point("stage", e["key"], e["value"]))
     headline = F.map_filter(metrics, lambda k, v: k.isin(KPI_NAMES))
     duration = F.array(_point("duration", F.lit("duration_sec"), F.col("duration_sec")))
@@ -69,7 +71,7 @@ def stage_points(records: DataFrame, keys: Sequence[str] = ("stage",)) -> DataFr
         _point("cost", F.lit("gpu_seconds"), F.col("duration_sec")))).otherwise(
         F.expr("cast(array() as array<struct<title:string,series:string,value:double>>)"))
     points = F.concat(stage, _kpi_points(headline, "kpi"), gpu, duration)
-    return records.select(
+    return records.withColumn("_m", metric_map(F.coalesce("output", F.lit("")))).select(
         *keys, iteration_index(F.col("iter")).alias("iteration"),
         (~F.coalesce(F.col("status") == "ok", F.lit(False))).alias("failed"),
         F.explode(points).alias("p")).select(*keys, "iteration", "failed", "p.*")

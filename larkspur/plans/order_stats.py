@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from larkspur.plans.shared import attach, cut
 
 ACCURACY = 10_000
+# Groups up to this many rows are ranked by a plain window in one task each.
+WINDOW_ROWS = 200_000
 
 
 def _finite(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -67,16 +69,31 @@ def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median
     return stats.select(*keys, "n", ((F.col("_a") + F.col("_b")) / 2).alias(out))
 
 
+def _bounded(df: DataFrame, keys: list[str], limit: int) -> bool:
+    """Whether every group is small enough to be ranked by one task."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n").alias("n")).collect()[0]["n"]
+    return (largest or 0) <= limit
+
+
 def mark_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-                uid: str, out: str = "taken", digits: int = 4) -> DataFrame:
+                uid: str, out: str = "taken", digits: int = 4,
+                window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Flag the first `quota` rows of every group in md5(uid) order.
 
-    Counting md5 prefixes finds the prefix where a group's quota runs out. Rows
+    Small groups are ranked by a window. For larger ones, counting md5 prefixes finds the prefix where a group's quota runs out. Rows
     elsewhere are decided by comparing prefixes; only rows of that one prefix
     (1/16^digits of the group) are ranked. Groups without a quota take nothing.
     """
     rows = df.withColumn("_h", F.md5(F.col(uid).cast("string"))).withColumn(
         "_b", F.substring("_h", 1, digits))
+    columns = [*df.columns, out]
+    if _bounded(df, keys, window_rows):
+        rank = F.row_number().over(_group_window(keys).orderBy("_h", uid))
+        wanted = quotas.select(*keys, F.col(quota).alias("_q"))
+        ranked = attach(rows.withColumn("_rn", rank), wanted, keys, "left")
+        return ranked.withColumn(
+            out, F.coalesce(F.col("_rn") <= F.col("_q"), F.lit(False))).select(*columns)
     counts = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     running = counts.withColumn(
         "_upto", F.sum("_n").over(_group_window(keys).orderBy("_b")))
@@ -93,14 +110,14 @@ def mark_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
         out, F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
     w = Window.partitionBy(*keys, "_b").orderBy("_h", uid)
     ranked = marked.where(on_edge).withColumn(out, F.row_number().over(w) <= F.col("_room"))
-    columns = [*df.columns, out]
     return clear.select(*columns).unionByName(ranked.select(*columns))
 
 
 def take_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-                uid: str) -> DataFrame:
+                uid: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Exactly min(quota, size) rows of every group, chosen by md5(uid)."""
-    return mark_hashed(df, keys, quotas, quota, uid, "_taken").where("_taken").drop("_taken")
+    marked = mark_hashed(df, keys, quotas, quota, uid, "_taken", window_rows=window_rows)
+    return marked.where("_taken").drop("_taken")
 
 
 def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
@@ -144,15 +161,25 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
 
 
 def take_top(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-             score: str, uid: str) -> DataFrame:
-    """The `quota` highest-scored rows of every group; ties in md5(uid) order."""
+             score: str, uid: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """The `quota` highest-scored rows of every group; ties in md5(uid) order.
+
+    Rows without a usable score are never taken.
+    """
+    df = df.where(F.col(score).isNotNull() & ~F.isnan(score))
+    if _bounded(df, keys, window_rows):
+        h = F.md5(F.col(uid).cast("string"))
+        rank = F.row_number().over(_group_window(keys).orderBy(F.desc(score), h, uid))
+        wanted = quotas.select(*keys, F.col(quota).alias("_q"))
+        ranked = attach(df.withColumn("_rn", rank), wanted, keys)
+        return ranked.where(F.col("_rn") <= F.col("_q")).select(*df.columns)
     cutoffs = cut(quota_cutoffs(df, keys, quotas, quota, score))
     marked = attach(df, cutoffs, keys)
     s = F.col(score)
     above = marked.where((s > F.col("cutoff"))
                          | ((s == F.col("cutoff")) & (F.col("need") >= F.col("ties"))))
     tied = marked.where((s == F.col("cutoff")) & (F.col("need") < F.col("ties"))).select(*df.columns)
-    some = take_hashed(tied, keys, cutoffs, "need", uid)
+    some = take_hashed(tied, keys, cutoffs, "need", uid, window_rows)
     return above.select(*df.columns).unionByName(some)
 
 

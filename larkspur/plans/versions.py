@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from larkspur import schemas
 from larkspur.functions.text import basename
 from larkspur.operators.frames import frame_meta, make_frames, version_stats
+from larkspur.plans.shared import cut
 from larkspur.sources.trees import list_labeled_tree
 
 
@@ -47,18 +48,27 @@ def next_version_name(versions: DataFrame, keys: Sequence[str] = ("dataset_id",)
 
 
 def ancestry(versions: DataFrame) -> DataFrame:
-    """(version_id, ancestor, depth) following parent_id, the version itself at 0."""
-    spark = versions.sparkSession
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(version_id, ancestor, depth) AS (
-          SELECT version_id, version_id, 0 FROM {v}
-          UNION ALL
-          SELECT w.version_id, p.parent_id, w.depth + 1
-          FROM walk w JOIN {v} p ON p.version_id = w.ancestor
-          WHERE p.parent_id IS NOT NULL)
-        SELECT version_id, ancestor, depth FROM walk
-        """, v=versions)
+    """(version_id, ancestor, depth) following parent_id, the version itself at 0.
+
+    Each pass doubles the distance covered, so a chain of n versions takes
+    log2(n) joins over the versions table and has no recursion limit.
+    """
+    known = versions.select(F.col("version_id").alias("via"))
+    own = versions.select("version_id", F.col("version_id").alias("ancestor"),
+                          F.lit(0).alias("depth"))
+    jump = (versions.where(F.col("parent_id").isNotNull())
+            .select("version_id", F.col("parent_id").alias("via"))
+            .join(known, "via"))
+    covered, jump, distance = cut(own), cut(jump.select("version_id", "via")), 1
+    while not jump.isEmpty():
+        hop = covered.withColumnRenamed("version_id", "via")
+        further = jump.join(hop, "via").select(
+            "version_id", "ancestor", (F.col("depth") + distance).alias("depth"))
+        covered = cut(covered.unionByName(further))
+        onward = jump.select(F.col("version_id").alias("via"), F.col("via").alias("_next"))
+        jump = cut(jump.join(onward, "via").select("version_id", F.col("_next").alias("via")))
+        distance *= 2
+    return covered
 
 
 def with_lineage(versions: DataFrame) -> DataFrame:
@@ -147,10 +157,12 @@ class VersionStore:
 
     # writing
     def publish(self, dataset: str, name: str, rows: DataFrame, parent=None,
-                comment: str = "", published: bool = True, framed: bool = True) -> str:
+                comment: str = "", published: bool = True, framed: bool = True,
+                skip_empty: bool = False) -> str | None:
         """Write a version and make it visible; returns its id.
 
-        Stats are the parent's plus those of the new rows, so a commit costs
+        `rows` is evaluated once. With `skip_empty`, no rows means no version
+        and None. Stats are the parent's plus those of the new rows, so a commit costs
         what it adds, not what the dataset holds.
         """
         if self.versions().where((F.col("dataset") == dataset) & (F.col("name") == name)).limit(1).count():
@@ -159,6 +171,8 @@ class VersionStore:
         seen = Observation()
         target = f"{self.root}/content/version_id={version_id}"
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+        if skip_empty and seen.get["rows"] == 0:
+            return None
         written = self.spark.read.parquet(target)
         if written.count() != seen.get["rows"]:
             raise PublishError(f"{name}: wrote another number of rows than were given")
@@ -231,12 +245,11 @@ class VersionStore:
         if parent is None:
             raise PublishError("no published version to build on: register real data first")
         fresh = skip_published_runs(rows, self.effective(parent))
-        if fresh.isEmpty():
-            return None
         framed = make_frames(frame_meta(
             fresh.withColumns({"labels": F.array("label"),
                                "parent_version": F.lit(parent["version_id"])}), extras))
-        return self.publish(dataset, f"{self.next_name(dataset)}-{suffix}", framed, parent, comment)
+        return self.publish(dataset, f"{self.next_name(dataset)}-{suffix}", framed, parent, comment,
+                            skip_empty=True)
 
 
 def frame_rows(frames: DataFrame) -> DataFrame:
