@@ -59,14 +59,17 @@ def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median
 
     def at(rank: Column) -> Column:
         hit = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-        found = F.max(F.when(hit, F.col("_v")))
-        return F.coalesce(found, F.raise_error(F.lit("median bracket missed")).cast("double"))
+        return F.max(F.when(hit, F.col("_v")))
+
+    def known(c: str) -> Column:
+        miss = F.raise_error(F.lit("median bracket missed")).cast("double")
+        return F.when(F.col("n").isNotNull(), F.coalesce(F.col(c), miss))
 
     stats = ranked.groupBy(*keys).agg(
         F.max("_total").alias("n"), at(lower).alias("_a"), at(upper).alias("_b"))
     if not keys:
         stats = stats.where(F.col("n").isNotNull())
-    return stats.select(*keys, "n", ((F.col("_a") + F.col("_b")) / 2).alias(out))
+    return stats.select(*keys, "n", ((known("_a") + known("_b")) / 2).alias(out))
 
 
 def _bounded(df: DataFrame, keys: list[str], limit: int) -> bool:
