@@ -45,6 +45,7 @@ def main() -> None:
     for name in names:
         cold[name] = once(name)
         warm[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
+        print(f"{name}: cold {cold[name]} warm {warm[name]}", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(warm.values()), 3), "unit": "sec",
         "queries": warm, "cold": cold, "sf": os.path.basename(sf.rstrip("/")), "cpus": cpus}))
