@@ -110,17 +110,16 @@ def champion(entries: DataFrame, models: DataFrame, keys: Sequence[str] = ()) ->
 def lineage(models: DataFrame, versions: DataFrame, frames: DataFrame) -> DataFrame:
     """(model_id, version_id, origin, run_id, label, frames) of everything a model saw.
 
-    Frames are counted per (version, origin, run, label) first, so the joins
-    only ever see class-level rows.
+    Frames are counted per (version, origin, run, label) and summed over each
+    version's ancestors first, so models meet class-level rows only.
     """
     counted = frames.groupBy("version_id", "origin", "run_id", "label").agg(
         F.count(F.lit(1)).alias("frames"))
-    seen = (models.select("model_id", "version_id")
-            .join(versions.select("version_id", F.explode("lineage").alias("_ancestor")),
-                  "version_id"))
-    return (seen.join(counted.withColumnRenamed("version_id", "_ancestor"), "_ancestor")
-            .groupBy("model_id", "version_id", "origin", "run_id", "label")
+    chain = versions.select("version_id", F.explode("lineage").alias("_ancestor"))
+    held = (chain.join(counted.withColumnRenamed("version_id", "_ancestor"), "_ancestor")
+            .groupBy("version_id", "origin", "run_id", "label")
             .agg(F.sum("frames").alias("frames")))
+    return models.select("model_id", "version_id").join(held, "version_id")
 
 
 def version_history(versions: DataFrame, models: DataFrame | None = None) -> DataFrame:
