@@ -121,7 +121,7 @@ def budget_map(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFram
 
     A label given twice keeps its last count, as a dictionary would.
     """
-    parts = F.filter(F.transform(F.split(column, ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(column, ","), lambda p: F.trim(p)), lambda p: p != "")
     split = F.transform(parts, lambda p: F.struct(
         F.trim(F.substring_index(p, ":", 1)).alias("label"),
         F.trim(F.regexp_replace(p, "^[^:]*:?", "")).alias("text")))

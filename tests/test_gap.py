@@ -88,10 +88,11 @@ def test_before_after(spark):
 
 
 def test_budget_map(spark):
-    df = spark.createDataFrame([(1, "bridge:52, excess_solder:44,"), (2, "a:x"), (3, "a:1,a:2"), (4, "")],
+    df = spark.createDataFrame([(1, "bridge:52, excess_solder:44,"), (2, "a:x"), (3, "a:1,a:2"), (4, ""), (5, "p:9,q:1,r:2,s:33,t:224")],
                                "k int, c string")
     assert rows(gap.budget_map(df, "c", ["k"]), "k", "label", "count") == [
-        (1, "bridge", 52), (1, "excess_solder", 44), (2, "a", None), (3, "a", 2)]
+        (1, "bridge", 52), (1, "excess_solder", 44), (2, "a", None), (3, "a", 2),
+        (5, "p", 9), (5, "q", 1), (5, "r", 2), (5, "s", 33), (5, "t", 224)]
 
 
 def test_draw_grid(spark):
