@@ -87,7 +87,7 @@ s AS (SELECT *, CASE WHEN (round - 1) % 2 = 0 THEN 4.0 ELSE 10.0 END::DOUBLE AS
 SELECT round, guidance, crop_ratio, count(*) AS n, min(score) AS min_score, round(median(score), 6) AS median_score, max(score) AS max_score
 FROM s GROUP BY 1, 2, 3""")
 def _setting_table(spark, sf):
-    tries = gap.draw_grid(attempts(spark, sf), "round")
+    tries = gap.draw_grid(cut(attempts(spark, sf)), "round")
     return search.setting_table(tries, ["round", "guidance", "crop_ratio"], "score").withColumn(
         "median_score", r6("median_score"))
 
@@ -106,11 +106,11 @@ st AS (
   UNION ALL SELECT 'final', sample, score FROM best)
 SELECT stage, count(*) AS n, min(score) AS min_score, round(median(score), 6) AS median_score, max(score) AS max_score FROM st GROUP BY stage""")
 def _improvement_table(spark, sf):
-    tries = attempts(spark, sf)
+    tries = cut(attempts(spark, sf))
     searched = search.best_attempt(tries.where(F.col("round") <= 4), "sample", "round", "score")
     return search.improvement_table({
         "original": tries.where(F.col("round") == 1), "after search": searched,
-        "final": best(spark, sf)}, "score").withColumn("median_score", r6("median_score"))
+        "final": search.best_attempt(tries, "sample", "round", "score")}, "score").withColumn("median_score", r6("median_score"))
 
 
 @query("attempt_wins", f"""WITH {ATTEMPTS}

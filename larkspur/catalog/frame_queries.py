@@ -456,9 +456,9 @@ def _lineage(spark, sf):
 
 
 def run_gated(spark, sf):
-    rows = manifest(spark, sf)
-    scored = scoring.manifest_scores(rows, scores(spark, sf).drop("doc_id"))
-    return scoring.gate_accept(scored, ["run_id"])
+    found = scores(spark, sf).drop("doc_id")
+    scored = scoring.manifest_scores(manifest(spark, sf), found)
+    return scoring.gate_accept(scored, ["run_id"], bars=scoring.default_thresholds(found))
 
 
 @query("manifest_scores", f"WITH {SCORED} SELECT doc_id, run_id, nn_score FROM scored")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import basename, defect_of
 from larkspur.functions.verdict import parse_verdict
-from larkspur.plans.order_stats import group_medians
-from larkspur.plans.shared import attach
+from larkspur.plans.order_stats import group_medians, group_stats
+from larkspur.plans.shared import attach, cut
 
 MIN_CONFIDENCE = 0.6
 PANEL_SIZE = 12
@@ -43,14 +43,17 @@ def mean_threshold(thresholds: DataFrame) -> DataFrame:
 
 
 def gate_accept(scored: DataFrame, keys: Sequence[str] = (), score: str = "nn_score",
-                threshold: Column | None = None) -> DataFrame:
+                threshold: Column | None = None, bars: DataFrame | None = None) -> DataFrame:
     """Add `threshold`, `accepted` and `verdict` (null for unscored rows).
 
-    Without a given threshold each group of `keys` (or the whole batch) is
-    gated at its own median.
+    `threshold` is one bar for all rows, `bars` a table (keys, threshold).
+    Without either, each group of `keys` (or the whole batch) is gated at its
+    own median, for which `scored` is read twice more.
     """
     if threshold is None:
-        facts = default_thresholds(scored, keys, score).drop("n")
+        if bars is None:
+            bars = default_thresholds(scored, keys, score)
+        facts = cut(bars.select(*keys, "threshold"))
         rows = attach(scored, facts, list(keys), "left")
     else:
         rows = scored.withColumn("threshold", threshold)
@@ -65,13 +68,8 @@ def gate_accept(scored: DataFrame, keys: Sequence[str] = (), score: str = "nn_sc
 def score_distribution(scored: DataFrame, keys: Sequence[str] = ("anomaly_type",),
                        score: str = "nn_score") -> DataFrame:
     """(keys, n, min_score, median_score, max_score) over usable scores."""
-    keys = list(keys)
-    s = F.col(score).cast("double")
-    ends = (scored.select(*keys, s.alias("_s")).where(s.isNotNull() & ~F.isnan(s))
-            .groupBy(*keys).agg(F.min("_s").alias("min_score"), F.max("_s").alias("max_score")))
-    mids = group_medians(scored, keys, score, "median_score")
-    return attach(ends, mids, keys).select(
-        *keys, "n", "min_score", "median_score", "max_score")
+    return group_stats(scored, list(keys), score).withColumnsRenamed(
+        {m: f"{m}_score" for m in ("min", "median", "max")})
 
 
 def acceptance_by_class(gated: DataFrame, label: str = "anomaly_type") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from larkspur.operators.scoring import default_thresholds, gate_accept, manifest_scores
 from larkspur.functions.text import defect_of
 from larkspur.plans.order_stats import mark_hashed
-from larkspur.plans.shared import attach
+from larkspur.plans.shared import attach, cut
 
 HOLDOUT_SHARE = 0.3
 ITEM = ["uri", "label", "origin", "run_id", "score"]
@@ -33,9 +33,7 @@ def collect_training_items(real: DataFrame, manifest: DataFrame, scores: DataFra
     scored = manifest_scores(manifest, scores)
     if accepted_only:
         if threshold is None:
-            bars = default_thresholds(scores).drop("n")
-            scored = attach(scored, bars, ["run_id"], "left")
-            scored = gate_accept(scored, threshold=F.col("threshold"))
+            scored = gate_accept(scored, ["run_id"], bars=default_thresholds(scores))
         else:
             scored = gate_accept(scored, threshold=F.lit(threshold))
         scored = scored.where("accepted")
@@ -208,7 +206,7 @@ def train_probe(items: DataFrame, vector: str = "vector", label: str = "label",
 
     rows = items.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
     train = rows.where(F.col("split") == "train")
-    weighted = attach(train, class_weights(train, label).drop("n"), [label]).select(
+    weighted = attach(train, cut(class_weights(train, label).drop("n")), [label]).select(
         "_x", label, "weight")
     n = weighted.count()
     if n == 0:

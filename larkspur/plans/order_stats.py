@@ -7,9 +7,10 @@ ever sorted. Sketches may differ between runs; the results cannot, because
 everything returned is derived from exact counts, and a bracket that misses
 fails the job instead of returning a wrong row.
 
-The quota functions write their per-group cut-off table (one row per group) to
-shared storage, so they run a job when called. Plans stay flat that way: the
-input is not planned again inside every later use of the cut-offs.
+Per-group facts (one row per group) are written to shared storage as soon as
+they are known, so these functions run jobs when called. The planner then knows
+their true size: a small table is broadcast and the rows are never shuffled by
+a hot key, a large one still gets a skew-split join. Plans stay flat as well.
 """
 
 from __future__ import annotations
@@ -35,20 +36,28 @@ def _group_window(keys: list[str]):
 
 def _bracket_counts(rows: DataFrame, keys: list[str], lo: Column, hi: Column,
                     *carry: str) -> DataFrame:
-    """(keys, _side, _v, _n, carry): values outside [lo, hi] fold into one row a side."""
+    """(keys, _side, _v, _n, _min, _max, carry): values outside [lo, hi] fold into
+    one row a side."""
     side = (F.when(F.col("_v") < lo, -1).when(F.col("_v") > hi, 1).otherwise(0))
-    return (rows.select(*keys, side.alias("_side"), "_v", *carry)
-            .select(*keys, "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_v"), *carry)
+    inside = F.when(F.col("_side") == 0, F.col("_x")).alias("_v")
+    return (rows.select(*keys, side.alias("_side"), F.col("_v").alias("_x"), *carry)
+            .select(*keys, "_side", inside, "_x", *carry)
             .groupBy(*keys, "_side", "_v").agg(
-                F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in carry]))
+                F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                *[F.max(c).alias(c) for c in carry]))
 
 
 def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
     """(keys, n, median) over the non-null, non-NaN values; mean of the middle two."""
+    return group_stats(df, keys, value).select(*keys, "n", F.col("median").alias(out))
+
+
+def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, n, min, median, max) over the non-null, non-NaN values, in two reads."""
     rows = _finite(df, keys, value)
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", [0.499, 0.501], ACCURACY).alias("_p"))
-    sketch = sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi"))
+    sketch = cut(sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi")))
     counts = _bracket_counts(attach(rows, sketch, keys), keys, F.col("_lo"), F.col("_hi"))
 
     w = _group_window(keys)
@@ -66,10 +75,11 @@ def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median
         return F.when(F.col("n").isNotNull(), F.coalesce(F.col(c), miss))
 
     stats = ranked.groupBy(*keys).agg(
-        F.max("_total").alias("n"), at(lower).alias("_a"), at(upper).alias("_b"))
+        F.max("_total").alias("n"), F.min("_min").alias("min"), F.max("_max").alias("max"),
+        at(lower).alias("_a"), at(upper).alias("_b"))
     if not keys:
         stats = stats.where(F.col("n").isNotNull())
-    return stats.select(*keys, "n", ((known("_a") + known("_b")) / 2).alias(out))
+    return stats.select(*keys, "n", "min", ((known("_a") + known("_b")) / 2).alias("median"), "max")
 
 
 def _bounded(df: DataFrame, keys: list[str], limit: int) -> bool:
@@ -142,10 +152,10 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
     share = (F.col("_total") - F.col("_q") + 1) / F.col("_total") * grid
     lo = F.get("_cuts", (F.floor(share) - 2).cast("int"))
     hi = F.get("_cuts", (F.ceil(share) + 2).cast("int"))
-    bounds = sketch.select(
+    bounds = cut(sketch.select(
         *keys, "_q",
         F.coalesce(lo, F.lit(float("-inf"))).alias("_lo"),
-        F.coalesce(hi, F.lit(float("inf"))).alias("_hi"))
+        F.coalesce(hi, F.lit(float("inf"))).alias("_hi")))
     counts = _bracket_counts(
         attach(rows, bounds, keys), keys, F.col("_lo"), F.col("_hi"), "_q")
     down = _group_window(keys).orderBy(F.desc("_side"), F.desc("_v"))

@@ -45,9 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
 def attach(df: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join per-group facts on null-safe keys; without keys `facts` is one row.
 
-    No broadcast hint: the planner sees the size of `facts` at run time and
-    falls back to a skew-split sort-merge join when it is large. The one-row
-    case is a scalar subquery, so it never becomes a cross join.
+    No broadcast hint: the planner goes by the size of `facts`, which is exact
+    for a written table, and uses a skew-split sort-merge join when it is large.
+    The one-row case is a scalar subquery, so it never becomes a cross join.
     """
     if not keys:
         return df.withColumns({c: facts.select(c).scalar() for c in facts.columns})

@@ -244,7 +244,9 @@ class VersionStore:
         parent = self.latest(dataset)
         if parent is None:
             raise PublishError("no published version to build on: register real data first")
-        fresh = skip_published_runs(rows, self.effective(parent))
+        # a written list of runs has a known size, so rows are not shuffled by run
+        held = cut(self.effective(parent).select("run_id").distinct())
+        fresh = skip_published_runs(rows, held)
         framed = make_frames(frame_meta(
             fresh.withColumns({"labels": F.array("label"),
                                "parent_version": F.lit(parent["version_id"])}), extras))
