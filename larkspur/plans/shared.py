@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CONF = "spark.checkpoint.dir"
+_local: dict[str, str] = {}  # fallback folder per local application
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,8 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CONF} to a folder every executor can reach")
-        found = tempfile.mkdtemp(prefix="larkspur-")
-        spark.conf.set(_CONF, found)
+        app = spark.sparkContext.applicationId
+        found = _local.get(app) or _local.setdefault(app, tempfile.mkdtemp(prefix="larkspur-"))
     return found.rstrip("/")
 
 
