@@ -76,9 +76,9 @@ def test_trees(spark, tmp_path):
 def run_folders(tmp_path):
     head = "output_filename,image_filename,mask_filename,anomaly_type,guidance,num_steps,seed,PSNR,guardrail_pass\n"
     root = tmp_path / "runs"
-    put(root / "r1" / "SDG_result.csv", head + "x/a.png,,,IC+b,7,30,1,20,1\nx/gone.png,,,IC+b,7,30,1,20,1\n")
+    put(root / "r1" / "manifest.csv", head + "x/a.png,,,IC+b,7,30,1,20,1\nx/gone.png,,,IC+b,7,30,1,20,1\n")
     put(root / "r1" / "a.png", "x")
-    put(root / "r2" / "SDG_result.csv", head + "x/a.png,,,IC+c,7,30,1,20,\n")
+    put(root / "r2" / "manifest.csv", head + "x/a.png,,,IC+c,7,30,1,20,\n")
     put(root / "r2" / "b.png", "x")
     put(root / "r1" / "per_sample.csv", "path,anomaly_type,nn_score\na.png,IC+b,0.5\na.png,IC+b,0.7\nz.png,IC+b,nan\n")
     put(root / "r2" / "per_sample.csv", "path,anomaly_type,nn_score\na.png,IC+c,bad\nq.png,IC+c,0.1\n")
@@ -87,7 +87,7 @@ def run_folders(tmp_path):
 
 def test_manifest_runs_and_files(spark, tmp_path):
     root = run_folders(tmp_path)
-    m = manifests.read_manifest(spark, f"{root}/*/SDG_result.csv")
+    m = manifests.read_manifest(spark, f"{root}/*/manifest.csv")
     assert rows(m, "run_id", "output_filename", "guardrail_pass") == [
         ("r1", "x/a.png", "1"), ("r1", "x/gone.png", "1"), ("r2", "x/a.png", None)]
     files = trees.list_files(spark, str(root))
@@ -99,7 +99,7 @@ def test_manifest_runs_and_files(spark, tmp_path):
 
 
 def test_manifest_without_guardrail_column_passes(spark, tmp_path):
-    p = put(tmp_path / "r" / "SDG_result.csv", "output_filename,anomaly_type\na.png,IC+b\n")
+    p = put(tmp_path / "r" / "manifest.csv", "output_filename,anomaly_type\na.png,IC+b\n")
     assert rows(manifests.read_manifest(spark, p), "guardrail_pass", "seed") == [("1", None)]
 
 
