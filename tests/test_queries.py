@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as entry_point  # noqa: E402
 from compare import difference, oracle  # noqa: E402
+from larkspur.catalog import QUERIES  # noqa: E402
 
 SF = os.environ.get("LARKSPUR_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -20,7 +21,7 @@ def con():
     return oracle(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, SF, name) is None
 
