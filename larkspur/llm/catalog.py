@@ -67,3 +67,14 @@ def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.url_filter import host_of, judge_urls
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     return judge_urls(pages, pages.filter(host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.token_counts import prefix_token_counts
+    return prefix_token_counts(documents(spark, sf), tokenizer_file("byte_bpe_50k.json"), limit=1024, stored=False)
