@@ -78,3 +78,9 @@ def tokenizer_file(name: str) -> str:
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.token_counts import prefix_token_counts
     return prefix_token_counts(documents(spark, sf), tokenizer_file("byte_bpe_50k.json"), limit=1024, stored=False)
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.packing import pack_documents
+    return pack_documents(documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
