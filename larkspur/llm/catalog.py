@@ -84,3 +84,15 @@ def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.packing import pack_documents
     return pack_documents(documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.language_id import language_of
+    return language_of(documents(spark, sf))
+
+
+@query("op1_source_mix")
+def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.mixing import mix_sources
+    return mix_sources(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken")
