@@ -96,3 +96,10 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.mixing import mix_sources
     return mix_sources(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.simhash import near_duplicates
+    return near_duplicates(documents(spark, sf)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
