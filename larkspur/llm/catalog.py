@@ -103,3 +103,9 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.simhash import near_duplicates
     return near_duplicates(documents(spark, sf)).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op10_spotsigs")
+def op10_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.spotsigs import fingerprint_edits
+    return fingerprint_edits(documents(spark, sf))

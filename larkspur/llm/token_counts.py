@@ -18,6 +18,7 @@ through; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator, Sequence
@@ -67,28 +68,41 @@ class PrefixCounter:
         self.starts = {t[:i]: False for t in self.tokens for i in range(1, len(t))} | dict.fromkeys(self.tokens, True)
         self.pieces: dict[str, list[int]] = {}
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.halves = {a + b: (a, b, r) for (a, b), r in self.rank.items()}
+        if len(self.halves) != len(self.rank):
+            raise ValueError("two merges make the same token")
+        self.edges: tuple[dict, dict] = ({}, {})
         self.follows: dict[tuple[bytes, bytes], bool] = {}
         self.cache: dict[str, bytes] = {}
         self.cache_rows = cache_rows
 
-    def _encode(self, w: bytes) -> list[bytes]:
-        """Plain merging, for two tokens at most."""
-        parts = [w[i:i + 1] for i in range(len(w))]
-        while len(parts) > 1:
-            best, at = min(((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:]))))
-            if best == 1 << 60:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _may_follow(self, last: bytes, t: bytes) -> bool:
-        found = self.follows.get((last, t))
+    def _edge(self, t: bytes, side: int) -> list[tuple[bytes, int]]:
+        """The parts of t that come to lie at its right (1) or left (0) end while it is merged, and the merge that ends each."""
+        found = self.edges[side].get(t)
         if found is None:
-            if len(self.follows) > self.cache_rows:
-                self.follows.clear()
-            found = self.follows[last, t] = self._encode(last + t) == ([last, t] if last else [t])
+            found, ended, part = [], 1 << 60, t
+            while True:
+                found.append((part, ended))
+                if part not in self.halves:
+                    break
+                *two, ended = self.halves[part]
+                part = two[side]
+            self.edges[side][t] = found
         return found
 
+    def _may_follow(self, last: bytes, t: bytes) -> bool:
+        """Whether last and t stay apart: no merge over their border comes before the merges inside them. Ties go to the left."""
+        if not last:
+            return True
+        if len(self.follows) > self.cache_rows:
+            self.follows.clear()
+        rank = self.rank
+        self.follows[last, t] = apart = not any(
+            r < x_end and r <= y_end
+            for x, x_end in self._edge(last, 1) for y, y_end in self._edge(t, 0)
+            if (r := rank.get((x, y))) is not None)
+        return apart
+
     def piece(self, w: bytes) -> list[int]:
         """Token counts of w[:0], w[:1], ... as byte prefixes of one piece."""
         n, starts, follows = len(w), self.starts, self.follows
@@ -177,6 +191,12 @@ class PrefixCounter:
         return np.concatenate(out)
 
 
+@functools.lru_cache(maxsize=2)
+def counter(path: str, cache_rows: int = CACHE_ROWS) -> PrefixCounter:
+    """One for each Python worker, which Spark reuses from task to task."""
+    return PrefixCounter(path, cache_rows)
+
+
 def longest_prefix(table: np.ndarray, budget: int) -> int:
     """Code points of the longest prefix that has at most `budget` tokens."""
     fits = np.flatnonzero(table <= budget)
@@ -194,11 +214,11 @@ def prefix_token_counts(docs: DataFrame, path: str, limit: int = 1024, stored: b
     schema = StructType(ids + facts + [StructField("prefix_counts", BinaryType())] * stored)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path, cache_rows)
+        table = counter(path, cache_rows).table
         for b in batches:
             n, cut, kept = [], [], []
             for text in b.column(b.num_columns - 1):
-                t = counter.table(text.as_py())
+                t = table(text.as_py())
                 n.append(int(t[-1]))
                 cut.append(longest_prefix(t, limit) if t.max() > limit else len(t) - 1)
                 if stored:
