@@ -109,3 +109,12 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def op10_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.spotsigs import fingerprint_edits
     return fingerprint_edits(documents(spark, sf))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.line_dedup import dedup_lines
+    text = F.coalesce("text", F.lit(""))
+    return dedup_lines(documents(spark, sf).select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_removed", F.length(text).cast("bigint").alias("kept_chars"),
+        F.sha2(text, 256).alias("kept_sha256"))
