@@ -118,3 +118,9 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_lines(documents(spark, sf).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_removed", F.length(text).cast("bigint").alias("kept_chars"),
         F.sha2(text, 256).alias("kept_sha256"))
+
+
+@query("op3_suffix_tree")
+def op3_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.suffix_tree import score_texts
+    return score_texts(documents(spark, sf))

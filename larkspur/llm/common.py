@@ -57,6 +57,36 @@ def attach_weighted(rows: DataFrame, facts: DataFrame, key: list[str], weight: s
     return on_hot.unionByName(rest)
 
 
+def held_out(doc_id: Column, folds: int) -> Column:
+    """Whether crc32(doc_id as text) mod folds is 0; a null id counts as the empty text, which is held out."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == 0
+
+
+def id_bucket(docs: DataFrame, buckets: int) -> Column:
+    """Ranges of doc_id of even width, 0 and up; null ids have as many buckets of their own, by text, below 0.
+
+    Tables that are written in order of ids keep most of a bucket in one scan task.
+    """
+    span = docs.agg(F.min("doc_id").cast("bigint").alias("lo"), F.max("doc_id").cast("bigint").alias("hi")).first()
+    low, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // buckets + 1
+    return F.coalesce(F.floor((docs["doc_id"].cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("bigint"),
+                      -1 - F.pmod(F.xxhash64(text_of(docs)), F.lit(buckets)))
+
+
+class Memo(dict):
+    """`fn(key)` for every key looked up, kept until `most` are there; then it starts anew."""
+
+    def __init__(self, fn, most: int):
+        super().__init__()
+        self.fn, self.most = fn, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value = self.fn(key)
+        return value
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df` as a table in the shared folder: no lineage, and safe when executors go."""
     return cut(df)

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import hash01
+from larkspur.llm.common import hash01, held_out
 
 SIZES = (3, 4, 5)
 POSITION_BITS = 21  # 2 MB for up to eight languages
@@ -36,7 +36,7 @@ PER_LANGUAGE = 3000
 RARER = 0.1
 UNKNOWN = "und"
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
-_BATCH_BYTES = 1 << 22
+_BATCH_BYTES = 1 << 20
 _LETTER = regex.compile(r"\p{L}").search
 
 
@@ -188,13 +188,8 @@ def identify(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], "lang_pred", "score")
 
 
-def held_out(doc_id: Column, folds: int = 5) -> Column:
-    """Whether crc32(doc_id as text) mod folds is 0; a null id counts as the empty text, which is held out."""
-    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == 0
-
-
-def language_of(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+def language_of(docs: DataFrame, per_language: int = PER_LANGUAGE, folds: int = 5) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the rows that are not held out and have a text and a lang."""
-    model = learn(docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model = learn(docs.filter(~held_out(F.col("doc_id"), folds) & F.col("lang").isNotNull() & F.col("text").isNotNull())
                   .select("lang", "text"), per_language)
-    return identify(docs, model, ["doc_id"]).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return identify(docs, model, ["doc_id"]).select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "lang_pred", "score")

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import text_of, written
+from larkspur.llm.common import id_bucket, text_of, written
 
 #: common words of English, German, French and Spanish
 ANCHORS = ("a", "and", "are", "as", "be", "by", "for", "from", "in", "is", "it", "of", "on", "that", "the", "this", "to",
@@ -68,14 +68,9 @@ def with_next(docs: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET, most_buckets:
     does; only the last document of a bucket looks into another one. Null ids
     have buckets of their own, spread by the text.
     """
-    span = docs.agg(F.min("doc_id").cast("bigint").alias("lo"), F.max("doc_id").cast("bigint").alias("hi"),
-                    F.count(F.lit(1)).alias("n")).first()
-    buckets = max(1, min(most_buckets, math.ceil(span["n"] / rows_a_bucket)))
-    low, width = span["lo"] or 0, ((span["hi"] or 0) - (span["lo"] or 0)) // buckets + 1
+    buckets = max(1, min(most_buckets, math.ceil(docs.count() / rows_a_bucket)))
     text = text_of(docs)
-    h = F.xxhash64(text)
-    bucket = F.coalesce(F.floor((docs["doc_id"].cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("bigint"),
-                        -1 - F.pmod(h, F.lit(buckets)))
+    h, bucket = F.xxhash64(text), id_bucket(docs, buckets)
     rows = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"), h.alias("h"), bucket.alias("bucket"))
     order = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("h").desc())
     staged = rows.select("doc_id", "bucket", "text", F.lead("text").over(order).alias("next_text"),
