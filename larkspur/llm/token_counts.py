@@ -31,16 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
-from larkspur.llm.common import text_of
+from larkspur.llm.common import Memo, text_of
 
 #: the pre-tokenizer's pattern; a fixed value of byte-level BPE files
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _CHUNKS = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
 _OTHER_BLANK = re.compile("[\x1c-\x1f\x85\xa0  -     　]").search
 CACHE_ROWS = 600_000
+_HEAD = 6
+_ONE_PIECE = re.compile(" ?[A-Za-z]+").fullmatch
 
 
-def _byte_of_char() -> dict[str, int]:
+def byte_of_char() -> dict[str, int]:
     """The printable stand-ins that byte-level BPE files use for bytes."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -58,14 +60,16 @@ class PrefixCounter:
             raise ValueError(f"{path} is not a plain byte-level BPE file")
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError("special tokens that take in blanks or mind word borders are not supported")
-        byte = _byte_of_char()
+        byte = byte_of_char()
         raw = lambda s: bytes(byte[c] for c in s)
         special = [t["content"] for t in spec["added_tokens"]]
         self.tokens = {raw(t) for t in model["vocab"] if t not in special}
         merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         self.rank = {(raw(a), raw(b)): i for i, (a, b) in enumerate(merges)}
-        #: every beginning of a token, and whether it is one
-        self.starts = {t[:i]: False for t in self.tokens for i in range(1, len(t))} | dict.fromkeys(self.tokens, True)
+        #: every ending of a token, and whether it is one
+        self.ends = {t[i:]: False for t in self.tokens for i in range(1, len(t))} | dict.fromkeys(self.tokens, True)
+        #: last tokens and counts for the beginnings that pieces share
+        self.heads = Memo(lambda w: self._grow(w, [b""], [0]), cache_rows // 4)
         self.pieces: dict[str, list[int]] = {}
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.halves = {a + b: (a, b, r) for (a, b), r in self.rank.items()}
@@ -73,7 +77,7 @@ class PrefixCounter:
             raise ValueError("two merges make the same token")
         self.edges: tuple[dict, dict] = ({}, {})
         self.follows: dict[tuple[bytes, bytes], bool] = {}
-        self.cache: dict[str, bytes] = {}
+        self.chunks = Memo(self._chunk_bytes, cache_rows)
         self.cache_rows = cache_rows
 
     def _edge(self, t: bytes, side: int) -> list[tuple[bytes, int]]:
@@ -105,24 +109,28 @@ class PrefixCounter:
 
     def piece(self, w: bytes) -> list[int]:
         """Token counts of w[:0], w[:1], ... as byte prefixes of one piece."""
-        n, starts, follows = len(w), self.starts, self.follows
-        last: list[bytes | None] = [b"", *[None] * n]
-        count = [0] * (n + 1)
-        for j in range(n):
-            before = last[j]
-            for i in range(j + 1, n + 1):
+        head = w[:_HEAD]
+        last, count = self.heads[head] if len(w) > _HEAD else ([b""], [0])
+        return self._grow(w, last.copy(), count.copy())[1]
+
+    def _grow(self, w: bytes, last: list[bytes], count: list[int]) -> tuple[list[bytes], list[int]]:
+        """Carries the last tokens and the counts of the first prefixes of w on to all of them."""
+        ends, follows = self.ends, self.follows
+        for i in range(len(last), len(w) + 1):
+            for j in range(i - 1, -1, -1):
                 t = w[j:i]
-                whole = starts.get(t)
+                whole = ends.get(t)
                 if whole is None:
-                    break
-                if whole and last[i] is None:
-                    fits = follows.get((before, t))
-                    if self._may_follow(before, t) if fits is None else fits:
-                        last[i] = t
-                        count[i] = count[j] + 1
-            if last[j + 1] is None:
-                raise ValueError(f"the vocabulary has no encoding of {w[:j + 1]!r}")
-        return count
+                    raise ValueError(f"the vocabulary has no encoding of {w[:i]!r}")
+                if whole:
+                    fits = follows.get((last[j], t))
+                    if self._may_follow(last[j], t) if fits is None else fits:
+                        last.append(t)
+                        count.append(count[j] + 1)
+                        break
+            else:
+                raise ValueError(f"the vocabulary has no encoding of {w[:i]!r}")
+        return last, count
 
     def _piece_counts(self, p: str) -> list[int]:
         """Counts of p[:1], p[:2], ... in code points."""
@@ -139,8 +147,10 @@ class PrefixCounter:
                 self.pieces[p] = found
         return found
 
-    def chunk(self, s: str) -> np.ndarray:
+    def chunk(self, s: str) -> list[int]:
         """Counts of s[:1], s[:2], ..., s, for s that starts at a border of pieces and has no special string."""
+        if _ONE_PIECE(s):
+            return self._piece_counts(s)
         out, base, before = [], 0, ""
         for p in PIECES.findall(s):
             at = self._piece_counts(p)
@@ -151,23 +161,19 @@ class PrefixCounter:
                 at[0] = start - self.piece(before.encode())[-1] + self.piece((before + p[0]).encode())[-1]
             out += at
             before = p
-        return np.array(out, np.int64)
+        return out
 
     def _chunk_bytes(self, s: str) -> bytes:
         counts = self.chunk(s)
-        return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+        return bytes(counts) if max(counts) < 256 else b""
 
     def ordinary(self, text: str) -> np.ndarray:
         """Prefix counts of a text whose special strings, if any, are ordinary text."""
         if not text:
             return np.zeros(1, np.int64)
         if not _OTHER_BLANK(text):
-            chunks, cache = _CHUNKS(text), self.cache
-            if len(cache) > self.cache_rows:
-                cache.clear()
-            for s in set(chunks).difference(cache):
-                cache[s] = self._chunk_bytes(s)
-            inner = np.frombuffer(b"".join(map(cache.__getitem__, chunks)), np.uint8)
+            chunks = _CHUNKS(text)
+            inner = np.frombuffer(b"".join(map(self.chunks.__getitem__, chunks)), np.uint8)
             if len(inner) == len(text):
                 size = np.fromiter(map(len, chunks), np.int64, len(chunks))
                 total = inner[np.cumsum(size) - 1].astype(np.int64)
@@ -176,7 +182,7 @@ class PrefixCounter:
         else:
             chunks = [self.chunk(text)]
         base = np.cumsum([0, *(c[-1] for c in chunks)])
-        return np.concatenate([[0], *(b + c for b, c in zip(base, chunks))])
+        return np.concatenate([[0], *(b + np.array(c) for b, c in zip(base, chunks))])
 
     def table(self, text: str) -> np.ndarray:
         if self.special is None or not self.special.search(text):
