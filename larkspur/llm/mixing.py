@@ -8,7 +8,8 @@ or 1, so both totals stay as they were. It runs in blocks of one source's
 documents, so a hot source is spread; each block leaves at most two documents
 undecided, which meet in new, fewer blocks, round after round. When a source is
 down to one block, its last one or two documents are landed on the choice that
-comes nearest to the target in words.
+comes nearest to the target in words; if that is not near, as with few documents,
+documents of this block are exchanged.
 
 Defined results: a null or empty text has size 0 (and may be taken or not); a
 null source is a source of its own, last in order; a source without words has
@@ -23,16 +24,18 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import WORD, attach_weighted, written
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
-ROWS_A_BLOCK = 20_000
+ROWS_A_BLOCK = 4_000
 #: an entry of over this share of a block's expected words is decided first
 OUTSIZE = 0.005
+#: a last block that is this near to its expected words, as a share of them, is left alone
+NEAR = 0.002
 _EPS = 1e-9
 
 
@@ -138,6 +141,31 @@ def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pi
 
 
+def exchange(taken: np.ndarray, size: np.ndarray, expected: float) -> np.ndarray:
+    """Nearer to the expected words, by putting in, taking out or swapping documents while that helps.
+
+    A source of a few documents cannot be landed well on its last two alone.
+    """
+    taken, size = taken.copy(), size.astype(float)
+    while True:
+        over = (taken * size).sum() - expected
+        best, change = abs(over), ()
+        one = np.abs(over + size * (1 - 2 * taken))
+        if len(one) and one.min() < best * 0.99:
+            best, change = one.min(), (one.argmin(),)
+        inside, outside = np.flatnonzero(taken == 1), np.flatnonzero(taken == 0)
+        if len(inside) and len(outside):
+            outside = outside[np.argsort(size[outside], kind="stable")]
+            at = np.searchsorted(size[outside], size[inside] - over)  # a partner as large as what would remain
+            for k in (np.maximum(at - 1, 0), np.minimum(at, len(outside) - 1)):
+                left = np.abs(over - size[inside] + size[outside[k]])
+                if left.min() < best * 0.99:
+                    best, change = left.min(), (inside[left.argmin()], outside[k[left.argmin()]])
+        if not change or abs(over) <= expected * NEAR:
+            return taken
+        taken[list(change)] = 1 - taken[list(change)]
+
+
 _ROWS = "doc_id {id}, h bigint, size bigint, s string, s_null boolean, source_size bigint, target double, " \
         "whole bigint, pi double, blocks bigint, block bigint"
 
@@ -148,16 +176,21 @@ def _fly(g: pd.DataFrame) -> pd.DataFrame:
     seed = int(np.bitwise_xor.reduce(g["h"].to_numpy(np.int64)) & 0x7FFFFFFFFFFFFFFF)
     pi = flight(g["pi"].to_numpy(), g["size"].to_numpy(), seed)
     if g["blocks"].iloc[0] == 1:
-        pi = land(pi, g["size"].to_numpy(float))
+        size, drawn = g["size"].to_numpy(float), g["pi"].to_numpy()
+        pi = exchange(land(pi, size), size, (drawn * size).sum())
     return g.assign(pi=pi)
 
 
+def row_hash(seed: int = 0) -> Column:
+    return F.xxhash64("doc_id", "text", "source", F.lit(seed))
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, rows_a_block: int = ROWS_A_BLOCK,
                 seed: int = 0) -> DataFrame:
     """doc_id, s, s_null (the source), size, source_size, target, taken_times, taken: one row per document."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     sized = written(docs.select(
-        "doc_id", F.xxhash64("doc_id", "text", F.lit(seed)).alias("h"), size.alias("size"),
+        "doc_id", row_hash(seed).alias("h"), size.alias("size"),
         F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("s_null")))
     facts = written(source_targets(sized, weights, cap))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -181,3 +214,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CA
         everything = everything.unionByName(d)
     return everything.select("doc_id", "h", "s", "s_null", "size", "source_size", "target",
                              times.alias("taken_times"), (F.col("size") * times).alias("taken"))
+
+
+def repeat_rows(docs: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP, seed: int = 0) -> DataFrame:
+    """The mix as rows of `docs`, each as often as it is taken. Equal rows share what they are given together."""
+    times = mix_sources(docs, weights, cap, seed=seed)
+    by_row = written(times.groupBy("h").agg(F.sum("taken_times").alias("_times"), F.count(F.lit(1)).alias("_rows")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), row_hash(seed).alias("h"))
+    joined = rows.join(by_row.filter("_times > 0"), "h")
+    turn = F.row_number().over(Window.partitionBy("h").orderBy("h"))
+    several = joined.filter("_rows > 1").withColumn("_turn", turn).withColumn(
+        "_times", F.expr("_times div _rows + CASE WHEN _turn <= _times % _rows THEN 1 ELSE 0 END")).filter("_times > 0")
+    taken = joined.filter("_rows = 1").unionByName(several.drop("_turn"))
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_times"))).select("row.*")
