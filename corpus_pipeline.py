@@ -1,8 +1,66 @@
-"""A corpus pipeline out of the operators in larkspur.llm."""
+"""From documents to packed training sequences, stage by stage, with the operators of larkspur.llm.
 
-STAGES = []
+Each stage gets a table with the columns of `documents`, works on all of it, and
+leaves a table of the same columns; the last leaves packed pieces. Between two
+stages the table is written to the shared folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larkspur.llm.catalog import tokenizer_file
+from larkspur.llm.common import WORD, documents, written
+from larkspur.llm.language_id import identify, learn
+from larkspur.llm.line_dedup import dedup_lines
+from larkspur.llm.mixing import repeat_rows
+from larkspur.llm.packing import pack_documents
+from larkspur.llm.simhash import keep_one
+
+#: share of a text's n-grams that its language has to explain; clean texts are far above it
+LEAST_SCORE = 0.25
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter (null text included) and those that resemble no language in `lang`."""
+    model = learn(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text"))
+    known = identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, ["row"])
+    return known.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out lines that match an earlier one, and documents of which no word is left; n_chars follows the text."""
+    out = dedup_lines(docs)
+    cut = F.col("n_removed") > 0
+    n_chars = F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.filter(~cut | F.col("text").rlike(WORD)).withColumn("n_chars", n_chars).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of every group of near-duplicates, that of the smallest doc_id."""
+    return keep_one(docs).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Brings sources to their target weights; a document that is taken twice is two rows."""
+    return repeat_rows(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every row."""
+    return pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", language), ("line_dedup", lines), ("simhash_near_dedup", near_duplicates),
+          ("source_mix", mix), ("best_fit_packing", pack)]
+
+#: tokenisers, components and the cube method are beyond SQL; the tests hold the stages against brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -294,7 +294,7 @@ def later_matches(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> Data
 
 
 def drop_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """All columns of docs with those lines taken out of text, plus n_lines and n_removed."""
+    """All columns of docs with those lines taken out of text, and n_lines and n_removed (in place of any of that name)."""
     by_doc = written(removed.groupBy("doc").agg(F.collect_list("line").alias("_out")))  # at most a document's own lines
     names = docs.columns
     joined = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs["doc_id"].cast("bigint").alias("_doc"),
@@ -317,7 +317,7 @@ def drop_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     out = joined.select("_row", "_text", "_out").mapInArrow(
         cut, f"_row {kinds}, _text string, n_lines bigint, n_removed bigint")
     text = F.when(F.col("n_removed") > 0, F.col("_text")).otherwise(F.col("_row.text"))
-    return out.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in names], "n_lines", "n_removed")
+    return out.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in names if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
 
 
 def dedup_lines(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> DataFrame:

@@ -63,15 +63,15 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: str = "doc_id") -> DataFrame:
+    """`carry` (a column) and fp (the 64 bits as a long)."""
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=[carry, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of(docs).alias("_text")).mapInArrow(compute, f"doc_id {kind}, fp bigint")
+    kind = docs.schema[carry].dataType.simpleString()
+    return docs.select(carry, text_of(docs).alias("_text")).mapInArrow(compute, f"{carry} {kind}, fp bigint")
 
 
 # ---- cells ------------------------------------------------------------------
@@ -100,13 +100,13 @@ def links_in_cells(cell: np.ndarray, fp: np.ndarray, pivots: np.ndarray, bits: i
                 return
             np.minimum.at(root, high, low)
 
-    first = pivots[:, 0]
+    first, bits_of = pivots[:, 0], fp.view(np.uint64)  # bitwise_count of a signed number is that of its absolute value
     for step in range(1, len(fp)):
         near = np.flatnonzero((cell[step:] == cell[:-step]) & (first[step:] - first[:-step] <= bits))
         if not len(near):
             break
         near = near[np.abs(pivots[near] - pivots[near + step]).max(axis=1) <= bits]
-        near = near[np.bitwise_count(fp[near] ^ fp[near + step]) <= bits]
+        near = near[np.bitwise_count(bits_of[near] ^ bits_of[near + step]) <= bits]
         if len(near):
             join(near, near + step)
     linked = np.flatnonzero(root != np.arange(len(fp)))
@@ -165,7 +165,7 @@ def near_links(fps: DataFrame, bits: int = BITS, cell_rows: int = CELL_ROWS, blo
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """doc_id, fp, component_id: one row per document; the component's smallest doc_id."""
+    """doc_id, fp, component_id, root: one row per document; the component's smallest doc_id and smallest fingerprint."""
     rows = written(fingerprints(docs, shingle))
     groups = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     roots = written(components(near_links(groups.select("fp"), bits, cell_rows)))
@@ -173,5 +173,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, c
         "fp", "least", "n", F.coalesce("root", "fp").alias("root"))
     members = written(members)
     least = written(members.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m")))
-    of_fp = written(attach_weighted(members, least, ["root"], "m").select("fp", "n", "component_id"))
-    return attach_weighted(rows, of_fp, ["fp"], "n").select("doc_id", "fp", "component_id")
+    of_fp = written(attach_weighted(members, least, ["root"], "m").select("fp", "n", "component_id", "root"))
+    return attach_weighted(rows, of_fp, ["fp"], "n").select("doc_id", "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """One row of `docs` for every group of near-duplicates: that of the smallest doc_id; of rows that share it, any.
+
+    Groups without any id keep one row of their smallest fingerprint.
+    """
+    found = written(near_duplicates(docs, shingle, bits, cell_rows))
+    stays = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    stays = written(stays)
+    once = docs.join(stays.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    often = docs.join(stays.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # components() names a component by its smallest vertex, so root is a fingerprint of the group itself
+    nameless = found.filter("component_id IS NULL").select(F.col("root").alias("fp")).distinct()
+    rows = docs.filter("doc_id IS NULL").select(F.struct(*docs.columns).alias("row"), "text")
+    without_id = fingerprints(rows, shingle, "row").join(nameless, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*")
+    return once.unionByName(often).unionByName(without_id)
