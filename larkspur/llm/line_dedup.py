@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import WORD, attach_weighted, lower_az, split_for, text_of, written
-from larkspur.llm.words import blocks, gather_table, lowered, mix, word_hashes
+from larkspur.llm.words import blocks, gather_table, mix, word_hashes
 
 BAR = 0.8
 RARITY_BITS = 21  # 2 MB
@@ -50,9 +50,8 @@ _EPS = 1e-9
 def rarity_classes(docs: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
     """For every value of a word hash's first `bits` bits, the logarithm of its count in all texts."""
     def fill(batch: pa.RecordBatch, own: np.ndarray) -> None:
-        raws = lowered(batch.column(0))
-        for a, b in blocks(raws):
-            h = word_hashes(b"\n".join(raws[a:b]))[0]
+        for _, _, raws in blocks(batch.column(0)):
+            h = word_hashes(b"\n".join(raws))[0]
             own += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=len(own)).astype(own.dtype)
 
     count = gather_table(docs.select(text_of(docs).alias("text")), fill, 1 << bits, np.int64, "sum")
@@ -64,6 +63,28 @@ def probe_length(size: np.ndarray, bar: float) -> np.ndarray:
     return size - np.ceil(size * bar - _EPS).astype(np.int64) + 1
 
 
+def sketch_words(size: np.ndarray) -> np.ndarray:
+    """64-bit words of a set's parity sketch, a power of two: enough for unlike sets to differ in more bits than like ones may."""
+    return np.int64(1) << np.ceil(np.log2(np.clip(size / 96, 1, 64))).astype(np.int64)
+
+
+def folded(sketch: np.ndarray, at: np.ndarray, k: int, to: int) -> np.ndarray:
+    """Sketches of k words, at those places, as sketches of `to` words: places modulo a smaller power of two."""
+    return np.bitwise_xor.reduce(sketch[at[:, None] + np.arange(k)].reshape(len(at), k // to, to), axis=1)
+
+
+def differing_bits(sketch: np.ndarray, at: np.ndarray, k: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many bits the sketches of i and j differ, in the smaller of their lengths."""
+    out = np.zeros(len(i), np.int64)
+    both = k[i] * 128 + k[j]
+    for c in np.unique(both):
+        rows, a, b = np.flatnonzero(both == c), int(c) // 128, int(c) % 128
+        for part in np.array_split(rows, -(-len(rows) * max(a, b) // 1_000_000)):
+            out[part] = np.bitwise_count(folded(sketch, at[i[part]], a, min(a, b))
+                                         ^ folded(sketch, at[j[part]], b, min(a, b))).sum(axis=1, dtype=np.int64)
+    return out
+
+
 class Lines:
     """Word sets of the lines of a block of texts, in order of rarity; lines without words are left out."""
 
@@ -83,12 +104,14 @@ class Lines:
         first = np.cumsum(count) - count
         self.doc = np.searchsorted(first, line, "right") - 1  # number of the text
         self.line = line - first[self.doc]
-        if len(word):
-            low = mix(word)
-            self.sketch = np.bitwise_xor.reduceat(np.uint64(1) << (low >> np.uint64(58)), self.start)
-            self.whole = np.add.reduceat(low, self.start)
-        else:
-            self.sketch = self.whole = np.zeros(0, np.uint64)
+        low = mix(word)
+        self.whole = np.add.reduceat(low, self.start) if len(word) else np.zeros(0, np.uint64)
+        k = sketch_words(self.size)
+        self.sketch_at = np.cumsum(k) - k
+        self.sketch = np.zeros(int(k.sum()), np.uint64)
+        place = (low >> np.uint64(52)).astype(np.int64) & np.repeat(64 * k - 1, self.size)
+        np.bitwise_xor.at(self.sketch, np.repeat(self.sketch_at, self.size) + (place >> 6),
+                          np.uint64(1) << (place & 63).astype(np.uint64))
 
 
 def narrow(x: np.ndarray) -> tuple[int, np.ndarray]:
@@ -112,20 +135,23 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
     """Blobs of records by bucket. Of equal lines in a batch the earliest is recorded, the others are out."""
     for b in batches:
         ids = b.column(0).to_numpy()
-        raws = lowered(b.column(1))
-        kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "whole", "words", "n")}
-        for lo, hi in blocks(raws):
-            x = Lines(raws[lo:hi], rarity)
+        kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "at", "whole", "words", "n")}
+        sketched = 0
+        for lo, hi, raws in blocks(b.column(1)):
+            x = Lines(raws, rarity)
             n = probe_length(x.size, bar)
             at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
             for k, v in (("doc", ids[lo:hi][x.doc]), ("line", x.line), ("size", x.size), ("sketch", x.sketch),
-                         ("whole", x.whole), ("words", x.word[at]), ("n", n)):
+                         ("at", x.sketch_at + sketched), ("whole", x.whole), ("words", x.word[at]), ("n", n)):
                 kept[k].append(v)
+            sketched += len(x.sketch)
         if not kept["doc"]:
             continue
-        doc, line, size, sketch, whole, words, n = (np.concatenate(kept[k]) for k in kept)
-        order = np.lexsort((line, doc, sketch, whole, size))
-        same = np.append(False, (whole[order][1:] == whole[order][:-1]) & (sketch[order][1:] == sketch[order][:-1])
+        doc, line, size, sketch, sketch_at, whole, words, n = (np.concatenate(kept[k]) for k in kept)
+        k_of = sketch_words(size)
+        parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(doc) else sketch
+        order = np.lexsort((line, doc, parity, whole, size))
+        same = np.append(False, (whole[order][1:] == whole[order][:-1]) & (parity[order][1:] == parity[order][:-1])
                          & (size[order][1:] == size[order][:-1]))[:len(order)]
         out = np.zeros(len(doc), bool)
         out[order[same]] = True
@@ -146,7 +172,8 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
             if len(r) or len(ids_out[gone]):
                 names.append(k)
                 blobs.append(pickle.dumps((
-                    word[part], narrow(doc[r]), narrow(line[r]), narrow(size[r]), narrow(pos[part]), sketch[r],
+                    word[part], narrow(doc[r]), narrow(line[r]), narrow(size[r]), narrow(pos[part]),
+                    sketch[np.repeat(sketch_at[r] - np.cumsum(k_of[r]) + k_of[r], k_of[r]) + np.arange(k_of[r].sum())],
                     whole[r].astype(np.uint32), narrow(ids_out[gone]), narrow(lines_out[gone])), protocol=5))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
@@ -166,15 +193,20 @@ def compare_lists(blobs: list[bytes], bar: float, first: int) -> dict[str, np.nd
     word, sketch, whole = (np.concatenate([p[i] for p in parts]) for i in (0, 5, 6))
     doc, line, size, pos = (np.concatenate([wide(p[i]) for p in parts]) for i in (1, 2, 3, 4))
     out_doc, out_line = ([np.concatenate([wide(p[i]) for p in parts])] for i in (7, 8))
-
-    order = np.lexsort((line, doc, whole, sketch, size, word))
-    word, doc, line, size, pos, sketch, whole = (x[order] for x in (word, doc, line, size, pos, sketch, whole))
-    same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (sketch[1:] == sketch[:-1])
+    k_of = sketch_words(size)
+    sketch_at = np.cumsum(k_of) - k_of
+    parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(word) else sketch
+
+    order = np.lexsort((line, doc, whole, parity, size, word))
+    word, doc, line, size, pos, parity, whole, k_of, sketch_at = (
+        x[order] for x in (word, doc, line, size, pos, parity, whole, k_of, sketch_at))
+    same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (parity[1:] == parity[:-1])
                      & (whole[1:] == whole[:-1]))[:len(word)]
     told = same & (pos == 0)  # each line is told once, in the list of its rarest word
     out_doc.append(doc[told])
     out_line.append(line[told])
-    word, doc, line, size, pos, sketch = (x[~same] for x in (word, doc, line, size, pos, sketch))
+    word, doc, line, size, pos, parity, k_of, sketch_at = (
+        x[~same] for x in (word, doc, line, size, pos, parity, k_of, sketch_at))
 
     n = len(word)
     rank = np.empty(n, np.int64)
@@ -193,8 +225,13 @@ def compare_lists(blobs: list[bytes], bar: float, first: int) -> dict[str, np.nd
             break
         need = np.ceil((size[i] + size[j]) * bar / (1 + bar) - _EPS).astype(np.int64)
         reach = np.minimum(pos[i], pos[j]) + 1 + np.minimum(size[i] - pos[i], size[j] - pos[j]) - 1
-        may = (reach >= need) & (np.bitwise_count(sketch[i] ^ sketch[j]) <= size[i] + size[j] - 2 * need) & (rank[i] != rank[j])
-        a, b = i[may], j[may]
+        most = size[i] + size[j] - 2 * need  # words that one has and the other has not
+        may = (reach >= need) & (np.bitwise_count(parity[i] ^ parity[j]) <= most) & (rank[i] != rank[j])
+        a, b, most = i[may], j[may], most[may]
+        fine = np.flatnonzero(np.minimum(k_of[a], k_of[b]) > 1)
+        if len(fine):
+            out = fine[differing_bits(sketch, sketch_at, k_of, a[fine], b[fine]) > most[fine]]
+            a, b = np.delete(a, out), np.delete(b, out)
         swap = rank[a] > rank[b]
         later.append(np.where(swap, a, b))
         earlier.append(np.where(swap, b, a))

@@ -38,8 +38,9 @@ def signatures(text: Column, anchors: Sequence[str] = ANCHORS, chain: int = CHAI
     """Sorted distinct signature hashes of a text, 0 to 2^32 - 1; never empty."""
     words = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     marked = F.regexp_replace(words, f" (?=(?:{'|'.join(anchors)}) )", " *")
+    # possessive quantifiers: the engine recurses for others, and a text may be anchors for pages
     spots = F.regexp_extract_all(
-        marked, F.lit(r"(?=( \*[^ ]+(?:(?: \*[^ ]+)* [^ *][^ ]*){%d} )) " % chain), F.lit(1))
+        marked, F.lit(r"(?=( \*[^ ]++(?:(?: \*[^ ]++)*+ [^ *][^ ]*+){%d}+ )) " % chain), F.lit(1))
     low = lambda c: F.xxhash64(c).bitwiseAND(F.lit(0xFFFFFFFF))
     found = F.transform(spots, lambda m: low(F.regexp_replace(m, r"(?<=[^ ]) \*[^ ]+", "")))
     return F.array_sort(F.array_distinct(F.when(F.size(spots) > 0, found).otherwise(F.array(low(F.concat(F.lit("*"), text))))))

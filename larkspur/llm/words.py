@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from larkspur.llm.common import LOWER_AZ
 
 #: texts are handled in blocks of about so many bytes; one text is never cut
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -52,20 +53,16 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(h), start, np.searchsorted(np.flatnonzero(buf == 10), start)
 
 
-def lowered(column: pa.Array) -> list[bytes]:
-    return [t.as_py().encode().translate(LOWER_AZ) for t in column]
-
-
-def blocks(raws: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BLOCK_BYTES together."""
-    first, size = 0, 0
-    for k, r in enumerate(raws):
-        size += len(r)
-        if size > BLOCK_BYTES:
-            yield first, k + 1
-            first, size = k + 1, 0
-    if first < len(raws):
-        yield first, len(raws)
+def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of texts of about BLOCK_BYTES together, and these texts with A-Z lower-cased."""
+    ends = np.cumsum(pa.compute.binary_length(column).to_numpy(zero_copy_only=False) if isinstance(column, pa.Array)
+                     else pa.compute.binary_length(column).to_numpy())
+    first = 0
+    while first < len(column):
+        start = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, start + BLOCK_BYTES, "right")))
+        yield first, last, [t.as_py().encode().translate(LOWER_AZ) for t in column.slice(first, last - first)]
+        first = last
 
 
 CHUNK = 1 << 14

@@ -122,6 +122,8 @@ def test_spotsigs(spark, odd):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
     cat = [r for r in rows if r["doc_id"] in (1, 2)]
     assert len({r["fingerprint"] for r in cat}) == 1
+    pages = spark.createDataFrame([(1, "the " * 200_000), (2, "of the sea, " * 50_000)], "doc_id bigint, text string")
+    assert fingerprint_edits(pages).count() == 2
     one = fingerprint_edits(odd.filter("doc_id = 7")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1
 
