@@ -229,7 +229,7 @@ def _endpoint_from_json(spark, sf):
     p = table(spark, sf, "pages")
     shape = F.col("page_id") % 3
     named = F.to_json(F.struct(F.lit("http://other").alias("zzz"), F.lit("no url").alias("endpoint"), "url"))
-    nested = F.to_json(F.struct(F.struct(F.array(F.concat("url", F.lit("#"))).alias("links")).alias("info")))
+    nested = F.to_json(F.struct(F.lit(1).alias("http://key/1"), F.struct(F.array(F.concat("url", F.lit("#"))).alias("links")).alias("info")))
     text = F.when(shape == 0, named).when(shape == 1, nested).otherwise(F.to_json(F.struct("page_id")))
     return p.select("page_id", first_url(text).alias("endpoint"))
 
@@ -606,20 +606,6 @@ def _class_weights(spark, sf):
     return training.class_weights(frames(spark, sf)).withColumn("weight", r6("weight"))
 
 
-@query("embed_frames", """
-SELECT doc_id, CAST(length(text) AS DOUBLE) AS chars,
-  CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS blanks FROM documents""")
-def _embed_frames(spark, sf):
-    def load():
-        return lambda texts: [(len(t), t.count(" ")) for t in texts]
-
-    rows = training.embed_frames(table(spark, sf, "documents"), load, "doc_id", "text")
-    return rows.select("doc_id", F.col("vector")[0].alias("chars"), F.col("vector")[1].alias("blanks"))
-
-
-# ---- the store, end to end --------------------------------------------------
-
-
 @query("publish_version", f"""WITH {SCORED},
 pub AS (SELECT 'real' AS part, label FROM scored WHERE origin = 'real'
   UNION ALL SELECT 'made', CASE WHEN accepted THEN label ELSE 'pending-review' END FROM gated

@@ -117,7 +117,7 @@ def _kpi_vs_target(spark, sf):
 
 @query("epoch_loss", f"""WITH {EVENTS}
 SELECT user_id, CAST(dayofmonth(ts) AS INTEGER) AS epoch, CAST(sum(k) AS BIGINT) AS samples,
-  round(sum(value * k) / greatest(sum(k), 1), 6) AS mean_loss FROM ev GROUP BY 1, 2""")
+  round(CAST(sum(CAST(value AS DECIMAL(24, 9)) * CAST(k AS DECIMAL(10, 0))) AS DOUBLE) / greatest(sum(k), 1), 6) AS mean_loss FROM ev GROUP BY 1, 2""")
 def _epoch_loss(spark, sf):
     rows = events(spark, sf).withColumn("epoch", F.dayofmonth("ts"))
     return evaluation.epoch_loss(rows, "epoch", "value", "k", ["user_id"]).withColumn("mean_loss", r6("mean_loss"))
@@ -126,12 +126,13 @@ def _epoch_loss(spark, sf):
 STATUS = """
 st AS (
   SELECT user_id AS task_id, event_id, ts, CASE event_type WHEN 'click' THEN 'queued' WHEN 'view' THEN 'running'
-    WHEN 'signup' THEN 'running' WHEN 'purchase' THEN 'completed' ELSE 'failed' END AS status FROM events)"""
+    WHEN 'signup' THEN CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'running' END WHEN 'purchase' THEN 'completed' ELSE 'failed' END AS status FROM events)"""
 
 
 def states(spark, sf):
     e = F.col("event_type")
-    status = (F.when(e == "click", "queued").when(e.isin("view", "signup"), "running")
+    status = (F.when(e == "click", "queued").when((e == "signup") & (F.col("event_id") % 3 == 0), F.lit(None))
+              .when(e.isin("view", "signup"), "running")
               .when(e == "purchase", "completed").otherwise("failed"))
     return table(spark, sf, "events").select(
         F.col("user_id").alias("task_id"), "event_id", "ts", status.alias("status"))
@@ -165,7 +166,7 @@ VERDICTS = PAIRS + """,
 replies AS (
   SELECT conv_id, turn, length(response) AS n, CASE length(response) % 5
     WHEN 0 THEN 'ok: {"present": true, "confidence": 0.' || (length(response) % 10) || ', "reason": "seen"} bye'
-    WHEN 1 THEN '{"present": false, "confidence": 0.9}'
+    WHEN 1 THEN CASE WHEN length(response) % 2 = 0 THEN '{"present": true, "confidence": "0.7"}' ELSE '{"present": true, "confidence": "high"}' END
     WHEN 2 THEN '{"present": "false", "confidence": 0.9}'
     WHEN 3 THEN response ELSE '{"present": true, "confidence": ' END AS text
   FROM pairs)"""
@@ -176,21 +177,22 @@ def replies(spark, sf):
     text = (
         F.when(n % 5 == 0, F.concat(F.lit('ok: {"present": true, "confidence": 0.'), (n % 10).cast("string"),
                                     F.lit(', "reason": "seen"} bye')))
-        .when(n % 5 == 1, '{"present": false, "confidence": 0.9}')
+        .when((n % 5 == 1) & (n % 2 == 0), '{"present": true, "confidence": "0.7"}')
+        .when(n % 5 == 1, '{"present": true, "confidence": "high"}')
         .when(n % 5 == 2, '{"present": "false", "confidence": 0.9}')
         .when(n % 5 == 3, F.col("response")).otherwise('{"present": true, "confidence": '))
     return pairs(spark, sf).select("conv_id", "turn", text.alias("text"))
 
 
 @query("judge_gate", f"""WITH {VERDICTS}
-SELECT conv_id, turn, n % 5 = 0 AS present, n % 5 IN (3, 4) AS error, n % 5 = 0 AND n % 10 >= 6 AS accepted FROM replies""")
+SELECT conv_id, turn, n % 5 = 0 OR n % 10 = 6 AS present, n % 5 IN (3, 4) OR n % 10 = 1 AS error, (n % 5 = 0 AND n % 10 >= 6) OR n % 10 = 6 AS accepted FROM replies""")
 def _judge_gate(spark, sf):
     return scoring.judge_gate(replies(spark, sf)).select("conv_id", "turn", "present", "error", "accepted")
 
 
 @query("parse_verdict", f"""WITH {VERDICTS}
-SELECT conv_id, turn, CASE n % 5 WHEN 0 THEN CAST('0.' || (n % 10) AS DOUBLE) WHEN 1 THEN 0.9::DOUBLE WHEN 2 THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
-  CASE n % 5 WHEN 0 THEN 'seen' WHEN 3 THEN 'no JSON in reply: ' || trim(substr(text, 1, 120), E' \\t\\n')
+SELECT conv_id, turn, CASE n % 5 WHEN 0 THEN CAST('0.' || (n % 10) AS DOUBLE) WHEN 1 THEN CASE WHEN n % 2 = 0 THEN 0.7::DOUBLE ELSE 0.0::DOUBLE END WHEN 2 THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
+  CASE n % 5 WHEN 0 THEN 'seen' WHEN 1 THEN CASE WHEN n % 2 = 0 THEN '' ELSE 'malformed JSON: ' || text END WHEN 3 THEN 'no JSON in reply: ' || trim(substr(text, 1, 120), E' \\t\\n')
     WHEN 4 THEN 'no JSON in reply: ' || trim(text, ' ') ELSE '' END AS reason FROM replies""")
 def _parse_verdict(spark, sf):
     return scoring.judge_gate(replies(spark, sf)).select("conv_id", "turn", "confidence", "reason")
@@ -236,7 +238,7 @@ def _render_chat(spark, sf):
 @query("truncate_tokens", r"""
 WITH t AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents)
 SELECT doc_id, len(w) AS n_tokens, len(w) > 512 AS truncated,
-  md5(CASE WHEN len(w) > 512 THEN array_to_string(w[1:512], ' ') ELSE text END) AS text_md5 FROM t""")
+  md5(CASE WHEN len(w) > 512 THEN regexp_extract(text, '^\s*(?:\S+\s+){511}\S+') ELSE text END) AS text_md5 FROM t""")
 def _truncate_tokens(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return training.truncate_tokens(docs, 512).select(

@@ -181,13 +181,6 @@ def _missing_required(spark, sf):
     return registry.missing_required(c.select(F.col("c_name").alias("name")), have.select(F.col("c_name").alias("name")))
 
 
-@query("nearest_names")
-def _nearest_names(spark, sf):
-    part = table(spark, sf, "part")
-    asked = part.select(F.concat(F.lower("p_type"), F.lit(" "), F.substring_index("p_name", " ", -1)).alias("name"))
-    return registry.nearest_names(asked, part.select(F.col("p_name").alias("name")))
-
-
 @query("queue_activity", """
 WITH recent AS (SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1000),
 n AS (SELECT c_nationkey, count(*) AS recent_tasks FROM recent JOIN customer ON o_custkey = c_custkey GROUP BY 1)

@@ -82,5 +82,5 @@ def first_url(json_text: Column) -> Column:
     named = [F.get_json_object(json_text, f"$.{k}") for k in URL_KEYS]
     named = [F.when(v.rlike("^https?://"), v) for v in named]
     anywhere = F.nullif(
-        F.regexp_extract(json_text, r'"(https?://[^"\s]+)"', 1), F.lit(""))
+        F.regexp_extract(json_text, r'"(https?://[^"\s]+)"(?!\s*:)', 1), F.lit(""))
     return F.coalesce(*named, anywhere)

@@ -110,7 +110,11 @@ def metric_resolution(scores: DataFrame, order: str, keys: Sequence[str] = (),
 
 def epoch_loss(points: DataFrame, epoch: str, loss: str, n: str,
                keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, epoch, samples, mean_loss): mean loss weighted by batch size."""
+    """(keys, epoch, samples, mean_loss): mean loss weighted by batch size.
+
+    Losses are summed exactly, to nine decimals, so the order of rows is no matter.
+    """
+    exact = F.col(loss).cast("decimal(24,9)") * F.col(n).cast("decimal(10,0)")
     return points.groupBy(*keys, epoch).agg(
         F.sum(n).alias("samples"),
-        (F.sum(F.col(loss) * F.col(n)) / F.greatest(F.sum(n), F.lit(1))).alias("mean_loss"))
+        (F.sum(exact).cast("double") / F.greatest(F.sum(n), F.lit(1))).alias("mean_loss"))

@@ -5,40 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.plans.tiles import best_by_cosine, pack_vectors, pair_blocks
+from larkspur.plans.tiles import best_by_cosine, grid_for, pack_vectors, pair_blocks
 
 DECIMALS = 9
 
 
+def _pairs(left: DataFrame, right: DataFrame, key: str, uid: str, vector: str, grid: tuple[int, int] | None) -> DataFrame:
+    """Block pairs of equal key; the grid follows from the sizes unless it is given."""
+    rows, cols = grid or grid_for(left.count(), right.count())
+    return pair_blocks(pack_vectors(left, key, uid, vector, "a", spread=rows),
+                       pack_vectors(right, key, uid, vector, "b", spread=cols), [key], rows, cols)
+
+
 def nn_score(candidates: DataFrame, references: DataFrame, label: str, uid: str, vector: str,
-             rows: int = 4, cols: int = 4) -> DataFrame:
+             grid: tuple[int, int] | None = None) -> DataFrame:
     """(uid, label, nn_score, nearest): each candidate's closest same-class example.
 
     The class is the join key, so classes never meet. A candidate whose class
-    has no example keeps a null score.
+    has no example keeps a null score. Ids may be of any type.
     """
-    pairs = pair_blocks(pack_vectors(candidates, label, uid, vector, "a"),
-                        pack_vectors(references, label, uid, vector, "b"), [label], rows, cols)
-    partial = best_by_cosine(pairs, "a", "b", 1, DECIMALS)
+    partial = best_by_cosine(_pairs(candidates, references, label, uid, vector, grid), "a", "b", 1, DECIMALS)
     everyone = candidates.select(
-        F.col(uid).cast("bigint").alias("left_id"), label,
-        F.lit(None).cast("bigint").alias("right_id"), F.lit(None).cast("double").alias("score"))
+        F.col(uid).alias("left_id"), label,
+        F.lit(None).cast(references.schema[uid].dataType).alias("right_id"), F.lit(None).cast("double").alias("score"))
     rows_ = everyone.unionByName(partial, allowMissingColumns=True)
-    order = F.struct("score", (-F.col("right_id")).alias("_neg"))
-    best = F.max(F.when(F.col("score").isNotNull(), order)).alias("_b")
+    order = F.struct((-F.col("score")).alias("_neg"), "right_id")
+    best = F.min(F.when(F.col("score").isNotNull(), order)).alias("_b")
     return (rows_.groupBy("left_id").agg(F.max(label).alias(label), best)
-            .select(F.col("left_id").alias(uid), label, F.col("_b.score").alias("nn_score"),
-                    (-F.col("_b._neg")).alias("nearest")))
+            .select(F.col("left_id").alias(uid), label, (-F.col("_b._neg")).alias("nn_score"),
+                    F.col("_b.right_id").alias("nearest")))
 
 
 def mine_similar(queries: DataFrame, pool: DataFrame, uid: str, vector: str, k: int = 5,
-                 rows: int = 4, cols: int = 4) -> DataFrame:
+                 grid: tuple[int, int] | None = None) -> DataFrame:
     """(query_id, rank, match_id, score): the k most similar pool rows per query."""
     one = F.lit(0)
-    pairs = pair_blocks(
-        pack_vectors(queries.withColumn("_all", one), "_all", uid, vector, "a"),
-        pack_vectors(pool.withColumn("_all", one), "_all", uid, vector, "b"),
-        ["_all"], rows, cols)
+    pairs = _pairs(queries.withColumn("_all", one), pool.withColumn("_all", one), "_all", uid, vector, grid)
     partial = best_by_cosine(pairs, "a", "b", k, DECIMALS, skip_self=True)
     w = Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id")
     return (partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -130,17 +129,17 @@ def render_chat(turns: DataFrame, keys: Sequence[str], turn: str = "turn",
 
 
 def truncate_tokens(texts: DataFrame, max_tokens: int, text: str = "text") -> DataFrame:
-    """Cut to the first `max_tokens` whitespace-separated tokens and say so.
+    """Cut to the first `max_tokens` whitespace-separated tokens and say so; the kept text is left as it is.
 
     Approximates a model tokenizer; the unit is words.
     """
-    tokens = F.filter(F.split(text, r"\s+"), lambda t: t != "")
-    return texts.withColumn("_t", tokens).withColumns({
-        "n_tokens": F.size("_t").cast("bigint"),
-        "truncated": F.size("_t") > max_tokens,
-        text: F.when(F.size("_t") > max_tokens,
-                     F.array_join(F.slice("_t", 1, max_tokens), " ")).otherwise(F.col(text)),
-    }).drop("_t")
+    n = F.regexp_count(F.col(text), F.lit(r"\S+"))
+    head = F.regexp_extract(F.col(text), r"^\s*+(?:\S++\s++){%d}+\S++" % (max_tokens - 1), 0)
+    return texts.withColumn("_n", n).withColumns({
+        "n_tokens": F.col("_n").cast("bigint"),
+        "truncated": F.col("_n") > max_tokens,
+        text: F.when(F.col("_n") > max_tokens, head).otherwise(F.col(text)),
+    }).drop("_n")
 
 
 def repeat_examples(texts: DataFrame, times: int) -> DataFrame:
@@ -168,27 +167,7 @@ def shuffle_shards(items: DataFrame, epoch: int, shards: int, uri: str = "uri")
     """
     order = F.md5(F.concat(F.lit(f"{epoch}:"), F.col(uri)))
     return (items.withColumns({"shard": shard_of(F.col(uri), epoch, shards), "_o": order})
-            .repartition(shards, "shard").sortWithinPartitions("shard", "_o").drop("_o"))
-
-
-def embed_frames(items: DataFrame, load: Callable[[], Callable[[list[str]], Sequence]],
-                 uid: str, content: str, batch: int = 16) -> DataFrame:
-    """(uid, vector): `load()` builds the embedder once per task, then batches.
-
-    The embedder maps a list of `batch` contents to as many vectors.
-    """
-    kind = items.schema[uid].dataType.simpleString()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        embed = load()
-        for pdf in frames:
-            texts, out = pdf["content"].tolist(), []
-            for i in range(0, len(texts), batch):
-                out.extend(embed(texts[i:i + batch]))
-            yield pd.DataFrame({"uid": pdf["uid"], "vector": [list(map(float, v)) for v in out]})
-
-    rows = items.select(F.col(uid).alias("uid"), F.col(content).alias("content"))
-    return rows.mapInPandas(run, f"uid {kind}, vector array<double>").withColumnRenamed("uid", uid)
+            .repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "_o").drop("_o"))
 
 
 def train_probe(items: DataFrame, vector: str = "vector", label: str = "label",
@@ -211,14 +190,15 @@ def train_probe(items: DataFrame, vector: str = "vector", label: str = "label",
     n = weighted.count()
     if n == 0:
         raise ValueError("no training rows")
-    indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc",
-                            handleInvalid="keep").fit(weighted)
+    indexer = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(weighted)
     names = indexer.labels
     fit = LogisticRegression(
         featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=max_iter,
         regParam=1.0 / (inverse_regularisation * n), standardization=False)
     back = IndexToString(inputCol="prediction", outputCol="pred", labels=names)
     model = Pipeline(stages=[fit, back]).fit(indexer.transform(weighted))
+    if len(names) > 1 and model.stages[0].numClasses != len(names):
+        raise ValueError(f"fitted {model.stages[0].numClasses} classes for {len(names)} labels")
     scored = model.transform(rows.where(F.col("split") == "holdout"))
     p = (F.get(vector_to_array("probability"), F.lit(names.index(clean)))
          if clean in names else F.lit(None).cast("double"))

@@ -1,16 +1,18 @@
 """Exact medians and exact per-group quotas that hold up under a hot group.
 
 The obvious forms - `median()` and `row_number() over (partition by group)` -
-bring a whole group into one task. Here a mergeable sketch only *brackets* the
-answer, a second pass counts exactly, and just the rows inside the bracket are
-ever sorted. Sketches may differ between runs; the results cannot, because
-everything returned is derived from exact counts, and a bracket that misses
-fails the job instead of returning a wrong row.
+bring a whole group into one task. Here there is one way for every size: a
+mergeable sketch proposes a bracket of values, an aggregate counts exactly what
+lies below and inside it, a bracket that misses is widened, one that holds too
+many rows is cut into bins of which the right ones stay, and only then are the
+values inside ranked - at most BRACKET_ROWS of a group, or one repeated value.
+Sketches may differ between runs; the results cannot, because everything that is
+returned is derived from exact counts.
 
 Per-group facts (one row per group) are written to shared storage as soon as
-they are known, so these functions run jobs when called. The planner then knows
-their true size: a small table is broadcast and the rows are never shuffled by
-a hot key, a large one still gets a skew-split join. Plans stay flat as well.
+they are known. The planner then knows their true size: a small table is
+broadcast and the rows are never shuffled by a hot key, a large one still gets a
+skew-split join. Plans stay flat as well.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 from larkspur.plans.shared import attach, cut
 
 ACCURACY = 10_000
-# Groups up to this many rows are ranked by a plain window in one task each.
-WINDOW_ROWS = 200_000
+# A bracket is ranked once no group has more rows than this in it.
+BRACKET_ROWS = 100_000
+BINS = 4096
 
 
 def _finite(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -34,17 +37,74 @@ def _group_window(keys: list[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def _bracket_counts(rows: DataFrame, keys: list[str], lo: Column, hi: Column,
-                    *carry: str) -> DataFrame:
-    """(keys, _side, _v, _n, _min, _max, carry): values outside [lo, hi] fold into
-    one row a side."""
-    side = (F.when(F.col("_v") < lo, -1).when(F.col("_v") > hi, 1).otherwise(0))
-    inside = F.when(F.col("_side") == 0, F.col("_x")).alias("_v")
-    return (rows.select(*keys, side.alias("_side"), F.col("_v").alias("_x"), *carry)
-            .select(*keys, "_side", inside, "_x", *carry)
-            .groupBy(*keys, "_side", "_v").agg(
-                F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-                *[F.max(c).alias(c) for c in carry]))
+def _measured(rows: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
+    """`bounds` plus exact counts below, inside and above the bracket, and the ends of all three."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    below, inside, above = v < lo, (v >= lo) & (v <= hi), v > hi
+    counts = attach(rows, bounds.select(*keys, "_lo", "_hi"), keys).groupBy(*keys).agg(
+        F.count_if(below).alias("_below"), F.count_if(inside).alias("_inside"),
+        F.count(F.lit(1)).alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        F.min(F.when(inside, v)).alias("_first_v"), F.max(F.when(inside, v)).alias("_last_v"))
+    if not keys:  # a scalar per column: one row, or none without values
+        return counts.where("n > 0").select(
+            "*", *[bounds.select(c).scalar().alias(c) for c in bounds.columns])
+    return attach(counts, bounds, keys)
+
+
+def _brackets(rows: DataFrame, keys: list[str], bounds: DataFrame, first: Column, last: Column,
+              bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+    """(keys, n, min, max, _below, _lo, _hi, carried, _a, _b): brackets that hold the ranks _a to _b.
+
+    `bounds` is (keys, _lo, _hi, carried...); `first` and `last` are the wanted
+    ranks, from 1, as expressions over n and the carried columns.
+    """
+    carried = [c for c in bounds.columns if c not in (*keys, "_lo", "_hi")]
+    while True:
+        found = cut(_measured(rows, bounds, keys).withColumns({"_a": first, "_b": last}))
+        # ranks that no row has (a quota of nothing, or of more than there is) ask for no bracket
+        asks = (F.col("_b") >= 1) & (F.col("_a") <= F.col("n"))
+        low = asks & (F.col("_a") <= F.col("_below"))
+        high = asks & (F.col("_b") > F.col("_below") + F.col("_inside"))
+        crowded = asks & (F.col("_inside") > bracket_rows) & (F.col("_first_v") < F.col("_last_v"))
+        state = found.agg(F.count_if(low | high).alias("missed"), F.count_if(crowded).alias("crowded")).collect()[0]
+        if not state["missed"] and not state["crowded"]:
+            return found
+        if state["missed"]:
+            bounds = found.select(
+                *keys, F.when(low, F.col("min")).otherwise(F.col("_lo")).alias("_lo"),
+                F.when(high, F.col("max")).otherwise(F.col("_hi")).alias("_hi"), *carried)
+        else:
+            bounds = _narrowed(rows, found, keys, carried)
+        bounds = cut(bounds)
+
+
+def _narrowed(rows: DataFrame, found: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
+    """Bounds cut down to the bins, of BINS over each bracket, that hold the wanted ranks."""
+    facts = found.select(*keys, "_first_v", "_last_v", "_below", "_a", "_b")
+    width = F.greatest(F.col("_last_v") - F.col("_first_v"), F.lit(5e-324))
+    bin_ = F.least(F.floor((F.col("_v") - F.col("_first_v")) / width * BINS), F.lit(BINS)).cast("int")
+    bins = (attach(rows, facts, keys)
+            .where((F.col("_v") >= F.col("_first_v")) & (F.col("_v") <= F.col("_last_v")))
+            .groupBy(*keys, bin_.alias("_bin")).agg(
+                F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")))
+    upto = F.sum("_n").over(_group_window(keys).orderBy("_bin")) + F.col("_below")
+    ranked = attach(bins, facts, keys).withColumn("_upto", upto)
+    holds = (F.col("_upto") >= F.col("_a")) & (F.col("_upto") - F.col("_n") < F.col("_b"))
+    right = ranked.where(holds).groupBy(*keys).agg(F.min("_min").alias("_new_lo"), F.max("_max").alias("_new_hi"))
+    if not keys:
+        right = right.where("_new_lo IS NOT NULL")
+    joined = attach(found, cut(right), keys, "left")
+    return joined.select(*keys, F.coalesce("_new_lo", "_lo").alias("_lo"),
+                         F.coalesce("_new_hi", "_hi").alias("_hi"), *carried)
+
+
+def _ranked_values(rows: DataFrame, found: DataFrame, keys: list[str], *carry: str) -> DataFrame:
+    """(keys, carry, _a, _b, _v, _n, _upto): values inside the brackets with the rows up to each."""
+    facts = found.select(*keys, "_lo", "_hi", "_below", "_a", "_b", *carry)
+    values = (attach(rows, facts, keys).where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")))
+    upto = F.sum("_n").over(_group_window(keys).orderBy("_v")) + F.col("_below")
+    return attach(values, facts, keys).withColumn("_upto", upto)
 
 
 def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
@@ -52,93 +112,80 @@ def group_medians(df: DataFrame, keys: list[str], value: str, out: str = "median
     return group_stats(df, keys, value).select(*keys, "n", F.col("median").alias(out))
 
 
-def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, n, min, median, max) over the non-null, non-NaN values, in two reads."""
+def group_stats(df: DataFrame, keys: list[str], value: str, bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+    """(keys, n, min, median, max) over the non-null, non-NaN values."""
     rows = _finite(df, keys, value)
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", [0.499, 0.501], ACCURACY).alias("_p"))
-    sketch = cut(sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi")))
-    counts = _bracket_counts(attach(rows, sketch, keys), keys, F.col("_lo"), F.col("_hi"))
-
-    w = _group_window(keys)
-    ranked = counts.withColumns({
-        "_upto": F.sum("_n").over(w.orderBy("_side", "_v")),
-        "_total": F.sum("_n").over(w)})
-    lower, upper = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank)
-        return F.max(F.when(hit, F.col("_v")))
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", [0.499, 0.501], ACCURACY).alias("_p"))
+    bounds = cut(sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi")))
+    found = _brackets(rows, keys, bounds, F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), bracket_rows)
+    ranked = _ranked_values(rows, found, keys, "n", "min", "max")
 
-    def known(c: str) -> Column:
-        miss = F.raise_error(F.lit("median bracket missed")).cast("double")
-        return F.when(F.col("n").isNotNull(), F.coalesce(F.col(c), miss))
+    def at(rank: str) -> Column:
+        hit = (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_n") < F.col(rank))
+        return F.max(F.when(hit, F.col("_v")))
 
-    stats = ranked.groupBy(*keys).agg(
-        F.max("_total").alias("n"), F.min("_min").alias("min"), F.max("_max").alias("max"),
-        at(lower).alias("_a"), at(upper).alias("_b"))
+    stats = ranked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("n", "min", "max")],
+                                      ((at("_a") + at("_b")) / 2).alias("median"))
     if not keys:
         stats = stats.where(F.col("n").isNotNull())
-    return stats.select(*keys, "n", "min", ((known("_a") + known("_b")) / 2).alias("median"), "max")
+    return stats.select(*keys, "n", "min", "median", "max")
 
 
-def _bounded(df: DataFrame, keys: list[str], limit: int) -> bool:
-    """Whether every group is small enough to be ranked by one task."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n").alias("n")).collect()[0]["n"]
-    return (largest or 0) <= limit
+_DIGITS = 4
 
 
-def mark_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-                uid: str, out: str = "taken", digits: int = 4,
-                window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Flag the first `quota` rows of every group in md5(uid) order.
+def hashed_cuts(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, uid: str) -> DataFrame:
+    """(keys, _cut): the last (md5(uid), uid) that a group's quota takes, in that order.
 
-    Small groups are ranked by a window. For larger ones, counting md5 prefixes finds the prefix where a group's quota runs out. Rows
-    elsewhere are decided by comparing prefixes; only rows of that one prefix
-    (1/16^digits of the group) are ranked. Groups without a quota take nothing.
+    Groups that fit whole get a cut above everything, groups that take nothing
+    none. Two rounds of counting hash prefixes leave the rows of one prefix, a
+    16^-8 part of a group, to be ranked.
     """
-    rows = df.withColumn("_h", F.md5(F.col(uid).cast("string"))).withColumn(
-        "_b", F.substring("_h", 1, digits))
-    columns = [*df.columns, out]
-    if _bounded(df, keys, window_rows):
-        rank = F.row_number().over(_group_window(keys).orderBy("_h", uid))
-        wanted = quotas.select(*keys, F.col(quota).alias("_q"))
-        ranked = attach(rows.withColumn("_rn", rank), wanted, keys, "left")
-        return ranked.withColumn(
-            out, F.coalesce(F.col("_rn") <= F.col("_q"), F.lit(False))).select(*columns)
-    counts = rows.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    running = counts.withColumn(
-        "_upto", F.sum("_n").over(_group_window(keys).orderBy("_b")))
-    wanted = quotas.select(*keys, F.col(quota).cast("bigint").alias("_q"))
-    edges = (attach(running, wanted, keys)
-             .groupBy(*keys, "_q").agg(F.min(F.when(F.col("_upto") >= F.col("_q"), F.struct(
-                 "_b", (F.col("_q") - F.col("_upto") + F.col("_n")).alias("room")))).alias("_e"))
-             # '~' sorts after every hex digit: the whole group fits
-             .select(*keys, F.coalesce("_e._b", F.lit("~")).alias("_edge"),
-                     F.coalesce("_e.room", F.lit(0)).alias("_room")))
-    marked = attach(rows, cut(edges), keys, "left")
-    on_edge = F.coalesce(F.col("_b") == F.col("_edge"), F.lit(False))
-    clear = marked.where(~on_edge).withColumn(
-        out, F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
-    w = Window.partitionBy(*keys, "_b").orderBy("_h", uid)
-    ranked = marked.where(on_edge).withColumn(out, F.row_number().over(w) <= F.col("_room"))
-    return clear.select(*columns).unionByName(ranked.select(*columns))
-
-
-def take_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-                uid: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    h = F.md5(F.col(uid).cast("string"))
+    rows = df.select(*keys, h.alias("_h"), F.col(uid).cast("string").alias("_u"))
+    facts = quotas.select(*keys, F.col(quota).cast("bigint").alias("_room"), F.lit("").alias("_head")).where("_room > 0")
+    whole = None
+    for step in (1, 2):
+        prefix = F.substring("_h", 1, step * _DIGITS)
+        counts = (attach(rows, facts, keys).where(F.col("_h").startswith(F.col("_head")))
+                  .groupBy(*keys, "_room", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n")))
+        counts = counts.withColumn("_upto", F.sum("_n").over(_group_window(keys).orderBy("_p")))
+        edge = F.min(F.when(F.col("_upto") >= F.col("_room"), F.struct(
+            "_p", (F.col("_room") - F.col("_upto") + F.col("_n")).alias("room")))).alias("_e")
+        edges = cut(counts.groupBy(*keys).agg(edge))
+        if step == 1:
+            whole = edges.where("_e IS NULL").select(*keys, F.struct(F.lit("~").alias("_h"), F.lit("").alias("_u")).alias("_cut"))
+        facts = edges.where("_e IS NOT NULL").select(*keys, F.col("_e.room").alias("_room"), F.col("_e._p").alias("_head"))
+    at_edge = attach(rows, facts, keys).where(F.col("_h").startswith(F.col("_head")))
+    rank = F.row_number().over(_group_window(keys).orderBy("_h", "_u"))
+    last = at_edge.withColumn("_rn", rank).where("_rn = _room").select(*keys, F.struct("_h", "_u").alias("_cut"))
+    return whole.unionByName(last)
+
+
+def mark_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, uid: str, out: str = "taken") -> DataFrame:
+    """Flag the first `quota` rows of every group in md5(uid) order; uids are distinct within a group.
+
+    Groups without a quota take nothing. Every row is decided by comparing it
+    with its group's cut.
+    """
+    cuts = cut(hashed_cuts(df, keys, quotas, quota, uid))
+    own = F.struct(F.md5(F.col(uid).cast("string")).alias("_h"), F.col(uid).cast("string").alias("_u"))
+    marked = attach(df, cuts, keys, "left")
+    return marked.withColumn(out, F.coalesce(own <= F.col("_cut"), F.lit(False))).select(*df.columns, out)
+
+
+def take_hashed(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, uid: str) -> DataFrame:
     """Exactly min(quota, size) rows of every group, chosen by md5(uid)."""
-    marked = mark_hashed(df, keys, quotas, quota, uid, "_taken", window_rows=window_rows)
-    return marked.where("_taken").drop("_taken")
+    return mark_hashed(df, keys, quotas, quota, uid, "_taken").where("_taken").drop("_taken")
 
 
-def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-                  score: str, grid: int = 200) -> DataFrame:
+def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, score: str,
+                  grid: int = 200, bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """(keys, cutoff, need, ties): the exact score at which each quota fills.
 
-    Rows above `cutoff` all fit; `need` of the `ties` rows equal to it do. A
-    null cutoff means the whole group fits.
+    Rows above `cutoff` all fit; `need` of the `ties` rows equal to it do. The
+    cutoff is the least score where the whole group fits, infinite for a quota
+    of nothing.
     """
     rows = _finite(df, keys, score)
     shares = ", ".join(f"{i / grid}D" for i in range(grid + 1))
@@ -146,54 +193,40 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
         F.count(F.lit(1)).alias("_total"),
         F.expr(f"percentile_approx(_v, array({shares}), {ACCURACY})").alias("_cuts"))
     wanted = quotas.select(*keys, F.col(quota).cast("bigint").alias("_q"))
-    sketch = attach(sketch, wanted, keys).withColumn(
-        "_q", F.least("_q", "_total"))
+    sketch = attach(sketch, wanted, keys).withColumn("_q", F.least("_q", "_total"))
     # The quota-th largest is the (total - quota + 1)-th smallest.
     share = (F.col("_total") - F.col("_q") + 1) / F.col("_total") * grid
-    lo = F.get("_cuts", (F.floor(share) - 2).cast("int"))
-    hi = F.get("_cuts", (F.ceil(share) + 2).cast("int"))
-    bounds = cut(sketch.select(
-        *keys, "_q",
-        F.coalesce(lo, F.lit(float("-inf"))).alias("_lo"),
-        F.coalesce(hi, F.lit(float("inf"))).alias("_hi")))
-    counts = _bracket_counts(
-        attach(rows, bounds, keys), keys, F.col("_lo"), F.col("_hi"), "_q")
-    down = _group_window(keys).orderBy(F.desc("_side"), F.desc("_v"))
-    ranked = counts.withColumn("_upto", F.sum("_n").over(down))
-    hit = (F.col("_upto") >= F.col("_q")) & (F.col("_upto") - F.col("_n") < F.col("_q"))
-    found = F.max(F.when(hit, F.struct(
-        F.col("_v").alias("v"), (F.col("_q") - F.col("_upto") + F.col("_n")).alias("need"),
-        F.col("_n").alias("ties"))))
-    return ranked.groupBy(*keys, "_q").agg(found.alias("_f")).select(
-        *keys,
-        F.when(F.col("_q") <= 0, F.lit(float("inf")))
-        .otherwise(F.coalesce(F.col("_f.v"), F.raise_error(
-            F.lit("quota bracket missed")).cast("double"))).alias("cutoff"),
-        F.coalesce("_f.need", F.lit(0)).alias("need"),
-        F.coalesce("_f.ties", F.lit(0)).alias("ties"))
-
-
-def take_top(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
-             score: str, uid: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    lo = F.get("_cuts", F.greatest(F.floor(share) - 1, F.lit(0)).cast("int"))
+    hi = F.get("_cuts", F.least(F.ceil(share) + 1, F.lit(grid)).cast("int"))
+    bounds = cut(sketch.select(*keys, "_q", lo.alias("_lo"), hi.alias("_hi")))
+    rank = F.col("n") - F.col("_q") + 1
+    found = _brackets(rows, keys, bounds, rank, rank, bracket_rows)
+    ranked = _ranked_values(rows, found.where("_q > 0"), keys, "_q", "n")
+    hit = (F.col("_upto") >= F.col("_a")) & (F.col("_upto") - F.col("_n") < F.col("_a"))
+    at = ranked.where(hit).select(
+        *keys, F.col("_v").alias("cutoff"),
+        (F.col("_upto") - F.col("_a") + 1).alias("need"), F.col("_n").alias("ties"))
+    nothing = found.where("_q <= 0").select(
+        *keys, F.lit(float("inf")).alias("cutoff"), F.lit(0).cast("bigint").alias("need"), F.lit(0).cast("bigint").alias("ties"))
+    return at.unionByName(nothing)
+
+
+def take_top(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, score: str, uid: str,
+             bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """The `quota` highest-scored rows of every group; ties in md5(uid) order.
 
     Rows without a usable score are never taken.
     """
     df = df.where(F.col(score).isNotNull() & ~F.isnan(score))
-    if _bounded(df, keys, window_rows):
-        h = F.md5(F.col(uid).cast("string"))
-        rank = F.row_number().over(_group_window(keys).orderBy(F.desc(score), h, uid))
-        wanted = quotas.select(*keys, F.col(quota).alias("_q"))
-        ranked = attach(df.withColumn("_rn", rank), wanted, keys)
-        return ranked.where(F.col("_rn") <= F.col("_q")).select(*df.columns)
-    cutoffs = cut(quota_cutoffs(df, keys, quotas, quota, score))
-    marked = attach(df, cutoffs, keys)
     s = F.col(score)
-    above = marked.where((s > F.col("cutoff"))
-                         | ((s == F.col("cutoff")) & (F.col("need") >= F.col("ties"))))
-    tied = marked.where((s == F.col("cutoff")) & (F.col("need") < F.col("ties"))).select(*df.columns)
-    some = take_hashed(tied, keys, cutoffs, "need", uid, window_rows)
-    return above.select(*df.columns).unionByName(some)
+    cutoffs = cut(quota_cutoffs(df, keys, quotas, quota, score, bracket_rows=bracket_rows))
+    short = cutoffs.where(F.col("need") < F.col("ties"))
+    tied = attach(df, short, keys).where(s == F.col("cutoff"))
+    ties = hashed_cuts(tied.select(*df.columns), keys, short, "need", uid)
+    facts = attach(cutoffs, cut(ties), keys, "left")
+    own = F.struct(F.md5(F.col(uid).cast("string")).alias("_h"), F.col(uid).cast("string").alias("_u"))
+    fits = (s > F.col("cutoff")) | ((s == F.col("cutoff")) & ((F.col("need") >= F.col("ties")) | (own <= F.col("_cut"))))
+    return attach(df, cut(facts), keys).where(fits).select(*df.columns)
 
 
 def previous_value(df: DataFrame, key: str, order: list[str], value: str,
@@ -202,14 +235,15 @@ def previous_value(df: DataFrame, key: str, order: list[str], value: str,
 
     The key is split into order-preserving `bucket`s, each its own window. The
     first row of a bucket takes the last value of the bucket before it, found
-    on the (key, bucket) summary. Values are assumed not null.
+    on the (key, bucket) summary. Null values are carried like any other.
     """
     rows = df.withColumn("_bucket", bucket)
     local = Window.partitionBy(key, "_bucket").orderBy(*order)
     tails = rows.groupBy(key, "_bucket").agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_tail"))
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_tail"))
     carried = tails.withColumn("_carry", F.lag("_tail").over(
         Window.partitionBy(key).orderBy("_bucket"))).drop("_tail")
-    lagged = rows.withColumn(out, F.lag(value).over(local))
+    # a struct tells a predecessor without a value from no predecessor in this bucket
+    lagged = rows.withColumn("_own", F.lag(F.struct(F.col(value).alias("v"))).over(local))
     joined = attach(lagged, carried, [key, "_bucket"], "left")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_bucket", "_carry")
+    return joined.withColumn(out, F.coalesce(F.col("_own"), F.col("_carry"))["v"]).drop("_bucket", "_carry", "_own")

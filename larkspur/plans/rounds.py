@@ -7,7 +7,7 @@ summaries reach the driver; row-level results go through tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur import schemas
@@ -45,10 +45,11 @@ def draw_candidates(pool: DataFrame, allocation: DataFrame, seed: str, attempts:
         "defect_type", "asked", (F.col("asked") * attempts).alias("_draws"))
     rows = pool.withColumn("_uid", F.concat(F.lit(f"{seed}:"), F.col("uri")))
     drawn = take_hashed(rows, ["defect_type"], wanted, "_draws", "_uid")
-    h = F.conv(F.substring(F.md5("_uid"), 9, 8), 16, 10).cast("bigint")
-    slotted = drawn.join(wanted.select("defect_type", "asked"), "defect_type").withColumn(
-        "slot", F.concat_ws("#", "defect_type", F.pmod(h, F.col("asked")).cast("string")))
-    return slotted.withColumn("attempt", h).drop("_uid", "asked")
+    # what is drawn of a type is asked x attempts rows, a budget's worth, so ranking it is bounded
+    turn = F.row_number().over(Window.partitionBy("defect_type").orderBy(F.md5("_uid"), "_uid")) - 1
+    slotted = drawn.join(wanted.select("defect_type", "asked"), "defect_type").withColumn("attempt", turn.cast("bigint"))
+    return slotted.withColumn("slot", F.concat_ws(
+        "#", "defect_type", F.pmod("attempt", "asked").cast("string"))).drop("_uid", "asked")
 
 
 def run_rounds(store: VersionStore, dataset: str, real: DataFrame, pool: DataFrame,

@@ -2,34 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.session import own_shared_folder
+
 _CONF = "spark.checkpoint.dir"
-_local: dict[str, str] = {}  # fallback folder per local application
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the session.
+    """The shared folder: spark.checkpoint.dir, else the context's checkpoint directory.
 
-    A cluster has to name one; only a local master falls back to a temporary
-    folder, which is what tests use.
+    A cluster has to name one of them. Only a session on a local master that names
+    none gets a folder of its own.
     """
     found = spark.conf.get(_CONF, None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CONF} to a folder every executor can reach")
-        app = spark.sparkContext.applicationId
-        found = _local.get(app) or _local.setdefault(app, tempfile.mkdtemp(prefix="larkspur-"))
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found = own.get() if own.isDefined() else None
+    if not found:
+        found = own_shared_folder(spark)
     return found.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, what was written to scratch paths inside. Consume results before.
+
+        with scratch_scope(spark):
+            take_top(...).write.parquet(target)
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _scopes.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -22,9 +22,14 @@ BLOCK = 256
 
 
 def pack_vectors(df: DataFrame, key: str, uid: str, vector: str, prefix: str,
-                 block: int = BLOCK) -> DataFrame:
-    """(key, <prefix>_ids, <prefix>_matrix): unit vectors, ids ascending."""
-    rows = df.select(F.col(key).alias("key"), F.col(uid).cast("bigint").alias("uid"),
+                 block: int = BLOCK, spread: int = 0) -> DataFrame:
+    """(key, <prefix>_ids, <prefix>_matrix): unit vectors, ids ascending.
+
+    With `spread`, rows of a key are first brought together in that many places,
+    so that many small classes do not make many tiny blocks.
+    """
+    rows = df.repartition(F.col(key), F.pmod(F.xxhash64(uid), F.lit(spread))).sortWithinPartitions(key) if spread else df
+    rows = rows.select(F.col(key).alias("key"), F.col(uid).alias("uid"),
                      F.col(vector).alias("vec"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,24 +46,12 @@ def pack_vectors(df: DataFrame, key: str, uid: str, vector: str, prefix: str,
                     out["matrix"].append(m[i:i + block].tobytes())
             yield pd.DataFrame(out)
 
-    kind = rows.schema["key"].dataType.simpleString()
-    packed = rows.mapInPandas(pack, f"key {kind}, ids array<bigint>, matrix binary")
+    kind, id_kind = (rows.schema[c].dataType.simpleString() for c in ("key", "uid"))
+    packed = rows.mapInPandas(pack, f"key {kind}, ids array<{id_kind}>, matrix binary")
     return packed.select(F.col("key").alias(key), F.col("ids").alias(f"{prefix}_ids"),
                          F.col("matrix").alias(f"{prefix}_matrix"))
 
 
-def pack_names(df: DataFrame, name: str, out: str, block: int = BLOCK) -> DataFrame:
-    """(out): arrays of at most `block` names."""
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            names = pdf["name"].tolist()
-            yield pd.DataFrame({"names": [names[i:i + block]
-                                          for i in range(0, len(names), block)]})
-
-    rows = df.select(F.col(name).alias("name"))
-    return rows.mapInPandas(pack, "names array<string>").select(F.col("names").alias(out))
-
-
 def pair_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str],
                 rows: int = 4, cols: int = 4) -> DataFrame:
     """Join every left block with every right block of the same `keys`."""
@@ -73,28 +66,54 @@ def pair_blocks(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return a.join(b, [*keys, "_row", "_col"]).drop("_row", "_col")
 
 
+def grid_for(left: int, right: int, block: int = BLOCK, cell_blocks: int = 64) -> tuple[int, int]:
+    """Rows and columns of a grid for so many rows a side: a cell meets `cell_blocks` by `cell_blocks` blocks at most.
+
+    Never under 4 by 4; it grows with both sides, so that a larger input has more cells, not larger ones.
+    """
+    return tuple(max(4, -(-n // (block * cell_blocks))) for n in (left, right))
+
+
 def best_by_cosine(pairs: DataFrame, left: str, right: str, k: int, decimals: int,
                    skip_self: bool = False) -> DataFrame:
-    """(left_id, right_id, score): up to `k` best right rows per left row and pair.
+    """(left_id, right_id, score): up to `k` best right rows per left row and grid cell.
 
+    Block pairs come sorted by left block, whose best so far are kept while its
+    partners pass, so what leaves a task is rows x k, not rows x pairs x k.
     Scores are rounded before they are compared, so that the position of a
     vector inside its block cannot decide a tie; ties go to the smaller id.
     """
+    def best(ids: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(ids, axis=1, kind="stable")
+        ids, sims = np.take_along_axis(ids, order, axis=1), np.take_along_axis(sims, order, axis=1)
+        top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+        return np.take_along_axis(ids, top, axis=1), np.take_along_axis(sims, top, axis=1)
+
+    def told(a_ids, ids, sims) -> pd.DataFrame:
+        out = pd.DataFrame({"left_id": np.repeat(a_ids, ids.shape[1]), "right_id": ids.ravel(), "score": sims.ravel()})
+        return out[np.isfinite(out["score"])]
+
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = ids = sims = None
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 a_ids, b_ids = np.asarray(row[0]), np.asarray(row[2])
                 a = np.frombuffer(row[1]).reshape(len(a_ids), -1)
                 b = np.frombuffer(row[3]).reshape(len(b_ids), -1)
-                sims = np.round(a @ b.T, decimals)
+                s = np.round(a @ b.T, decimals)
                 if skip_self:
-                    sims[a_ids[:, None] == b_ids[None, :]] = -np.inf
-                top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                score = np.take_along_axis(sims, top, axis=1).ravel()
-                out = pd.DataFrame({"left_id": np.repeat(a_ids, top.shape[1]),
-                                    "right_id": b_ids[top].ravel(), "score": score})
-                yield out[np.isfinite(score)]
-
+                    s[a_ids[:, None] == b_ids[None, :]] = -np.inf
+                new = best(np.broadcast_to(b_ids, s.shape), s)
+                if own is not None and np.array_equal(own, a_ids):
+                    ids, sims = best(np.hstack([ids, new[0]]), np.hstack([sims, new[1]]))
+                    continue
+                if own is not None:
+                    yield told(own, ids, sims)
+                own, (ids, sims) = a_ids, new
+        if own is not None:
+            yield told(own, ids, sims)
+
+    id_kinds = [pairs.schema[f"{s}_ids"].dataType.elementType.simpleString() for s in (left, right)]
     columns = [f"{left}_ids", f"{left}_matrix", f"{right}_ids", f"{right}_matrix"]
-    return pairs.select(*columns).mapInPandas(
-        kernel, StructType.fromDDL("left_id bigint, right_id bigint, score double"))
+    return pairs.select(*columns).sortWithinPartitions(F.xxhash64(f"{left}_ids")).mapInPandas(
+        kernel, StructType.fromDDL(f"left_id {id_kinds[0]}, right_id {id_kinds[1]}, score double"))

@@ -60,7 +60,10 @@ def ancestry(versions: DataFrame) -> DataFrame:
             .select("version_id", F.col("parent_id").alias("via"))
             .join(known, "via"))
     covered, jump, distance = cut(own), cut(jump.select("version_id", "via")), 1
+    most = versions.count()
     while not jump.isEmpty():
+        if distance > most:
+            raise ValueError("the parents of some versions form a cycle")
         hop = covered.withColumnRenamed("version_id", "via")
         further = jump.join(hop, "via").select(
             "version_id", "ancestor", (F.col("depth") + distance).alias("depth"))

@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
 
+def own_shared_folder(spark: SparkSession) -> str:
+    """For a local master without a shared folder: a folder of this machine, which is all there is.
+
+    On a cluster there is no such choice, and none is made.
+    """
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="larkspur-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g") -> SparkSession:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur import schemas
@@ -15,48 +15,41 @@ MANIFEST_COLUMNS = [
 SCORE_COLUMNS = ["path", "anomaly_type", "nn_score", "sample_index", "index"]
 
 
-def _read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, in header order; files with another header fail.
-
-    The first pass only looks at one header line to learn the order.
-    """
-    options = dict(header=True, multiLine=True, escape='"')
-    names = spark.read.options(**options).csv(path).columns
-    ddl = ", ".join(f"`{n}` string" for n in names)
-    return (spark.read.schema(ddl).options(**options).option("enforceSchema", False)
-            .csv(path))
+#: the widest header that is read
+MOST_COLUMNS = 64
 
 
-def _with_columns(df: DataFrame, names: list[str], absent: dict[str, str]) -> DataFrame:
-    have = set(df.columns)
-    return df.select(
-        F.get(F.reverse(F.split("_metadata.file_path", "/")), F.lit(1)).alias("run_id"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_mid"),
-        *[(F.col(n) if n in have else F.lit(absent.get(n)).cast("string")).alias(n)
-          for n in names])
+def _read_by_header(spark: SparkSession, path: str, names: list[str], absent: dict[str, str]) -> DataFrame:
+    """(run_id, _file, ordinal, *names) as text: every file is read by its own header.
 
+    A column that a file lacks gets its value in `absent`, null by default, for
+    that file only. A multi-line CSV file is one task, so its rows have
+    consecutive ids: the smallest is the header, and the distance to it is the row number.
+    """
+    cells = [f"_c{i}" for i in range(MOST_COLUMNS)]
+    raw = (spark.read.schema(", ".join(f"{c} string" for c in cells))
+           .options(header=False, multiLine=True, escape='"').csv(path))
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"),
+                      F.array(*cells).alias("_cells"))
+    heads = rows.groupBy("_file").agg(F.min(F.struct("_id", "_cells")).alias("_head"))
+    joined = attach(rows, heads, ["_file"]).where(F.col("_id") > F.col("_head._id"))
+    run = F.get(F.reverse(F.split("_file", "/")), F.lit(1)).alias("run_id")
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per generated item; an absent guardrail column counts as passed."""
-    return _with_columns(_read_text_csv(spark, path), MANIFEST_COLUMNS,
-                         {"guardrail_pass": "1"}).drop("_file", "_mid")
+    def cell(name: str) -> Column:
+        at = F.array_position("_head._cells", name).cast("int")
+        return F.when(at > 0, F.get("_cells", at - 1)).otherwise(F.lit(absent.get(name)).cast("string")).alias(name)
 
+    return joined.select(run, "_file", (F.col("_id") - F.col("_head._id") - 1).alias("ordinal"), *map(cell, names))
 
-def _ordinals(rows: DataFrame) -> DataFrame:
-    """0-based row number inside each file.
 
-    A multi-line CSV file is one split, so its rows have consecutive ids and
-    the ordinal is the distance to the file's smallest id: no sort needed.
-    """
-    first = rows.groupBy("_file").agg(F.min("_mid").alias("_first"))
-    return attach(rows, first, ["_file"]).withColumn(
-        "ordinal", F.col("_mid") - F.col("_first")).drop("_first", "_mid", "_file")
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per generated item; an absent guardrail column counts as passed, file by file."""
+    return _read_by_header(spark, path, MANIFEST_COLUMNS, {"guardrail_pass": "1"}).drop("_file", "ordinal")
 
 
 def score_rows(spark: SparkSession, path: str) -> DataFrame:
     """(run_id, path, base, anomaly_type, key, ordinal, nn_score), nothing dropped."""
-    rows = _ordinals(_with_columns(_read_text_csv(spark, path), SCORE_COLUMNS, {}))
+    rows = _read_by_header(spark, path, SCORE_COLUMNS, {})
     given = F.coalesce(F.nullif("sample_index", F.lit("")), F.nullif("index", F.lit("")))
     return rows.select(
         "run_id", "path", basename(F.col("path")).alias("base"), "anomaly_type",
@@ -76,13 +69,14 @@ def read_scores(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
 
 
 def read_search_summary(spark: SparkSession, path: str) -> DataFrame:
-    return _with_columns(_read_text_csv(spark, path), ["best_round"], {}).drop("_file", "_mid")
+    return _read_by_header(spark, path, ["best_round"], {}).drop("_file", "ordinal")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     """Distinct defect types with the position of their first appearance."""
     rows = (spark.read.schema(schemas.DEFECT_SPEC).option("mode", "DROPMALFORMED").json(path)
-            .select("defect_type", F.monotonically_increasing_id().alias("ord")))
+            .select("defect_type", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                            F.monotonically_increasing_id()).alias("ord")))
     return catalog(rows)
 
 

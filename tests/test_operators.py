@@ -1,4 +1,3 @@
-import difflib
 import statistics
 
 import numpy as np
@@ -123,13 +122,13 @@ def test_nearest_by_cosine_matches_brute_force(spark, grid):
     c = spark.createDataFrame(cand, ddl).repartition(4)
     r = spark.createDataFrame(refs, ddl).repartition(3)
     unit = lambda v: np.asarray(v, dtype=np.float32).astype(float) / np.linalg.norm(np.asarray(v, dtype=np.float32).astype(float))
-    got = {x["uid"]: x for x in similarity.nn_score(c, r, "label", "uid", "v", *grid).collect()}
+    got = {x["uid"]: x for x in similarity.nn_score(c, r, "label", "uid", "v", grid).collect()}
     assert len(got) == len(cand) and got[999]["nn_score"] is None
     for uid, label, v in cand[:-1]:
         sims = [(round(float(unit(v) @ unit(w)), 9), -rid) for rid, lab, w in refs if lab == label]
         best = max(sims)
         assert got[uid]["nn_score"] == pytest.approx(best[0], abs=2e-9)
-    near = similarity.mine_similar(c, r, "uid", "v", 4, *grid).where("query_id = 7").orderBy("rank").collect()
+    near = similarity.mine_similar(c, r, "uid", "v", 4, grid).where("query_id = 7").orderBy("rank").collect()
     v = cand[7][2]
     want = sorted(((-round(float(unit(v) @ unit(w)), 9), rid) for rid, _, w in refs))[:4]
     assert [x["match_id"] for x in near] == [rid for _, rid in want]
@@ -203,21 +202,6 @@ def test_probe_separates_two_classes(spark):
     assert kpi["overkill"] == 0.0 and kpi["n_clean"] == 12
 
 
-def test_embed_in_batches(spark):
-    seen = spark.sparkContext.accumulator(0)
-
-    def load():
-        def embed(batch):
-            assert len(batch) <= 3
-            seen.add(1)
-            return [[len(t)] for t in batch]
-        return embed
-
-    df = spark.createDataFrame([(i, "x" * i) for i in range(10)], "uid int, text string").coalesce(1)
-    assert rows(training.embed_frames(df, load, "uid", "text", 3)) == [(i, [float(i)]) for i in range(10)]
-    assert seen.value == 4
-
-
 # ---- evaluation -------------------------------------------------------------
 
 def test_class_report_and_accuracy(spark):
@@ -300,18 +284,6 @@ def test_tags_tasks_and_names(spark):
     assert rows(registry.latest_task(tasks, "^[nmk]$", "mine"), "name", "task_id") == [("m", 3), ("n", 1)]
 
 
-def test_nearest_names_match_the_standard_library(spark):
-    known = [f"{a}-{b}" for a in ("train", "infer", "batch") for b in ("gpu", "cpu", "0.5xgpu", "x")] + ["zzz"]
-    asked = ["train-gpx", "trian-cpu", "nothing", "batch", "zz"]
-    u = spark.createDataFrame([(x,) for x in asked], "name string").repartition(3)
-    k = spark.createDataFrame([(x,) for x in known], "name string").repartition(4)
-    got = {}
-    for r in registry.nearest_names(u, k).orderBy("name", "rank").collect():
-        got.setdefault(r["name"], []).append(r["candidate"])
-    want = {x: difflib.get_close_matches(x, known, 4, 0.5) for x in asked}
-    assert got == {x: c for x, c in want.items() if c}
-
-
 def test_checks(spark):
     sizes = spark.createDataFrame([(1, 103), (2, 103), (3, 120)], "round int, size int")
     assert rows(checks.growth_check(sizes, "round", "size"), "round", "grew") == [(1, None), (2, False), (3, True)]

@@ -134,3 +134,13 @@ def test_reports(spark, tmp_path):
     t = spark.createDataFrame([("a", 1)], "label string, n int")
     reports.write_reports({"labels": t}, str(tmp_path / "rep"), "csv")
     assert rows(spark.read.option("header", True).csv(str(tmp_path / "rep" / "labels"))) == [("a", "1")]
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    put(tmp_path / "r1" / "m.csv", "output_filename,anomaly_type,guardrail_pass\na.png,IC+b,0\n")
+    put(tmp_path / "r2" / "m.csv", "anomaly_type,seed,output_filename\nIC+c,7,b.png\n")
+    got = rows(manifests.read_manifest(spark, str(tmp_path / "*" / "m.csv")), "run_id", "output_filename", "seed", "guardrail_pass")
+    assert got == [("r1", "a.png", None, "0"), ("r2", "b.png", "7", "1")]
+    put(tmp_path / "s1" / "p.csv", "path,nn_score\na,0.5\n")
+    put(tmp_path / "s2" / "p.csv", "path,sample_index,nn_score\na,9,0.7\n")
+    assert rows(manifests.read_scores(spark, str(tmp_path / "s*" / "p.csv"))) == [("s1", 0, 0.5), ("s2", 9, 0.7)]
