@@ -12,7 +12,7 @@ from larkspur.plans.order_stats import group_medians, take_hashed
 from larkspur.plans.shared import cut
 
 PROMPT = "close-up photograph of a part with a {label} fault"
-SPACE = {"rank": [8, 16, 32], "rate": [0.0001, 0.0002, 0.0003]}
+SPACE = {"rank": [4, 12, 24], "rate": [0.002, 0.005, 0.01]}
 
 
 def best(spark, sf):
@@ -180,7 +180,7 @@ def _budget_map(spark, sf):
 
 @query("hpo_grid", """
 WITH v AS (SELECT r.rank, t.rate, (r.i - 1) * 3 + t.i - 1 AS trial FROM
-  (SELECT unnest([8, 16, 32]) AS rank, unnest([1, 2, 3]) AS i) r, (SELECT unnest([0.0001, 0.0002, 0.0003]::DOUBLE[]) AS rate, unnest([1, 2, 3]) AS i) t)
+  (SELECT unnest([4, 12, 24]) AS rank, unnest([1, 2, 3]) AS i) r, (SELECT unnest([0.002, 0.005, 0.01]::DOUBLE[]) AS rate, unnest([1, 2, 3]) AS i) t)
 SELECT c_custkey, CAST(trial AS INTEGER) AS trial, rank, rate FROM customer, v WHERE trial < c_custkey % 11""")
 def _hpo_grid(spark, sf):
     studies = table(spark, sf, "customer").select("c_custkey")

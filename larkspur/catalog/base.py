@@ -162,17 +162,18 @@ ev AS (
     CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS vt FROM events),
 logs AS (
   SELECT *, CASE event_type
-      WHEN 'click' THEN 'FAR=' || vt || '% threshold=0.' || k
-      WHEN 'view' THEN 'FAR ' || vt || '% -> ' || k || '.5% (target <0.5%)'
-      WHEN 'purchase' THEN 'SDG: requested=' || k || ', AMP-allocated=8, generated: ' || vt || ' by type'
-      WHEN 'error' THEN 'loss=' || vt || ' far ' || k || '% far=12% epochs : ' || k
-      ELSE 'Recall ' || k || '% accuracy=' || vt || ' -> 0.' || k || ' noise=3 loss' END AS summary,
+      WHEN 'click' THEN 'pass over, far : ' || vt || '% with Threshold = 0.' || k
+      WHEN 'view' THEN 'after tuning Far ' || vt || '% --> ' || k || '.25%, limit below 2%'
+      WHEN 'purchase' THEN 'batch closed; requested:' || k || ' granted=9 generated= ' || vt || ' in all'
+      WHEN 'error' THEN 'stopped at loss=' || vt || ', far ' || k || '% then far=15% in epochs : ' || k
+      ELSE 'Recall ' || k || '% and accuracy=' || vt || ' -> 0.' || k || ' at noise=4, no loss' END AS summary,
     CASE event_type WHEN 'click' THEN 'baseline' WHEN 'view' THEN 'iter' || (k % 7)
       WHEN 'purchase' THEN 'iter1-try' || (k % 3) WHEN 'error' THEN 'final' END AS iter,
     CASE WHEN event_type = 'error' THEN NULL ELSE value END AS duration_sec,
     CASE WHEN event_type <> 'view' THEN CAST(k AS DOUBLE) END AS tok_in,
     CAST(k * 2 AS DOUBLE) AS tok_out
   FROM ev),
+-- fixed values: the number patterns and the names below are the language that is read
 matches AS (
   SELECT event_id, 0 AS kind, unnest(regexp_extract_all(summary, '([A-Za-z][A-Za-z0-9_\-]*)\s*[=:]\s*(-?[0-9]+(?:\.[0-9]+)?)\s*(%?)(?:\s*%?\s*-+>\s*(-?[0-9]+(?:\.[0-9]+)?))?', 1)) AS nm,
     unnest(regexp_extract_all(summary, '([A-Za-z][A-Za-z0-9_\-]*)\s*[=:]\s*(-?[0-9]+(?:\.[0-9]+)?)\s*(%?)(?:\s*%?\s*-+>\s*(-?[0-9]+(?:\.[0-9]+)?))?', 2)) AS v,
@@ -206,13 +207,13 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 def logs(ev: DataFrame) -> DataFrame:
     """Loop log shape plus `event_id` and friends; works on streams and tables."""
     k, v, kind = F.col("k").cast("string"), F.col("vt"), F.col("event_type")
-    rest = F.format_string("Recall %s%% accuracy=%s -> 0.%s noise=3 loss", k, v, k)
+    rest = F.format_string("Recall %s%% and accuracy=%s -> 0.%s at noise=4, no loss", k, v, k)
     summary = (
-        F.when(kind == "click", F.format_string("FAR=%s%% threshold=0.%s", v, k))
-        .when(kind == "view", F.format_string("FAR %s%% -> %s.5%% (target <0.5%%)", v, k))
+        F.when(kind == "click", F.format_string("pass over, far : %s%% with Threshold = 0.%s", v, k))
+        .when(kind == "view", F.format_string("after tuning Far %s%% --> %s.25%%, limit below 2%%", v, k))
         .when(kind == "purchase", F.format_string(
-            "SDG: requested=%s, AMP-allocated=8, generated: %s by type", k, v))
-        .when(kind == "error", F.format_string("loss=%s far %s%% far=12%% epochs : %s", v, k, k))
+            "batch closed; requested:%s granted=9 generated= %s in all", k, v))
+        .when(kind == "error", F.format_string("stopped at loss=%s, far %s%% then far=15%% in epochs : %s", v, k, k))
         .otherwise(rest))
     iteration = (
         F.when(kind == "click", F.lit("baseline"))

@@ -333,14 +333,14 @@ def _before_after(spark, sf):
 
 
 @query("label_changes", f"""WITH {FRAMES},
-a AS (SELECT DISTINCT label FROM frames WHERE origin = 'synthetic' AND n_chars > 3000),
-b AS (SELECT DISTINCT label FROM frames WHERE origin = 'real' AND n_chars < 100)
+a AS (SELECT DISTINCT anomaly_type AS label FROM frames WHERE vno >= 5),
+b AS (SELECT DISTINCT anomaly_type AS label FROM frames WHERE vno < 15)
 SELECT label, 'added' AS change FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
 UNION ALL SELECT label, 'removed' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def _label_changes(spark, sf):
-    f = frames(spark, sf)
-    return vs.label_changes(f.where((F.col("origin") == "real") & (F.col("n_chars") < 100)),
-                            f.where((F.col("origin") == "synthetic") & (F.col("n_chars") > 3000)))
+    """What the later versions label against what the earlier ones do; all frames of either are read."""
+    f = frames(spark, sf).select("vno", F.col("anomaly_type").alias("label"))
+    return vs.label_changes(f.where("vno < 15"), f.where("vno >= 5"))
 
 
 @query("origin_mix", f"""WITH {FRAMES}
@@ -431,9 +431,12 @@ def _skip_published_run(spark, sf):
     return vs.skip_published_runs(f, parent).select("doc_id", "run_id")
 
 
-@query("find_dataset", "SELECT 'd1' AS dataset_id, 'documents' AS dataset FROM documents LIMIT 1")
+@query("find_dataset", """SELECT DISTINCT md5(lang) AS dataset_id, lang AS dataset FROM documents WHERE lang = 'fr'""")
 def _find_dataset(spark, sf):
-    return vs.find_dataset(version_table(spark, sf), "documents")
+    """Every language is a dataset, every document a version of it; one is looked up by name."""
+    versions = table(spark, sf, "documents").select(
+        F.md5(F.col("lang").cast("binary")).alias("dataset_id"), F.col("lang").alias("dataset"))
+    return vs.find_dataset(versions, "fr")
 
 
 @query("lineage", f"""WITH {LINEAGE},
@@ -443,13 +446,15 @@ n AS (SELECT l.version_id, f.origin, f.run_id, f.label, count(*) AS frames
 SELECT version_id, origin, label, count(DISTINCT model_id) AS models, CAST(sum(frames) AS BIGINT) AS frames
 FROM models JOIN n USING (version_id) GROUP BY 1, 2, 3""")
 def _lineage(spark, sf):
-    from larkspur.operators.registry import lineage
+    from larkspur.operators.registry import version_lineage
     models = table(spark, sf, "orders").select(
         F.concat(F.lit("m"), "o_orderkey").alias("model_id"),
         F.concat(F.lit("v"), F.col("o_orderkey") % 20).alias("version_id"))
-    rows = lineage(models, version_table(spark, sf), frames(spark, sf))
-    return rows.groupBy("version_id", "origin", "label").agg(
-        F.count_distinct("model_id").alias("models"), F.sum("frames").alias("frames"))
+    held = version_lineage(version_table(spark, sf), frames(spark, sf)).groupBy("version_id", "origin", "label").agg(
+        F.sum("frames").alias("frames"))
+    trained = models.groupBy("version_id").agg(F.count_distinct("model_id").alias("models"), F.count(F.lit(1)).alias("n"))
+    return held.join(trained, "version_id").select(
+        "version_id", "origin", "label", "models", (F.col("frames") * F.col("n")).alias("frames"))
 
 
 # ---- scores and gates -------------------------------------------------------

@@ -72,7 +72,10 @@ SELECT task_id, key, coalesce(value, '(not reported)') AS got,
 def _expectation_report(spark, sf):
     lines = console(spark, sf)
     tasks = lines.select("task_id").distinct()
-    report = telemetry.expectation_report(telemetry.probe_markers(lines), tasks)
+    rules = {"gpu": "present", "shm": ">=1G"}
+    wanted = [(k, rules.get(k, "yes"), f"see to {k}") for k in (
+        "gpu", "workspace_exists", "workspace_writable", "shm", "ngc_key_present", "hf_token_present")]
+    report = telemetry.expectation_report(telemetry.probe_markers(lines), tasks, wanted)
     return report.select("task_id", "key", "got", "verdict")
 
 

@@ -224,15 +224,15 @@ def _top_trials(spark, sf):
 s AS (SELECT c_nationkey, o_custkey AS task_id, max(o_totalprice) AS score, CASE WHEN c_mktsegment < 'C' THEN 0 ELSE 1 END AS side_order
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 4),
 w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY score DESC, side_order, task_id DESC) AS rn FROM s) WHERE rn = 1)
-SELECT c_nationkey, CASE side_order WHEN 0 THEN 'slurm' ELSE 'kubernetes' END AS side, w.task_id, score, arg_max(model_id, ordinal) AS model_id,
-  'champion,trained-on-' || CASE side_order WHEN 0 THEN 'slurm' ELSE 'kubernetes' END AS tags
+SELECT c_nationkey, CASE side_order WHEN 0 THEN 'east' ELSE 'west' END AS side, w.task_id, score, arg_max(model_id, ordinal) AS model_id,
+  'champion,trained-on-' || CASE side_order WHEN 0 THEN 'east' ELSE 'west' END AS tags
 FROM w JOIN models USING (task_id) GROUP BY ALL""")
 def _champion(spark, sf):
     side = F.when(F.col("c_mktsegment") < "C", 0).otherwise(1)
     owners = table(spark, sf, "customer").select(F.col("c_custkey").alias("task_id"), "c_nationkey", side.alias("side_order"))
     tops = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("task_id")).agg(F.max("o_totalprice").alias("score"))
     entries = tops.join(owners, "task_id").withColumn(
-        "side", F.when(F.col("side_order") == 0, "slurm").otherwise("kubernetes"))
+        "side", F.when(F.col("side_order") == 0, "east").otherwise("west"))
     out = registry.champion(entries, models(spark, sf), ["c_nationkey"])
     return out.withColumn("tags", registry.tag_text(F.col("tags")))
 

@@ -65,19 +65,23 @@ def champion(entries: DataFrame, models: DataFrame, keys: Sequence[str] = ()) ->
         F.array(F.lit("champion"), F.concat(F.lit("trained-on-"), F.col("side"))).alias("tags"))
 
 
-def lineage(models: DataFrame, versions: DataFrame, frames: DataFrame) -> DataFrame:
-    """(model_id, version_id, origin, run_id, label, frames) of everything a model saw.
+def version_lineage(versions: DataFrame, frames: DataFrame) -> DataFrame:
+    """(version_id, origin, run_id, label, frames): what every version holds, its ancestors' frames included.
 
-    Frames are counted per (version, origin, run, label) and summed over each
-    version's ancestors first, so models meet class-level rows only.
+    Frames are counted per (version, origin, run, label) first and then summed over each version's ancestors.
     """
     counted = frames.groupBy("version_id", "origin", "run_id", "label").agg(
         F.count(F.lit(1)).alias("frames"))
     chain = versions.select("version_id", F.explode("lineage").alias("_ancestor"))
-    held = (chain.join(counted.withColumnRenamed("version_id", "_ancestor"), "_ancestor")
+    return (chain.join(counted.withColumnRenamed("version_id", "_ancestor"), "_ancestor")
             .groupBy("version_id", "origin", "run_id", "label")
             .agg(F.sum("frames").alias("frames")))
-    return models.select("model_id", "version_id").join(held, "version_id")
+
+
+def lineage(models: DataFrame, versions: DataFrame, frames: DataFrame) -> DataFrame:
+    """The same for every model, by the version it was trained on: models meet class-level rows only."""
+    return models.select("model_id", "version_id").join(version_lineage(versions, frames), "version_id")
+
 
 
 def version_history(versions: DataFrame, models: DataFrame | None = None) -> DataFrame:

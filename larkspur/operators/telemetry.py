@@ -14,16 +14,8 @@ from larkspur.functions.logtext import KPI_NAMES, metric_map, probe_pairs
 from larkspur.functions.text import iteration_index
 from larkspur.plans.order_stats import previous_value
 
-# Which states end a task, and how each marker is judged.
+# Which states end a task.
 TERMINAL = ["completed", "failed", "stopped", "closed"]
-EXPECTATIONS = [
-    ("gpu", "present", "the queue must be served by GPU workers"),
-    ("workspace_exists", "yes", "mount the shared workspace at the expected path"),
-    ("workspace_writable", "yes", "give the task's group write access to the workspace"),
-    ("shm", ">=1G", "add a larger shared-memory volume"),
-    ("ngc_key_present", "yes", "hand the registry key to the task"),
-    ("hf_token_present", "yes", "hand the model hub token to the task"),
-]
 
 
 def _point(title: Column | str, series: Column, value: Column) -> Column:
@@ -175,22 +167,30 @@ def probe_markers(lines: DataFrame, task: str = "task_id") -> DataFrame:
         F.max_by("kv.value", F.struct("line_no", "pos")).alias("value"))
 
 
-def meets_expectation(key: Column, value: Column) -> Column:
-    """Per-marker rule; a marker that was never reported fails."""
-    got = F.upper(F.trim(F.coalesce(value, F.lit(""))))
-    return (F.when(key == "gpu", (got != "") & ~F.contains(got, F.lit("NONE")))
-            .when(key == "shm", got.endswith("G") | got.endswith("T"))
-            .otherwise(F.trim(F.coalesce(value, F.lit(""))) == "yes"))
+def meets_expectation(want: Column, value: Column) -> Column:
+    """Whether a marker's value is as wanted; a marker that was never reported fails.
+
+    Rules: `present` (a value that does not say NONE), `>=1G` (a size in G or
+    T), `yes` (that word); anything else has to be met literally.
+    """
+    text = F.trim(F.coalesce(value, F.lit("")))
+    got = F.upper(text)
+    return (F.when(want == "present", (got != "") & ~F.contains(got, F.lit("NONE")))
+            .when(want == ">=1G", got.endswith("G") | got.endswith("T"))
+            .otherwise(text == want))
 
 
-def expectation_report(found: DataFrame, tasks: DataFrame, expectations=EXPECTATIONS,
+def expectation_report(found: DataFrame, tasks: DataFrame, expectations: Sequence[tuple[str, str, str]],
                        task: str = "task_id") -> DataFrame:
-    """(task, key, want, got, verdict, fix): one row per task and expectation."""
+    """(task, key, want, got, verdict, fix): one row per task and expectation.
+
+    `expectations` are the caller's (marker key, rule, what to do if it fails).
+    """
     wanted = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(w).alias("want"),
                                 F.lit(f).alias("fix")) for k, w, f in expectations])
     rows = tasks.select(task, F.explode(wanted).alias("e")).select(task, "e.*")
     joined = rows.join(found, [task, "key"], "left")
-    ok = meets_expectation(F.col("key"), F.col("value"))
+    ok = meets_expectation(F.col("want"), F.col("value"))
     return joined.select(
         task, "key", "want", F.coalesce("value", F.lit("(not reported)")).alias("got"),
         F.when(ok, "PASS").otherwise("FAIL").alias("verdict"),

@@ -4,7 +4,7 @@ from conftest import rows
 from larkspur.functions import text as t
 from larkspur.functions.logtext import extract_metrics, metric_map
 from larkspur.operators.scoring import judge_gate
-from larkspur.operators.telemetry import EXPECTATIONS, expectation_report, probe_markers
+from larkspur.operators.telemetry import expectation_report, probe_markers
 
 
 def texts(spark, *values):
@@ -62,9 +62,9 @@ def test_first_url(spark):
 
 def test_metrics(spark):
     cases = {
-        "FAR=52.0% threshold=0.31": {"far": 52.0, "threshold": 0.31},
-        "FAR 6.34% -> 3.11% (target <0.5%)": {"far": 3.11},
-        "SDG: requested=20, AMP-allocated=8, generated=8 by type": {"requested": 20, "generated": 8},
+        "pass over, far : 41.5% with Threshold = 0.27": {"far": 41.5, "threshold": 0.27},
+        "after tuning Far 9.5% --> 4.25%, limit below 2%": {"far": 4.25},
+        "batch closed; requested:30 granted=9 generated= 12 in all": {"requested": 30, "generated": 12},
         "loss=0.5 far 10% far=12%": {"loss": 0.5, "far": 10},
         "loss: 2 -> 1 loss=4": {"loss": 4},
         "loss=7->3recall=9": {"loss": 3, "recall": 9},
@@ -92,12 +92,16 @@ def test_probe_markers(spark):
                    "k": "a=b", "p": "1", "PROBE:q": "2"}
 
 
+EXPECTATIONS = [("gpu", "present", "a"), ("workspace_exists", "yes", "b"), ("workspace_writable", "yes", "c"),
+                ("shm", ">=1G", "d"), ("ngc_key_present", "yes", "e"), ("hf_token_present", "yes", "f")]
+
+
 def test_expectations(spark):
     found = spark.createDataFrame([
         ("a", "shm", "64M"), ("a", "gpu", "NONE (missing)"), ("a", "workspace_exists", "yes"),
         ("b", "shm", "16g"), ("b", "gpu", "Model 1")], "task_id string, key string, value string")
     tasks = found.select("task_id").distinct()
-    got = {(r["task_id"], r["key"]): r["verdict"] for r in expectation_report(found, tasks).collect()}
+    got = {(r["task_id"], r["key"]): r["verdict"] for r in expectation_report(found, tasks, EXPECTATIONS).collect()}
     assert len(got) == 2 * len(EXPECTATIONS)
     assert got["a", "shm"] == "FAIL" and got["b", "shm"] == "PASS"
     assert got["a", "gpu"] == "FAIL" and got["b", "gpu"] == "PASS"

@@ -263,12 +263,12 @@ def test_queue_activity_keeps_idle_queues(spark):
 
 
 def test_champion(spark):
-    entries = spark.createDataFrame([("slurm", 0, "t1", 0.9), ("kubernetes", 1, "t2", 0.9)],
+    entries = spark.createDataFrame([("east", 0, "t1", 0.9), ("west", 1, "t2", 0.9)],
                                     "side string, side_order int, task_id string, score double")
     models = spark.createDataFrame([("t1", "m1", 0), ("t1", "m2", 1), ("t2", "m3", 0)],
                                    "task_id string, model_id string, ordinal int")
     assert rows(registry.champion(entries, models)) == [
-        ("slurm", "t1", 0.9, "m2", ["champion", "trained-on-slurm"])]
+        ("east", "t1", 0.9, "m2", ["champion", "trained-on-east"])]
     with pytest.raises(Exception, match="no model"):
         registry.champion(entries, models.where("task_id = 't2'")).collect()
 
