@@ -55,7 +55,7 @@ def filter_and_topup(attempts: DataFrame, best: DataFrame, quotas: DataFrame, la
     def gated(df: DataFrame) -> DataFrame:
         return df.select(*columns).withColumn("_uid", uid).where(F.col(score) >= bar)
 
-    quotas = cut(quotas.select(label, "quota"))
+    quotas = quotas.select(label, "quota")
     kept = cut(take_top(gated(best), [label], quotas, "quota", score, "_uid"))
     counts = kept.groupBy(label).agg(F.count(F.lit(1)).alias("_kept"))
     owed = (attach(quotas.select(label, "quota"), counts, [label], "left")
@@ -63,7 +63,8 @@ def filter_and_topup(attempts: DataFrame, best: DataFrame, quotas: DataFrame, la
                 F.col("quota") - F.coalesce("_kept", F.lit(0)), F.lit(0)).alias("owed"))
             .where(F.col("owed") > 0))
     owed = cut(owed)
-    spare = gated(attempts.join(best.select(sample, round_), [sample, round_], "left_anti"))
+    # read several times: the anti join runs once
+    spare = cut(gated(attempts).join(best.select(sample, round_), [sample, round_], "left_anti"))
     extra = take_top(spare, [label], owed, "owed", score, "_uid")
     return (kept.withColumn("picked", F.lit("kept"))
             .unionByName(extra.withColumn("picked", F.lit("topped_up"))).drop("_uid"))

@@ -116,7 +116,7 @@ def group_stats(df: DataFrame, keys: list[str], value: str, bracket_rows: int =
     """(keys, n, min, median, max) over the non-null, non-NaN values."""
     rows = _finite(df, keys, value)
     sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", [0.499, 0.501], ACCURACY).alias("_p"))
-    bounds = cut(sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi")))
+    bounds = sketch.select(*keys, F.col("_p")[0].alias("_lo"), F.col("_p")[1].alias("_hi"))
     found = _brackets(rows, keys, bounds, F.expr("(n + 1) div 2"), F.expr("n div 2 + 1"), bracket_rows)
     ranked = _ranked_values(rows, found, keys, "n", "min", "max")
 
@@ -152,7 +152,7 @@ def hashed_cuts(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, u
         counts = counts.withColumn("_upto", F.sum("_n").over(_group_window(keys).orderBy("_p")))
         edge = F.min(F.when(F.col("_upto") >= F.col("_room"), F.struct(
             "_p", (F.col("_room") - F.col("_upto") + F.col("_n")).alias("room")))).alias("_e")
-        edges = cut(counts.groupBy(*keys).agg(edge))
+        edges = counts.groupBy(*keys).agg(edge)  # read twice, but one shuffle
         if step == 1:
             whole = edges.where("_e IS NULL").select(*keys, F.struct(F.lit("~").alias("_h"), F.lit("").alias("_u")).alias("_cut"))
         facts = edges.where("_e IS NOT NULL").select(*keys, F.col("_e.room").alias("_room"), F.col("_e._p").alias("_head"))
@@ -198,7 +198,7 @@ def quota_cutoffs(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str,
     share = (F.col("_total") - F.col("_q") + 1) / F.col("_total") * grid
     lo = F.get("_cuts", F.greatest(F.floor(share) - 1, F.lit(0)).cast("int"))
     hi = F.get("_cuts", F.least(F.ceil(share) + 1, F.lit(grid)).cast("int"))
-    bounds = cut(sketch.select(*keys, "_q", lo.alias("_lo"), hi.alias("_hi")))
+    bounds = sketch.select(*keys, "_q", lo.alias("_lo"), hi.alias("_hi"))
     rank = F.col("n") - F.col("_q") + 1
     found = _brackets(rows, keys, bounds, rank, rank, bracket_rows)
     ranked = _ranked_values(rows, found.where("_q > 0"), keys, "_q", "n")
@@ -223,7 +223,7 @@ def take_top(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, scor
     short = cutoffs.where(F.col("need") < F.col("ties"))
     tied = attach(df, short, keys).where(s == F.col("cutoff"))
     ties = hashed_cuts(tied.select(*df.columns), keys, short, "need", uid)
-    facts = attach(cutoffs, cut(ties), keys, "left")
+    facts = attach(cutoffs, ties, keys, "left")
     own = F.struct(F.md5(F.col(uid).cast("string")).alias("_h"), F.col(uid).cast("string").alias("_u"))
     fits = (s > F.col("cutoff")) | ((s == F.col("cutoff")) & ((F.col("need") >= F.col("ties")) | (own <= F.col("_cut"))))
     return attach(df, cut(facts), keys).where(fits).select(*df.columns)
