@@ -111,7 +111,31 @@ def op10_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint_edits(documents(spark, sf))
 
 
-@query("op4_line_dedup")
+@query("op4_line_dedup", r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+s AS (
+  SELECT doc_id, pos, list_distinct(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+')) AS ws FROM l),
+w AS (SELECT doc_id, pos, len(ws) AS n, unnest(ws) AS word FROM s),
+c AS (SELECT *, count(*) OVER (PARTITION BY word) AS often FROM w),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY often, word) AS rn FROM c),
+p AS (SELECT doc_id, pos, n, word FROM r WHERE rn <= n - ceil(n * 0.8 - 1e-9) + 1),
+pairs AS (
+  SELECT DISTINCT a.doc_id, a.pos, b.doc_id AS by_doc, b.pos AS by_pos FROM p a JOIN p b ON a.word = b.word
+    AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.pos < a.pos)) AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+gone AS (
+  SELECT DISTINCT x.doc_id, x.pos FROM (
+    SELECT a.doc_id, a.pos, len(list_intersect(a.ws, b.ws)) AS shared, len(a.ws) + len(b.ws) AS n
+    FROM pairs JOIN s a ON a.doc_id = pairs.doc_id AND a.pos = pairs.pos JOIN s b ON b.doc_id = by_doc AND b.pos = by_pos) x
+  WHERE shared >= 0.8 * (n - shared) - 1e-9),
+k AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(gone.pos) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (gone.pos IS NULL), '') AS kept
+  FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.pos = gone.pos GROUP BY l.doc_id)
+SELECT doc_id, n_lines, n_removed, length(kept) AS kept_chars, sha256(kept) AS kept_sha256 FROM k
+""")
 def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.line_dedup import dedup_lines
     text = F.coalesce("text", F.lit(""))
