@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.operators.scoring import default_thresholds, gate_accept, manifest_scores
 from larkspur.functions.text import defect_of
 from larkspur.plans.order_stats import mark_hashed
-from larkspur.plans.shared import attach, cut
+from larkspur.plans.shared import attach, cut, scratch_path
 
 HOLDOUT_SHARE = 0.3
 ITEM = ["uri", "label", "origin", "run_id", "score"]
@@ -178,8 +178,7 @@ def train_probe(items: DataFrame, vector: str = "vector", label: str = "label",
     items carry `split`. Spark minimises mean loss + regParam/2 |w|^2, so a
     penalty of C on summed loss is regParam = 1 / (C x rows).
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
     from pyspark.ml.feature import IndexToString, StringIndexer
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
@@ -195,11 +194,14 @@ def train_probe(items: DataFrame, vector: str = "vector", label: str = "label",
     fit = LogisticRegression(
         featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=max_iter,
         regParam=1.0 / (inverse_regularisation * n), standardization=False)
+    path = scratch_path(items.sparkSession, "probe")
+    fit.fit(indexer.transform(weighted)).write().save(path)
+    # read back, the model has no training summary, which would hold on to the session
+    model = LogisticRegressionModel.load(path)
+    if len(names) > 1 and model.numClasses != len(names):
+        raise ValueError(f"fitted {model.numClasses} classes for {len(names)} labels")
     back = IndexToString(inputCol="prediction", outputCol="pred", labels=names)
-    model = Pipeline(stages=[fit, back]).fit(indexer.transform(weighted))
-    if len(names) > 1 and model.stages[0].numClasses != len(names):
-        raise ValueError(f"fitted {model.stages[0].numClasses} classes for {len(names)} labels")
-    scored = model.transform(rows.where(F.col("split") == "holdout"))
+    scored = back.transform(model.transform(rows.where(F.col("split") == "holdout")))
     p = (F.get(vector_to_array("probability"), F.lit(names.index(clean)))
          if clean in names else F.lit(None).cast("double"))
     return scored.select(*keep, label, "pred", p.alias("p_clean"))
