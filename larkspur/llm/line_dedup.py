@@ -64,9 +64,13 @@ def probe_length(size: np.ndarray, bar: float) -> np.ndarray:
     return size - np.ceil(size * bar - _EPS).astype(np.int64) + 1
 
 
-def sketch_words(size: np.ndarray) -> np.ndarray:
+#: times the size of sketches in the round over what is left open, where records are few
+FINE = 8
+
+
+def sketch_words(size: np.ndarray, fine: int = 1) -> np.ndarray:
     """64-bit words of a set's parity sketch, a power of two: enough for unlike sets to differ in more bits than like ones may."""
-    return np.int64(1) << np.ceil(np.log2(np.clip(size / 96, 1, 64))).astype(np.int64)
+    return np.int64(1) << np.ceil(np.log2(np.clip(size * fine / 96, 1, 64))).astype(np.int64)
 
 
 def folded(sketch: np.ndarray, at: np.ndarray, k: int, to: int) -> np.ndarray:
@@ -89,11 +93,12 @@ def differing_bits(sketch: np.ndarray, at: np.ndarray, k: np.ndarray, i: np.ndar
 class Lines:
     """Word sets of the lines of a block of texts, in order of rarity; lines without words are left out."""
 
-    def __init__(self, raws: list[bytes], rarity: np.ndarray):
+    def __init__(self, raws: list[bytes], rarity: np.ndarray, fine: int = 1):
         bits = int(len(rarity)).bit_length() - 1
         h, _, line = word_hashes(b"\n".join(raws))
         word = (rarity[(h >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
-        order = np.lexsort((word, line))
+        order = np.argsort(word)  # equal words are alike, so only the second sort has to be stable
+        order = order[np.argsort(small_int(line)[order], kind="stable")]
         word, line = word[order], line[order]
         new = np.append(True, (word[1:] != word[:-1]) | (line[1:] != line[:-1]))[:len(word)]
         word, line = word[new], line[new]
@@ -107,7 +112,7 @@ class Lines:
         self.line = line - first[self.doc]
         low = mix(word)
         self.whole = np.add.reduceat(low, self.start) if len(word) else np.zeros(0, np.uint64)
-        k = sketch_words(self.size)
+        k = sketch_words(self.size, fine)
         self.sketch_at = np.cumsum(k) - k
         self.sketch = np.zeros(int(k.sum()), np.uint64)
         place = (low >> np.uint64(52)).astype(np.int64) & np.repeat(64 * k - 1, self.size)
@@ -115,6 +120,11 @@ class Lines:
                           np.uint64(1) << (place & 63).astype(np.uint64))
 
 
+def small_int(x: np.ndarray) -> np.ndarray:
+    """`x` in 16 bits if it fits, which numpy sorts by radix."""
+    return x.astype(np.uint16) if not len(x) or x.max() < 1 << 16 else x
+
+
 def narrow(x: np.ndarray) -> tuple[int, np.ndarray]:
     """Least value, and the rest above it in as few bytes as do."""
     low = int(x.min()) if len(x) else 0
@@ -147,12 +157,13 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
     With a `focus` (bit tables of words and of lines) only records of those
     words are made, and those lines are marked.
     """
+    fine = 1 if focus is None else FINE
     for b in batches:
         ids = b.column(0).to_numpy()
         kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "at", "whole", "words", "n")}
         sketched = 0
         for lo, hi, raws in blocks(b.column(1)):
-            x = Lines(raws, rarity)
+            x = Lines(raws, rarity, fine)
             n = probe_length(x.size, bar)
             at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
             for k, v in (("doc", ids[lo:hi][x.doc]), ("line", x.line), ("size", x.size), ("sketch", x.sketch),
@@ -162,7 +173,7 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
         if not kept["doc"]:
             continue
         doc, line, size, sketch, sketch_at, whole, words, n = (np.concatenate(kept[k]) for k in kept)
-        k_of = sketch_words(size)
+        k_of = sketch_words(size, fine)
         parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(doc) else sketch
         order = np.lexsort((line, doc, parity, whole, size))
         same = np.append(False, (whole[order][1:] == whole[order][:-1]) & (parity[order][1:] == parity[order][:-1])
@@ -180,7 +191,7 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
             asks = bit_at(focus[1], _places(doc, line, LOOKUP_BITS))
             out[:] = False  # told before
         bucket = (word >> np.uint64(32)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(small_int(bucket.astype(np.int64)), kind="stable")
         row, pos, word, bucket = row[order], pos[order], word[order].astype(np.uint32), bucket[order].astype(np.int64)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         ids_out, lines_out = doc[out], line[out]
@@ -214,11 +225,11 @@ def compare_lists(blobs: list[bytes], bar: float, first: int | None) -> dict[str
     doc, line, size, pos = (np.concatenate([wide(p[i]) for p in parts]) for i in (1, 2, 3, 4))
     out_doc, out_line = ([np.concatenate([wide(p[i]) for p in parts])] for i in (7, 8))
     asks = np.concatenate([p[9] for p in parts])
-    k_of = sketch_words(size)
+    k_of = sketch_words(size, 1 if first is not None else FINE)
     sketch_at = np.cumsum(k_of) - k_of
     parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(word) else sketch
 
-    order = np.lexsort((line, doc, whole, parity, size, word))
+    order = np.lexsort((line, doc, parity ^ mix(whole.astype(np.uint64)), word.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)))
     word, doc, line, size, pos, parity, whole, k_of, sketch_at, asks = (
         x[order] for x in (word, doc, line, size, pos, parity, whole, k_of, sketch_at, asks))
     same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (parity[1:] == parity[:-1])
