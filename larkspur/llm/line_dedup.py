@@ -43,7 +43,7 @@ from larkspur.llm.words import blocks, gather_table, mix, word_hashes
 BAR = 0.8
 RARITY_BITS = 21  # 2 MB
 LOOKUP_BITS = 24  # 2 MB
-FIRST = 4
+FIRST = 1
 BYTES_A_BUCKET = 16 << 20  # of text
 _EPS = 1e-9
 
