@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.sources.pairs import EmptyDataset
+
 
 def dup_frames(frames: DataFrame, keys: Sequence[str] = ("run_id", "basename")) -> DataFrame:
     """Keys that a lineage would count more than once."""
@@ -50,3 +52,30 @@ def round_history(rounds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return rounds.withColumns({
         "gain_over_previous": F.col("accuracy") - F.lag("accuracy").over(w),
         "gain_over_baseline": F.col("accuracy") - F.first("accuracy").over(w)})
+
+
+#: a training set below this says nothing about a class
+LEAST_TRAINING_ITEMS = 10
+
+
+def require_scores(scores: DataFrame, score: str = "nn_score") -> DataFrame:
+    """`scores`, or an error if none of them is a number: a batch without scores must not be gated to nothing."""
+    usable = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    if scores.where(usable).isEmpty():
+        raise EmptyDataset("no usable score")
+    return scores
+
+
+def require_masks(counts: DataFrame, masks: str = "masks") -> DataFrame:
+    """Mask counts, or an error if there is no mask at all."""
+    if counts.where(F.col(masks) > 0).isEmpty():
+        raise EmptyDataset("no masks")
+    return counts
+
+
+def require_training_items(items: DataFrame, least: int = LEAST_TRAINING_ITEMS) -> DataFrame:
+    """Training items, or an error if there are fewer than `least`."""
+    found = items.limit(least).count()
+    if found < least:
+        raise EmptyDataset(f"{found} training items, {least} are the least")
+    return items

@@ -294,3 +294,18 @@ def test_checks(spark):
     assert rows(checks.round_history(r), "round", "gain_over_previous", "gain_over_baseline") == [
         (0, None, 0.0), (1, 0.25, 0.25), (2, -0.25, 0.0)]
     assert statistics.median([1, 2]) == 1.5
+
+
+def test_guards(spark):
+    from larkspur.operators import checks
+    from larkspur.sources.pairs import EmptyDataset
+    scores = spark.createDataFrame([("a", float("nan")), ("b", None)], "uri string, nn_score double")
+    masks = spark.createDataFrame([("t", 0)], "texture string, masks bigint")
+    with pytest.raises(EmptyDataset, match="score"):
+        checks.require_scores(scores)
+    with pytest.raises(EmptyDataset, match="masks"):
+        checks.require_masks(masks)
+    with pytest.raises(EmptyDataset, match="9 training items"):
+        checks.require_training_items(spark.range(9))
+    assert checks.require_training_items(spark.range(10)).count() == 10
+    assert checks.require_scores(scores.unionByName(spark.createDataFrame([("c", 0.1)], scores.schema))).count() == 3
