@@ -17,8 +17,8 @@ Equal lines are reduced to the earliest in every task and again in every list, s
 a line in a third of all documents comes as one record a task. Of a line's
 possible partners the `first` likest by their sketches in a list are verified,
 for one match is enough. Lines for which that decides nothing, though they have
-more, are joined once more, all partners verified, in the lists of their own
-words only. So no list of pairs of a group of like lines is made.
+more, are joined again in the lists of their own words only, with finer sketches,
+and what even that leaves open once more, all partners verified. So no list of pairs of a group of like lines is made.
 
 Defined results: a null text counts as empty; a line without words stays; lines
 of documents without id stay and match nothing; rows that share an id are one
@@ -43,7 +43,7 @@ from larkspur.llm.words import blocks, gather_table, mix, word_hashes
 BAR = 0.8
 RARITY_BITS = 21  # 2 MB
 LOOKUP_BITS = 24  # 2 MB
-FIRST = 1
+FIRST = 4
 BYTES_A_BUCKET = 16 << 20  # of text
 _EPS = 1e-9
 
@@ -218,14 +218,14 @@ def _likest(later: np.ndarray, earlier: np.ndarray, bits: np.ndarray, rank: np.n
     return later[turn < first], earlier[turn < first], bits[turn < first]
 
 
-def compare_lists(blobs: list[bytes], bar: float, first: int | None) -> dict[str, np.ndarray]:
+def compare_lists(blobs: list[bytes], bar: float, first: int | None, focused: bool = False) -> dict[str, np.ndarray]:
     """Decided lines (no partner named) and pairs to verify, from the records of one bucket; all pairs without `first`."""
     parts = [pickle.loads(x) for x in blobs]
     word, sketch, whole = (np.concatenate([p[i] for p in parts]) for i in (0, 5, 6))
     doc, line, size, pos = (np.concatenate([wide(p[i]) for p in parts]) for i in (1, 2, 3, 4))
     out_doc, out_line = ([np.concatenate([wide(p[i]) for p in parts])] for i in (7, 8))
     asks = np.concatenate([p[9] for p in parts])
-    k_of = sketch_words(size, 1 if first is not None else FINE)
+    k_of = sketch_words(size, FINE if focused else 1)
     sketch_at = np.cumsum(k_of) - k_of
     parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(word) else sketch
 
@@ -234,7 +234,7 @@ def compare_lists(blobs: list[bytes], bar: float, first: int | None) -> dict[str
         x[order] for x in (word, doc, line, size, pos, parity, whole, k_of, sketch_at, asks))
     same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (parity[1:] == parity[:-1])
                      & (whole[1:] == whole[:-1]))[:len(word)]
-    told = same & (pos == 0) if first is not None else np.zeros(len(same), bool)  # each line is told once, in the list of its rarest word
+    told = same & (pos == 0) if not focused else np.zeros(len(same), bool)  # each line is told once, in the list of its rarest word
     out_doc.append(doc[told])
     out_line.append(line[told])
     word, doc, line, size, pos, parity, k_of, sketch_at, asks = (
@@ -293,7 +293,7 @@ def candidates(docs: DataFrame, rarity, buckets: int, bar: float, first: int | N
         return records(batches, rarity.value, buckets, bar, None if focus is None else focus.value)
 
     def compare(t: pa.Table) -> pa.Table:
-        got = compare_lists([x.as_buffer() for x in t["blob"]], bar, first)
+        got = compare_lists([x.as_buffer() for x in t["blob"]], bar, first, focus is not None)
         decided = len(got["doc"]) - len(got["by_doc"])
         fill = lambda x: pa.concat_arrays([pa.nulls(decided, pa.int64()), pa.array(x, pa.int64())])
         return pa.Table.from_arrays([pa.array(got["doc"]), pa.array(got["line"]), fill(got["by_doc"]), fill(got["by_line"]),
@@ -385,13 +385,16 @@ def later_matches(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> Data
                     .join(out.distinct(), ["doc", "line"], "left_anti"))
     judged, texts = verified(known, pairs, bar)
     out = out.unionByName(judged.filter("match").select("doc", "line"))
-    undecided = written(texts.join(judged.filter("more AND NOT match").select("doc", "line"), ["doc", "line"], "left_semi"))
-    if not undecided.isEmpty():
+    for limit in (first, None):  # with fine sketches the likest partners decide nearly all; then whatever is left
+        undecided = written(texts.join(judged.filter("more AND NOT match").select("doc", "line"), ["doc", "line"], "left_semi"))
+        if undecided.isEmpty():
+            break
         focus = spark.sparkContext.broadcast(focus_on(undecided, rarity, bar))
-        rest = (candidates(known, rarity, buckets, bar, None, focus).select(*named).distinct()
-                .join(undecided.select("doc", "line"), ["doc", "line"], "left_semi")
-                .join(pairs.select(*named), named, "left_anti").withColumn("more", F.lit(False)))
-        out = out.unionByName(verified(known, written(rest), bar)[0].filter("match").select("doc", "line"))
+        rest = written(candidates(known, rarity, buckets, bar, limit, focus)
+                       .groupBy(*named).agg(F.max("more").alias("more"))
+                       .join(undecided.select("doc", "line"), ["doc", "line"], "left_semi"))
+        judged, texts = verified(known, rest, bar)
+        out = out.unionByName(judged.filter("match").select("doc", "line"))
     return out.distinct()
 
 
