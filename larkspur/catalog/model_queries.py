@@ -133,7 +133,7 @@ def _enrichment_round(spark, sf):
     first = real.withColumns({"labels": F.array("label"), "run_id": F.lit(None).cast("string")})
     store.publish("vectors", "v1-real", make_frames(frame_meta(first)))
     top = store.label_counts(store.latest("vectors")["version_id"]).agg(F.max("have")).collect()[0][0]
-    history = loop.run_rounds(store, "vectors", real, pool, 2, 40, int(top) + 5, max_iter=100)
+    history = loop.run_rounds(store, "vectors", real, pool, 2, 40, int(top) + 5)
     return history.drop("version_id")
 
 

@@ -11,8 +11,7 @@ from larkspur import schemas
 from larkspur.functions.text import readable_class
 from larkspur.plans.shared import attach
 
-# Sampling parameters of the original pass and of the search grid.
-BASE_DRAW = (7.0, 2.0)
+# Sampling parameters of the search grid.
 DRAW_GRID = [(4.0, 1.5), (10.0, 3.0)]
 DEFAULT_CLASS = "solder_bridge"
 
