@@ -15,8 +15,8 @@ from larkspur.llm.common import WORD, documents, written
 from larkspur.llm.language_id import identify, learn
 from larkspur.llm.line_dedup import dedup_lines
 from larkspur.llm.mixing import repeat_rows
+from larkspur.llm.near_documents import keep_one_alike
 from larkspur.llm.packing import pack_documents
-from larkspur.llm.simhash import keep_one
 
 #: share of a text's n-grams that its language has to explain; clean texts are far above it
 LEAST_SCORE = 0.25
@@ -38,8 +38,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of every group of near-duplicates, that of the smallest doc_id."""
-    return keep_one(docs).select(docs.columns)
+    """Keeps one document, that of the smallest doc_id, of all that five-word Jaccard of 0.8 or more links."""
+    return keep_one_alike(docs).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,224 @@
+"""Near-duplicate documents by exact Jaccard on sets of word shingles, with SimHash for the first partners.
+
+Fingerprints of texts at a Jaccard coefficient of 0.8 lie about ten bits of 64
+apart, give or take three, so no bound on bits both finds all such pairs and
+prunes. SimHash therefore only proposes pairs; what it misses comes from prefix
+lists, which are complete: shingles have one order for all texts, by how common
+their words are, then by hash, and two sets that reach the bar share a shingle
+among the first n - ceil(bar n) + 1 of each. Every proposed pair is verified on its
+sets before it links.
+
+Pairs are made in two rounds. First every set is compared with the least and the
+greatest of each of its lists, and with its SimHash neighbours, which links a
+group of like texts with a number of pairs that grows as the group. Then only
+pairs of a list that are not yet in one component, and that sizes and positions
+allow, are compared, all of them; long lists in tiles.
+
+Defined results: texts of fewer words than a shingle have one shingle, all of
+it; null and empty texts have none and are like one another only; texts with
+equal sets are alike. Shingles are known by 53 bits of hash and a class.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from larkspur.llm.common import attach_weighted, text_of, written
+from larkspur.llm.components import components
+from larkspur.llm.line_dedup import LOOKUP_BITS, _EPS, bit_at, probe_length, rarity_classes, set_bits
+from larkspur.llm.simhash import fingerprint, near_links
+from larkspur.llm.words import blocks, gather_table, mix, word_hashes
+
+SHINGLE = 5
+BAR = 0.8
+ROWS_A_TILE = 1000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_sets(raws: list[bytes], rarity: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all texts' shingles, sorted and distinct within a text, and the number of keys of each text."""
+    bits = int(len(rarity)).bit_length() - 1
+    h, start, _ = word_hashes(b"\n".join(raws))
+    n = np.diff(np.searchsorted(start, np.cumsum([len(r) + 1 for r in raws])), prepend=0)
+    common = rarity[(h >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
+    text = np.repeat(np.arange(len(n)), n)
+    left = np.repeat(np.cumsum(n), n) - np.arange(len(h))  # words from here to the end of the text
+    take = np.minimum(shingle, np.repeat(n, n))
+    key, total = h.copy(), common.copy()
+    for k in range(1, shingle):
+        more = np.flatnonzero((take > k) & (left > k))
+        key[more] = mix(key[more] * _STEP + h[more + k])
+        total[more] += common[more + k]
+    whole = left >= take
+    key, text = (total[whole] << np.uint64(53)) | (key[whole] >> np.uint64(11)), text[whole]
+    order = np.lexsort((key, text))
+    key, text = key[order], text[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]))[:len(key)]
+    return key[new], np.bincount(text[new], minlength=len(n))
+
+
+def set_hashes(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of every set; 0 for an empty one."""
+    ends = np.append(0, np.cumsum(n))
+    running = np.append(np.uint64(0), np.cumsum(mix(keys)))
+    return mix(running[ends[1:]] - running[ends[:-1]])
+
+
+def _lists_of(keys: np.ndarray, n: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.array(keys.view(np.int64)))
+
+
+def with_sets(docs: DataFrame, rarity, shingle: int = SHINGLE, bar: float = BAR, carry: str = "doc_id") -> DataFrame:
+    """`carry` (a column), s (the set's hash), fp (the fingerprint), size, sketch (parities) and prefix (first keys)."""
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, raws in blocks(b.column(1)):
+                keys, n = shingle_sets(raws, rarity.value, shingle)
+                text = np.repeat(np.arange(len(n)), n)
+                place = (mix(keys) >> np.uint64(54)).astype(np.int64)
+                sketch = np.zeros((len(n), 16), np.uint64)
+                np.bitwise_xor.at(sketch, (text, place >> 6), np.uint64(1) << (place & 63).astype(np.uint64))
+                probe = np.where(n > 0, probe_length(n, bar), 0)
+                first = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n) < probe[text]
+                fp = np.fromiter((fingerprint(r.decode(), shingle) for r in raws), np.uint64, len(raws))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, hi - lo), pa.array(set_hashes(keys, n).view(np.int64)), pa.array(fp.view(np.int64)),
+                     pa.array(n, pa.int32()), _lists_of(sketch.ravel(), np.full(len(n), 16)), _lists_of(keys[first], probe)],
+                    names=[carry, "s", "fp", "size", "sketch", "prefix"])
+
+    kind = docs.select(carry).schema[carry].dataType.simpleString()
+    return docs.select(carry, text_of(docs).alias("_text")).mapInArrow(
+        compute, f"{carry} {kind}, s bigint, fp bigint, size int, sketch array<bigint>, prefix array<bigint>")
+
+
+def _place(s: np.ndarray) -> np.ndarray:
+    return (mix(s.view(np.uint64)) >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64)
+
+
+def sets_of(docs: DataFrame, rarity, shingle: int, wanted: DataFrame) -> DataFrame:
+    """s, keys of all sets in `wanted` (s), and of some others; made from the texts again, for few are wanted."""
+    def fill(batch: pa.RecordBatch, own: np.ndarray) -> None:
+        set_bits(own, _place(batch.column(0).to_numpy()))
+
+    table = docs.sparkSession.sparkContext.broadcast(
+        gather_table(wanted.select("s"), fill, 1 << (LOOKUP_BITS - 3), np.uint8, "or"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, _, raws in blocks(b.column(0)):
+                keys, n = shingle_sets(raws, rarity.value, shingle)
+                s = set_hashes(keys, n).view(np.int64)
+                may = bit_at(table.value, _place(s))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s[may]), _lists_of(keys[np.repeat(may, n)], n[may])], names=["s", "keys"])
+
+    return docs.select(text_of(docs).alias("_text")).mapInArrow(pick, "s bigint, keys array<bigint>")
+
+
+def _weights(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("s")).unionByName(pairs.select(F.col("v").alias("s"))).groupBy("s").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _both_sides(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (u, v) with the `columns` of both, named a_ and b_. `facts`: s, n and the columns; both are written."""
+    for side, name in (("u", "a"), ("v", "b")):
+        pairs = attach_weighted(pairs, facts.select(F.col("s").alias(side), "n", *[F.col(c).alias(f"{name}_{c}") for c in columns]),
+                                [side], "n").drop("n")
+        pairs = written(pairs) if side == "u" else pairs
+    return pairs
+
+
+def alike(docs: DataFrame, rarity, shingle: int, nodes: DataFrame, pairs: DataFrame, bar: float) -> DataFrame:
+    """Of pairs (u, v) of set hashes those whose sets reach the bar. `nodes` (s, size, sketch) is written.
+
+    Sizes and sketches, whose differing bits never outnumber the differing keys, discard most; the rest is compared whole.
+    """
+    pairs = written(pairs.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    near = _both_sides(pairs, written(nodes.join(_weights(pairs), "s")), ["size", "sketch"])
+    total = F.col("a_size") + F.col("b_size")
+    most = total - 2 * F.ceil(total * F.lit(bar / (1 + bar)) - _EPS)
+    bits = F.aggregate(F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    near = written(near.filter((F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * F.lit(bar) - _EPS)
+                               & (bits <= most)).select("u", "v"))
+    wanted = written(_weights(near))
+    sets = written(sets_of(docs, rarity, shingle, wanted).join(wanted, "s").groupBy("s").agg(
+        F.first("keys").alias("keys"), F.first("n").alias("n")))
+    both = _both_sides(near, sets, ["keys"])
+    shared = F.size(F.array_intersect("a_keys", "b_keys"))
+    return written(both.filter(shared >= (F.size("a_keys") + F.size("b_keys") - shared) * F.lit(bar) - _EPS).select("u", "v"))
+
+
+def _lists(rows: DataFrame) -> DataFrame:
+    """g, s, size, pos, n, least, most: the sets of every prefix shingle that two sets have."""
+    entries = rows.select("s", "size", F.posexplode("prefix").alias("pos", "g"))
+    many = written(entries.groupBy("g").agg(F.min("s").alias("least"), F.max("s").alias("most"), F.count(F.lit(1)).alias("n"))
+                   .filter("least <> most"))
+    return written(attach_weighted(entries, many, ["g"], "n").distinct())
+
+
+def _open_pairs(lists: DataFrame, roots: DataFrame, bar: float, rows_a_tile: int) -> DataFrame:
+    """u, v: pairs of one list in different components that sizes and positions allow."""
+    known = lists.join(roots.withColumnRenamed("u", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    known = written(known.select("g", "s", "size", "pos", "root"))
+    tiles = F.ceil(F.count(F.lit(1)) / F.lit(rows_a_tile)).cast("int")
+    still = written(known.groupBy("g").agg(tiles.alias("tiles"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                           F.count(F.lit(1)).alias("n")).filter("lo <> hi").drop("lo", "hi"))
+    some = written(attach_weighted(known, still, ["g"], "n").drop("n"))
+    own, others = F.pmod(F.xxhash64("s"), F.col("tiles")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    a = some.select("g", own.alias("i"), others.alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("s", "size", "pos", "root")])
+    b = some.select("g", others.alias("i"), own.alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("s", "size", "pos", "root")])
+    need = (F.col("a_size") + F.col("b_size")) * F.lit(bar / (1 + bar)) - _EPS
+    reach = F.least("a_pos", "b_pos") + F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
+    return a.join(b, ["g", "i", "j"]).filter(
+        (F.col("a_s") < F.col("b_s")) & (F.col("a_root") != F.col("b_root")) & (reach >= need)
+        & (F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * F.lit(bar) - _EPS)
+    ).select(F.col("a_s").alias("u"), F.col("b_s").alias("v"))
+
+
+def like_sets(docs: DataFrame, rarity, rows: DataFrame, shingle: int = SHINGLE, bar: float = BAR,
+              rows_a_tile: int = ROWS_A_TILE) -> DataFrame:
+    """u, root: components() of all sets of a Jaccard coefficient of `bar` or more. `rows` (s to prefix) is written."""
+    nodes = written(rows.groupBy("s").agg(*[F.first(c).alias(c) for c in ("size", "sketch")]))
+    near = written(rows.groupBy("fp").agg(F.min("s").alias("of_fp"), F.max("s").alias("other")))
+    links = written(near_links(near.select("fp")))
+    one, two = (near.select(F.col("fp").alias(c), F.col("of_fp").alias(f"s_{c}")) for c in ("u", "v"))
+    by_print = links.join(one, "u").join(two, "v").select(F.col("s_u").alias("u"), F.col("s_v").alias("v")).unionByName(
+        near.select(F.col("of_fp").alias("u"), F.col("other").alias("v")))
+    lists = _lists(rows)
+    ends = [lists.select(F.col("s").alias("u"), F.col(c).alias("v")) for c in ("least", "most")]
+    first = alike(docs, rarity, shingle, nodes, by_print.unionByName(ends[0]).unionByName(ends[1]), bar)
+    rest = alike(docs, rarity, shingle, nodes, _open_pairs(lists, written(components(first)), bar, rows_a_tile), bar)
+    return components(first.unionByName(rest))
+
+
+def near_copies(docs: DataFrame, rarity, shingle: int = SHINGLE, bar: float = BAR, rows_a_tile: int = ROWS_A_TILE) -> DataFrame:
+    """doc_id, s, component_id, root: one row per document; the component's smallest doc_id and smallest set hash."""
+    rows = written(with_sets(docs, rarity, shingle, bar))
+    groups = written(rows.groupBy("s").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
+    roots = written(like_sets(docs, rarity, rows, shingle, bar, rows_a_tile))
+    members = written(groups.join(roots.withColumnRenamed("u", "s"), "s", "left").withColumn("root", F.coalesce("root", "s")))
+    least = written(members.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("m")))
+    of_set = written(attach_weighted(members, least, ["root"], "m").select("s", "n", "component_id", "root"))
+    return attach_weighted(rows.select("doc_id", "s"), of_set, ["s"], "n").select("doc_id", "s", "component_id", "root")
+
+
+def keep_one_alike(docs: DataFrame, shingle: int = SHINGLE, bar: float = BAR, rows_a_tile: int = ROWS_A_TILE) -> DataFrame:
+    """One row of `docs` for every component of like texts: that of the smallest doc_id; of rows that share it, any.
+
+    Groups without any id keep one row of their smallest set.
+    """
+    rarity = docs.sparkSession.sparkContext.broadcast(rarity_classes(docs))
+    found = written(near_copies(docs, rarity, shingle, bar, rows_a_tile))
+    stays = written(found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    once = docs.join(stays.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    often = docs.join(stays.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = found.filter("component_id IS NULL").select(F.col("root").alias("s")).distinct()
+    rows = docs.filter("doc_id IS NULL").select(F.struct(*docs.columns).alias("row"), "text")
+    without_id = with_sets(rows, rarity, shingle, bar, "row").select("row", "s").join(nameless, "s", "left_semi")
+    return once.unionByName(often).unionByName(without_id.dropDuplicates(["s"]).select("row.*"))

@@ -1,0 +1,77 @@
+"""The near-dedup stage against brute force on planted near copies."""
+
+import os
+import random
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline  # noqa: E402
+from larkspur.llm.near_documents import keep_one_alike  # noqa: E402
+
+
+def shingles(text, k=5):
+    w = (text or "").lower().split()
+    return frozenset(" ".join(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([" ".join(w)] if w else [])
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def kept(texts):
+    """Smallest id of every component."""
+    sets, root = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and jaccard(sets[i], sets[j]) >= 0.8 - 1e-9:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {i for i in root if root[i] == i}
+
+
+def planted():
+    """Texts with copies at 0.8 to 0.95, below the bar, equal, short, empty, and a group around one text."""
+    draw, texts, near = random.Random(11), {}, []
+    for _ in range(60):
+        words = [f"w{draw.randrange(3000)}" for _ in range(draw.randint(60, 400))]
+        texts[len(texts)] = " ".join(words)
+        other = words.copy()
+        for _ in range(draw.randint(1, max(1, len(words) // 45))):
+            other[draw.randrange(len(other))] = f"x{draw.randrange(10**6)}"
+        texts[len(texts)] = " ".join(other).upper()
+        near.append((len(texts) - 2, len(texts) - 1))
+    base = [f"b{k}" for k in range(200)]
+    for k in range(40):  # a group of like texts
+        other = base.copy()
+        other[draw.randrange(200)] = f"y{k}"
+        texts[len(texts)] = " ".join(other)
+    for t in ("a b c", "A b  c", "a b d", "", None, "one two three four five", "one two three four five six"):
+        texts[len(texts)] = t
+    return texts, near
+
+
+@pytest.mark.parametrize("tile", [3])
+def test_one_of_every_group_at_the_bar(spark, tile):
+    texts, near = planted()
+    sets = {i: shingles(t) for i, t in texts.items()}
+    at_bar = [j for i, j in near if 0.8 <= jaccard(sets[i], sets[j]) <= 0.95]
+    assert len(at_bar) > 20 and any(jaccard(sets[i], sets[j]) < 0.8 for i, j in near)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    got = sorted(r["doc_id"] for r in keep_one_alike(docs, rows_a_tile=tile).collect())
+    assert got == sorted(kept(texts)) and not set(at_bar) & set(got)
+
+
+def test_the_stage(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, tables).collect()) == sorted(kept(texts))
