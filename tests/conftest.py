@@ -11,9 +11,3 @@ from larkspur.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     return local_session(8, 4)
-
-
-def rows(df, *columns):
-    """Sorted tuples of a result."""
-    df = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from larkspur.functions import text as t
 from larkspur.functions.logtext import extract_metrics, metric_map
 from larkspur.operators.scoring import judge_gate

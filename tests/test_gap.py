@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from larkspur.operators import gap
 
 

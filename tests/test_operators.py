@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from larkspur.operators import (
     checks, evaluation, frames, registry, scoring, search, similarity, telemetry, training)
 

@@ -6,7 +6,7 @@ import statistics
 
 import pytest
 
-from conftest import rows
+from comparing import rows
 from larkspur.plans import order_stats as o
 
 

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from conftest import rows
+from comparing import rows
 from larkspur.plans import shared
 
 

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import rows
+from comparing import rows
 from larkspur.operators.search import attempt_wins
 from larkspur.sources import configs, manifests, pairs, reports, trees
 

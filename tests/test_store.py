@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from comparing import rows
 from larkspur.operators.frames import frame_meta, make_frames
 from larkspur.operators.gap import gap_report
 from larkspur.operators.registry import lineage, version_history

@@ -1,6 +1,6 @@
 import json
 
-from conftest import rows
+from comparing import rows
 from larkspur import schemas
 from larkspur.operators.telemetry import (
     kpi_vs_target, loop_points, status_transitions, terminal_report, token_cost)
