@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
-from conftest import odd_rows  # noqa: E402
+from oddities import odd_rows  # noqa: E402
 from larkspur.llm.catalog import tokenizer_file  # noqa: E402
 from larkspur.llm.exact_dedup import exact_dedup  # noqa: E402
 from larkspur.llm.language_id import language_of  # noqa: E402
