@@ -148,3 +148,9 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op3_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.suffix_tree import score_texts
     return score_texts(documents(spark, sf))
+
+
+@query("op12_embedding_near")
+def op12_embedding_near(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.embedding_near import near_embeddings
+    return near_embeddings(spark.read.parquet(f"{sf}/embeddings.parquet"))
