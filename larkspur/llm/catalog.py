@@ -154,3 +154,9 @@ def op3_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
 def op12_embedding_near(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.embedding_near import near_embeddings
     return near_embeddings(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.alignment import align_digests
+    return align_digests(documents(spark, sf), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
