@@ -160,3 +160,35 @@ def op12_embedding_near(spark: SparkSession, sf: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.alignment import align_digests
     return align_digests(documents(spark, sf), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query("op11_collocations", r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+s AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) v(k)),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM s GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 100),
+cuts AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS j FROM c),
+sides AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, n.n, (1000::HUGEINT * a * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts JOIN n ON n.lang = cuts.lang
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')),
+best AS (SELECT lang, phrase, a, l, r, n, score FROM sides
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_words AS (SELECT lang, k, a, ws, unnest(range(1, k + 1)) AS i FROM c),
+parts AS (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM inner_words, (VALUES (2), (3), (4)) v(m)
+  WHERE m < k AND i + m - 1 <= k),
+held AS (SELECT lang, phrase, max(a) AS longer FROM parts GROUP BY ALL),
+ranks AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+  FROM best LEFT JOIN held ON held.lang = best.lang AND held.phrase = best.phrase
+  WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranks WHERE rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    from larkspur.llm.phrases import collocations
+    return collocations(documents(spark, sf))

@@ -65,6 +65,18 @@ def blocks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, list[
         first = last
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Non-negative numbers in as few bytes each as hold the largest; the first byte says how many that is."""
+    most = int(x.max()) if len(x) else 0
+    size = next(s for s in (1, 2, 4, 8) if most < 1 << 8 * s)
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def unpacked(blob: bytes | pa.Buffer) -> np.ndarray:
+    x = np.frombuffer(blob, np.uint8)
+    return x[1:].view(f"<u{int(x[0])}").astype(np.int64)
+
+
 CHUNK = 1 << 14
 
 

@@ -36,9 +36,9 @@ def test_equals_sql(spark, tables, name):
     assert difference(spark, oracle(tables), tables, name) is None
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry_point.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
 
 
 def test_packing(result, texts):
