@@ -7,8 +7,9 @@ and models; each has an SQL twin.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def write_files(names: DataFrame, root: str) -> int:
+    """Put a small file under `root` for every row of (rel), by the executors; returns how many."""
+    at = root if "://" in root else "file://" + root.removeprefix("file:")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs as files
+        store, inside = files.FileSystem.from_uri(at)
+        for b in batches:
+            rels = b["rel"].to_pylist()
+            for folder in {r.rpartition("/")[0] for r in rels}:
+                store.create_dir(f"{inside}/{folder}")
+            for r in rels:
+                with store.open_output_stream(f"{inside}/{r}") as out:
+                    out.write(r.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([len(rels)], pa.int64())], names=["n"])
+
+    return names.select("rel").mapInArrow(put, "n bigint").agg(F.sum("n")).collect()[0][0] or 0
+
+
 def r6(c):
     return F.round(c, 6)
 

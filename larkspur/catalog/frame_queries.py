@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.catalog.base import (
-    FRAMES, PAIRS, SCORED, frames, manifest, pairs, query, r6, scores, table)
+    FRAMES, PAIRS, SCORED, frames, manifest, pairs, query, r6, scores, table, write_files)
 from larkspur.functions.text import (
     basename, first_url, path_segment, run_id_of, truthy, version_of)
 from larkspur.operators import checks, gap, scoring, training
@@ -84,22 +84,46 @@ def tree_files(spark, sf):
         F.timestamp_seconds(F.col("doc_id")).alias("modificationTime"), F.split(rel, "/").alias("parts"))
 
 
+def tree_root(spark, sf):
+    """The files of the listing, written to the shared folder by the executors; each holds its own name."""
+    root = scratch_path(spark, "tree")
+    files = tree_files(spark, sf).select(F.array_join("parts", "/").alias("rel"))
+    return root, write_files(files, root)
+
+
+def listed_tree(spark, sf):
+    root, _ = tree_root(spark, sf)
+    rows = trees.list_tree(spark, root)
+    return rows.withColumn("path", F.concat(F.lit("/tree/"), F.array_join("parts", "/")))
+
+
 @query("list_labeled_tree", f"WITH {TREE} SELECT path, kind, texture, defect, label FROM tree")
 def _list_labeled_tree(spark, sf):
-    return trees.labeled_tree(tree_files(spark, sf)).select("path", "kind", "texture", "defect", "label")
+    return trees.labeled_tree(listed_tree(spark, sf)).select("path", "kind", "texture", "defect", "label")
 
 
 @query("list_training_tree", f"""WITH {TREE}
 SELECT '/tree/' || rel AS uri, CASE lang WHEN 'en' THEN lang || (n_chars % 3) ELSE 'clean' END AS label, 'real' AS origin
 FROM files WHERE lang IN ('en', 'fr') AND n_chars % 4 <> 3""")
 def _list_training_tree(spark, sf):
-    return trees.training_tree(tree_files(spark, sf))
+    return trees.training_tree(listed_tree(spark, sf))
 
 
 @query("count_masks", f"""WITH {TREE}
 SELECT texture, defect, count(*) AS masks FROM tree WHERE kind = 'mask' GROUP BY ROLLUP (texture, defect)""")
 def _count_masks(spark, sf):
-    return trees.mask_counts(trees.labeled_tree(tree_files(spark, sf)))
+    return trees.mask_counts(trees.labeled_tree(listed_tree(spark, sf)))
+
+
+@query("register_real", f"""WITH {TREE} SELECT label, count(*) AS have, 1 AS versions FROM tree GROUP BY label""")
+def _register_real(spark, sf):
+    """A labelled tree of files becomes the first version; registering it again finds that version."""
+    root, _ = tree_root(spark, sf)
+    store = vs.VersionStore(spark, scratch_path(spark, "real-store"))
+    first, _ = store.register_real("documents", "v1-real", root)
+    again, counts = store.register_real("documents", "v1-real", root)
+    versions = store.versions().where(F.col("version_id").isin(first, again)).agg(F.count(F.lit(1)).cast("int"))
+    return counts.select("label", "have", versions.scalar().alias("versions"))
 
 
 @query("list_runs", "SELECT source AS run_id, max(doc_id) AS last_modified FROM documents GROUP BY 1")
@@ -113,27 +137,47 @@ def _latest_run(spark, sf):
     return trees.latest_run(tree_files(spark, sf))
 
 
-@query("read_manifest", f"""WITH {FRAMES}
-SELECT run_id, uri, anomaly_type FROM frames WHERE doc_id IN (SELECT doc_id FROM labels)""")
+@query("read_manifest", f"""WITH {SCORED}
+SELECT run_id, uri AS output_filename, anomaly_type, CASE WHEN vno % 2 = 0 THEN guardrail_pass ELSE '1' END AS guardrail_pass
+FROM scored WHERE doc_id IN (SELECT doc_id FROM labels)""")
 def _read_manifest(spark, sf):
+    """Manifests of runs, written with two different headers and read by each file's own; rows whose file is listed stay."""
+    root = scratch_path(spark, "manifests")
+    rows = manifest(spark, sf).select("run_id", "vno", "output_filename", "anomaly_type", "guardrail_pass")
+    wide = [F.lit(None).cast("string").alias(f"x{i}") for i in range(70)]
+    written = {"even": rows.where("vno % 2 = 0").select("run_id", *wide, "guardrail_pass", "anomaly_type", "output_filename"),
+               "odd": rows.where("vno % 2 = 1").select("run_id", "output_filename", "anomaly_type")}
+    for name, part in written.items():
+        part.write.partitionBy("run_id").option("header", True).csv(f"{root}/{name}")
+    back = manifests.read_manifest(spark, f"{root}/*/*").withColumn("run_id", F.replace("run_id", F.lit("run_id="), F.lit("")))
     listed = scores(spark, sf).select(F.array("run_id", "base").alias("parts"), F.col("base").alias("path"))
-    rows = frames(spark, sf).select("run_id", "uri", "anomaly_type")
-    return trees.existing(rows, "uri", listed)
+    return trees.existing(back, "output_filename", listed).select("run_id", "output_filename", "anomaly_type", "guardrail_pass")
 
 
 @query("read_scores", """
-SELECT event_type AS run_id, user_id AS key, arg_max(value, event_id) AS nn_score FROM events GROUP BY 1, 2""")
+SELECT event_type AS run_id, user_id AS key, arg_max(value, event_id) AS nn_score FROM events WHERE event_id % 7 <> 0 GROUP BY 1, 2""")
 def _read_scores(spark, sf):
+    """Score files, one a run, written with many columns before the score, unusable scores among them; the last of a key counts."""
+    root = scratch_path(spark, "scores")
+    value = F.when(F.col("event_id") % 7 == 0, "nan").otherwise(F.col("value").cast("string"))
     rows = table(spark, sf, "events").select(
-        F.col("event_type").alias("run_id"), F.col("user_id").alias("key"),
-        F.col("event_id").alias("ordinal"), F.col("value").alias("nn_score"))
-    return manifests.last_per_key(rows, "key")
+        "event_type", "event_id", *[F.lit("-").alias(f"x{i}") for i in range(66)],
+        F.concat(F.lit("/out/"), "event_type", F.lit("/"), F.col("event_id").cast("string")).alias("path"),
+        F.col("user_id").alias("sample_index"), value.alias("nn_score"))
+    rows.repartition("event_type").sortWithinPartitions("event_type", "event_id").drop("event_id").write.partitionBy(
+        "event_type").option("header", True).csv(root)
+    found = manifests.read_scores(spark, f"{root}/*")
+    return found.withColumn("run_id", F.replace("run_id", F.lit("event_type="), F.lit("")))
 
 
-@query("read_catalog", "SELECT source || '+' || lang AS defect_type, min(doc_id) AS ord FROM documents GROUP BY 1")
+@query("read_catalog", "SELECT DISTINCT source || '+' || lang AS defect_type FROM documents")
 def _read_catalog(spark, sf):
-    return manifests.catalog(frames(spark, sf).select(
-        F.col("anomaly_type").alias("defect_type"), F.col("doc_id").alias("ord")))
+    """Specifications as JSON lines, broken ones among them, back as distinct types."""
+    root = scratch_path(spark, "catalog")
+    spec = F.to_json(F.struct(F.col("anomaly_type").alias("defect_type"), "doc_id"))
+    rows = frames(spark, sf).select(F.explode(F.array(spec, F.substring(spec, 1, 12), F.lit('{"other": 1}'))).alias("value"))
+    rows.write.text(root)
+    return manifests.read_catalog(spark, root).select("defect_type")
 
 
 @query("config_instances", "SELECT conv_id, CAST(turn AS BIGINT) AS position, role, length(text) AS chars FROM conversations")

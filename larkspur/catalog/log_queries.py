@@ -26,18 +26,18 @@ CONSOLE = EVENTS + """,
 console AS (
   SELECT user_id AS task_id, event_id AS line_no, k, vt, event_type, CASE event_type
       WHEN 'click' THEN 'PROBE:uid=' || k || ' gid=' || event_id
-      WHEN 'view' THEN 'x PROBE:gpu=' || CASE WHEN k % 5 = 0 THEN 'NONE (tool missing)' ELSE 'Model ' || k END
-      WHEN 'purchase' THEN 'PROBE:shm=' || k || CASE WHEN k % 2 = 0 THEN 'M' ELSE 'G' END
-      WHEN 'error' THEN 'PROBE:workspace_exists=' || CASE WHEN k % 3 = 0 THEN 'no' ELSE 'yes' END || ' workspace_writable=yes'
+      WHEN 'view' THEN 'x PROBE:card=' || CASE WHEN k % 5 = 0 THEN 'NONE (tool missing)' ELSE 'Model ' || k END
+      WHEN 'purchase' THEN 'PROBE:ram=' || k || CASE WHEN k % 2 = 0 THEN 'M' ELSE 'G' END
+      WHEN 'error' THEN 'PROBE:disk_found=' || CASE WHEN k % 3 = 0 THEN 'no' ELSE 'yes' END || ' disk_open=yes'
       ELSE 'step ' || vt END AS line
   FROM ev),
 found AS (
   SELECT task_id, 'uid' AS key, CAST(k AS VARCHAR) AS value, line_no FROM console WHERE event_type = 'click'
   UNION ALL SELECT task_id, 'gid', CAST(line_no AS VARCHAR), line_no FROM console WHERE event_type = 'click'
-  UNION ALL SELECT task_id, 'gpu', substr(line, 13), line_no FROM console WHERE event_type = 'view'
-  UNION ALL SELECT task_id, 'shm', substr(line, 11), line_no FROM console WHERE event_type = 'purchase'
-  UNION ALL SELECT task_id, 'workspace_exists', CASE WHEN k % 3 = 0 THEN 'no' ELSE 'yes' END, line_no FROM console WHERE event_type = 'error'
-  UNION ALL SELECT task_id, 'workspace_writable', 'yes', line_no FROM console WHERE event_type = 'error'),
+  UNION ALL SELECT task_id, 'card', substr(line, 14), line_no FROM console WHERE event_type = 'view'
+  UNION ALL SELECT task_id, 'ram', substr(line, 11), line_no FROM console WHERE event_type = 'purchase'
+  UNION ALL SELECT task_id, 'disk_found', CASE WHEN k % 3 = 0 THEN 'no' ELSE 'yes' END, line_no FROM console WHERE event_type = 'error'
+  UNION ALL SELECT task_id, 'disk_open', 'yes', line_no FROM console WHERE event_type = 'error'),
 markers AS (SELECT task_id, key, arg_max(value, line_no) AS value FROM found GROUP BY 1, 2)"""
 
 
@@ -46,11 +46,11 @@ def console(spark, sf):
     ks = k.cast("string")
     line = (
         F.when(kind == "click", F.concat(F.lit("PROBE:uid="), ks, F.lit(" gid="), F.col("event_id").cast("string")))
-        .when(kind == "view", F.concat(F.lit("x PROBE:gpu="), F.when(
+        .when(kind == "view", F.concat(F.lit("x PROBE:card="), F.when(
             k % 5 == 0, F.lit("NONE (tool missing)")).otherwise(F.concat(F.lit("Model "), ks))))
-        .when(kind == "purchase", F.concat(F.lit("PROBE:shm="), ks, F.when(k % 2 == 0, "M").otherwise("G")))
-        .when(kind == "error", F.concat(F.lit("PROBE:workspace_exists="), F.when(
-            k % 3 == 0, "no").otherwise("yes"), F.lit(" workspace_writable=yes")))
+        .when(kind == "purchase", F.concat(F.lit("PROBE:ram="), ks, F.when(k % 2 == 0, "M").otherwise("G")))
+        .when(kind == "error", F.concat(F.lit("PROBE:disk_found="), F.when(
+            k % 3 == 0, "no").otherwise("yes"), F.lit(" disk_open=yes")))
         .otherwise(F.concat(F.lit("step "), F.col("vt"))))
     return events(spark, sf).select(
         F.col("user_id").alias("task_id"), F.col("event_id").alias("line_no"), line.alias("line"))
@@ -62,19 +62,19 @@ def _probe_markers(spark, sf):
 
 
 @query("expectation_report", f"""WITH {CONSOLE},
-want AS (SELECT unnest(['gpu', 'workspace_exists', 'workspace_writable', 'shm', 'ngc_key_present', 'hf_token_present']) AS key),
+want AS (SELECT unnest(['card', 'disk_found', 'disk_open', 'ram', 'login_known', 'token_known']) AS key),
 joined AS (SELECT t.task_id, w.key, m.value FROM (SELECT DISTINCT task_id FROM console) t CROSS JOIN want w
   LEFT JOIN markers m ON m.task_id = t.task_id AND m.key = w.key)
 SELECT task_id, key, coalesce(value, '(not reported)') AS got,
-  CASE WHEN CASE key WHEN 'gpu' THEN coalesce(value, '') <> '' AND upper(value) NOT LIKE '%NONE%'
-    WHEN 'shm' THEN upper(coalesce(value, '')) LIKE '%G' OR upper(coalesce(value, '')) LIKE '%T'
+  CASE WHEN CASE key WHEN 'card' THEN coalesce(value, '') <> '' AND upper(value) NOT LIKE '%NONE%'
+    WHEN 'ram' THEN upper(coalesce(value, '')) LIKE '%G' OR upper(coalesce(value, '')) LIKE '%T'
     ELSE coalesce(value, '') = 'yes' END THEN 'PASS' ELSE 'FAIL' END AS verdict FROM joined""")
 def _expectation_report(spark, sf):
     lines = console(spark, sf)
     tasks = lines.select("task_id").distinct()
-    rules = {"gpu": "present", "shm": ">=1G"}
+    rules = {"card": "present", "ram": ">=1G"}
     wanted = [(k, rules.get(k, "yes"), f"see to {k}") for k in (
-        "gpu", "workspace_exists", "workspace_writable", "shm", "ngc_key_present", "hf_token_present")]
+        "card", "disk_found", "disk_open", "ram", "login_known", "token_known")]
     report = telemetry.expectation_report(telemetry.probe_markers(lines), tasks, wanted)
     return report.select("task_id", "key", "got", "verdict")
 
@@ -170,7 +170,8 @@ replies AS (
   SELECT conv_id, turn, length(response) AS n, CASE length(response) % 5
     WHEN 0 THEN 'ok: {"present": true, "confidence": 0.' || (length(response) % 10) || ', "reason": "seen"} bye'
     WHEN 1 THEN CASE WHEN length(response) % 2 = 0 THEN '{"present": true, "confidence": "0.7"}' ELSE '{"present": true, "confidence": "high"}' END
-    WHEN 2 THEN '{"present": "false", "confidence": 0.9}'
+    WHEN 2 THEN CASE length(response) % 4 WHEN 0 THEN '{"present": true, "confidence": "NaN"}'
+      WHEN 1 THEN '{"present": true, "confidence": 1.5}' ELSE '{"present": "false", "confidence": 0.9}' END
     WHEN 3 THEN response ELSE '{"present": true, "confidence": ' END AS text
   FROM pairs)"""
 
@@ -182,20 +183,23 @@ def replies(spark, sf):
                                     F.lit(', "reason": "seen"} bye')))
         .when((n % 5 == 1) & (n % 2 == 0), '{"present": true, "confidence": "0.7"}')
         .when(n % 5 == 1, '{"present": true, "confidence": "high"}')
+        .when((n % 5 == 2) & (n % 4 == 0), '{"present": true, "confidence": "NaN"}')
+        .when((n % 5 == 2) & (n % 4 == 1), '{"present": true, "confidence": 1.5}')
         .when(n % 5 == 2, '{"present": "false", "confidence": 0.9}')
         .when(n % 5 == 3, F.col("response")).otherwise('{"present": true, "confidence": '))
     return pairs(spark, sf).select("conv_id", "turn", text.alias("text"))
 
 
 @query("judge_gate", f"""WITH {VERDICTS}
-SELECT conv_id, turn, n % 5 = 0 OR n % 10 = 6 AS present, n % 5 IN (3, 4) OR n % 10 = 1 AS error, (n % 5 = 0 AND n % 10 >= 6) OR n % 10 = 6 AS accepted FROM replies""")
+SELECT conv_id, turn, n % 5 = 0 OR n % 10 = 6 AS present, n % 5 IN (3, 4) OR n % 10 = 1 OR (n % 5 = 2 AND n % 4 < 2) AS error, (n % 5 = 0 AND n % 10 >= 6) OR n % 10 = 6 AS accepted FROM replies""")
 def _judge_gate(spark, sf):
     return scoring.judge_gate(replies(spark, sf)).select("conv_id", "turn", "present", "error", "accepted")
 
 
 @query("parse_verdict", f"""WITH {VERDICTS}
-SELECT conv_id, turn, CASE n % 5 WHEN 0 THEN CAST('0.' || (n % 10) AS DOUBLE) WHEN 1 THEN CASE WHEN n % 2 = 0 THEN 0.7::DOUBLE ELSE 0.0::DOUBLE END WHEN 2 THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
+SELECT conv_id, turn, CASE n % 5 WHEN 0 THEN CAST('0.' || (n % 10) AS DOUBLE) WHEN 1 THEN CASE WHEN n % 2 = 0 THEN 0.7::DOUBLE ELSE 0.0::DOUBLE END WHEN 2 THEN CASE WHEN n % 4 < 2 THEN 0.0 ELSE 0.9 END::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
   CASE n % 5 WHEN 0 THEN 'seen' WHEN 1 THEN CASE WHEN n % 2 = 0 THEN '' ELSE 'malformed JSON: ' || text END WHEN 3 THEN 'no JSON in reply: ' || trim(substr(text, 1, 120), E' \\t\\n')
+    WHEN 2 THEN CASE WHEN n % 4 < 2 THEN 'malformed JSON: ' || text ELSE '' END
     WHEN 4 THEN 'no JSON in reply: ' || trim(text, ' ') ELSE '' END AS reason FROM replies""")
 def _parse_verdict(spark, sf):
     return scoring.judge_gate(replies(spark, sf)).select("conv_id", "turn", "confidence", "reason")

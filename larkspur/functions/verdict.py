@@ -15,7 +15,8 @@ def parse_verdict(reply: Column) -> Column:
 
     Anything unreadable is a rejection with `error` set. A `present` that is
     not a JSON boolean reads as null and therefore rejects as well; a
-    `confidence` that is no number is an error.
+    `confidence` that is no number from 0 to 1 (NaN and infinity included) is
+    an error.
     """
     text = F.coalesce(reply, F.lit(""))
     blob = F.regexp_extract(text, r"(?s)\{.*\}", 0)
@@ -23,7 +24,9 @@ def parse_verdict(reply: Column) -> Column:
     # a confidence may be a number or a number in quotes; absent counts as 0
     said = F.get_json_object(blob, "$.confidence")
     confidence = said.try_cast("double")
-    valid = F.try_parse_json(blob).isNotNull() & (blob != "") & (said.isNull() | confidence.isNotNull())
+    # NaN is larger than any number, so the upper bound keeps it out too
+    fits = F.coalesce((confidence >= 0) & (confidence <= 1), F.lit(False))
+    valid = F.try_parse_json(blob).isNotNull() & (blob != "") & (said.isNull() | fits)
     why = F.when(blob == "", F.concat(
         F.lit("no JSON in reply: "), strip_ws(F.substring(text, 1, 120)))).otherwise(
         F.concat(F.lit("malformed JSON: "), F.substring(blob, 1, 120)))

@@ -1,15 +1,22 @@
-"""An immutable, parented version store on plain Parquet.
-
-Layout below `root`: content/version_id=X/ is written once, stats/version_id=X/
-holds its counts, and a row appended to versions/ is the commit marker. It goes
-last, so a failed publish leaves an invisible folder and a retry takes a new id.
-One writer per dataset is assumed.
+"""An immutable, parented version store on plain Parquet, for several writers.
+
+Layout below `root`: content/version_id=X/add=N/ is written once per batch of
+frames, stats/<id>/ holds a version's counts, and log/ has one entry for every
+draft, publish and abort. A version is what its last entry says. The entry goes
+last, so a failed publish leaves an invisible folder.
+
+Writers need not know of each other. A version that was built on a parent which
+is no longer the newest is moved on top of the newest when it is published: its
+frames stay as they are, only lineage and counts are derived again, so nothing is
+lost and versions have one order. It is refused if the other writer published
+runs that it holds too, or took its name.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +24,7 @@ from pyspark.sql import functions as F
 from larkspur import schemas
 from larkspur.functions.text import basename
 from larkspur.operators.frames import frame_meta, make_frames, version_stats
+from larkspur.plans.commit_log import CommitLog, Conflict, put_if_absent
 from larkspur.plans.shared import cut
 from larkspur.sources.trees import list_labeled_tree
 
@@ -109,20 +117,106 @@ def label_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
 # ---- the store --------------------------------------------------------------
 
+_ENTRY = ("action string, version_id string, dataset_id string, dataset string, name string, parent_id string, "
+          "comment string, created_us bigint, lineage array<string>, stats string")
+#: rows of a version's counts that its own frames add; the others are the parent's
+_STATS = ["dimension", "name", "count"]
+
+
+class Draft:
+    """A version that nobody reads yet. Frames may be added in several batches; it ends by `publish` or `abort`."""
+
+    def __init__(self, store: VersionStore, row: dict, framed: bool):
+        self.store, self.row, self.framed = store, row, framed
+        self.version_id, self.rows, self._adds, self._open = row["version_id"], 0, 0, True
+
+    def add(self, rows: DataFrame) -> int:
+        """Write one batch; returns its number of rows, counted while they are written."""
+        self._still_open()
+        seen = Observation()
+        target = f"{self.store.root}/content/version_id={self.version_id}/add={self._adds}"
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+        written = self.store.spark.read.parquet(target).count()  # from the files' footers
+        if written != seen.get["rows"]:
+            raise PublishError(f"{self.row['name']}: wrote another number of rows than were given")
+        self._adds += 1
+        self.rows += written
+        return written
+
+    def publish(self, name: Callable[[], str] | None = None) -> str:
+        """Make it visible, on top of the dataset's newest version if it has a parent; returns its id."""
+        self._still_open()
+        own = self.store._own_stats(self.version_id, self.framed and self.rows > 0, self.rows)
+        stats: dict[str | None, str] = {}
+
+        def decide(_: int) -> dict:
+            row = dict(self.row)
+            if row["parent_id"] is not None:
+                parent = self.store.latest(row["dataset"])
+                if parent["version_id"] != row["parent_id"]:
+                    self.store._refuse_common_runs(own, row["parent_id"], parent)
+                    row["parent_id"] = parent["version_id"]
+                row["lineage"] = [self.version_id, *parent["lineage"]]
+            if name is not None:
+                row["name"] = name()
+            self.store._refuse_taken_name(row["dataset"], row["name"], self.version_id)
+            if row["parent_id"] not in stats:
+                stats[row["parent_id"]] = self.store._write_stats(own, row["parent_id"])
+            return {**row, "action": "publish", "created_us": self.store._next_time(), "stats": stats[row["parent_id"]]}
+
+        self.row = self.store.log.append(decide)
+        self._open = False
+        return self.version_id
+
+    def abort(self) -> None:
+        """Give it up: its name is free again and its files go."""
+        self._still_open()
+        self._open = False
+        self.store.log.append(lambda _: {**self.row, "action": "abort", "created_us": self.store._next_time(), "stats": None})
+        self.store._delete(f"{self.store.root}/content/version_id={self.version_id}")
+
+    def _still_open(self) -> None:
+        if not self._open:
+            raise PublishError(f"{self.row['name']} has been published or aborted")
+
+
 class VersionStore:
     """Reads and writes one store; every method with a write runs jobs."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        for name, ddl in (("versions", schemas.VERSION), ("models", schemas.MODEL)):
-            spark.createDataFrame([], ddl).write.mode("ignore").parquet(f"{self.root}/{name}")
+        self.log = CommitLog(spark, f"{self.root}/log", _ENTRY)
+        self._mkdirs(f"{self.root}/models")
+
+    # files
+    def _path(self, path: str):
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
+    def _mkdirs(self, path: str) -> None:
+        fs, at = self._path(path)
+        fs.mkdirs(at)
+
+    def _delete(self, path: str) -> None:
+        fs, at = self._path(path)
+        fs.delete(at, True)
 
     # reading
+    def _state(self) -> DataFrame:
+        """The last entry of every version that was not aborted."""
+        entries = self.log.entries()
+        last = entries.groupBy("version_id").agg(
+            F.max_by(F.struct(*[c for c in entries.columns if c != "version_id"]), "entry").alias("e"))
+        return last.select("version_id", "e.*").where("action <> 'abort'")
+
     def versions(self) -> DataFrame:
-        return self.spark.read.schema(schemas.VERSION).parquet(f"{self.root}/versions")
+        """Published versions and drafts, in the columns of schemas.VERSION."""
+        return self._state().select(
+            "version_id", "dataset_id", "dataset", "name", "parent_id", "comment",
+            F.timestamp_micros("created_us").alias("created"), (F.col("action") == "publish").alias("published"), "lineage")
 
     def models(self) -> DataFrame:
-        return self.spark.read.schema(schemas.MODEL).parquet(f"{self.root}/models")
+        return self.spark.read.schema(schemas.MODEL).json(f"{self.root}/models")
 
     def latest(self, dataset: str):
         """The newest published version row of a dataset, or None."""
@@ -130,6 +224,10 @@ class VersionStore:
         found = rows.orderBy(F.desc("created"), F.desc("name")).limit(1).collect()
         return found[0] if found else None
 
+    def known(self, dataset: str) -> bool:
+        """Whether the dataset has any version, draft or published: tells `latest` None for "nothing yet" from "never heard of"."""
+        return not find_dataset(self.versions(), dataset).isEmpty()
+
     def named(self, dataset: str, name: str):
         found = self.versions().where(
             (F.col("dataset") == dataset) & (F.col("name") == name) & F.col("published")
@@ -141,17 +239,25 @@ class VersionStore:
         return rows.collect()[0]["next_name"]
 
     def own(self, version_id: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/content/version_id={version_id}").withColumn(
+        return self.spark.read.parquet(f"{self.root}/content/version_id={version_id}").drop("add").withColumn(
             "version_id", F.lit(version_id))
 
     def effective(self, version) -> DataFrame:
         """Own and inherited rows: only the folders of the lineage are listed."""
         paths = [f"{self.root}/content/version_id={v}" for v in version["lineage"]]
-        return (self.spark.read.option("basePath", f"{self.root}/content").parquet(*paths))
+        return self.spark.read.option("basePath", f"{self.root}/content").parquet(*paths).drop("add")
+
+    def _all_stats(self, version_id: str) -> DataFrame:
+        at = self._state().where(F.col("version_id") == version_id).select("stats").collect()
+        return self.spark.read.schema("dimension string, name string, count bigint").parquet(f"{self.root}/stats/{at[0][0]}")
 
     def stats(self, version_id: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/stats/version_id={version_id}").withColumn(
-            "version_id", F.lit(version_id))
+        """Counts of frames, labels and content types, inherited ones included."""
+        return self._all_stats(version_id).where("dimension <> 'runs'").withColumn("version_id", F.lit(version_id))
+
+    def runs(self, version_id: str) -> DataFrame:
+        """(run_id): runs that the version holds, its ancestors' included; from its stats, no frame is read."""
+        return self._all_stats(version_id).where("dimension = 'runs'").select(F.col("name").alias("run_id"))
 
     def label_counts(self, version_id: str) -> DataFrame:
         """(label, have) from the stats written at commit: no frame is read."""
@@ -159,47 +265,73 @@ class VersionStore:
             F.col("name").alias("label"), F.col("count").alias("have"))
 
     # writing
+    def _next_time(self) -> int:
+        """Microseconds now, and later than any entry's: the order of `created` is that of the log."""
+        last = self.log.entries().agg(F.max("created_us")).collect()[0][0] or 0
+        return max(int(time.time() * 1e6), last + 1)
+
+    def _refuse_taken_name(self, dataset: str, name: str, version_id: str) -> None:
+        if not self.versions().where((F.col("dataset") == dataset) & (F.col("name") == name)
+                                     & (F.col("version_id") != version_id)).isEmpty():
+            raise PublishError(f"{dataset} already has a version named {name}")
+
+    def _own_stats(self, version_id: str, framed: bool, rows: int) -> DataFrame:
+        total = self.spark.range(1).select(F.lit("frames").alias("dimension"), F.lit("total").alias("name"),
+                                           F.lit(rows).cast("bigint").alias("count"))
+        if not framed:
+            return total
+        own = self.own(version_id)
+        runs = own.where("run_id IS NOT NULL").groupBy(F.lit("runs").alias("dimension"), F.col("run_id").alias("name")).agg(
+            F.count(F.lit(1)).alias("count"))
+        return cut(version_stats(own).select(*_STATS).unionByName(runs))
+
+    def _write_stats(self, own: DataFrame, parent_id: str | None) -> str:
+        """The parent's counts plus the version's own, so a commit costs what it adds, not what the dataset holds."""
+        every = own if parent_id is None else own.unionByName(self._all_stats(parent_id).select(*_STATS))
+        name = uuid.uuid4().hex
+        every.groupBy("dimension", "name").agg(F.sum("count").alias("count")).write.parquet(f"{self.root}/stats/{name}")
+        return name
+
+    def _refuse_common_runs(self, own: DataFrame, base_id: str, parent) -> None:
+        """Raises if versions published since `base_id` hold a run of `own`."""
+        runs = own.where("dimension = 'runs'").select(F.col("name").alias("run_id"))
+        fresh = self.runs(parent["version_id"]).join(self.runs(base_id), "run_id", "left_anti")
+        common = [r[0] for r in runs.join(fresh, "run_id").limit(3).collect()]
+        if common:
+            raise Conflict(f"another writer has published {', '.join(common)}")
+
+    def draft(self, dataset: str, name: str, parent=None, comment: str = "", framed: bool = True) -> Draft:
+        """Start a version: the name is taken from now on, and readers do not see it."""
+        version_id = uuid.uuid4().hex
+        row = {"version_id": version_id, "dataset_id": uuid.uuid5(uuid.NAMESPACE_URL, dataset).hex, "dataset": dataset,
+               "name": name, "parent_id": parent["version_id"] if parent is not None else None, "comment": comment,
+               "lineage": [version_id, *(parent["lineage"] if parent is not None else [])]}
+
+        def decide(_: int) -> dict:
+            self._refuse_taken_name(dataset, name, version_id)
+            return {**row, "action": "draft", "created_us": self._next_time(), "stats": None}
+
+        self.log.append(decide)
+        return Draft(self, row, framed)
+
     def publish(self, dataset: str, name: str, rows: DataFrame, parent=None,
                 comment: str = "", published: bool = True, framed: bool = True,
                 skip_empty: bool = False) -> str | None:
         """Write a version and make it visible; returns its id.
 
         `rows` is evaluated once. With `skip_empty`, no rows means no version
-        and None. Stats are the parent's plus those of the new rows, so a commit costs
-        what it adds, not what the dataset holds.
+        and None. Without `published` it stays a draft.
         """
-        if self.versions().where((F.col("dataset") == dataset) & (F.col("name") == name)).limit(1).count():
-            raise PublishError(f"{dataset} already has a version named {name}")
-        version_id = uuid.uuid4().hex
-        seen = Observation()
-        target = f"{self.root}/content/version_id={version_id}"
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
-        if skip_empty and seen.get["rows"] == 0:
-            return None
-        written = self.spark.read.parquet(target)
-        if written.count() != seen.get["rows"]:
-            raise PublishError(f"{name}: wrote another number of rows than were given")
-        if framed:
-            added = version_stats(written.withColumn("version_id", F.lit(version_id)))
-        else:
-            added = written.groupBy().agg(F.count(F.lit(1)).alias("count")).select(
-                F.lit(version_id).alias("version_id"), F.lit("frames").alias("dimension"),
-                F.lit("total").alias("name"), "count")
-        if parent is not None:
-            added = added.unionByName(self.stats(parent["version_id"]).select(added.columns))
-        stats = added.groupBy("dimension", "name").agg(F.sum("count").alias("count"))
-        stats.write.parquet(f"{self.root}/stats/version_id={version_id}")
-        dataset_id = uuid.uuid5(uuid.NAMESPACE_URL, dataset).hex
-        lineage = [version_id, *(parent["lineage"] if parent is not None else [])]
-        row = self.spark.range(1).select(
-            F.lit(version_id).alias("version_id"), F.lit(dataset_id).alias("dataset_id"),
-            F.lit(dataset).alias("dataset"), F.lit(name).alias("name"),
-            F.lit(parent["version_id"] if parent is not None else None).cast("string").alias("parent_id"),
-            F.lit(comment).alias("comment"), F.current_timestamp().alias("created"),
-            F.lit(published).alias("published"),
-            F.array(*[F.lit(x) for x in lineage]).alias("lineage"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
-        return version_id
+        draft = self.draft(dataset, name, parent, comment, framed)
+        try:
+            if draft.add(rows) == 0 and skip_empty:
+                draft.abort()
+                return None
+            return draft.publish() if published else draft.version_id
+        except Exception:
+            if draft._open:
+                draft.abort()
+            raise
 
     def register_model(self, name: str, version_id: str, training_rows: int,
                        synthetic_rows: int, threshold: float | None, accuracy: float | None,
@@ -220,11 +352,12 @@ class VersionStore:
             lit(training_rows, "bigint").alias("training_rows"),
             lit(synthetic_rows, "bigint").alias("synthetic_rows"),
             lit(threshold, "double").alias("threshold"), lit(accuracy, "double").alias("accuracy"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/models")
+        line = row.select(F.to_json(F.struct(*row.columns))).collect()[0][0]
+        put_if_absent(self.spark, f"{self.root}/models/{model_id}.json", f"{line}\n".encode())
         return model_id
 
     def register_real(self, dataset: str, name: str, root: str) -> tuple[str, DataFrame]:
-        """Publish a labelled file tree once; a second call returns what is there."""
+        """Publish a labelled file tree once; a second call, or a writer that comes second, gets what is there."""
         found = self.named(dataset, name)
         if found is None:
             tree = list_labeled_tree(self.spark, root)
@@ -232,29 +365,44 @@ class VersionStore:
                 F.col("path").alias("uri"), F.array("label").alias("labels"),
                 F.lit("real").alias("origin"), "texture", "defect", "kind",
                 F.lit(True).alias("verified"), F.lit(None).cast("string").alias("run_id"))
-            version_id = self.publish(dataset, name, make_frames(frame_meta(rows)))
-        else:
+            try:
+                version_id = self.publish(dataset, name, make_frames(frame_meta(rows)))
+            except PublishError:
+                found = self.named(dataset, name)
+                if found is None:
+                    raise
+        if found is not None:
             version_id = found["version_id"]
         return version_id, self.label_counts(version_id)
 
     def publish_run(self, dataset: str, rows: DataFrame, suffix: str,
-                    extras: Sequence[str] = (), comment: str = "") -> str | None:
+                    extras: Sequence[str] = (), comment: str = "", attempts: int = 5) -> str | None:
         """Publish gated rows as the next version; None when nothing is new.
 
         rows: (uri, label, origin, texture, defect, kind, generator, verified,
-        run_id, *extras). Runs the parent already holds are left out.
+        run_id, *extras). Runs the parent already holds are left out; when
+        another writer publishes some of them meanwhile, that is done again.
         """
-        parent = self.latest(dataset)
-        if parent is None:
-            raise PublishError("no published version to build on: register real data first")
-        # a written list of runs has a known size, so rows are not shuffled by run
-        held = cut(self.effective(parent).select("run_id").distinct())
-        fresh = skip_published_runs(rows, held)
-        framed = make_frames(frame_meta(
-            fresh.withColumns({"labels": F.array("label"),
-                               "parent_version": F.lit(parent["version_id"])}), extras))
-        return self.publish(dataset, f"{self.next_name(dataset)}-{suffix}", framed, parent, comment,
-                            skip_empty=True)
+        for turn in range(attempts):
+            parent = self.latest(dataset)
+            if parent is None:
+                raise PublishError("no published version to build on: register real data first")
+            # the runs come from the parent's stats, a table of known size, so rows are not shuffled by run
+            fresh = skip_published_runs(rows, self.runs(parent["version_id"]))
+            framed = make_frames(frame_meta(
+                fresh.withColumns({"labels": F.array("label"),
+                                   "parent_version": F.lit(parent["version_id"])}), extras))
+            draft = self.draft(dataset, f"draft-{uuid.uuid4().hex}", parent, comment)
+            try:
+                if draft.add(framed) == 0:
+                    draft.abort()
+                    return None
+                return draft.publish(lambda: f"{self.next_name(dataset)}-{suffix}")
+            except Exception as e:
+                if draft._open:
+                    draft.abort()
+                if not isinstance(e, Conflict) or turn + 1 == attempts:
+                    raise
 
 
 def frame_rows(frames: DataFrame) -> DataFrame:

@@ -15,8 +15,12 @@ MANIFEST_COLUMNS = [
 SCORE_COLUMNS = ["path", "anomaly_type", "nn_score", "sample_index", "index"]
 
 
-#: the widest header that is read
-MOST_COLUMNS = 64
+def _widest(spark: SparkSession, path: str) -> int:
+    """The most columns that the first line of any of the files can have."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("_file"), "value",
+                                         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"))
+    heads = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("head"))
+    return heads.agg(F.max(F.size(F.split("head", ",")))).collect()[0][0] or 1
 
 
 def _read_by_header(spark: SparkSession, path: str, names: list[str], absent: dict[str, str]) -> DataFrame:
@@ -26,7 +30,7 @@ def _read_by_header(spark: SparkSession, path: str, names: list[str], absent: di
     that file only. A multi-line CSV file is one task, so its rows have
     consecutive ids: the smallest is the header, and the distance to it is the row number.
     """
-    cells = [f"_c{i}" for i in range(MOST_COLUMNS)]
+    cells = [f"_c{i}" for i in range(_widest(spark, path))]
     raw = (spark.read.schema(", ".join(f"{c} string" for c in cells))
            .options(header=False, multiLine=True, escape='"').csv(path))
     rows = raw.select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"),

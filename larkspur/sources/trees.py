@@ -2,22 +2,71 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import basename
+from larkspur.plans.shared import cut
 
 # Folder names that carry the label, in order of precedence.
 ANOMALY, CLEAN, MASK = "anomaly_image", "clean_image", "mask"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, length, modificationTime, parts): `parts` are relative to `root`."""
+    """(path, length, modificationTime, parts): `parts` are relative to `root`. The driver lists the folders."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root).select("path", "length", "modificationTime"))
-    anchor = root.rstrip("/").split("://")[-1] + "/"
-    relative = F.substr("path", F.locate(anchor, F.col("path")) + F.lit(len(anchor)))
-    return files.withColumn("parts", F.split(relative, "/"))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    whole = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/") + "/"
+    return files.withColumn("parts", F.split(F.substr("path", F.lit(len(whole) + 1)), "/"))
+
+
+_LISTED = "path string, rel string, length bigint, modificationTime timestamp, is_folder boolean"
+
+
+def _children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What lies in each folder of (path, rel)."""
+    from pyarrow import fs as files
+    for b in batches:
+        for path, rel in zip(b["path"].to_pylist(), b["rel"].to_pylist()):
+            store, inside = files.FileSystem.from_uri(path)
+            found = store.get_file_info(files.FileSelector(inside, recursive=False))
+            scheme = path[:len(path) - len(inside)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([scheme + f.path for f in found], pa.string()),
+                pa.array([f"{rel}/{f.base_name}" if rel else f.base_name for f in found], pa.string()),
+                pa.array([f.size for f in found], pa.int64()),
+                pa.array([f.mtime for f in found], pa.timestamp("us", tz="UTC")),
+                pa.array([f.type == files.FileType.Directory for f in found], pa.bool_())],
+                names=["path", "rel", "length", "modificationTime", "is_folder"])
+
+
+def list_tree(spark: SparkSession, root: str, folders_a_task: int = 200) -> DataFrame:
+    """What `list_files` tells, with folders listed by executors, level by level.
+
+    Each level is a table of folders; its tasks list them and write what they
+    find, so neither files nor folders pass through the driver. `root` is a URI,
+    or a path of this machine, that pyarrow can open (file, hdfs, s3, gs).
+    Hidden files and folders, by a leading dot or underscore, are left out.
+    """
+    root = root if "://" in root else "file://" + os.path.abspath(root.removeprefix("file:"))
+    folders, levels = spark.createDataFrame([(root.rstrip("/"), "")], "path string, rel string"), []
+    while True:
+        found = cut(folders.mapInArrow(_children, _LISTED).where(~F.col("rel").rlike("(^|/)[._][^/]*$")))
+        levels.append(found.where("NOT is_folder"))
+        folders = found.where("is_folder").select("path", "rel")
+        n = folders.count()
+        if n == 0:
+            break
+        folders = folders.repartition(max(1, -(-n // folders_a_task)), "path")
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    return every.select("path", "length", "modificationTime", F.split("rel", "/").alias("parts"))
 
 
 def _has_suffix(path: Column, *suffixes: str) -> Column:
@@ -46,7 +95,7 @@ def labeled_tree(files: DataFrame) -> DataFrame:
 
 
 def list_labeled_tree(spark: SparkSession, root: str) -> DataFrame:
-    return labeled_tree(list_files(spark, root))
+    return labeled_tree(list_tree(spark, root))
 
 
 def training_tree(files: DataFrame) -> DataFrame:
@@ -62,7 +111,7 @@ def training_tree(files: DataFrame) -> DataFrame:
 
 
 def list_training_tree(spark: SparkSession, root: str) -> DataFrame:
-    return training_tree(list_files(spark, root))
+    return training_tree(list_tree(spark, root))
 
 
 def mask_counts(labeled: DataFrame) -> DataFrame:

@@ -82,31 +82,31 @@ def test_extract_metrics_one_row_per_metric(spark):
 
 def test_probe_markers(spark):
     lines = spark.createDataFrame([
-        ("a", 1, "PROBE:uid=10000 gid=10000"), ("a", 2, "x PROBE:gpu=Model A10 x"),
-        ("a", 3, "PROBE:shm=64M"), ("a", 4, "PROBE:shm=16G"), ("a", 5, "PROBE:odd"),
+        ("a", 1, "PROBE:uid=10000 gid=10000"), ("a", 2, "x PROBE:card=Model A10 x"),
+        ("a", 3, "PROBE:ram=64M"), ("a", 4, "PROBE:ram=16G"), ("a", 5, "PROBE:odd"),
         ("a", 6, "no marker"), ("a", 7, "PROBE:=x"), ("a", 8, "PROBE:k=a=b"),
         ("a", 9, "PROBE:p=1 PROBE:q=2")],
         "task_id string, line_no int, line string")
     got = dict((k, v) for _, k, v in rows(probe_markers(lines)))
-    assert got == {"uid": "10000", "gid": "10000", "gpu": "Model A10 x", "shm": "16G", "odd": "",
+    assert got == {"uid": "10000", "gid": "10000", "card": "Model A10 x", "ram": "16G", "odd": "",
                    "k": "a=b", "p": "1", "PROBE:q": "2"}
 
 
-EXPECTATIONS = [("gpu", "present", "a"), ("workspace_exists", "yes", "b"), ("workspace_writable", "yes", "c"),
-                ("shm", ">=1G", "d"), ("ngc_key_present", "yes", "e"), ("hf_token_present", "yes", "f")]
+EXPECTATIONS = [("card", "present", "a"), ("disk_found", "yes", "b"), ("disk_open", "yes", "c"),
+                ("ram", ">=1G", "d"), ("login_known", "yes", "e"), ("token_known", "yes", "f")]
 
 
 def test_expectations(spark):
     found = spark.createDataFrame([
-        ("a", "shm", "64M"), ("a", "gpu", "NONE (missing)"), ("a", "workspace_exists", "yes"),
-        ("b", "shm", "16g"), ("b", "gpu", "Model 1")], "task_id string, key string, value string")
+        ("a", "ram", "64M"), ("a", "card", "NONE (missing)"), ("a", "disk_found", "yes"),
+        ("b", "ram", "16g"), ("b", "card", "Model 1")], "task_id string, key string, value string")
     tasks = found.select("task_id").distinct()
     got = {(r["task_id"], r["key"]): r["verdict"] for r in expectation_report(found, tasks, EXPECTATIONS).collect()}
     assert len(got) == 2 * len(EXPECTATIONS)
-    assert got["a", "shm"] == "FAIL" and got["b", "shm"] == "PASS"
-    assert got["a", "gpu"] == "FAIL" and got["b", "gpu"] == "PASS"
-    assert got["a", "workspace_exists"] == "PASS"
-    assert got["b", "ngc_key_present"] == "FAIL"  # never reported
+    assert got["a", "ram"] == "FAIL" and got["b", "ram"] == "PASS"
+    assert got["a", "card"] == "FAIL" and got["b", "card"] == "PASS"
+    assert got["a", "disk_found"] == "PASS"
+    assert got["b", "login_known"] == "FAIL"  # never reported
 
 
 def test_verdicts(spark):
