@@ -12,6 +12,7 @@ from larkspur.functions.text import (
 from larkspur.operators import checks, gap, scoring, training
 from larkspur.operators import frames as ops
 from larkspur.plans import versions as vs
+from larkspur.plans.score_store import ScoreStore
 from larkspur.plans.shared import scratch_path
 from larkspur.sources import configs, manifests, trees
 from larkspur.sources import pairs as pair_io
@@ -521,6 +522,33 @@ def _default_threshold(spark, sf):
     return scoring.default_thresholds(scores(spark, sf))
 
 
+def score_store(spark, sf):
+    """Scores of all runs, added in two commits; the second offers the runs of the first again."""
+    f = frames(spark, sf).select("base", "run_id", "vno", F.col("label").alias("anomaly_type"))
+    rows = f.join(scores(spark, sf).select("run_id", "base", "nn_score"), ["run_id", "base"])
+    store = ScoreStore(spark, scratch_path(spark, "scores"), ["anomaly_type"])
+    store.add_runs(rows.where("vno < 12"))
+    store.add_runs(rows)
+    return store
+
+
+@query("default_threshold_store", f"WITH {SCORED} SELECT run_id, (SELECT count(*) FROM scored s WHERE s.run_id = b.run_id AND nn_score IS NOT NULL) AS n, threshold FROM bars b")
+def _default_threshold_store(spark, sf):
+    return score_store(spark, sf).default_thresholds()
+
+
+@query("batch_threshold_store", f"WITH {SCORED} SELECT count(*) AS n, median(nn_score) AS threshold FROM scored WHERE nn_score IS NOT NULL")
+def _batch_threshold_store(spark, sf):
+    return score_store(spark, sf).default_thresholds([])
+
+
+@query("score_distribution_store", f"""WITH {SCORED}
+SELECT label AS anomaly_type, count(*) AS n, min(nn_score) AS min_score, median(nn_score) AS median_score, max(nn_score) AS max_score
+FROM scored WHERE nn_score IS NOT NULL GROUP BY label""")
+def _score_distribution_store(spark, sf):
+    return score_store(spark, sf).distribution(["anomaly_type"])
+
+
 @query("mean_threshold", f"WITH {SCORED} SELECT round(avg(threshold), 6) AS mean_threshold FROM bars")
 def _mean_threshold(spark, sf):
     return scoring.mean_threshold(scoring.default_thresholds(scores(spark, sf))).select(

@@ -17,6 +17,8 @@ skew-split join. Plans stay flat as well.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,6 +133,46 @@ def group_stats(df: DataFrame, keys: list[str], value: str, bracket_rows: int =
     return stats.select(*keys, "n", "min", "median", "max")
 
 
+def stats_within(bins: DataFrame, between: Callable[[DataFrame], DataFrame], keys: list[str],
+                 bracket_rows: int = BRACKET_ROWS) -> DataFrame:
+    """(keys, n, min, median, max) from exact counts by bin, and from the values of the middle bins alone.
+
+    bins: (keys, bin, n, lo, hi), a written table: counts and ends of bins in the
+    order of values. `between` gets (keys, lo, hi) and returns (keys, _v), all
+    values from lo to hi of these groups. A group whose middle bins hold one
+    value each asks for none.
+    """
+    total = bins.groupBy(*keys).agg(F.sum("n").alias("_total"), F.min("lo").alias("_least"), F.max("hi").alias("_most"))
+    total = cut(total.where("_total > 0"))
+    upto = bins.withColumn("_upto", F.sum("n").over(_group_window(keys).orderBy("bin")))
+    a, b = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
+    near = attach(upto, total, keys).where((F.col("_upto") >= a) & (F.col("_upto") - F.col("n") < b))
+    facts = near.groupBy(*keys).agg(
+        F.max("_total").alias("_total"), F.max("_least").alias("_least"), F.max("_most").alias("_most"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.col("_upto") - F.col("n")).alias("_base"),
+        F.min_by("lo", "bin").alias("_first"), F.max_by("hi", "bin").alias("_last"),
+        F.max(F.col("lo") < F.col("hi")).alias("_open"))
+    facts = cut(facts.where("_total IS NOT NULL"))
+    plain = facts.where("NOT _open").select(
+        *keys, F.col("_total").alias("n"), F.col("_least").alias("min"),
+        # one bin holds both middle ranks, or each of two bins holds one
+        ((F.col("_first") + F.col("_last")) / 2).alias("median"), F.col("_most").alias("max"))
+    open_ = cut(facts.where("_open").select(*keys, "_total", "_least", "_most", "_base", F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
+    if open_.isEmpty():
+        return plain
+    rows = cut(between(open_.select(*keys, F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))))
+    found = _brackets(rows, keys, open_, a - F.col("_base"), b - F.col("_base"), bracket_rows)
+    ranked = _ranked_values(rows, found, keys, "_total", "_least", "_most")
+
+    def at(rank: str) -> Column:
+        hit = (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_n") < F.col(rank))
+        return F.max(F.when(hit, F.col("_v")))
+
+    inner = ranked.groupBy(*keys).agg(F.max("_total").alias("n"), F.max("_least").alias("min"),
+                                      ((at("_a") + at("_b")) / 2).alias("median"), F.max("_most").alias("max"))
+    return plain.unionByName(inner.where("n IS NOT NULL"))
+
+
 _DIGITS = 4
 
 
