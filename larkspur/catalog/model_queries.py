@@ -8,6 +8,7 @@ from larkspur.catalog.base import VECTORS, query, r6, table, vectors
 from larkspur.operators import evaluation, registry, similarity, telemetry, training
 from larkspur.plans import rounds as loop
 from larkspur.plans.shared import cut, scratch_path
+from larkspur.plans.vector_index import VectorIndex, recall_of
 from larkspur.plans.versions import VersionStore
 
 # ---- similarity -------------------------------------------------------------
@@ -45,6 +46,47 @@ def _mine_similar(spark, sf):
     return similarity.mine_similar(made, real, "vec_id", "embedding", 5).withColumn("score", r6("score"))
 
 
+@query("nn_score_indexed", f"""WITH {NEAR},
+best AS (SELECT vec_id, max(s) AS s FROM sims WHERE origin = 'synthetic' AND ref_origin = 'real' AND label = ref_label GROUP BY vec_id)
+SELECT v.vec_id, v.label, round(s, 6) AS nn_score FROM vectors v LEFT JOIN best USING (vec_id) WHERE v.origin = 'synthetic'""")
+def _nn_score_indexed(spark, sf):
+    """Cells first, then every cell that the angles do not rule out: the exact scores."""
+    made, real = parts(spark, sf)
+    index = VectorIndex.build(real, "vec_id", "embedding", "label")
+    return similarity.nn_score_indexed(made, index, exact=True).select("vec_id", "label", r6("nn_score").alias("nn_score"))
+
+
+def every_fiftieth(spark, sf):
+    """The stated query set: vectors whose id is divisible by 50, against all rows."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return rows.where(F.col("vec_id") % 50 == 0), rows
+
+
+FIFTIETH = """
+e AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+sims AS (SELECT a.vec_id, b.vec_id AS ref, round(list_cosine_similarity(a.e, b.e), 9) AS s
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)"""
+
+
+@query("mine_similar_indexed", f"""WITH {FIFTIETH}
+SELECT vec_id AS query_id, CAST(rn AS INTEGER) AS rank, ref AS match_id, round(s, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, ref) AS rn FROM sims) WHERE rn <= 5""")
+def _mine_similar_indexed(spark, sf):
+    asking, rows = every_fiftieth(spark, sf)
+    index = VectorIndex.build(rows, "vec_id", "embedding")
+    return similarity.mine_similar_indexed(asking, index, 5, exact=True).withColumn("score", r6("score"))
+
+
+@query("vector_index_recall", """SELECT count(*) AS queries, 5 * count(*) AS links, true AS nine_in_ten FROM embeddings WHERE vec_id % 50 = 0""")
+def _vector_index_recall(spark, sf):
+    """How many of the five nearest the index finds without its exact end, measured against all rows."""
+    asking, rows = every_fiftieth(spark, sf)
+    index = VectorIndex.build(rows, "vec_id", "embedding")
+    found = similarity.mine_similar_indexed(asking, index, 5)
+    measured = recall_of(found, similarity.mine_similar(asking, rows, "vec_id", "embedding", 5))
+    return measured.select("queries", "links", (F.col("recall") >= 0.9).alias("nine_in_ten"))
+
+
 # ---- predictions: the label of the nearest real vector of any class ----------
 
 PRED = NEAR + """,

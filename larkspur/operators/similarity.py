@@ -1,10 +1,11 @@
-"""Exact nearest examples by cosine similarity."""
+"""Nearest examples by cosine similarity, against all rows or through an index."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.plans.vector_index import VectorIndex
 from larkspur.plans.tiles import best_by_cosine, grid_for, pack_vectors, pair_blocks
 
 DECIMALS = 9
@@ -46,3 +47,16 @@ def mine_similar(queries: DataFrame, pool: DataFrame, uid: str, vector: str, k:
     return (partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("left_id").alias("query_id"), "rank",
                     F.col("right_id").alias("match_id"), "score"))
+
+
+def nn_score_indexed(candidates: DataFrame, index: VectorIndex, recall: float = 0.95, exact: bool = False) -> DataFrame:
+    """What `nn_score` tells, through an index over the references that was built with the class as its label."""
+    best = index.nearest(candidates, 1, recall, exact, skip_self=False).select(
+        F.col("query_id").alias(index.uid), F.col("score").alias("nn_score"), F.col("match_id").alias("nearest"))
+    return candidates.select(index.uid, index.label).join(best, index.uid, "left").select(
+        index.uid, index.label, "nn_score", "nearest")
+
+
+def mine_similar_indexed(queries: DataFrame, index: VectorIndex, k: int = 5, recall: float = 0.95, exact: bool = False) -> DataFrame:
+    """What `mine_similar` tells, through an index over the pool."""
+    return index.nearest(queries, k, recall, exact)
