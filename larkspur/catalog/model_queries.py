@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larkspur.catalog.base import VECTORS, query, r6, table, vectors
 from larkspur.operators import evaluation, registry, similarity, telemetry, training
+from larkspur.operators.gap import allocate_budget, gap_report
 from larkspur.plans import rounds as loop
 from larkspur.plans.shared import cut, scratch_path
 from larkspur.plans.vector_index import VectorIndex, recall_of
@@ -160,8 +161,7 @@ def _train_probe(spark, sf):
     return preds.select("vec_id", "label", "pred", r6("p_clean").alias("p_clean"))
 
 
-@query("enrichment_round")
-def _enrichment_round(spark, sf):
+def loop_tables(spark, sf):
     """Vectors of real documents start the dataset; the others are the pool."""
     v = vectors(spark, sf).select(
         F.col("vec_id").alias("item_id"), "label", "origin",
@@ -170,6 +170,12 @@ def _enrichment_round(spark, sf):
     real = v.where(F.col("origin") == "real")
     pool = v.where(F.col("origin") == "synthetic").withColumn(
         "defect_type", F.concat(F.lit("t+"), "label")).drop("origin")
+    return real, pool
+
+
+@query("enrichment_round")
+def _enrichment_round(spark, sf):
+    real, pool = loop_tables(spark, sf)
     from larkspur.operators.frames import frame_meta, make_frames
     store = VersionStore(spark, scratch_path(spark, "rounds"))
     first = real.withColumns({"labels": F.array("label"), "run_id": F.lit(None).cast("string")})
@@ -179,6 +185,56 @@ def _enrichment_round(spark, sf):
     return history.drop("version_id")
 
 
+SEARCH = NEAR + """,
+have AS (SELECT label, count(*) AS have FROM vectors WHERE origin = 'real' GROUP BY 1),
+weighted AS (SELECT label, 't+' || label AS defect_type, max(have) OVER () + 5 - have AS w FROM have
+  WHERE label IN (SELECT label FROM vectors WHERE origin = 'synthetic')),
+ranked AS (SELECT *, count(*) OVER () AS n, sum(w) OVER () AS total, row_number() OVER (ORDER BY w DESC, defect_type) AS rk FROM weighted),
+exact AS (SELECT *, CASE WHEN 40 > n THEN (40 - n) * w / CAST(total AS DOUBLE) ELSE 0.0 END AS ex FROM ranked),
+placed AS (SELECT *, floor(ex) AS fl, (40 - n) - sum(floor(ex)) OVER () AS left_,
+  row_number() OVER (ORDER BY ex - floor(ex) DESC, defect_type) AS ord FROM exact),
+alloc AS (SELECT defect_type, label, CAST(CASE WHEN 40 <= n THEN CASE WHEN rk <= 40 THEN 1 ELSE 0 END
+  ELSE 1 + fl + CASE WHEN ord <= left_ THEN 1 ELSE 0 END END AS BIGINT) AS asked FROM placed),
+pool AS (SELECT vec_id, label, 't+' || label AS defect_type, '/vec/' || vec_id AS uri,
+  (SELECT max(s) FROM sims WHERE sims.vec_id = v.vec_id AND ref_origin = 'real' AND ref_label = v.label) AS score
+  FROM vectors v WHERE origin = 'synthetic'),
+turns AS (SELECT pool.*, asked, row_number() OVER (PARTITION BY defect_type ORDER BY md5('s-1:' || uri), 's-1:' || uri) - 1 AS turn
+  FROM pool JOIN alloc USING (defect_type, label)),
+tries AS (SELECT *, turn // asked AS attempt, defect_type || '#' || (turn % asked) AS slot FROM turns WHERE turn < 3 * asked),
+bar AS (SELECT coalesce(median(score), 0) AS thr FROM tries WHERE attempt = 0),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY score DESC, attempt) AS rn FROM tries WHERE score IS NOT NULL) WHERE rn = 1),
+quotas AS (SELECT label, sum(asked) AS quota FROM alloc GROUP BY 1),
+kept AS (SELECT * FROM (SELECT b.* EXCLUDE (rn), row_number() OVER (PARTITION BY label ORDER BY score DESC, md5(slot || ':' || attempt)) AS pos
+  FROM best b, bar WHERE score >= thr) JOIN quotas USING (label) WHERE pos <= quota),
+owed AS (SELECT q.label, q.quota - count(k.slot) AS owed FROM quotas q LEFT JOIN kept k USING (label) GROUP BY q.label, q.quota),
+extra AS (SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY label ORDER BY score DESC, md5(slot || ':' || attempt)) AS pos
+  FROM tries t, bar WHERE score >= thr AND (slot, attempt) NOT IN (SELECT (slot, attempt) FROM best)) JOIN owed USING (label) WHERE pos <= owed),
+filled AS (SELECT label, slot, attempt, vec_id, score, 'kept' AS picked FROM kept
+  UNION ALL SELECT label, slot, attempt, vec_id, score, 'topped_up' FROM extra),
+still AS (SELECT q.label, q.quota - count(f.slot) AS owed FROM quotas q LEFT JOIN filled f USING (label) GROUP BY q.label, q.quota),
+fresh AS (SELECT * FROM (SELECT p.*, row_number() OVER (PARTITION BY label ORDER BY md5('s-1:again:' || uri), uri) AS turn
+  FROM pool p WHERE vec_id NOT IN (SELECT vec_id FROM tries)) JOIN still USING (label) WHERE turn <= 2 * owed),
+regen AS (SELECT * FROM (SELECT f.*, row_number() OVER (PARTITION BY label ORDER BY score DESC, md5(uri), uri) AS pos FROM fresh f, bar WHERE score >= thr)
+  WHERE pos <= owed)"""
+
+
+@query("search_round", f"""WITH {SEARCH},
+shown AS (SELECT * FROM filled
+  UNION ALL SELECT label, slot, attempt, vec_id, score, NULL FROM best WHERE (slot, attempt) NOT IN (SELECT (slot, attempt) FROM filled)
+  UNION ALL SELECT label, 'again#' || label || '#' || uri, 0, vec_id, score, 'regenerated' FROM regen)
+SELECT label, slot, attempt, vec_id AS item_id, round(score, 6) AS nn_score, picked,
+  CASE WHEN slot LIKE 'again%' OR attempt = 0 THEN NULL WHEN attempt = 1 THEN 4.0 ELSE 10.0 END::DOUBLE AS guidance FROM shown""")
+def _search_round(spark, sf):
+    """One round's search with two grid rounds: best attempts, filter, top-up and what is drawn again."""
+    real, pool = (cut(t) for t in loop_tables(spark, sf))
+    have = real.groupBy("label").agg(F.count(F.lit(1)).alias("have"))
+    target = have.agg(F.max("have") + 5).collect()[0][0]
+    split = cut(allocate_budget(gap_report(have, int(target)), pool.select("defect_type").distinct(), 40))
+    steps = loop.Steps(spark, scratch_path(spark, "search"))
+    found = loop.search_samples(steps, "s-1", real, pool, split, "s-1", loop.default_grid(spark, 2))
+    return found.select("label", "slot", "attempt", "item_id", r6("nn_score").alias("nn_score"), "picked", "guidance")
+
+
 # ---- registry: orders -------------------------------------------------------
 
 MODELS = """
