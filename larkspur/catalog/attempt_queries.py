@@ -76,7 +76,7 @@ SELECT label, uid FROM (SELECT a.*, row_number() OVER (PARTITION BY label ORDER
 JOIN q USING (label) WHERE rn <= quota""")
 def _quota_sample(spark, sf):
     uid = F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"), uid.alias("uid")).distinct()
+    rows = cut(table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("label"), uid.alias("uid")).distinct())
     quotas = rows.groupBy("label").agg(F.floor(F.count(F.lit(1)) * 0.4).cast("bigint").alias("quota"))
     return take_hashed(rows, ["label"], quotas, "quota", "uid")
 
