@@ -7,13 +7,18 @@ tiles of the rank square: pairs of two of the `dense` first ranks meet in tiles
 of 256 by 256 cells, whose cell number is the address of the count (bincount);
 the far larger rest of the square, nearly empty, is kept as sorted codes with
 counts. Blocks' tiles are merged sixty-four at a time, codes being dealt to ever
-more buckets as they merge, so no task grows with the corpus.
+more buckets as they merge, so no task grows with the corpus. Before that, all
+pairs are counted in a table of hash cells; a pair whose cell has fewer than
+`least` occurrences is not frequent and is not sent at all. The table has a fixed
+size: once cells hold that many by chance (some hundred million pairs) it lets more and more pairs
+pass, and what is sent then is bounded by the texts' own length.
 
 Frequent pairs are ranked in turn and become symbols of the next level: the pair
 at word i followed by the pair at word i + 1 is a phrase of three words, and so
-on. Blocks learn the ranks of the pairs they hold, tile by tile, and nothing of
-the vocabulary or of the phrases is broadcast. A phrase of fewer than `least`
-occurrences cannot be part of a frequent one, so nothing is lost on the way.
+on. Blocks learn the ranks of the pairs they hold from a broadcast of all frequent
+ones where these are counted to be `told` at most, else by a join, tile by tile.
+A phrase of fewer than `least` occurrences cannot be part of a frequent one, so
+nothing is lost on the way.
 
 Defined results: a null text is empty, a null language is `und`; repeated rows
 count each; rows without id count like others; an empty table, or one without
@@ -32,16 +37,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import parts, split_for, text_of, written
-from larkspur.llm.words import mix, packed, unpacked
+from larkspur.llm.words import gather_table, mix, packed, unpacked
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 SIDE = 256  # cells of a tile's side
 DENSE = 16 * SIDE  # ranks whose pairs are counted in tiles
-BLOCK_BYTES = 8 << 20  # of text
+BLOCK_BYTES = 4 << 20  # of text
 FAN_IN = 64
+#: frequent words or pairs that are told to every task by broadcast, 16 bytes each; more go by joins
+TOLD = 1_000_000
 _BUCKET_BITS = 8
+#: cells that occurrences of pairs are counted in before any pair is told apart; 4 MB, and a quarter of it past two words
+CELL_BITS = 21, 19
 _BREAK = b"\xff"  # in no UTF-8 text
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + _BREAK * 10)
 _WINDOW = 1 << 20
@@ -76,13 +85,18 @@ class _Block:
 
     def row(self) -> pa.RecordBatch:
         codes = np.concatenate(self.codes)
-        found = [(i, lang, w) for lang, d in self.number.items() for w, i in d.items() if i >= 0]
-        found.sort()
-        count = np.bincount(codes[codes >= 0], minlength=len(found))
+        n = sum(len(d) - 1 for d in self.number.values())
+        langs, words = [""] * n, [b""] * n
+        for lang, number in self.number.items():
+            for w, i in number.items():
+                if i >= 0:
+                    langs[i], words[i] = lang, w
+        self.number.clear()
+        count = np.bincount(codes[codes >= 0], minlength=n)
         return pa.RecordBatch.from_arrays([
-            pa.array([[lang for _, lang, _ in found]], pa.list_(pa.string())),
-            pa.array([[w.decode() for _, _, w in found]], pa.list_(pa.string())),
-            pa.array([count.astype(np.int64)], pa.list_(pa.int64())),
+            pa.ListArray.from_arrays([0, n], pa.array(langs, pa.string())),
+            pa.ListArray.from_arrays([0, n], pa.array(words, pa.binary()).cast(pa.string())),
+            pa.ListArray.from_arrays([0, n], pa.array(count.astype(np.int64))),
             pa.array([packed(codes.astype(np.int64) + 1)], pa.binary())], names=["langs", "words", "counts", "codes"])
 
 
@@ -215,12 +229,35 @@ def _places(block: int, part: int, at: np.ndarray, symbol: np.ndarray) -> tuple:
     return block, part, packed(np.diff(at, prepend=0)), packed(symbol)
 
 
-def count_pairs(places: DataFrame, dense: int, side: int) -> DataFrame:
-    """tile, block, part, codes, counts: the pairs of every block."""
+def _cell(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
+    return (mix((left << 32 | right).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def busy_cells(places: DataFrame, least: int, bits: int) -> np.ndarray | None:
+    """Whether each of 2^bits cells has `least` occurrences of pairs; None if so many cannot be told."""
+    most = np.iinfo(np.uint16).max
+    if least > most:
+        return None
+
+    def fill(batch: pa.RecordBatch, own: np.ndarray) -> None:
+        for at, symbol in zip(batch["at"], batch["symbol"]):
+            _, left, right = _neighbours(at, symbol)
+            own += np.minimum(np.bincount(_cell(left, right, bits), minlength=1 << bits), most - own).astype(own.dtype)
+
+    return gather_table(places.select("at", "symbol"), fill, 1 << bits, np.uint16, "saturate") >= least
+
+
+def count_pairs(places: DataFrame, dense: int, side: int, least: int, bits: int) -> DataFrame:
+    """tile, block, part, codes, counts: pairs of every block, but for those that cannot have `least` occurrences."""
+    busy = places.sparkSession.sparkContext.broadcast(busy_cells(places, least, bits))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, part, at, symbol in zip(*(b[c] for c in ("block", "part", "at", "symbol"))):
                 _, left, right = _neighbours(at, symbol)
+                if busy.value is not None:
+                    may = busy.value[_cell(left, right, bits)]
+                    left, right = left[may], right[may]
                 rows = [(t, block.as_py(), part.as_py(), packed(x), packed(n))
                         for t, x, n in tile_counts(left, right, dense, side)]
                 if rows:
@@ -233,20 +270,7 @@ def frequent_pairs(counted: DataFrame, blocks: int, least: int, dense: int, side
     """tile, code, left, right, f, id: pairs with enough occurrences in the corpus, ranked by these."""
     across = dense // side
     rows, bits, left = counted, _BUCKET_BITS, blocks
-    tasks = split_for(counted.sparkSession, counted.count(), 2000)
-    while True:
-        left = -(-left // FAN_IN)
-        bits = min(bits + 6, 40) if left > 1 else bits
-
-        def merge(batches: Iterator[pa.RecordBatch], bits=bits, last=left == 1) -> Iterator[pa.RecordBatch]:
-            return merge_tiles(batches, bits, side, least if last else None)
-
-        rows = (rows.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("bigint")).repartition(tasks, "tile", "part")
-                .sortWithinPartitions("tile", "part").mapInArrow(merge, _TILES))
-        if left == 1:
-            break
-        rows = written(rows)
-
+    tasks = split_for(counted.sparkSession, blocks * 500.0, 4000)
     def open_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for tile, codes, counts in zip(b["tile"].to_pylist(), b["codes"], b["counts"]):
@@ -259,12 +283,52 @@ def frequent_pairs(counted: DataFrame, blocks: int, least: int, dense: int, side
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tiles, code, a, c, n)],
                                                  names=["tile", "code", "left", "right", "f"])
 
-    found = written(rows.mapInArrow(open_codes, "tile bigint, code bigint, left bigint, right bigint, f bigint"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return merge_tiles(batches, bits, side, None)
+
+    def merge_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return open_codes(merge_tiles(batches, bits, side, least))
+
+    while True:
+        left = -(-left // FAN_IN)
+        rows = (rows.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("bigint")).repartition(tasks, "tile", "part")
+                .sortWithinPartitions("tile", "part"))
+        if left == 1:
+            break
+        bits = min(bits + 6, 40)
+        rows = written(rows.mapInArrow(merge, _TILES))
+    found = written(rows.mapInArrow(merge_last, "tile bigint, code bigint, left bigint, right bigint, f bigint"))
     return ranked(found, F.desc("f"), F.col("left"), F.col("right"))
 
 
-def next_places(places: DataFrame, counted: DataFrame, frequent: DataFrame, dense: int, side: int) -> DataFrame:
-    """Blocks with the ids of their frequent pairs as symbols, at the place of the pair's first word."""
+def told_places(places: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Blocks with the ids of their frequent pairs as symbols, at the place of the pair's first word; by broadcast."""
+    t = frequent.select("left", "right", "id").toArrow()
+    pair = t["left"].to_numpy() << 32 | t["right"].to_numpy()
+    order = np.argsort(pair)
+    told = places.sparkSession.sparkContext.broadcast((pair[order], t["id"].to_numpy()[order]))
+
+    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, number = told.value
+        for b in batches:
+            for block, part, at, symbol in zip(*(b[c] for c in ("block", "part", "at", "symbol"))):
+                place, left, right = _neighbours(at, symbol)
+                has, i = _found(pair, left << 32 | right)
+                yield _told([_places(block.as_py(), part.as_py(), place[has], number[i[has]])], _PLACES_ARROW)
+
+    return places.mapInArrow(rename, _PLACES)
+
+
+def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of `asked` are in the sorted `known`, and where."""
+    if not len(known):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return known[at] == asked, at
+
+
+def joined_places(places: DataFrame, counted: DataFrame, frequent: DataFrame, dense: int, side: int) -> DataFrame:
+    """What `told_places` tells, by joins: tiles meet the ranks of their pairs, and blocks the answers of their tiles."""
     across = dense // side
 
     def pack(t: pa.Table) -> pa.Table:
@@ -278,8 +342,7 @@ def next_places(places: DataFrame, counted: DataFrame, frequent: DataFrame, dens
             rows = []
             for tile, block, codes, known, ids in zip(b["tile"].to_pylist(), b["block"].to_pylist(), b["codes"], b["known"], b["ids"]):
                 code, known = unpacked(codes.as_buffer()), unpacked(known.as_buffer())
-                at = np.minimum(np.searchsorted(known, code), len(known) - 1)
-                has = known[at] == code
+                has, at = _found(known, code)
                 code, number = code[has], unpacked(ids.as_buffer())[at[has]]
                 if tile >= 0:
                     code = (tile // across * side + code // side) << 32 | (tile % across * side + code % side)
@@ -297,9 +360,7 @@ def next_places(places: DataFrame, counted: DataFrame, frequent: DataFrame, dens
             pair, number = pair[order], number[order]
             for block, part, at, symbol in zip(*(own[c] for c in ("block", "part", "at", "symbol"))):
                 place, left, right = _neighbours(at, symbol)
-                key = left << 32 | right
-                i = np.minimum(np.searchsorted(pair, key), len(pair) - 1)
-                has = pair[i] == key
+                has, i = _found(pair, left << 32 | right)
                 rows.append(_places(block.as_py(), part.as_py(), place[has], number[i[has]]))
         return pa.Table.from_batches([_told(rows, _PLACES_ARROW)] if rows else [], _PLACES_ARROW)
 
@@ -309,17 +370,39 @@ def next_places(places: DataFrame, counted: DataFrame, frequent: DataFrame, dens
     return places.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(rename, _PLACES)
 
 
-def word_places(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """The first level: blocks with the ids of their frequent words."""
+def _word_places(block: pa.Scalar, part: pa.Scalar, codes: pa.Scalar, number: np.ndarray) -> tuple:
+    """Places of a block's frequent words; `number` has the id or -1 for break and words, in the block's own order."""
+    symbol = number[unpacked(codes.as_buffer())]
+    at = np.flatnonzero(symbol >= 0)
+    return _places(block.as_py(), part.as_py(), at, symbol[at])
+
+
+def told_words(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """The first level: blocks with the ids of their frequent words; by broadcast."""
+    ids: dict[str, dict[str, int]] = {}
+    for lang, word, number in zip(*(c.to_pylist() for c in words.select("lang", "word", "id").toArrow().columns)):
+        ids.setdefault(lang, {})[word] = number
+    told = blocks.sparkSession.sparkContext.broadcast(ids)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none: dict[str, int] = {}
+        for b in batches:
+            for block, part, langs, words, codes in zip(*(b[c] for c in ("block", "part", "langs", "words", "codes"))):
+                number = np.fromiter((told.value.get(x, none).get(w, -1) for x, w in zip(langs.as_py(), words.as_py())),
+                                     np.int64, len(words))
+                yield _told([_word_places(block, part, codes, np.append(-1, number))], _PLACES_ARROW)
+
+    return blocks.select("block", "part", "langs", "words", "codes").mapInArrow(place, _PLACES)
+
+
+def joined_words(blocks: DataFrame, words: DataFrame) -> DataFrame:
+    """What `told_words` tells, by joins."""
     def place(own: pa.Table, told: pa.Table) -> pa.Table:
         rows = []
         for block, part, codes in zip(*(own[c] for c in ("block", "part", "codes"))):
-            code = unpacked(codes.as_buffer())  # 0 parts pieces
-            symbol = np.full(code.max(initial=0) + 1, -1, np.int64)
-            symbol[told["at"].to_numpy() + 1] = told["id"].to_numpy()
-            symbol = symbol[code]
-            at = np.flatnonzero(symbol >= 0)
-            rows.append(_places(block.as_py(), part.as_py(), at, symbol[at]))
+            number = np.full(int(unpacked(codes.as_buffer()).max(initial=0)) + 1, -1, np.int64)
+            number[told["at"].to_numpy() + 1] = told["id"].to_numpy()
+            rows.append(_word_places(block, part, codes, number))
         return pa.Table.from_batches([_told(rows, _PLACES_ARROW)] if rows else [], _PLACES_ARROW)
 
     known = _block_words(blocks).join(words.select("lang", "word", "id"), ["lang", "word"]).select("of", "at", "id")
@@ -332,7 +415,7 @@ def _block_words(blocks: DataFrame) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, dense: int = DENSE, side: int = SIDE,
-                  block_bytes: int = BLOCK_BYTES) -> tuple[list[DataFrame], DataFrame]:
+                  block_bytes: int = BLOCK_BYTES, told: int = TOLD) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases of 1, 2, ... words, each as written table, and the number of words (`n`) of each language.
 
     Columns: id, lang, phrase, last (its last word), f, starts and ends (the
@@ -347,9 +430,11 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, d
     known = ranked(words.filter(F.col("f") >= least), F.desc("f"), F.col("lang"), F.col("word"))
     levels = [known.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("starts"),
                            F.array("f").alias("ends"), F.lit(None).cast("bigint").alias("left"), F.lit(None).cast("bigint").alias("right"))]
-    places = written(word_places(blocks, known))
+    size = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
+    small = size["n"] <= told and size["bytes"] <= 16 * told
+    places = written(told_words(blocks, known) if small else joined_words(blocks, known))
     for length in range(2, longest + 1):
-        counted = written(count_pairs(places, dense, side))
+        counted = count_pairs(places, dense, side, least, CELL_BITS[length > 2])
         frequent = frequent_pairs(counted, n_blocks, least, dense, side)
         before = levels[-1]
         first = before.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("p"), F.col("starts").alias("s"))
@@ -358,7 +443,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, d
             "id", "lang", F.concat_ws(" ", "p", "last").alias("phrase"), "last", "f", F.concat("s", F.array("f")).alias("starts"),
             F.concat("e", F.array("f")).alias("ends"), "left", "right")))
         if length < longest:
-            places = written(next_places(places, counted, frequent, dense, side))
+            places = written(told_places(places, frequent) if frequent.count() <= told
+                             else joined_places(places, counted, frequent, dense, side))
     return levels, sizes
 
 
@@ -376,14 +462,14 @@ def _cuts(length: int) -> Column:
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, dense: int = DENSE,
-                 side: int = SIDE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 side: int = SIDE, block_bytes: int = BLOCK_BYTES, told: int = TOLD) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first `top` phrases of 2 to `longest` words.
 
     A phrase that occurs a times is cut where floor(1000 * a * n / (l * r)) is
     least, earliest at ties. It is left out if a frequent phrase that holds it
     occurs as often; that is so if one of one word more does.
     """
-    levels, sizes = phrase_counts(docs, least, longest, dense, side, block_bytes)
+    levels, sizes = phrase_counts(docs, least, longest, dense, side, block_bytes, told)
     scored = []
     for length in range(2, longest + 1):
         rows = levels[length - 1]

@@ -84,7 +84,8 @@ def gather_table(df: DataFrame, fill, size: int, kind, combine: str) -> np.ndarr
     """An array of fixed `size` that all rows of `df` add to.
 
     `fill(batch, array)` adds one Arrow batch to a task's own array; the tasks'
-    arrays meet in chunks, by sum or bitwise or. Only the finished array, whose
+    arrays meet in chunks, by sum, by bitwise or, or by a sum that stays at the
+    greatest number of their kind (`fill` sees to that within a task). Only the finished array, whose
     size does not depend on the data, reaches the driver.
     """
     name, step = np.dtype(kind).str, min(CHUNK, size)
@@ -106,6 +107,8 @@ def gather_table(df: DataFrame, fill, size: int, kind, combine: str) -> np.ndarr
             x = np.frombuffer(x.as_buffer(), name)
             if combine == "sum":
                 out[:len(x)] += x
+            elif combine == "saturate":
+                out[:len(x)] += np.minimum(x, np.iinfo(name).max - out[:len(x)])
             else:
                 out[:len(x)] |= x
         return pa.table({"chunk": t["chunk"][:1], "part": pa.array([out.tobytes()], pa.binary())})

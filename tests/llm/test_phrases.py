@@ -58,11 +58,12 @@ def made_up(seed, n):
     return rows + [(None, None), ("en", ""), ("en", " .,. "), ("fr", "x " * 5000), ("en", rows[0][1])] * 3
 
 
-@pytest.mark.parametrize("dense,side,block_bytes", [(4096, 256, 1 << 20), (16, 4, 500), (8, 4, 1)])
-def test_every_phrase(spark, dense, side, block_bytes):
-    """Also where most of the square is sparse, and where every text is a block and merging takes several rounds."""
+@pytest.mark.parametrize("dense,side,block_bytes,told", [(4096, 256, 1 << 20, 10 ** 6), (16, 4, 500, 0), (8, 4, 1, 0), (8, 4, 1, 300)])
+def test_every_phrase(spark, dense, side, block_bytes, told):
+    """Also where most of the square is sparse, where every text is a block and merging takes several rounds, and without
+    broadcasts."""
     rows = made_up(block_bytes, 200)
-    assert got(collocations(frame(spark, rows), 8, dense=dense, side=side, block_bytes=block_bytes)) == brute(rows, 8)
+    assert got(collocations(frame(spark, rows), 8, dense=dense, side=side, block_bytes=block_bytes, told=told)) == brute(rows, 8)
 
 
 def test_only_the_first(spark):
