@@ -150,7 +150,17 @@ def op3_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
     return score_texts(documents(spark, sf))
 
 
-@query("op12_embedding_near")
+@query("op12_embedding_near", """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+ok AS (SELECT * FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r AS (SELECT vec_id, vec_id AS root FROM e UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+""")
 def op12_embedding_near(spark: SparkSession, sf: str) -> DataFrame:
     from larkspur.llm.embedding_near import near_embeddings
     return near_embeddings(spark.read.parquet(f"{sf}/embeddings.parquet"))
