@@ -15,11 +15,14 @@ from larkspur.llm.common import WORD, documents, written
 from larkspur.llm.language_id import identify, learn
 from larkspur.llm.line_dedup import dedup_lines
 from larkspur.llm.mixing import repeat_rows
-from larkspur.llm.near_documents import keep_one_alike
-from larkspur.llm.packing import pack_documents
+from larkspur.llm.packing import CAPACITY, pack_pieces, pieces_of
+from larkspur.llm.simhash import keep_one
+from larkspur.plans.shared import scratch_path, scratch_scope
 
 #: share of a text's n-grams that its language has to explain; clean texts are far above it
 LEAST_SCORE = 0.25
+#: words whose ids a worker keeps; fewer than by default, for its process has served the stages before
+CACHE_ROWS = 150_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +41,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that of the smallest doc_id, of all that five-word Jaccard of 0.8 or more links."""
-    return keep_one_alike(docs).select(docs.columns)
+    """Keeps one document, that of the smallest doc_id, of all whose SimHashes two bits at most link."""
+    return keep_one(docs).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,18 +52,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every row."""
-    return pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
+    return pack_pieces(written(pieces_of(docs, tokenizer_file("word_bpe_49k.json"), cache_rows=CACHE_ROWS)), CAPACITY)
 
 
 STAGES = [("language_id", language), ("line_dedup", lines), ("simhash_near_dedup", near_duplicates),
           ("source_mix", mix), ("best_fit_packing", pack)]
 
-#: tokenisers, components and the cube method are beyond SQL; the tests hold the stages against brute force
+#: tokenisers, components and the cube method are beyond SQL; tests/llm/test_pipeline.py holds stages and run() against plain Python
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage writes on its way is deleted when its own result is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
