@@ -10,40 +10,47 @@ similarity reaches the bar share a word of their prefixes, so each line's record
 goes to the lists of its prefix words. In a list, records sorted by set size are
 compared as far as the length filter allows; the positional filter and a parity
 sketch (its differing bits never outnumber the differing words) discard most
-pairs. Equal sets are settled there; other pairs that are left are verified on
-their words.
+pairs. Pairs that are left are verified on their words.
 
-Equal lines are reduced to the earliest in every task and again in every list, so
-a line in a third of all documents comes as one record a task. Of a line's
+Equal lines are known by 128-bit digests. They are reduced to the earliest in every task and then in buckets of digests, so
+a line in a third of all documents comes as one record a task. Of a line's other
 possible partners the `first` likest by their sketches in a list are verified,
-for one match is enough. Lines for which that decides nothing, though they have
-more, are joined again in the lists of their own words only, with finer sketches,
-and what even that leaves open once more, all partners verified. So no list of pairs of a group of like lines is made.
+for one match is enough; where not even the likest is a sure one, the WIDE likest
+are. Lines for which that decides nothing, though they have more, are joined
+again in the lists of their own words only, with finer sketches, all partners
+verified. So no list of pairs of a group of like lines is made.
 
 Defined results: a null text counts as empty; a line without words stays; lines
-of documents without id stay and match nothing; rows that share an id are one
-document, and share what is removed; lines of one document count too, the first
-stays; an empty table gives no rows; other columns are ignored.
+of documents without id stay and match nothing; rows that share an id are
+documents of their own, in the order of a hash of their texts; lines of one
+document count too, the first stays; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import WORD, attach_weighted, lower_az, split_for, text_of, written
+from larkspur.llm.phrases import ranked
 from larkspur.llm.words import blocks, gather_table, mix, word_hashes
 
 BAR = 0.8
 RARITY_BITS = 21  # 2 MB
-LOOKUP_BITS = 24  # 2 MB
+LOOKUP_BITS = 24, 28  # 2 to 32 MB, by the number of wanted keys; a table that is too full only lets more pass
 FIRST = 4
+WIDE = 64
+#: lines that are out, up to which they are told to every task by broadcast (some 20 bytes each); more go by a join
+TOLD = 1_000_000
 BYTES_A_BUCKET = 16 << 20  # of text
 _EPS = 1e-9
 
@@ -55,7 +62,7 @@ def rarity_classes(docs: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
             h = word_hashes(b"\n".join(raws))[0]
             own += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=len(own)).astype(own.dtype)
 
-    count = gather_table(docs.select(text_of(docs).alias("text")), fill, 1 << bits, np.int64, "sum")
+    count = gather_table(docs.select("text"), fill, 1 << bits, np.int64, "sum")
     return np.minimum(255, 8 * np.log2(count + 1.0)).astype(np.uint8)
 
 
@@ -111,7 +118,6 @@ class Lines:
         self.doc = np.searchsorted(first, line, "right") - 1  # number of the text
         self.line = line - first[self.doc]
         low = mix(word)
-        self.whole = np.add.reduceat(low, self.start) if len(word) else np.zeros(0, np.uint64)
         k = sketch_words(self.size, fine)
         self.sketch_at = np.cumsum(k) - k
         self.sketch = np.zeros(int(k.sum()), np.uint64)
@@ -120,6 +126,13 @@ class Lines:
                           np.uint64(1) << (place & 63).astype(np.uint64))
 
 
+def digests(raws: list[bytes]) -> np.ndarray:
+    """Two 64-bit numbers for every line with words: a digest of the line."""
+    found = [hashlib.blake2b(line, digest_size=16).digest()
+             for raw in raws for line in raw.split(b"\n") if line and not line.isspace()]
+    return np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
+
+
 def small_int(x: np.ndarray) -> np.ndarray:
     """`x` in 16 bits if it fits, which numpy sorts by radix."""
     return x.astype(np.uint16) if not len(x) or x.max() < 1 << 16 else x
@@ -152,91 +165,115 @@ def set_bits(table: np.ndarray, place: np.ndarray) -> None:
 
 def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int, bar: float,
             focus: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
-    """Blobs of records by bucket. Of equal lines in a batch the earliest is recorded, the others are out.
+    """Blobs of records by bucket, and of digests by bucket, below 0. Of equal lines in a batch the earliest is recorded,
+    the others are out and told with the digests.
 
     With a `focus` (bit tables of words and of lines) only records of those
-    words are made, and those lines are marked.
+    words are made, and those lines are marked; there are no digests then.
     """
     fine = 1 if focus is None else FINE
     for b in batches:
         ids = b.column(0).to_numpy()
-        kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "at", "whole", "words", "n")}
+        kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "at", "words", "n", "digest")}
         sketched = 0
         for lo, hi, raws in blocks(b.column(1)):
             x = Lines(raws, rarity, fine)
             n = probe_length(x.size, bar)
             at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
             for k, v in (("doc", ids[lo:hi][x.doc]), ("line", x.line), ("size", x.size), ("sketch", x.sketch),
-                         ("at", x.sketch_at + sketched), ("whole", x.whole), ("words", x.word[at]), ("n", n)):
+                         ("at", x.sketch_at + sketched), ("words", x.word[at]), ("n", n), ("digest", digests(raws))):
                 kept[k].append(v)
             sketched += len(x.sketch)
         if not kept["doc"]:
             continue
-        doc, line, size, sketch, sketch_at, whole, words, n = (np.concatenate(kept[k]) for k in kept)
+        doc, line, size, sketch, sketch_at, words, n, digest = (np.concatenate(kept[k]) for k in kept)
         k_of = sketch_words(size, fine)
-        parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(doc) else sketch
-        order = np.lexsort((line, doc, parity, whole, size))
-        same = np.append(False, (whole[order][1:] == whole[order][:-1]) & (parity[order][1:] == parity[order][:-1])
-                         & (size[order][1:] == size[order][:-1]))[:len(order)]
-        out = np.zeros(len(doc), bool)
-        out[order[same]] = True
+        out = repeats(digest, doc, line)
+        whole = digest[:, 0]
         row = np.repeat(np.arange(len(n)), n)
         pos = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         stays = ~out[row]
         row, pos, word = row[stays], pos[stays], mix(words[stays])
         asks = np.ones(len(doc), bool)
         if focus is not None:
-            stays = bit_at(focus[0], (word >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64))
+            stays = bit_at(focus[0], (word >> np.uint64(64 - _bits(focus[0]))).astype(np.int64))
             row, pos, word = row[stays], pos[stays], word[stays]
-            asks = bit_at(focus[1], _places(doc, line, LOOKUP_BITS))
-            out[:] = False  # told before
+            asks = bit_at(focus[1], _places(doc, line, _bits(focus[1])))
         bucket = (word >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(small_int(bucket.astype(np.int64)), kind="stable")
         row, pos, word, bucket = row[order], pos[order], word[order].astype(np.uint32), bucket[order].astype(np.int64)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        ids_out, lines_out = doc[out], line[out]
         names, blobs = [], []
         for k in range(buckets):
             part = slice(edges[k], edges[k + 1])
             r = row[part]
-            gone = slice(k, None, buckets)  # removals travel along, spread over the buckets
-            if len(r) or len(ids_out[gone]):
+            if len(r):
                 names.append(k)
                 blobs.append(pickle.dumps((
                     word[part], narrow(doc[r]), narrow(line[r]), narrow(size[r]), narrow(pos[part]),
                     sketch[np.repeat(sketch_at[r] - np.cumsum(k_of[r]) + k_of[r], k_of[r]) + np.arange(k_of[r].sum())],
-                    whole[r].astype(np.uint32), narrow(ids_out[gone]), narrow(lines_out[gone]), asks[r]), protocol=5))
+                    whole[r], asks[r]), protocol=5))
+        if focus is None:
+            of = (whole % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(of, kind="stable")
+            edges = np.searchsorted(of[order], np.arange(buckets + 1))
+            for k in range(buckets):
+                r = order[edges[k]:edges[k + 1]]
+                if len(r):
+                    names.append(-1 - k)
+                    own, gone = r[~out[r]], r[out[r]]
+                    blobs.append(pickle.dumps((digest[own], narrow(doc[own]), narrow(line[own]),
+                                               narrow(doc[gone]), narrow(line[gone])), protocol=5))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
 
-def _likest(later: np.ndarray, earlier: np.ndarray, bits: np.ndarray, rank: np.ndarray, first: int, more: np.ndarray):
-    """Of each later record the `first` partners that differ in the fewest bits; marks in `more` those that have others."""
+def repeats(digest: np.ndarray, doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Which lines have an earlier one of the same digest."""
+    order = np.lexsort((line, doc, digest[:, 1], digest[:, 0]))
+    same = np.append(False, (digest[order][1:] == digest[order][:-1]).all(axis=1))[:len(order)]
+    out = np.zeros(len(doc), bool)
+    out[order[same]] = True
+    return out
+
+
+def equal_lines(blobs: list[bytes]) -> dict[str, np.ndarray]:
+    """Lines that are out because an earlier one has the same digest, from the digests of one bucket."""
+    parts = [pickle.loads(x) for x in blobs]
+    digest = np.concatenate([p[0] for p in parts])
+    doc, line, gone_doc, gone_line = (np.concatenate([wide(p[i]) for p in parts]) for i in (1, 2, 3, 4))
+    out = repeats(digest, doc, line)
+    none = np.zeros(0, np.int64)
+    doc, line = np.append(gone_doc, doc[out]), np.append(gone_line, line[out])
+    return {"doc": doc, "line": line, "by_doc": none, "by_line": none, "more": np.zeros(len(doc), bool)}
+
+
+def _likest(later: np.ndarray, earlier: np.ndarray, bits: np.ndarray, sure: np.ndarray, rank: np.ndarray, first: int,
+            more: np.ndarray):
+    """Of each later record the `first` partners that differ in the fewest bits, or the WIDE first if the very first is
+    no `sure` match; marks in `more` those that have others."""
     order = np.lexsort((rank[earlier], bits, later))
-    later, earlier, bits = later[order], earlier[order], bits[order]
-    turn = np.arange(len(later)) - np.searchsorted(later, later)
-    more[later[turn >= first]] = True
-    return later[turn < first], earlier[turn < first], bits[turn < first]
+    later, earlier, bits, sure = later[order], earlier[order], bits[order], sure[order]
+    head = np.searchsorted(later, later)
+    turn = np.arange(len(later)) - head
+    stays = turn < np.where(sure[head], first, max(first, WIDE))
+    more[later[~stays]] = True
+    return later[stays], earlier[stays], bits[stays], sure[stays]
 
 
 def compare_lists(blobs: list[bytes], bar: float, first: int | None, focused: bool = False) -> dict[str, np.ndarray]:
-    """Decided lines (no partner named) and pairs to verify, from the records of one bucket; all pairs without `first`."""
+    """Pairs to verify, from the records of one bucket; all pairs without `first`."""
     parts = [pickle.loads(x) for x in blobs]
     word, sketch, whole = (np.concatenate([p[i] for p in parts]) for i in (0, 5, 6))
     doc, line, size, pos = (np.concatenate([wide(p[i]) for p in parts]) for i in (1, 2, 3, 4))
-    out_doc, out_line = ([np.concatenate([wide(p[i]) for p in parts])] for i in (7, 8))
-    asks = np.concatenate([p[9] for p in parts])
+    asks = np.concatenate([p[7] for p in parts])
     k_of = sketch_words(size, FINE if focused else 1)
     sketch_at = np.cumsum(k_of) - k_of
     parity = np.bitwise_xor.reduceat(sketch, sketch_at) if len(word) else sketch
 
-    order = np.lexsort((line, doc, parity ^ mix(whole.astype(np.uint64)), word.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)))
+    order = np.lexsort((line, doc, whole, word.astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)))
     word, doc, line, size, pos, parity, whole, k_of, sketch_at, asks = (
         x[order] for x in (word, doc, line, size, pos, parity, whole, k_of, sketch_at, asks))
-    same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (parity[1:] == parity[:-1])
-                     & (whole[1:] == whole[:-1]))[:len(word)]
-    told = same & (pos == 0) if not focused else np.zeros(len(same), bool)  # each line is told once, in the list of its rarest word
-    out_doc.append(doc[told])
-    out_line.append(line[told])
+    same = np.append(False, (word[1:] == word[:-1]) & (size[1:] == size[:-1]) & (whole[1:] == whole[:-1]))[:len(word)]
     word, doc, line, size, pos, parity, k_of, sketch_at, asks = (
         x[~same] for x in (word, doc, line, size, pos, parity, k_of, sketch_at, asks))
 
@@ -246,7 +283,7 @@ def compare_lists(blobs: list[bytes], bar: float, first: int | None, focused: bo
     rank_of_line = np.append(0, np.cumsum((np.diff(doc[np.argsort(rank)]) != 0) | (np.diff(line[np.argsort(rank)]) != 0)))[:n]
     rank = rank_of_line[rank] if n else rank
     more = np.zeros(n, bool)
-    later, earlier, bits, held = [], [], [], 0
+    later, earlier, bits, sure, held = [], [], [], [], 0
     i = np.arange(n)
     for step in range(1, n):
         i = i[i + step < n]
@@ -269,22 +306,21 @@ def compare_lists(blobs: list[bytes], bar: float, first: int | None, focused: bo
         if len(fine):
             differ[fine] = differing_bits(sketch, sketch_at, k_of, a[fine], b[fine])
             near = differ <= most
-            a, b, differ = a[near], b[near], differ[near]
+            a, b, differ, most = a[near], b[near], differ[near], most[near]
         later.append(a)
         earlier.append(b)
         bits.append(differ)
+        sure.append(2 * differ <= most)
         held += len(a)
-        if held > 4_000_000 and first is not None:
-            x, y, z = _likest(*map(np.concatenate, (later, earlier, bits)), rank, first, more)
-            later, earlier, bits, held = [x], [y], [z], len(x)
+        if held > 2_000_000 and first is not None:
+            later, earlier, bits, sure = ([x] for x in _likest(*map(np.concatenate, (later, earlier, bits, sure)), rank, first, more))
+            held = len(later[0])
     x, y = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (later, earlier))
     if first is not None and len(x):
-        x, y, _ = _likest(x, y, np.concatenate(bits), rank, first, more)
+        x, y, _, _ = _likest(x, y, np.concatenate(bits), np.concatenate(sure), rank, first, more)
     elif len(x):  # a pair may have met in several lists
         x, y = np.divmod(np.unique(x * n + y), n)
-    out_doc, out_line = np.concatenate(out_doc), np.concatenate(out_line)
-    return {"doc": np.append(out_doc, doc[x]), "line": np.append(out_line, line[x]), "by_doc": doc[y], "by_line": line[y],
-            "more": np.append(np.zeros(len(out_doc), bool), more[x])}
+    return {"doc": doc[x], "line": line[x], "by_doc": doc[y], "by_line": line[y], "more": more[x]}
 
 
 def candidates(docs: DataFrame, rarity, buckets: int, bar: float, first: int | None, focus=None) -> DataFrame:
@@ -293,7 +329,8 @@ def candidates(docs: DataFrame, rarity, buckets: int, bar: float, first: int | N
         return records(batches, rarity.value, buckets, bar, None if focus is None else focus.value)
 
     def compare(t: pa.Table) -> pa.Table:
-        got = compare_lists([x.as_buffer() for x in t["blob"]], bar, first, focus is not None)
+        blobs = [x.as_buffer() for x in t["blob"]]
+        got = equal_lines(blobs) if t["bucket"][0].as_py() < 0 else compare_lists(blobs, bar, first, focus is not None)
         decided = len(got["doc"]) - len(got["by_doc"])
         fill = lambda x: pa.concat_arrays([pa.nulls(decided, pa.int64()), pa.array(x, pa.int64())])
         return pa.Table.from_arrays([pa.array(got["doc"]), pa.array(got["line"]), fill(got["by_doc"]), fill(got["by_line"]),
@@ -307,12 +344,23 @@ def _places(doc: np.ndarray, line: np.ndarray, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def lines_at(docs: DataFrame, wanted: DataFrame, bits: int = LOOKUP_BITS) -> DataFrame:
+def _bits(table: np.ndarray) -> int:
+    return (8 * len(table)).bit_length() - 1
+
+
+def lookup_bits(keys: int) -> int:
+    """Bits of the address in a bit table for so many keys, sixteen places a key within LOOKUP_BITS."""
+    return min(LOOKUP_BITS[1], max(LOOKUP_BITS[0], (16 * keys).bit_length()))
+
+
+def lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc, line, text of all rows of `wanted` (doc, line), and of some others.
 
-    A bit table of fixed size says which lines may be wanted; a fuller one only
-    lets more lines pass, which the join that follows drops.
+    A bit table says which lines may be wanted; a fuller one only lets more lines
+    pass, which the join that follows drops.
     """
+    bits = lookup_bits(wanted.count())
+
     def fill(batch: pa.RecordBatch, own: np.ndarray) -> None:
         set_bits(own, _places(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits))
 
@@ -321,15 +369,18 @@ def lines_at(docs: DataFrame, wanted: DataFrame, bits: int = LOOKUP_BITS) -> Dat
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             docs_, lines_, texts = [], [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                text = text.as_py()
-                number = np.arange(text.count("\n") + 1)
-                number = number[bit_at(table.value, _places(np.full(len(number), doc), number, bits))]
-                if len(number):
-                    lines = text.split("\n")
-                    docs_ += [doc] * len(number)
-                    lines_ += number.tolist()
-                    texts += [lines[k] for k in number]
+            count = pa.compute.count_substring(b.column(1), "\n").to_numpy(zero_copy_only=False) + 1
+            row = np.repeat(np.arange(b.num_rows), count)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            ids = b.column(0).to_numpy()
+            has = bit_at(table.value, _places(ids[row], number, bits))
+            row, number = row[has], number[has]
+            edges = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else []
+            for lo, hi in zip(edges, [*edges[1:], len(row)]):
+                lines = b.column(1)[row[lo]].as_py().split("\n")
+                docs_ += [ids[row[lo]]] * (hi - lo)
+                lines_ += number[lo:hi].tolist()
+                texts += [lines[k] for k in number[lo:hi]]
             yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(lines_, pa.int64()),
                                               pa.array(texts, pa.string())], names=["doc", "line", "text"])
 
@@ -356,27 +407,44 @@ def verified(known: DataFrame, pairs: DataFrame, bar: float) -> tuple[DataFrame,
 
 
 def focus_on(open_lines: DataFrame, rarity, bar: float) -> tuple[np.ndarray, np.ndarray]:
-    """Bit tables of fixed size, of the prefix words of `open_lines` (doc, line, words) and of the lines themselves."""
+    """Bit tables of the prefix words of `open_lines` (doc, line, words) and of the lines themselves."""
+    number = open_lines.agg(F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+    of_words, of_lines = lookup_bits(number["words"]), lookup_bits(number["lines"])
+
     def fill_words(batch: pa.RecordBatch, own: np.ndarray) -> None:
         x = Lines([" ".join(w).encode() for w in batch.column(0).to_pylist()], rarity.value)
         n = probe_length(x.size, bar)
         at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
-        set_bits(own, (mix(x.word[at]) >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64))
+        set_bits(own, (mix(x.word[at]) >> np.uint64(64 - of_words)).astype(np.int64))
 
     def fill_lines(batch: pa.RecordBatch, own: np.ndarray) -> None:
-        set_bits(own, _places(batch.column(0).to_numpy(), batch.column(1).to_numpy(), LOOKUP_BITS))
+        set_bits(own, _places(batch.column(0).to_numpy(), batch.column(1).to_numpy(), of_lines))
 
-    size = 1 << (LOOKUP_BITS - 3)
-    return (gather_table(open_lines.select("words"), fill_words, size, np.uint8, "or"),
-            gather_table(open_lines.select("doc", "line"), fill_lines, size, np.uint8, "or"))
+    return (gather_table(open_lines.select("words"), fill_words, 1 << (of_words - 3), np.uint8, "or"),
+            gather_table(open_lines.select("doc", "line"), fill_lines, 1 << (of_lines - 3), np.uint8, "or"))
 
 
-def later_matches(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> DataFrame:
-    """doc, line: every line that has an earlier match. `docs` has doc_id and text."""
-    spark = docs.sparkSession
-    known = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc"), text_of(docs).alias("text"))
-    rarity = spark.sparkContext.broadcast(rarity_classes(docs))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def numbered(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns) and doc, which tells rows apart and has the order of doc_id; null without id.
+
+    It is doc_id itself where no two rows share one, else rows are numbered in the order of doc_id and a hash of the text.
+    """
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    ids = docs["doc_id"].cast("bigint")
+    shared = docs.filter(ids.isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if shared.isEmpty():
+        return docs.select(whole, ids.alias("doc"))
+    order = written(docs.filter(ids.isNotNull()).select(whole, ids.alias("first"), F.xxhash64(text_of(docs)).alias("then")))
+    return ranked(order, F.col("first"), F.col("then")).select("row", F.col("id").alias("doc")).unionByName(
+        docs.filter(ids.isNull()).select(whole, F.lit(None).cast("bigint").alias("doc")))
+
+
+def later_matches(rows: DataFrame, bar: float = BAR, first: int = FIRST) -> DataFrame:
+    """doc, line: every line that has an earlier match. `rows` is `numbered`."""
+    spark = rows.sparkSession
+    known = rows.filter("doc IS NOT NULL").select("doc", F.coalesce("row.text", F.lit("")).alias("text"))
+    rarity = spark.sparkContext.broadcast(rarity_classes(known))
+    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = split_for(spark, total, BYTES_A_BUCKET)
     found = written(candidates(known, rarity, buckets, bar, first))
     out = found.filter("by_doc IS NULL").select("doc", "line")
@@ -385,46 +453,43 @@ def later_matches(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> Data
                     .join(out.distinct(), ["doc", "line"], "left_anti"))
     judged, texts = verified(known, pairs, bar)
     out = out.unionByName(judged.filter("match").select("doc", "line"))
-    for limit in (first, None):  # with fine sketches the likest partners decide nearly all; then whatever is left
-        undecided = written(texts.join(judged.filter("more AND NOT match").select("doc", "line"), ["doc", "line"], "left_semi"))
-        if undecided.isEmpty():
-            break
+    undecided = written(texts.join(judged.filter("more AND NOT match").select("doc", "line"), ["doc", "line"], "left_semi"))
+    if not undecided.isEmpty():  # few: all their partners that finer sketches leave
         focus = spark.sparkContext.broadcast(focus_on(undecided, rarity, bar))
-        rest = written(candidates(known, rarity, buckets, bar, limit, focus)
-                       .groupBy(*named).agg(F.max("more").alias("more"))
-                       .join(undecided.select("doc", "line"), ["doc", "line"], "left_semi"))
-        judged, texts = verified(known, rest, bar)
-        out = out.unionByName(judged.filter("match").select("doc", "line"))
+        rest = written(candidates(known, rarity, buckets, bar, None, focus).select(*named).distinct()
+                       .join(undecided.select("doc", "line"), ["doc", "line"], "left_semi").withColumn("more", F.lit(False)))
+        out = out.unionByName(verified(known, rest, bar)[0].filter("match").select("doc", "line"))
     return out.distinct()
 
 
-def drop_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """All columns of docs with those lines taken out of text, and n_lines and n_removed (in place of any of that name)."""
-    by_doc = written(removed.groupBy("doc").agg(F.collect_list("line").alias("_out")))  # at most a document's own lines
-    names = docs.columns
-    joined = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs["doc_id"].cast("bigint").alias("_doc"),
-                         text_of(docs).alias("_text")).join(by_doc.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    kinds = docs.select(F.struct(*[docs[c] for c in names]).alias("_row")).schema["_row"].dataType.simpleString()
+def drop_lines(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """All columns of the rows with those lines taken out of text, and n_lines and n_removed (in place of any of that name)."""
+    by_doc = written(removed.groupBy("doc").agg(F.collect_list("line").alias("out")))  # at most a document's own lines
+    if (by_doc.agg(F.sum(F.size("out"))).first()[0] or 0) <= TOLD:
+        by_doc = F.broadcast(by_doc)
+    names = rows.schema["row"].dataType.names
+    joined = rows.join(by_doc, "doc", "left").select("row", "out")
+    kinds = joined.schema["row"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, n, gone = [], [], []
-            for text, out in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                lines = text.split("\n") if text is not None else []
-                n.append(len(lines))
-                drop = set(out or ())
-                gone.append(sum(k < len(lines) for k in drop))
-                texts.append("\n".join(x for k, x in enumerate(lines) if k not in drop) if drop else text)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())],
-                names=["_row", "_text", "n_lines", "n_removed"])
-
-    out = joined.select("_row", "_text", "_out").mapInArrow(
-        cut, f"_row {kinds}, _text string, n_lines bigint, n_removed bigint")
-    text = F.when(F.col("n_removed") > 0, F.col("_text")).otherwise(F.col("_row.text"))
-    return out.select(*[text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in names if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+            texts, out = b.column(0).field(names.index("text")), b.column(1)
+            n = pa.compute.add(pa.compute.count_substring(texts.fill_null(""), "\n"), 1).cast(pa.int64())
+            gone, kept = np.zeros(b.num_rows, np.int64), [None] * b.num_rows
+            for row in np.flatnonzero(out.is_valid().to_numpy(zero_copy_only=False)):
+                drop = set(out[row].as_py())
+                lines = texts[row].as_py().split("\n")
+                kept[row] = "\n".join(x for k, x in enumerate(lines) if k not in drop)
+                gone[row] = len(drop)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(kept, pa.string()), n, pa.array(gone)],
+                                             names=["row", "kept", "n_lines", "n_removed"])
+
+    out = joined.mapInArrow(cut, f"row {kinds}, kept string, n_lines bigint, n_removed bigint")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
+    return out.select(*[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
 
 
 def dedup_lines(docs: DataFrame, bar: float = BAR, first: int = FIRST) -> DataFrame:
     """All columns of docs, without the lines that match an earlier one, plus n_lines and n_removed."""
-    return drop_lines(docs, later_matches(docs, bar, first))
+    rows = numbered(docs)
+    return drop_lines(rows, later_matches(rows, bar, first))

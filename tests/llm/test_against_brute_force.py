@@ -109,7 +109,7 @@ def test_line_dedup(result, texts):
 
 def test_line_join_with_one_partner_at_a_time(spark, texts):
     """Further rounds decide what the first partners do not."""
-    from larkspur.llm.line_dedup import later_matches
+    from larkspur.llm.line_dedup import later_matches, numbered
     draw = random.Random(1)
     base = [f"w{i}" for i in range(40)]
     rows = []
@@ -121,7 +121,8 @@ def test_line_join_with_one_partner_at_a_time(spark, texts):
     sets = [set(t.split()) for _, t in rows]
     want = {i for i in range(150) if any(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in range(i))}
     for first in (1, 4):
-        got = later_matches(spark.createDataFrame(rows, "doc_id bigint, text string"), first=first).collect()
+        docs = numbered(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        got = later_matches(docs, first=first).collect()
         assert {r["doc"] for r in got} == want
 
 
