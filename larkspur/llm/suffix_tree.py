@@ -1,19 +1,23 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-A state is a run of up to DEPTH words. Candidates are runs that make up at least
-`p_min` of all training tokens, so their number is bounded by 1 / p_min a depth
-whatever the corpus; the words that follow every candidate are counted in all
-training texts. A candidate is kept if its own next-word distribution, each
-occurrence predicted from the others (leave one out), beats its parent's by
-`divergence` nats; the parent is the longest kept suffix. Distributions are
-smoothed towards the parent; next words under `p_entry` of all tokens are left to
-the parent's shape, scaled so that every state sums to one. The root has every
-training word, by absolute discounting, and one unknown word with what that
-frees. A token is scored by the longest kept suffix of what precedes it.
-
-The tree (bounded by p_min and p_entry) is broadcast. The root is not bounded:
-every block of documents asks for its own distinct words, and gets their counts
-through a shuffle, so no task holds the vocabulary.
+A state is a run of up to DEPTH words. Candidates are runs seen at least
+`least_context` times in training texts, whatever the corpus, so the tree grows
+with it; every word that follows a candidate is counted. A candidate is kept if
+its own next-word distribution, each occurrence predicted from the others (leave
+one out), beats its parent's by `divergence` nats; the parent is the longest kept
+suffix. A kept state with `total` followers gives a word that follows it n times
+(n + PRIOR * p) / (total + PRIOR), p being its parent's probability, so every
+state sums to one. The root has every training word, by absolute discounting, and
+one unknown word with what that frees. A token is scored by the longest kept
+suffix of what precedes it.
+
+No task and no driver holds the tree. Texts become blocks of token numbers, one
+row each, in a table that is bucketed by block. A block asks for the counts of its
+own distinct words and runs, level by level: askings go to ranges of the hash, are
+summed there, and the sums come back in the order they were asked in. Runs are only
+asked for behind a run that the level before found frequent. One asking block of
+every run is told to weigh it, so gains are summed over distinct runs. A hot word
+or run is one number a block, and its followers are spread by their own hashes.
 
 Words are known by 64-bit hashes. Defined results: a null text counts as empty,
 which is the end token alone; a null id counts as held out; without training
@@ -25,29 +29,32 @@ from __future__ import annotations
 
 import math
 import pickle
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import held_out, id_bucket, split_for, text_of, written
-from larkspur.llm.words import blocks, mix, word_hashes
+from larkspur.llm.common import held_out, split_for, text_of, written
+from larkspur.llm.words import blocks, mix, packed, unpacked, word_hashes
+from larkspur.plans.shared import scratch_path
 
 DEPTH = 3
-P_MIN = 1 / 5000
-P_ENTRY = 1 / 1_000_000
-LEAST_CONTEXT = 16
+LEAST_CONTEXT = 32
 DIVERGENCE = 10.0
 PRIOR = 50.0
 FOLDS = 10
-BLOCK_BYTES = 8 << 20  # of text that are scored together
-PAIRS_AT_ONCE = 3_000_000
-BYTES_A_BUCKET = 16 << 20
+BLOCK_BYTES = 16 << 20  # of text that ask and are scored together; a block takes texts by the megabyte
+BYTES_A_TASK = 64 << 20
+BYTES_A_RANGE = 8 << 20
 #: the end token's hash: no word is empty
 END = int(mix(np.array([0xE0D], np.uint64))[0])
+_ASKED = "kind int, range bigint, block bigint, keys binary, amounts binary"
+_TOLD = "kind int, range bigint, block bigint, told binary, total bigint, words bigint, once bigint, twice bigint"
 
 
 def followed(key: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -62,30 +69,6 @@ def tokens(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(h, np.cumsum(n), np.uint64(END)), n + 1
 
 
-def contexts(h: np.ndarray, n: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For depths 1 to `depth`: the key of the run before every token, and whether there is one.
-
-    A text's first token has the end token before it, and nothing before that.
-    """
-    starts = np.cumsum(n) - n
-    place = np.arange(len(h)) - np.repeat(starts, n)
-    before = np.append(np.uint64(END), h[:-1])[:len(h)]
-    before[starts] = np.uint64(END)
-    out = [(before, place >= 0)]
-    for d in range(2, depth + 1):
-        key = np.append(np.uint64(0), out[-1][0][:-1])[:len(h)]
-        out.append((followed(key, before), place >= d - 1))
-    return out
-
-
-def at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where `wanted` are in sorted `keys`, and whether they are there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return i, keys[i] == wanted
-
-
 @dataclass
 class Root:
     tokens: int = 0
@@ -102,237 +85,273 @@ class Root:
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.words + 1)))
 
 
-@dataclass
-class Level:
-    """Kept states of one depth: sorted keys, the factor on the parent for unlisted words, listed words and their probability."""
-    states: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    factor: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    probability: np.ndarray = field(default_factory=lambda: np.zeros(0))
-
-    def apply(self, p: np.ndarray, key: np.ndarray, there, word: np.ndarray) -> np.ndarray:
-        """Replaces p where the run before the word is a state."""
-        i, found = at(self.states, key)
-        found &= there
-        k = np.flatnonzero(found)
-        j, listed = at(self.entries, followed(key[k], word[k]))
-        q = p.copy()
-        q[k] = p[k] * self.factor[i[k]]
-        q[k[listed]] = self.probability[j[listed]]
-        return q
+class Distinct:
+    """The distinct keys of an array, sorted, and the way from them to the array's places and back."""
 
+    def __init__(self, keys: np.ndarray):
+        self.order = np.argsort(keys, kind="stable")
+        in_order = keys[self.order]
+        self.first = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])[:len(keys)])
+        self.keys = in_order[self.first]
 
-@dataclass
-class Candidates:
-    """Runs of one depth: sorted keys, their counts, and the keys of their proper suffixes, by depth."""
-    keys: np.ndarray
-    counts: np.ndarray
-    suffixes: list[np.ndarray]
+    def total(self, amounts: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(amounts[self.order], self.first) if len(self.first) else amounts[:0]
 
+    def one_of(self, values: np.ndarray) -> np.ndarray:
+        return values[self.order[self.first]]
 
-def _blocked(docs: DataFrame, folds: int, block_bytes: int) -> DataFrame:
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return docs.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), text_of(docs).alias("text"),
-                       id_bucket(docs, max(1, math.ceil(total / block_bytes))).alias("block"))
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        out = np.empty(len(self.order), values.dtype)
+        out[self.order] = np.repeat(values, np.diff(np.append(self.first, len(self.order))))
+        return out
+
+
+# ---- blocks -----------------------------------------------------------------
+
+def _squeezed(x: bytes) -> bytes:
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd").compress(x, asbytes=True)
 
 
-def block_words(docs: DataFrame) -> DataFrame:
-    """block, h, c: the distinct tokens of every block (of a batch) and how often they occur in training texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole(x: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True)
+
+
+def block_table(docs: DataFrame, folds: int, block_bytes: int, buckets: int) -> DataFrame:
+    """block, doc_ids, held, tokens: one row per block; a table of its own, bucketed by block."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), text_of(docs).alias("text"))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, held, hashes, numbers, size = TaskContext.get().partitionId() << 33, [], [], [], [], 0
+
+        def closed() -> pa.RecordBatch:
+            words, at, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            order = np.argsort(-count, kind="stable")  # small numbers for frequent words
+            number = np.empty(len(words), np.int64)
+            number[order] = np.arange(len(words))
+            blob = pickle.dumps((words[order].tobytes(), packed(number[at]), packed(np.concatenate(numbers))))
+            one = pa.concat_arrays(ids)
+            out = pa.concat_arrays(held)
+            ends = pa.array([0, len(one)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.ListArray.from_arrays(ends, one), pa.ListArray.from_arrays(ends, out),
+                 pa.array([_squeezed(blob)], pa.binary())], names=["block", "doc_ids", "held", "tokens"])
+
         for b in batches:
-            block, out = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
-            for k in np.unique(block):
-                mine = np.flatnonzero(block == k)
-                held, seen, counts = out[mine], [], []
-                for lo, hi, raws in blocks(b.column(2).take(pa.array(mine))):
-                    h, n = tokens(raws)
-                    seen.append(np.unique(h))
-                    counts.append(np.unique(h[np.repeat(~held[lo:hi], n)], return_counts=True))
-                words = np.unique(np.concatenate(seen))
-                trained, at_ = np.unique(np.concatenate([w for w, _ in counts]), return_inverse=True)
-                c = np.bincount(at_, np.concatenate([c for _, c in counts]), len(trained)).astype(np.int64)
-                counts = np.zeros(len(words), np.int64)
-                counts[np.searchsorted(words, trained)] = c
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(words), k)), pa.array(words.view(np.int64)), pa.array(counts)], names=["block", "h", "c"])
-
-    return docs.select("block", "held_out", "text").mapInArrow(count, "block bigint, h bigint, c bigint")
-
-
-def next_words(docs: DataFrame, runs, depth: int, buckets: int) -> DataFrame:
-    """bucket (of the next word) and blobs of (run, next word, count) over training texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = runs.value.keys
-        small = np.uint32 if len(keys) > 65535 else np.uint16
-
-        def found() -> Iterator[tuple[list, list]]:
-            run, word, size = [], [], 0
-            for b in batches:
-                for _, _, raws in blocks(b.column(0)):
-                    h, n = tokens(raws)
-                    key, there = contexts(h, n, depth)[-1]
-                    i, known = at(keys, key)
-                    known &= there
-                    run.append(i[known].astype(small))
-                    word.append(h[known])
-                    size += len(run[-1])
-                    if size > PAIRS_AT_ONCE:
-                        yield run, word
-                        run, word, size = [], [], 0
-            if size:
-                yield run, word
-
-        for run, word in found():
-            run, word = np.concatenate(run), np.concatenate(word)
-            order = np.lexsort((run, word))
-            run, word = run[order], word[order]
-            new = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (run[1:] != run[:-1]))[:len(word)])
-            n = np.diff(np.append(new, len(word)))
-            run, word = run[new], word[new]
-            n = n.astype(np.uint32 if len(n) and n.max() > 255 else np.uint8)
-            bucket = (word % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            names = [k for k in range(buckets) if edges[k] < edges[k + 1]]
-            blobs = []
-            for k in names:
-                part = order[edges[k]:edges[k + 1]]
-                first = np.flatnonzero(np.append(True, word[part][1:] != word[part][:-1]))  # each word once
-                blobs.append(pickle.dumps((run[part], word[part][first], np.diff(np.append(first, len(part))).astype(np.uint32),
-                                           n[part]), protocol=5))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-
-    return docs.filter("NOT held_out").select("text").mapInArrow(count, "bucket int, blob binary")
-
-
-_SUMS = "run int, word bigint, n bigint, p double, gain double, own double, parent double"
-
-
-def weigh(blobs: list[bytes], words: np.ndarray, counts: np.ndarray, runs: Candidates, levels: list[Level], root: Root,
-          least: float) -> dict[str, np.ndarray]:
-    """Of one bucket: for every run its share of the gain, of listed words' own and parent probability; and the listed words."""
-    parts = [pickle.loads(x) for x in blobs]
-    run = np.concatenate([p[0] for p in parts]).astype(np.int64)
-    word = np.concatenate([np.repeat(p[1], p[2]) for p in parts])
-    n = np.concatenate([p[3] for p in parts]).astype(np.int64)
-    order = np.lexsort((run, word))
-    run, word, n = run[order], word[order], n[order]
-    new = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (run[1:] != run[:-1])))
-    run, word, n = run[new], word[new], np.add.reduceat(n, new)
-    i, found = at(words, word)
-    p = root.known(np.where(found, counts[i], 0))
-    for level, keys in zip(levels, runs.suffixes):
-        p = level.apply(p, keys[run], True, word)
-    total = runs.counts[run]
-    rest = np.log((n - 1 + PRIOR * p) / (total - 1 + PRIOR)) - np.log(p)  # each occurrence from the others
-    own = (n + PRIOR * p) / (total + PRIOR)
-    listed = n >= least
-    size = len(runs.keys)
-    gain, mass, parent = (np.bincount(run, w, size) for w in (n * rest, np.where(listed, own, 0), np.where(listed, p, 0)))
-    k = np.flatnonzero(np.bincount(run, minlength=size))
-    m, none = int(listed.sum()), np.zeros(len(k))
-    return {"run": np.append(k, run[listed]), "word": np.append(none.astype(np.int64), word[listed].view(np.int64)),
-            "n": np.append(none.astype(np.int64), n[listed]), "p": np.append(none, own[listed]),
-            "gain": np.append(gain[k], np.zeros(m)), "own": np.append(mass[k], np.zeros(m)),
-            "parent": np.append(parent[k], np.zeros(m))}
-
-
-def grow(docs: DataFrame, vocabulary: DataFrame, root: Root, depth: int, p_min: float, p_entry: float,
-         divergence: float, buckets: int) -> list[Level]:
-    """Levels of the tree. `vocabulary`: h, c, one row per training word."""
-    spark = docs.sparkSession
-    context_least, entry_least = max(LEAST_CONTEXT, p_min * root.tokens), max(2, p_entry * root.tokens)
-    frequent = vocabulary.filter(F.col("c") >= context_least).toArrow()  # at most 1 / p_min rows
-    keys = frequent["h"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    runs = Candidates(keys[order], frequent["c"].to_numpy()[order], [])
-    levels: list[Level] = []
-    by_bucket = vocabulary.select(F.pmod(F.pmod(F.shiftrightunsigned("h", 1), F.lit(buckets)) * 2 + F.col("h").bitwiseAND(F.lit(1)),
-                                         F.lit(buckets)).cast("int").alias("bucket"), "h", "c")  # h modulo buckets, unsigned
-    for d in range(1, depth + 1):
-        if not len(runs.keys):
+            for lo, hi, raws in blocks(b.column(2)):
+                h, n = tokens(raws)
+                ids.append(b.column(0).slice(lo, hi - lo))
+                held.append(b.column(1).slice(lo, hi - lo))
+                hashes.append(h)
+                numbers.append(n)
+                size += sum(map(len, raws))
+                if size >= block_bytes:
+                    yield closed()
+                    block, ids, held, hashes, numbers, size = block + 1, [], [], [], [], 0
+        if ids:
+            yield closed()
+
+    name = f"blocks_{uuid.uuid4().hex}"
+    (rows.mapInArrow(gather, f"block bigint, doc_ids array<{kind}>, held array<boolean>, tokens binary")
+     .write.bucketBy(buckets, "block").option("path", scratch_path(docs.sparkSession, "blocks")).saveAsTable(name))
+    return docs.sparkSession.table(name)
+
+
+@dataclass
+class Block:
+    """Tokens of a block, the words they are numbers of, and for every token whether it is for training."""
+    words: np.ndarray
+    number: np.ndarray
+    n: np.ndarray
+    train: np.ndarray
+
+    @classmethod
+    def read(cls, blob: bytes, held: np.ndarray) -> Block:
+        words, number, n = pickle.loads(_whole(blob))
+        n = unpacked(n)
+        return cls(np.frombuffer(words, np.uint64), unpacked(number), n, np.repeat(~held, n))
+
+    def vocabulary(self) -> tuple[Distinct, np.ndarray]:
+        """Its words, and how often they occur in training texts."""
+        words = Distinct(self.words)
+        return words, words.total(np.bincount(self.number, self.train, len(self.words)).astype(np.int64))
+
+
+# ---- asking and telling -----------------------------------------------------
+
+def ask(kind: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted `keys` with their amounts, a row for every range of the hash that has any."""
+    part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+    edges = np.append(first, len(keys)).astype(np.int32)
+
+    def cut_up(x: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges * np.int32(x.itemsize)), pa.py_buffer(x)])
+
+    # a block's own counts fit into 32 bits
+    amounts = np.ascontiguousarray(amounts, np.int32 if amounts.dtype.kind == "i" else np.float64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(first), kind, np.int32)), pa.array(part[first]), pa.array(np.full(len(first), block, np.int64)),
+         cut_up(np.ascontiguousarray(keys)), cut_up(amounts)], names=[c.split()[0] for c in _ASKED.split(", ")])
+
+
+def tell(asked: DataFrame, divergence: float) -> DataFrame:
+    """Of every range: to each asking block the sums of its keys, in its order.
+
+    Even kinds are counts: twice the sum, plus one for the block that weighs the key.
+    Odd kinds are gains: whether their sum is above `divergence`.
+    """
+    def meet(t: pa.Table) -> pa.Table:
+        kind, block = t["kind"][0].as_py(), t["block"].to_numpy()
+        turn = np.argsort(block, kind="stable")
+        keys = [np.frombuffer(t["keys"][int(i)].as_buffer(), np.uint64) for i in turn]
+        amounts = [np.frombuffer(t["amounts"][int(i)].as_buffer(), np.float64 if kind % 2 else np.int32) for i in turn]
+        sizes = [len(k) for k in keys]
+        each = Distinct(np.concatenate(keys))
+        sums = each.total(np.concatenate(amounts).astype(np.float64 if kind % 2 else np.int64))
+        facts = np.zeros((4, len(turn)), np.int64)
+        if kind % 2:
+            answers = each.spread(sums > divergence)
+        else:
+            answers = each.spread(sums * 2)
+            answers[each.order[each.first]] += 1
+            facts[:, 0] = sums.sum(), (sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()
+        told = [(np.packbits(a).tobytes() if kind % 2 else _squeezed(a.tobytes()))
+                for a in np.split(answers, np.cumsum(sizes)[:-1])]
+        return pa.table({"kind": t["kind"].take(pa.array(turn)), "range": t["range"].take(pa.array(turn)),
+                         "block": pa.array(block[turn]), "told": pa.array(told, pa.binary()),
+                         **{c: pa.array(x) for c, x in zip(("total", "words", "once", "twice"), facts)}})
+
+    return asked.groupBy("kind", "range").applyInArrow(meet, _TOLD)
+
+
+class Answers:
+    """What a block was told, by kind, in the order of its keys."""
+
+    def __init__(self, t: pa.Table):
+        self.rows: dict[int, list[tuple[int, bytes]]] = {}
+        for kind, part, told in zip(t["kind"].to_pylist(), t["range"].to_pylist(), t["told"]):
+            self.rows.setdefault(kind, []).append((part, told.as_buffer()))
+
+    def counts(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Training counts of the keys of a level, and whether this block weighs them."""
+        parts = [np.frombuffer(_whole(bytes(x)), np.int64) for _, x in sorted(self.rows.get(2 * level, []), key=lambda r: r[0])]
+        x = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return x >> 1, (x & 1).astype(bool)
+
+    def kept(self, level: int, keys: np.ndarray, bits: int) -> np.ndarray:
+        part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        sizes = np.unique(part, return_counts=True)[1]
+        rows = sorted(self.rows.get(2 * level + 1, []), key=lambda r: r[0])
+        parts = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for (_, x), n in zip(rows, sizes.tolist())]
+        return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
+
+
+# ---- the tree ---------------------------------------------------------------
+
+def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root, bits: int) -> list | tuple:
+    """What a block asks at a step, as (kind, keys, amounts); after the last, counts and probabilities of its tokens.
+
+    Step s asks for the runs of level s (s words and a next one) and gives its part of
+    the gains of the contexts of level s - 1, whose counts it knows.
+    """
+    asks = []
+    words, _ = b.vocabulary()
+    c = words.spread(told.counts(0)[0])[b.number]
+    h = b.words[b.number]
+    starts = np.cumsum(b.n) - b.n
+    place = np.arange(len(h)) - np.repeat(starts, b.n)
+    p, count = root.known(c), c
+    key = np.append(np.uint64(END), h[:-1])
+    key[starts] = np.uint64(END)  # a text's first token has the end token before it, and nothing before that
+    for d in range(1, min(step, depth) + 1):
+        total = np.append(0, count[:-1])  # every occurrence of a run but for the end token has a next token
+        total[starts] = c[starts + b.n - 1] if d == 1 else 0
+        k = np.flatnonzero((total >= least) & (place >= d - 1))
+        context, total_k = key[k], total[k]
+        runs = Distinct(followed(context, h[k]))
+        if d == step:
+            asks.append((2 * d, runs.keys, runs.total(b.train[k].astype(np.int64))))
             break
-        shared, known = spark.sparkContext.broadcast(runs), spark.sparkContext.broadcast(list(levels))
-
-        def meet(pairs: pa.Table, words: pa.Table) -> pa.Table:
-            if not pairs.num_rows:
-                return pa.table({c: pa.array([], t) for c, t in kinds})
-            h = words["h"].to_numpy().view(np.uint64)
-            order = np.argsort(h)
-            got = weigh([x.as_buffer() for x in pairs["blob"]], h[order], words["c"].to_numpy()[order],
-                        shared.value, known.value, root, entry_least)
-            return pa.table({c: pa.array(got[c], t) for c, t in kinds})
-
-        kinds = [(c.split()[0], {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[c.split()[1]])
-                 for c in _SUMS.split(", ")]
-        sums = written(next_words(docs, shared, d, buckets).groupBy("bucket").cogroup(by_bucket.groupBy("bucket"))
-                       .applyInArrow(meet, _SUMS))
-        facts = sums.filter("n = 0").groupBy("run").agg(*[F.sum(c).alias(c) for c in ("gain", "own", "parent")]).toArrow()
-        listed = sums.filter("n > 0").select("run", "word", "n", "p").toArrow()  # at most 1 / p_entry rows
-        run, word, n, p = (listed[c].to_numpy() for c in ("run", "word", "n", "p"))
-        word = word.view(np.uint64)
-        gain, own, parent = np.full(len(runs.keys), -np.inf), np.zeros(len(runs.keys)), np.zeros(len(runs.keys))
-        for out, c in ((gain, "gain"), (own, "own"), (parent, "parent")):
-            out[facts["run"].to_numpy()] = facts[c].to_numpy()
-        kept = gain > divergence
-        with np.errstate(divide="ignore", invalid="ignore"):
-            factor = np.where(parent < 1, np.maximum(0, 1 - own) / (1 - parent), 0.0)
-        mine = kept[run]
-        entries = followed(runs.keys[run], word)
-        order = np.argsort(entries[mine])
-        levels.append(Level(runs.keys[kept], factor[kept], entries[mine][order], p[mine][order]))
-        longer = np.flatnonzero((n >= context_least) & (word != np.uint64(END)))
-        suffixes = [followed(s[run[longer]], word[longer]) for s in runs.suffixes]
-        order = np.argsort(entries[longer])
-        runs = Candidates(entries[longer][order], n[longer][order], [s[order] for s in [word[longer], *suffixes]])
-    return levels
-
-
-def score_blocks(docs: DataFrame, counts: DataFrame, levels: list[Level], root: Root) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast((levels, root))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-              "base_score double, score double")
-
-    def score(texts: pa.Table, words: pa.Table) -> pa.Table:
-        levels, root = model.value
-        known, first = np.unique(words["h"].to_numpy().view(np.uint64), return_index=True)
-        count = words["c"].to_numpy()[first]
-        sums: list[list[np.ndarray]] = [[], [], [], []]
-        for _, _, raws in blocks(texts["text"]):
-            h, n = tokens(raws)
-            i, found = at(known, h)
-            c = np.where(found, count[i], 0) if len(count) else np.zeros(len(h), np.int64)
-            p = root.known(c)
-            for level, (key, there) in zip(levels, contexts(h, n, len(levels))):
-                p = level.apply(p, key, there, h)
-            starts = np.cumsum(n) - n
-            for out, x in zip(sums, (np.ones(len(h), np.int64), (c > 0).astype(np.int64), root.base_log10(c), np.log10(p))):
-                out.append(np.add.reduceat(x, starts))
-        n, m, base, own = (np.concatenate(x) if x else np.zeros(0) for x in sums)
-        return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(n, pa.int64()),
-            "n_known": pa.array(m, pa.int64()), "train_tokens": pa.array(np.full(len(n), root.tokens), pa.int64()),
-            "base_score": pa.array(base, pa.float64()), "score": pa.array(own, pa.float64())})
+        n, mine = told.counts(d)
+        states = Distinct(context)
+        if d == step - 1:
+            q, t = runs.one_of(p[k]), runs.one_of(total_k)
+            own = mine & (n > 0)
+            gain = np.zeros(len(n))
+            gain[own] = n[own] * (np.log((n[own] - 1 + PRIOR * q[own]) / (t[own] - 1 + PRIOR)) - np.log(q[own]))
+            once = np.zeros(len(k))
+            once[runs.order[runs.first]] = gain
+            asks.append((2 * d + 1, states.keys, states.total(once)))
+        n = runs.spread(n)
+        if d < step - 1:
+            kept = states.spread(told.kept(d, states.keys, bits))
+            p[k] = np.where(kept, (n + PRIOR * p[k]) / (total_k + PRIOR), p[k])
+        count = np.zeros(len(h), np.int64)
+        count[k] = n
+        ahead = followed(key, h)  # the run of a place is the next place's context
+        key = np.append(np.uint64(0), ahead[:-1])
+    return (c, p, starts) if step == depth + 2 else asks
+
+
+def _met(state: pa.Table, told: pa.Table) -> tuple[int, Block, Answers]:
+    held = state["held"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(bool)
+    return state["block"][0].as_py(), Block.read(state["tokens"][0].as_py(), held), Answers(told)
+
+
+def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int) -> tuple[Root, DataFrame]:
+    """The root, and what every block has been told about its words, runs and contexts."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number, b, _ = _met(pa.Table.from_batches([batch.slice(i, 1)]), pa.table({"kind": [], "range": [], "told": []}))
+                words, amounts = b.vocabulary()
+                yield ask(0, number, words.keys, amounts, bits)
+
+    told = written(tell(state.mapInArrow(first, _ASKED), divergence))
+    s = told.filter("kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "words", "once", "twice")]).first()
+    # with no word seen once there is still something unknown to expect
+    discount = s["once"] / (s["once"] + 2 * s["twice"]) if s["once"] and s["twice"] else 0.5
+    root = Root(s["total"], s["words"], discount)
+    for step in range(1, depth + 2):
+        def asking(mine: pa.Table, answers: pa.Table, step: int = step) -> pa.Table:
+            number, b, known = _met(mine, answers)
+            out = [ask(kind, number, keys, amounts, bits)
+                   for kind, keys, amounts in visit(b, known, step, depth, least, root, bits) if len(keys)]
+            return pa.Table.from_batches(out) if out else ask(0, 0, np.zeros(0, np.uint64), np.zeros(0, np.int64), bits)
+
+        told = told.unionByName(written(tell(meeting(state, told, asking, _ASKED), divergence)))
+    return root, told
 
-    return (docs.select("block", "doc_id", "held_out", "text").groupBy("block")
-            .cogroup(counts.groupBy("block")).applyInArrow(score, schema))
 
+def meeting(state: DataFrame, told: DataFrame, fn, schema: str) -> DataFrame:
+    """`fn` on every block with what it was told; only the answers are shuffled."""
+    def guarded(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        out = fn(mine, answers)
+        return pa.table(out) if isinstance(out, pa.RecordBatch) else out
 
-def score_texts(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, p_entry: float = P_ENTRY,
-                divergence: float = DIVERGENCE, folds: int = FOLDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    answers = told.select("block", "kind", "range", "told")
+    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(guarded, schema)
+
+
+def score_texts(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_CONTEXT, divergence: float = DIVERGENCE,
+                folds: int = FOLDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document."""
     spark = docs.sparkSession
-    rows = _blocked(docs, folds, block_bytes)
-    same = Window.partitionBy("h")  # one row per block and batch that has the word
-    counted = written(block_words(rows).select(
-        "block", "h", F.sum("c").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("told")))
-    vocabulary = counted.filter("told AND c > 0").select("h", "c")
-    s = vocabulary.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"),
-                       F.count_if(F.col("c") == 2).alias("twice")).first()
-    # with no word seen once there is still something unknown to expect
-    discount = s["once"] / (s["once"] + 2 * s["twice"]) if s["once"] and s["twice"] else 0.5
-    root = Root(s["n"] or 0, s["v"], discount)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    levels = grow(rows, vocabulary, root, depth, p_min, p_entry, divergence, split_for(spark, total, BYTES_A_BUCKET))
-    return score_blocks(rows, counted.select("block", "h", "c"), levels, root)
+    bits = max(0, math.ceil(math.log2(split_for(spark, total, BYTES_A_RANGE))))
+    state = block_table(docs, folds, block_bytes, split_for(spark, total, BYTES_A_TASK))
+    root, told = grow(state, depth, least_context, divergence, bits)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def score(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        _, b, known = _met(mine, answers)
+        c, p, starts = visit(b, known, depth + 2, depth, least_context, root, bits)
+        m, base, own = (np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), root.base_log10(c), np.log10(p)))
+        return pa.table({
+            "doc_id": mine["doc_ids"].combine_chunks().flatten(), "held_out": mine["held"].combine_chunks().flatten(),
+            "n_tokens": pa.array(b.n), "n_known": pa.array(m), "train_tokens": pa.array(np.full(len(b.n), root.tokens, np.int64)),
+            "base_score": pa.array(base), "score": pa.array(own)})
+
+    return meeting(state, told, score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, "
+                                       "train_tokens bigint, base_score double, score double")

@@ -142,24 +142,6 @@ def test_scores(result, texts):
     assert own > base
 
 
-def test_every_state_is_a_distribution(spark, tables):
-    """Over all known words and the unknown one, root and states sum to one."""
-    from larkspur.llm.suffix_tree import Root, _blocked, block_words, followed, grow
-    docs = spark.read.parquet(f"{tables}/documents.parquet")
-    rows = _blocked(docs, 10, 1 << 24)
-    vocabulary = block_words(rows).groupBy("h").agg({"c": "sum"}).toDF("h", "c").filter("c > 0")
-    h = vocabulary.toPandas()
-    root = Root(int(h["c"].sum()), len(h), 0.4)
-    levels = grow(rows, vocabulary, root, 2, 1 / 500, 1 / 100_000, 1.0, 4)
-    p = root.known(np.append(h["c"].to_numpy(), 0))
-    assert abs(p.sum() - 1) < 1e-9 and sum(len(x.states) for x in levels) > 3
-    words = np.append(h["h"].to_numpy().view(np.uint64), np.uint64(12345))
-    for state in levels[0].states[:20]:
-        q = levels[0].apply(p, np.full(len(words), state), np.ones(len(words), bool), words)
-        assert abs(q.sum() - 1) < 1e-6
-    assert len(followed(words, words)) == len(words)
-
-
 def test_language(result, spark, tables):
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{tables}/documents.parquet").collect()}
     held = [r for r in result("op7_language_id") if r["held_out"]]
