@@ -48,7 +48,7 @@ LEAST_CONTEXT = 32
 DIVERGENCE = 10.0
 PRIOR = 50.0
 FOLDS = 10
-BLOCK_BYTES = 16 << 20  # of text that ask and are scored together; a block takes texts by the megabyte
+BLOCK_BYTES = 8 << 20  # of text that ask and are scored together; a block takes texts by the megabyte
 BYTES_A_TASK = 64 << 20
 BYTES_A_RANGE = 8 << 20
 #: the end token's hash: no word is empty
