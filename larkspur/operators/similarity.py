@@ -6,26 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.plans.vector_index import VectorIndex
-from larkspur.plans.tiles import best_by_cosine, grid_for, pack_vectors, pair_blocks
+from larkspur.plans.tiles import best_by_cosine
 
 DECIMALS = 9
 
 
-def _pairs(left: DataFrame, right: DataFrame, key: str, uid: str, vector: str, grid: tuple[int, int] | None) -> DataFrame:
-    """Block pairs of equal key; the grid follows from the sizes unless it is given."""
-    rows, cols = grid or grid_for(left.count(), right.count())
-    return pair_blocks(pack_vectors(left, key, uid, vector, "a", spread=rows),
-                       pack_vectors(right, key, uid, vector, "b", spread=cols), [key], rows, cols)
-
-
 def nn_score(candidates: DataFrame, references: DataFrame, label: str, uid: str, vector: str,
              grid: tuple[int, int] | None = None) -> DataFrame:
     """(uid, label, nn_score, nearest): each candidate's closest same-class example.
 
-    The class is the join key, so classes never meet. A candidate whose class
-    has no example keeps a null score. Ids may be of any type.
+    Classes never meet. A candidate without a vector, or whose class has no
+    example, keeps a null score. Ids may be of any type.
     """
-    partial = best_by_cosine(_pairs(candidates, references, label, uid, vector, grid), "a", "b", 1, DECIMALS)
+    partial = best_by_cosine(candidates, references, uid, vector, 1, DECIMALS, label, grid=grid)
     everyone = candidates.select(
         F.col(uid).alias("left_id"), label,
         F.lit(None).cast(references.schema[uid].dataType).alias("right_id"), F.lit(None).cast("double").alias("score"))
@@ -40,9 +33,7 @@ def nn_score(candidates: DataFrame, references: DataFrame, label: str, uid: str,
 def mine_similar(queries: DataFrame, pool: DataFrame, uid: str, vector: str, k: int = 5,
                  grid: tuple[int, int] | None = None) -> DataFrame:
     """(query_id, rank, match_id, score): the k most similar pool rows per query."""
-    one = F.lit(0)
-    pairs = _pairs(queries.withColumn("_all", one), pool.withColumn("_all", one), "_all", uid, vector, grid)
-    partial = best_by_cosine(pairs, "a", "b", k, DECIMALS, skip_self=True)
+    partial = best_by_cosine(queries, pool, uid, vector, k, DECIMALS, skip_self=True, grid=grid)
     w = Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id")
     return (partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(F.col("left_id").alias("query_id"), "rank",
