@@ -181,12 +181,13 @@ def hashed_cuts(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, u
 
     Groups that fit whole get a cut above everything, groups that take nothing
     none. Two rounds of counting hash prefixes leave the rows of one prefix, a
-    16^-8 part of a group, to be ranked.
+    16^-8 part of a group, to be ranked. What is known of the groups is written
+    before every join, so that rows are not shuffled by a hot group to learn it.
     """
     h = F.md5(F.col(uid).cast("string"))
     rows = df.select(*keys, h.alias("_h"), F.col(uid).cast("string").alias("_u"))
     facts = quotas.select(*keys, F.col(quota).cast("bigint").alias("_room"), F.lit("").alias("_head")).where("_room > 0")
-    whole = None
+    facts, whole = cut(facts), None
     for step in (1, 2):
         prefix = F.substring("_h", 1, step * _DIGITS)
         counts = (attach(rows, facts, keys).where(F.col("_h").startswith(F.col("_head")))
@@ -194,10 +195,11 @@ def hashed_cuts(df: DataFrame, keys: list[str], quotas: DataFrame, quota: str, u
         counts = counts.withColumn("_upto", F.sum("_n").over(_group_window(keys).orderBy("_p")))
         edge = F.min(F.when(F.col("_upto") >= F.col("_room"), F.struct(
             "_p", (F.col("_room") - F.col("_upto") + F.col("_n")).alias("room")))).alias("_e")
-        edges = counts.groupBy(*keys).agg(edge)  # read twice, but one shuffle
+        edges = cut(counts.groupBy(*keys).agg(edge))
         if step == 1:
             whole = edges.where("_e IS NULL").select(*keys, F.struct(F.lit("~").alias("_h"), F.lit("").alias("_u")).alias("_cut"))
         facts = edges.where("_e IS NOT NULL").select(*keys, F.col("_e.room").alias("_room"), F.col("_e._p").alias("_head"))
+        facts = cut(facts)
     at_edge = attach(rows, facts, keys).where(F.col("_h").startswith(F.col("_head")))
     rank = F.row_number().over(_group_window(keys).orderBy("_h", "_u"))
     last = at_edge.withColumn("_rn", rank).where("_rn = _room").select(*keys, F.struct("_h", "_u").alias("_cut"))

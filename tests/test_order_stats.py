@@ -5,6 +5,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from comparing import rows
 from larkspur.plans import order_stats as o
@@ -125,3 +126,24 @@ def test_previous_value_of_null(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, None), (1, 12, "b"), (1, 13, "b")], "k int, i int, s string")
     got = rows(o.previous_value(df, "k", ["i"], "s", o.F.expr("i div 10"), "p"), "i", "p")
     assert dict(got) == {1: None, 2: "a", 12: None, 13: "b"}
+
+
+def test_quotas_do_not_shuffle_rows_by_group(spark, monkeypatch):
+    """The quotas of `quota_sample` are an aggregate, whose size a planner does not know before it has shuffled both sides."""
+    df = spark.createDataFrame(data(3) * 4, "g string, uid string, v double").repartition(5)
+    quotas = df.groupBy("g").agg((F.count(F.lit(1)) / 2).cast("bigint").alias("quota"))
+    plans = []
+
+    def watched(rows, facts, keys, how="inner", real=o.attach):
+        joined = real(rows, facts, keys, how)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(o, "attach", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        o.take_hashed(df, ["g"], quotas, "quota", "uid")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 4 and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
