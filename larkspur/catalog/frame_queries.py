@@ -161,12 +161,12 @@ def _read_scores(spark, sf):
     """Score files, one a run, written with many columns before the score, unusable scores among them; the last of a key counts."""
     root = scratch_path(spark, "scores")
     value = F.when(F.col("event_id") % 7 == 0, "nan").otherwise(F.col("value").cast("string"))
-    rows = table(spark, sf, "events").select(
-        "event_type", "event_id", *[F.lit("-").alias(f"x{i}") for i in range(66)],
+    few = table(spark, sf, "events").select("event_type", "event_id", "user_id", "value").repartition("event_type")
+    rows = few.sortWithinPartitions("event_type", "event_id").select(  # the wide rows are made once they are in order
+        "event_type", *[F.lit("-").alias(f"x{i}") for i in range(66)],
         F.concat(F.lit("/out/"), "event_type", F.lit("/"), F.col("event_id").cast("string")).alias("path"),
         F.col("user_id").alias("sample_index"), value.alias("nn_score"))
-    rows.repartition("event_type").sortWithinPartitions("event_type", "event_id").drop("event_id").write.partitionBy(
-        "event_type").option("header", True).csv(root)
+    rows.write.partitionBy("event_type").option("header", True).csv(root)
     found = manifests.read_scores(spark, f"{root}/*")
     return found.withColumn("run_id", F.replace("run_id", F.lit("event_type="), F.lit("")))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur import schemas
 from larkspur.functions.text import basename, usable_score
-from larkspur.plans.shared import attach
+from larkspur.plans.shared import attach, cut
 
 MANIFEST_COLUMNS = [
     "output_filename", "image_filename", "mask_filename", "anomaly_type",
@@ -35,7 +35,10 @@ def _read_by_header(spark: SparkSession, path: str, names: list[str], absent: di
            .options(header=False, multiLine=True, escape='"').csv(path))
     rows = raw.select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"),
                       F.array(*cells).alias("_cells"))
-    heads = rows.groupBy("_file").agg(F.min(F.struct("_id", "_cells")).alias("_head"))
+    # only a number a file is aggregated: the least of rows of cells would sort every file in its task
+    firsts = cut(rows.groupBy("_file").agg(F.min("_id").alias("_first")))
+    heads = cut(attach(rows, firsts, ["_file"]).where(F.col("_id") == F.col("_first")).select(
+        "_file", F.struct("_id", "_cells").alias("_head")))
     joined = attach(rows, heads, ["_file"]).where(F.col("_id") > F.col("_head._id"))
     run = F.get(F.reverse(F.split("_file", "/")), F.lit(1)).alias("run_id")
 

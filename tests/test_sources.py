@@ -144,3 +144,19 @@ def test_files_with_different_headers(spark, tmp_path):
     put(tmp_path / "s1" / "p.csv", "path,nn_score\na,0.5\n")
     put(tmp_path / "s2" / "p.csv", "path,sample_index,nn_score\na,9,0.7\n")
     assert rows(manifests.read_scores(spark, str(tmp_path / "s*" / "p.csv"))) == [("s1", 0, 0.5), ("s2", 9, 0.7)]
+
+
+def test_reading_scores_sorts_no_rows_of_cells(spark, tmp_path, monkeypatch):
+    """A file is one task, so an aggregate that sorts rows with all their cells grows with the largest file."""
+    put(tmp_path / "r1" / "p.csv", 'path,nn_score,sample_index\n"a\nb",0.5,1\nc,0.6,1\n')
+    put(tmp_path / "r2" / "p.csv", "x,sample_index,nn_score\n-,9,0.7\n-,8,0.2\n-,9,0.1\n")
+    plans = []
+
+    def watched(rows_, facts, keys, how="inner", real=manifests.attach):
+        plans.append(facts._jdf.queryExecution().executedPlan().toString())
+        return real(rows_, facts, keys, how)
+
+    monkeypatch.setattr(manifests, "attach", watched)
+    found = manifests.read_scores(spark, str(tmp_path / "r*" / "p.csv"))
+    assert not any("SortAggregate" in p for p in [*plans, found._jdf.queryExecution().executedPlan().toString()])
+    assert rows(found) == [("r1", 1, 0.6), ("r2", 8, 0.2), ("r2", 9, 0.1)]
