@@ -46,6 +46,9 @@ CACHE_ROWS = 600_000
 #: printable Latin characters that are their own normal form and have one lower-case form everywhere
 _PLAIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+").fullmatch
 
+#: marks that make one piece after letters; an apostrophe or a special token may not
+_TAIL = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+
 
 class ChunkIds:
     """Token ids of texts by the library; ids of blank-free chunks are kept, for no token reaches over a blank."""
@@ -77,6 +80,10 @@ class ChunkIds:
     def _word(self, word: bytes) -> bytes:
         """Ids of one chunk. Plain Latin chunks skip the library's normaliser, which takes most of its time."""
         text = word.decode()
+        head = text.rstrip(_TAIL)
+        if head.isalpha() and (head.isascii() or _PLAIN(head)):  # letters are one piece, what follows another
+            first = self.pieces[head.lower()]
+            return first if len(head) == len(text) else first + self.pieces[text[len(head):]]
         if _PLAIN(text) and "<|" not in text:
             return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -72,6 +72,23 @@ def test_chunk_ids_equal_the_library():
         assert mine(s).tolist() == tok.encode(s, add_special_tokens=False).ids, repr(s)
 
 
+def test_letters_and_marks_after_them_are_not_split_by_pattern():
+    from tokenizers import Tokenizer
+
+    from larkspur.llm.packing import ChunkIds
+    path = tokenizer_file("word_bpe_49k.json")
+    tok, mine, draw = Tokenizer.from_file(path), ChunkIds(path, 50), random.Random(4)
+    bits = ["A", "the", "É", "ñ", "ß", "ǆ", "ª", "ı", "Ж", "日", "İ", "xYz"]
+    marks = ["", ",", "...", "&&&", "_", "<", "'s", "'", ">|", "|>", "<|endoftext|>", "-a", "9", "\u0301", "=\u0338"]
+    for _ in range(600):
+        s = "".join(draw.choice(bits) for _ in range(draw.randint(0, 4))) + draw.choice(marks)
+        assert mine(s).tolist() == tok.encode(s, add_special_tokens=False).ids, repr(s)
+    mine = ChunkIds(path)
+    mine.split = None
+    for s in ("Thathesha", "osadoci.", "domicílio,$$$"):
+        assert mine(s).tolist() == tok.encode(s, add_special_tokens=False).ids
+
+
 def test_prefix_counts_equal_the_library(result, texts):
     from tokenizers import Tokenizer
 
