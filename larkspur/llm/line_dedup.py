@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import math
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,30 +41,32 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import WORD, attach_weighted, lower_az, split_for, text_of, written
+from larkspur.llm.common import LOWER_AZ, WORD, Memo, attach_weighted, split_for, text_of, written
 from larkspur.llm.phrases import ranked
-from larkspur.llm.words import blocks, gather_table, mix, word_hashes
+from larkspur.llm.words import bit_at, blocks, gather_table, lookup_bits, may_be_in, mix, set_bits, word_hashes
+from larkspur.plans.shared import scratch_path
 
 BAR = 0.8
 RARITY_BITS = 21  # 2 MB
-LOOKUP_BITS = 24, 28  # 2 to 32 MB, by the number of wanted keys; a table that is too full only lets more pass
 FIRST = 4
 WIDE = 64
 #: lines that are out, up to which they are told to every task by broadcast (some 20 bytes each); more go by a join
 TOLD = 1_000_000
 BYTES_A_BUCKET = 16 << 20  # of text
+LINES_A_BUCKET = 100_000  # of the table of lines whose pairs are verified
 _EPS = 1e-9
 
 
-def rarity_classes(docs: DataFrame, bits: int = RARITY_BITS) -> np.ndarray:
-    """For every value of a word hash's first `bits` bits, the logarithm of its count in all texts."""
+def rarity_classes(docs: DataFrame, bits: int = RARITY_BITS) -> tuple[np.ndarray, int]:
+    """For every value of a word hash's first `bits` bits, the logarithm of its count in all texts; and all texts' bytes."""
     def fill(batch: pa.RecordBatch, own: np.ndarray) -> None:
         for _, _, raws in blocks(batch.column(0)):
             h = word_hashes(b"\n".join(raws))[0]
-            own += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=len(own)).astype(own.dtype)
+            np.add.at(own, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
+            own[-1] += sum(map(len, raws))
 
-    count = gather_table(docs.select("text"), fill, 1 << bits, np.int64, "sum")
-    return np.minimum(255, 8 * np.log2(count + 1.0)).astype(np.uint8)
+    count = gather_table(docs.select("text"), fill, (1 << bits) + 1, np.int64, "sum")
+    return np.minimum(255, 8 * np.log2(count[:-1] + 1.0)).astype(np.uint8), int(count[-1])
 
 
 def probe_length(size: np.ndarray, bar: float) -> np.ndarray:
@@ -98,12 +101,19 @@ def differing_bits(sketch: np.ndarray, at: np.ndarray, k: np.ndarray, i: np.ndar
 
 
 class Lines:
-    """Word sets of the lines of a block of texts, in order of rarity; lines without words are left out."""
+    """Word sets of the lines of a block of texts, in order of rarity; lines without words are left out.
 
-    def __init__(self, raws: list[bytes], rarity: np.ndarray, fine: int = 1):
+    With `wanted`, a bit table of words, lines that surely hold none of these are left out too.
+    """
+
+    def __init__(self, raws: list[bytes], rarity: np.ndarray, fine: int = 1, wanted: np.ndarray | None = None):
         bits = int(len(rarity)).bit_length() - 1
         h, _, line = word_hashes(b"\n".join(raws))
         word = (rarity[(h >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+        if wanted is not None and len(line):
+            holds = np.zeros(line[-1] + 1, bool)
+            holds[line[bit_at(wanted, (mix(word) >> np.uint64(64 - _bits(wanted))).astype(np.int64))]] = True
+            word, line = word[holds[line]], line[holds[line]]
         order = np.argsort(word)  # equal words are alike, so only the second sort has to be stable
         order = order[np.argsort(small_int(line)[order], kind="stable")]
         word, line = word[order], line[order]
@@ -112,7 +122,7 @@ class Lines:
         self.word = word
         self.start = np.flatnonzero(np.append(True, line[1:] != line[:-1]))[:len(word)]
         self.size = np.diff(np.append(self.start, len(word)))
-        line = line[self.start]
+        line = self.number = line[self.start]  # in the block
         count = np.array([r.count(b"\n") + 1 for r in raws])
         first = np.cumsum(count) - count
         self.doc = np.searchsorted(first, line, "right") - 1  # number of the text
@@ -126,10 +136,10 @@ class Lines:
                           np.uint64(1) << (place & 63).astype(np.uint64))
 
 
-def digests(raws: list[bytes]) -> np.ndarray:
-    """Two 64-bit numbers for every line with words: a digest of the line."""
-    found = [hashlib.blake2b(line, digest_size=16).digest()
-             for raw in raws for line in raw.split(b"\n") if line and not line.isspace()]
+def digests(raws: list[bytes], number: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers for every line of that `number` in the block: a digest of the line."""
+    lines = b"\n".join(raws).split(b"\n")
+    found = [hashlib.blake2b(lines[k], digest_size=16).digest() for k in number.tolist()]
     return np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
 
 
@@ -155,14 +165,6 @@ _FOUND = "doc bigint, line bigint, by_doc bigint, by_line bigint, more boolean"
 _FOUND_ARROW = pa.schema([(c, pa.int64()) for c in ("doc", "line", "by_doc", "by_line")] + [("more", pa.bool_())])
 
 
-def bit_at(table: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (table[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-
-
-def set_bits(table: np.ndarray, place: np.ndarray) -> None:
-    np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
-
-
 def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int, bar: float,
             focus: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
     """Blobs of records by bucket, and of digests by bucket, below 0. Of equal lines in a batch the earliest is recorded,
@@ -177,11 +179,11 @@ def records(batches: Iterator[pa.RecordBatch], rarity: np.ndarray, buckets: int,
         kept: dict[str, list[np.ndarray]] = {k: [] for k in ("doc", "line", "size", "sketch", "at", "words", "n", "digest")}
         sketched = 0
         for lo, hi, raws in blocks(b.column(1)):
-            x = Lines(raws, rarity, fine)
+            x = Lines(raws, rarity, fine, None if focus is None else focus[0])
             n = probe_length(x.size, bar)
             at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
             for k, v in (("doc", ids[lo:hi][x.doc]), ("line", x.line), ("size", x.size), ("sketch", x.sketch),
-                         ("at", x.sketch_at + sketched), ("words", x.word[at]), ("n", n), ("digest", digests(raws))):
+                         ("at", x.sketch_at + sketched), ("words", x.word[at]), ("n", n), ("digest", digests(raws, x.number))):
                 kept[k].append(v)
             sketched += len(x.sketch)
         if not kept["doc"]:
@@ -348,13 +350,8 @@ def _bits(table: np.ndarray) -> int:
     return (8 * len(table)).bit_length() - 1
 
 
-def lookup_bits(keys: int) -> int:
-    """Bits of the address in a bit table for so many keys, sixteen places a key within LOOKUP_BITS."""
-    return min(LOOKUP_BITS[1], max(LOOKUP_BITS[0], (16 * keys).bit_length()))
-
-
 def lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, line, text of all rows of `wanted` (doc, line), and of some others.
+    """doc, line, words (once each, A-Z lower-cased, space-joined) of all rows of `wanted` (doc, line), and of some others.
 
     A bit table says which lines may be wanted; a fuller one only lets more lines
     pass, which the join that follows drops.
@@ -380,39 +377,54 @@ def lines_at(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 lines = b.column(1)[row[lo]].as_py().split("\n")
                 docs_ += [ids[row[lo]]] * (hi - lo)
                 lines_ += number[lo:hi].tolist()
-                texts += [lines[k] for k in number[lo:hi]]
+                texts += [b" ".join(dict.fromkeys(lines[k].encode().translate(LOWER_AZ).split())).decode() for k in number[lo:hi]]
             yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.int64()), pa.array(lines_, pa.int64()),
-                                              pa.array(texts, pa.string())], names=["doc", "line", "text"])
+                                              pa.array(texts, pa.string())], names=["doc", "line", "words"])
 
-    return docs.mapInArrow(pick, "doc bigint, line bigint, text string")
+    return docs.mapInArrow(pick, "doc bigint, line bigint, words string")
 
 
 def verified(known: DataFrame, pairs: DataFrame, bar: float) -> tuple[DataFrame, DataFrame]:
-    """Of a written table of pairs: doc, line, match, more for every later line; and doc, line, words of all lines in it."""
+    """Of a written table of pairs: doc, line, match, more for every later line; and doc, line, words of all lines in it.
+
+    A line's words are one string, which takes less room than a list, in a table
+    that is bucketed by line: joins shuffle the pairs only, not this table again.
+    """
+    spark = pairs.sparkSession
     sides = pairs.select("doc", "line").unionByName(pairs.select(F.col("by_doc").alias("doc"), F.col("by_line").alias("line")))
     wanted = written(sides.groupBy("doc", "line").agg(F.count(F.lit(1)).alias("n")))
-    texts = written(lines_at(known, wanted.select("doc", "line")).groupBy("doc", "line").agg(F.min("text").alias("text"))
-                    .join(wanted, ["doc", "line"])
-                    .select("doc", "line", "n", F.array_distinct(
-                        F.regexp_extract_all(lower_az(F.col("text")), F.lit(WORD), F.lit(0))).alias("words")))
+    buckets = split_for(spark, wanted.count(), LINES_A_BUCKET)
+    name = f"lines_{uuid.uuid4().hex}"
+    (lines_at(known, wanted.select("doc", "line")).repartition(buckets, "doc", "line").join(wanted, ["doc", "line"])
+     .write.bucketBy(buckets, "doc", "line").option("path", scratch_path(spark, "lines")).saveAsTable(name))
+    texts = spark.table(name)
     left = written(attach_weighted(pairs, texts, ["doc", "line"], "n").select(
         "doc", "line", "more", "by_doc", "by_line", F.col("words").alias("a")))
     both = attach_weighted(left, texts.select(F.col("doc").alias("by_doc"), F.col("line").alias("by_line"), "n", "words"),
-                           ["by_doc", "by_line"], "n")
-    shared = F.size(F.array_intersect("a", "words"))
-    judged = written(both.select("doc", "line", "more", (
-        shared / (F.size("a") + F.size("words") - shared) >= bar - _EPS).alias("match")).groupBy("doc", "line").agg(
-            F.max("match").alias("match"), F.max("more").alias("more")))
+                           ["by_doc", "by_line"], "n").select("doc", "line", "more", "a", "words")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Memo(lambda t: frozenset(t.split()), 64)
+        for b in batches:
+            match = []
+            for a, c in zip(*(b.column(k).cast(pa.binary()).to_pylist() for k in (3, 4))):
+                a, c = words[a], words[c]
+                shared = len(a & c)
+                match.append(shared / (len(a) + len(c) - shared) >= bar - _EPS)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(match, pa.bool_())], names=["doc", "line", "more", "match"])
+
+    judged = written(both.mapInArrow(judge, "doc bigint, line bigint, more boolean, match boolean").groupBy("doc", "line").agg(
+        F.max("match").alias("match"), F.max("more").alias("more")))
     return judged, texts
 
 
 def focus_on(open_lines: DataFrame, rarity, bar: float) -> tuple[np.ndarray, np.ndarray]:
     """Bit tables of the prefix words of `open_lines` (doc, line, words) and of the lines themselves."""
-    number = open_lines.agg(F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+    number = open_lines.agg(F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(F.regexp_count("words", F.lit(WORD))), F.lit(0)).alias("words")).first()
     of_words, of_lines = lookup_bits(number["words"]), lookup_bits(number["lines"])
 
     def fill_words(batch: pa.RecordBatch, own: np.ndarray) -> None:
-        x = Lines([" ".join(w).encode() for w in batch.column(0).to_pylist()], rarity.value)
+        x = Lines(batch.column(0).cast(pa.binary()).to_pylist(), rarity.value)
         n = probe_length(x.size, bar)
         at = np.repeat(x.start - np.append(0, np.cumsum(n)[:-1])[:len(n)], n) + np.arange(n.sum())
         set_bits(own, (mix(x.word[at]) >> np.uint64(64 - of_words)).astype(np.int64))
@@ -443,8 +455,8 @@ def later_matches(rows: DataFrame, bar: float = BAR, first: int = FIRST) -> Data
     """doc, line: every line that has an earlier match. `rows` is `numbered`."""
     spark = rows.sparkSession
     known = rows.filter("doc IS NOT NULL").select("doc", F.coalesce("row.text", F.lit("")).alias("text"))
-    rarity = spark.sparkContext.broadcast(rarity_classes(known))
-    total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    classes, total = rarity_classes(known)
+    rarity = spark.sparkContext.broadcast(classes)
     buckets = split_for(spark, total, BYTES_A_BUCKET)
     found = written(candidates(known, rarity, buckets, bar, first))
     out = found.filter("by_doc IS NULL").select("doc", "line")
@@ -453,7 +465,8 @@ def later_matches(rows: DataFrame, bar: float = BAR, first: int = FIRST) -> Data
                     .join(out.distinct(), ["doc", "line"], "left_anti"))
     judged, texts = verified(known, pairs, bar)
     out = out.unionByName(judged.filter("match").select("doc", "line"))
-    undecided = written(texts.join(judged.filter("more AND NOT match").select("doc", "line"), ["doc", "line"], "left_semi"))
+    still = judged.filter("more AND NOT match").select("doc", "line")
+    undecided = written(texts.filter(may_be_in(still, ["doc", "line"])).join(still, ["doc", "line"], "left_semi"))
     if not undecided.isEmpty():  # few: all their partners that finer sketches leave
         focus = spark.sparkContext.broadcast(focus_on(undecided, rarity, bar))
         rest = written(candidates(known, rarity, buckets, bar, None, focus).select(*named).distinct()

@@ -3,9 +3,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from larkspur.llm.line_dedup import dedup_lines
+from larkspur.llm.common import written
+from larkspur.llm.line_dedup import FINE, Lines, dedup_lines, digests, verified
+from larkspur.llm.words import mix, set_bits
 
 
 def words(line):
@@ -70,3 +73,36 @@ def test_near_lines(spark, first):
 def test_ids_of_any_size(spark):
     rows = [(-(1 << 62), "far away line of words"), (5, "Far away line of words"), (1 << 62, "far away LINE of words\nelse")]
     assert run(spark, rows) == {0: rows[0][1], 1: "", 2: "else"}
+
+
+def test_verified_lines_are_stored_once(spark):
+    """The pairs' lines are a table of strings of distinct words, A-Z lower-cased, that no join shuffles again."""
+    lines = ["a b c d e f g h i", "A b\tc d e f g h j j", "a b c d e f g h x y", "Ä b c"]
+    known = spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "doc bigint, text string")
+    pairs = spark.createDataFrame([(1, 0, 0, 0, False), (2, 0, 0, 0, True), (2, 0, 1, 0, False), (3, 0, 0, 0, True)],
+                                  "doc bigint, line bigint, by_doc bigint, by_line bigint, more boolean")
+    judged, texts = verified(known, written(pairs), 0.8)
+    want = {0: lines[0], 1: "a b c d e f g h j", 2: lines[2], 3: "Ä b c"}
+    assert {r["doc"]: r["words"] for r in texts.collect()} == want
+    join = texts.hint("merge").join(pairs, ["doc", "line"])
+    assert join._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["doc"]: (r["match"], r["more"]) for r in judged.collect()} == {1: (True, False), 2: (False, True), 3: (False, True)}
+
+
+def test_lines_without_wanted_words_are_left_out_early():
+    """What the second round makes of a block holds the lines with wanted words only, and these as the first round has them."""
+    rng = random.Random(2)
+    raws = ["\n".join(" ".join(rng.choices([f"w{k}" for k in range(3000)], k=rng.randrange(0, 9))) for _ in range(40)).encode()
+            for _ in range(30)]
+    rarity = np.zeros(1 << 16, np.uint8)
+    whole = Lines(raws, rarity, FINE)
+    table = np.zeros(1 << 21, np.uint8)
+    set_bits(table, (mix(whole.word[::500]) >> np.uint64(40)).astype(np.int64))
+    some = Lines(raws, rarity, FINE, table)
+    assert 0 < len(some.size) < len(whole.size) / 5
+    at = np.searchsorted(whole.number, some.number)
+    for name in ("number", "doc", "line", "size"):
+        assert (getattr(some, name) == getattr(whole, name)[at]).all()
+    assert (digests(raws, some.number) == digests(raws, whole.number)[at]).all()
+    pick = np.concatenate([np.arange(whole.start[k], whole.start[k] + whole.size[k]) for k in at])
+    assert (some.word == whole.word[pick]).all()
