@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import LOWER_AZ, attach_weighted, split_for, text_of, written
 from larkspur.llm.components import components
+from larkspur.llm.words import may_be_in
 
 SEED = 42
 SHINGLE = 3
@@ -183,10 +184,14 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, cell_row
     Groups without any id keep one row of their smallest fingerprint.
     """
     found = written(near_duplicates(docs, shingle, bits, cell_rows))
-    stays = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    stays = written(stays)
-    once = docs.join(stays.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
-    often = docs.join(stays.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    stays = written(found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.sum(F.when(F.col("doc_id") == F.col("component_id"), 1).otherwise(0)).alias("n")))
+    # bit tables decide most rows where they are; only rows of which they leave open whether they stay are shuffled
+    one, not_one, more = (may_be_in(stays.filter(f"n {x} 1").select("doc_id"), ["doc_id"]) for x in ("=", "!=", ">"))
+    named = docs.filter("doc_id IS NOT NULL")
+    once = named.filter(~not_one).unionByName(
+        named.filter(not_one & one).join(stays.filter("n = 1").select("doc_id"), "doc_id", "left_semi"))
+    often = named.filter(more).join(stays.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     # components() names a component by its smallest vertex, so root is a fingerprint of the group itself
     nameless = found.filter("component_id IS NULL").select(F.col("root").alias("fp")).distinct()
     rows = docs.filter("doc_id IS NULL").select(F.struct(*docs.columns).alias("row"), "text")

@@ -129,3 +129,46 @@ def test_run(spark, fixture):
             assert offset == end
             end += length
         assert end <= 4096
+
+
+def shuffled_bytes(df):
+    """What the exchanges of an executed plan have written."""
+    def under(node):
+        nodes, name = [node], node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            nodes += under(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            nodes += under(node.plan())
+        children = node.children()
+        for k in range(children.size()):
+            nodes += under(children.apply(k))
+        return nodes
+    return sum(n.metrics().apply("shuffleBytesWritten").value() for n in under(df._jdf.queryExecution().executedPlan())
+               if n.getClass().getSimpleName() == "ShuffleExchangeExec")
+
+
+def test_near_duplicates_leaves_texts_where_they_are(spark):
+    """Only rows of which a bit table leaves open whether they stay are shuffled; ids may repeat or be null."""
+    rng = random.Random(8)
+    alphabet = [chr(c) for c in range(0x4E00, 0x9000)]
+
+    def text():
+        return " ".join("".join(rng.choices(alphabet, k=4)) for _ in range(120))
+
+    rows = [(i, text()) for i in range(600)]
+    rows += [(i + 1000, rows[i][1]) for i in range(20)] + [(7, rows[30][1]), (50, text()), (None, text()), (None, rows[40][1])]
+    copy = text()
+    rows += [(2000, copy), (2000, copy), (2001, copy), (None, copy)]
+    docs = corpus_pipeline.written(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.keep_one(docs)
+        got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # two rows of id 7, and of id 50, stay by their groups, of which either is kept; the group of id 30 is named by id 7
+    own = {7: {rows[7][1], rows[30][1]}, 50: {rows[50][1], rows[621][1]}, 2000: {copy}}
+    assert [(null, i) for null, i, _ in got] == [(False, i) for i in [*range(30), *range(31, 600), 2000]] + [(True, 0)]
+    assert all(t in (own.get(i) or {rows[i][1]}) for null, i, t in got if not null) and got[-1][2] == rows[622][1]
+    assert 0 < shuffled_bytes(out) < 0.2 * sum(len((t or "").encode()) for _, t in rows)
