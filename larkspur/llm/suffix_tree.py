@@ -15,9 +15,13 @@ No task and no driver holds the tree. Texts become blocks of token numbers, one
 row each, in a table that is bucketed by block. A block asks for the counts of its
 own distinct words and runs, level by level: askings go to ranges of the hash, are
 summed there, and the sums come back in the order they were asked in. Runs are only
-asked for behind a run that the level before found frequent. One asking block of
+asked for behind a run that the level before found frequent; they are told as that
+run's hash, once, and the numbers of the words that follow it, for which words are
+numbered by falling count when they are counted. Answers are shuffled once, to a
+table that is bucketed like the blocks. One asking block of
 every run is told to weigh it, so gains are summed over distinct runs. A hot word
-or run is one number a block, and its followers are spread by their own hashes.
+or run is one number a block; followers of a context that occurs over SPREAD times
+are dealt to several hashes.
 
 Words are known by 64-bit hashes. Defined results: a null text counts as empty,
 which is the end token alone; a null id counts as held out; without training
@@ -39,8 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import held_out, split_for, text_of, written
-from larkspur.llm.words import blocks, mix, packed, unpacked, word_hashes
+from larkspur.llm.common import held_out, parts, split_for, text_of
+from larkspur.llm.words import blocks, mix, word_hashes
 from larkspur.plans.shared import scratch_path
 
 DEPTH = 3
@@ -51,6 +55,7 @@ FOLDS = 10
 BLOCK_BYTES = 8 << 20  # of text that ask and are scored together; a block takes texts by the megabyte
 BYTES_A_TASK = 64 << 20
 BYTES_A_RANGE = 8 << 20
+SPREAD = 1 << 18  # occurrences of a context whose followers go to one range
 #: the end token's hash: no word is empty
 END = int(mix(np.array([0xE0D], np.uint64))[0])
 _ASKED = "kind int, range bigint, block bigint, keys binary, amounts binary"
@@ -86,12 +91,18 @@ class Root:
 
 
 class Distinct:
-    """The distinct keys of an array, sorted, and the way from them to the array's places and back."""
+    """The distinct keys of an array, sorted, and the way from them to the array's places and back.
 
-    def __init__(self, keys: np.ndarray):
+    Keys that stand for different things in `apart` are kept apart; one of these may come several times then.
+    """
+
+    def __init__(self, keys: np.ndarray, apart: np.ndarray | None = None):
         self.order = np.argsort(keys, kind="stable")
         in_order = keys[self.order]
-        self.first = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])[:len(keys)])
+        new = in_order[1:] != in_order[:-1]
+        if apart is not None:
+            new |= np.diff(apart[self.order]) != 0
+        self.first = np.flatnonzero(np.append(True, new)[:len(keys)])
         self.keys = in_order[self.first]
 
     def total(self, amounts: np.ndarray) -> np.ndarray:
@@ -108,12 +119,41 @@ class Distinct:
 
 # ---- blocks -----------------------------------------------------------------
 
-def _squeezed(x: bytes) -> bytes:
-    return len(x).to_bytes(8, "little") + pa.Codec("zstd").compress(x, asbytes=True)
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers, each byte of the numbers compressed on its own: high bytes are mostly alike, low ones are not."""
+    zstd, out = pa.Codec("zstd"), []
+    for x in arrays:
+        if x.dtype.kind == "f":
+            kind = "<f8"
+        else:
+            most = int(x.max()) if len(x) else 0
+            kind = next(f"<u{s}" for s in (1, 2, 4, 8) if most < 1 << 8 * s)
+        x = np.ascontiguousarray(x, kind)
+        out.append((kind, len(x), [zstd.compress(b.tobytes(), asbytes=True) for b in x.view(np.uint8).reshape(len(x), -1).T]
+                    if len(x) else []))
+    return pickle.dumps(out, protocol=5)
+
+
+def whole(blob: bytes) -> list[np.ndarray]:
+    """The arrays again: integers as int64 (uint64 if they were too large), others as float64."""
+    zstd, out = pa.Codec("zstd"), []
+    for kind, n, parts in pickle.loads(blob):
+        x = np.empty((n, len(parts)), np.uint8)
+        for i, part in enumerate(parts):
+            x[:, i] = np.frombuffer(zstd.decompress(part, n), np.uint8)
+        x = x.reshape(-1).view(kind)
+        out.append(x if kind in ("<f8", "<u8") else x.astype(np.int64))
+    return out
 
 
-def _whole(x: bytes) -> bytes:
-    return pa.Codec("zstd").decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True)
+def steps(x: np.ndarray) -> np.ndarray:
+    """What is added, modulo 2^64, from each number to the next."""
+    x = x.astype(np.uint64)
+    return np.append(x[:1], x[1:] - x[:-1])
+
+
+def sums(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x.astype(np.uint64), dtype=np.uint64)
 
 
 def block_table(docs: DataFrame, folds: int, block_bytes: int, buckets: int) -> DataFrame:
@@ -129,13 +169,13 @@ def block_table(docs: DataFrame, folds: int, block_bytes: int, buckets: int) ->
             order = np.argsort(-count, kind="stable")  # small numbers for frequent words
             number = np.empty(len(words), np.int64)
             number[order] = np.arange(len(words))
-            blob = pickle.dumps((words[order].tobytes(), packed(number[at]), packed(np.concatenate(numbers))))
+            blob = squeezed(steps(words[order]), number[at], np.concatenate(numbers))  # equally frequent words are in order
             one = pa.concat_arrays(ids)
             out = pa.concat_arrays(held)
             ends = pa.array([0, len(one)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.ListArray.from_arrays(ends, one), pa.ListArray.from_arrays(ends, out),
-                 pa.array([_squeezed(blob)], pa.binary())], names=["block", "doc_ids", "held", "tokens"])
+                 pa.array([blob], pa.binary())], names=["block", "doc_ids", "held", "tokens"])
 
         for b in batches:
             for lo, hi, raws in blocks(b.column(2)):
@@ -167,9 +207,8 @@ class Block:
 
     @classmethod
     def read(cls, blob: bytes, held: np.ndarray) -> Block:
-        words, number, n = pickle.loads(_whole(blob))
-        n = unpacked(n)
-        return cls(np.frombuffer(words, np.uint64), unpacked(number), n, np.repeat(~held, n))
+        words, number, n = whole(blob)
+        return cls(sums(words), number, n, np.repeat(~held, n))
 
     def vocabulary(self) -> tuple[Distinct, np.ndarray]:
         """Its words, and how often they occur in training texts."""
@@ -179,45 +218,76 @@ class Block:
 
 # ---- asking and telling -----------------------------------------------------
 
-def ask(kind: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Sorted `keys` with their amounts, a row for every range of the hash that has any."""
-    part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
-    edges = np.append(first, len(keys)).astype(np.int32)
+def runs_of(context: np.ndarray, word: np.ndarray, total: np.ndarray) -> tuple[Distinct, np.ndarray]:
+    """The distinct runs of a block, by context and word number, and the hash by which each place's run is asked for.
+
+    The order has the top bits of that hash before the word's number; hashes that differ in their other bits stay apart.
+    """
+    pieces = total // SPREAD + 1
+    turn = (word % pieces).astype(np.uint64)
+    at = np.where(pieces > 1, mix(context ^ mix(turn + np.uint64(1))), context)
+    low = np.uint64(int(word.max(initial=0)).bit_length())
+    return Distinct(at >> low << low | word.astype(np.uint64), at), at
 
-    def cut_up(x: np.ndarray) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges * np.int32(x.itemsize)), pa.py_buffer(x)])
 
-    # a block's own counts fit into 32 bits
-    amounts = np.ascontiguousarray(amounts, np.int32 if amounts.dtype.kind == "i" else np.float64)
+def ask(kind: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int, word: np.ndarray | None = None) -> pa.RecordBatch:
+    """Sorted `keys` with their amounts, a row for every range of the hash that has any; of runs, `word` follows the key."""
+    part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
+    told, counted = [], []
+    for lo, hi in zip(first, np.append(first[1:], len(keys))):
+        if word is None:
+            told.append(squeezed(steps(keys[lo:hi])))
+        else:
+            key, follows = keys[lo:hi], word[lo:hi].astype(np.uint64)
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            up = steps(follows)
+            up[start] = follows[start]
+            told.append(squeezed(steps(key[start]), np.diff(start, append=hi - lo), up))
+        counted.append(squeezed(amounts[lo:hi]))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(first), kind, np.int32)), pa.array(part[first]), pa.array(np.full(len(first), block, np.int64)),
-         cut_up(np.ascontiguousarray(keys)), cut_up(amounts)], names=[c.split()[0] for c in _ASKED.split(", ")])
+         pa.array(told, pa.binary()), pa.array(counted, pa.binary())], names=[c.split()[0] for c in _ASKED.split(", ")])
+
+
+def asked_keys(blob: bytes) -> np.ndarray:
+    """One key for every amount: of a run, its context with the word."""
+    found = whole(blob)
+    if len(found) == 1:
+        return sums(found[0])
+    key, n, up = found
+    up, start = up.astype(np.uint64), np.cumsum(n) - n
+    total = np.cumsum(up, dtype=np.uint64)
+    return followed(np.repeat(sums(key), n), total - np.repeat(total[start] - up[start], n))
 
 
 def tell(asked: DataFrame, divergence: float) -> DataFrame:
     """Of every range: to each asking block the sums of its keys, in its order.
 
-    Even kinds are counts: twice the sum, plus one for the block that weighs the key.
-    Odd kinds are gains: whether their sum is above `divergence`.
+    Even kinds are counts: twice the sum, plus one for the block that weighs the key; with words (kind 0)
+    come their places by falling count. Odd kinds are gains: whether their sum is above `divergence`.
     """
     def meet(t: pa.Table) -> pa.Table:
         kind, block = t["kind"][0].as_py(), t["block"].to_numpy()
         turn = np.argsort(block, kind="stable")
-        keys = [np.frombuffer(t["keys"][int(i)].as_buffer(), np.uint64) for i in turn]
-        amounts = [np.frombuffer(t["amounts"][int(i)].as_buffer(), np.float64 if kind % 2 else np.int32) for i in turn]
-        sizes = [len(k) for k in keys]
+        keys = [asked_keys(t["keys"][int(i)].as_buffer()) for i in turn]
+        amounts = [whole(t["amounts"][int(i)].as_buffer())[0] for i in turn]
+        edges = np.cumsum([len(k) for k in keys])[:-1]
         each = Distinct(np.concatenate(keys))
-        sums = each.total(np.concatenate(amounts).astype(np.float64 if kind % 2 else np.int64))
+        sums = each.total(np.concatenate(amounts))
         facts = np.zeros((4, len(turn)), np.int64)
         if kind % 2:
-            answers = each.spread(sums > divergence)
+            told = [np.packbits(a).tobytes() for a in np.split(each.spread(sums > divergence), edges)]
         else:
             answers = each.spread(sums * 2)
             answers[each.order[each.first]] += 1
             facts[:, 0] = sums.sum(), (sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()
-        told = [(np.packbits(a).tobytes() if kind % 2 else _squeezed(a.tobytes()))
-                for a in np.split(answers, np.cumsum(sizes)[:-1])]
+            answers = [np.split(answers, edges)]
+            if kind == 0:
+                place = np.empty(len(sums), np.int64)
+                place[np.argsort(-sums, kind="stable")] = np.arange(len(sums))
+                answers.append(np.split(each.spread(place), edges))
+            told = [squeezed(*a) for a in zip(*answers)]
         return pa.table({"kind": t["kind"].take(pa.array(turn)), "range": t["range"].take(pa.array(turn)),
                          "block": pa.array(block[turn]), "told": pa.array(told, pa.binary()),
                          **{c: pa.array(x) for c, x in zip(("total", "words", "once", "twice"), facts)}})
@@ -235,10 +305,15 @@ class Answers:
 
     def counts(self, level: int) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the keys of a level, and whether this block weighs them."""
-        parts = [np.frombuffer(_whole(bytes(x)), np.int64) for _, x in sorted(self.rows.get(2 * level, []), key=lambda r: r[0])]
+        parts = [whole(x)[0] for _, x in sorted(self.rows.get(2 * level, []), key=lambda r: r[0])]
         x = np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return x >> 1, (x & 1).astype(bool)
 
+    def numbers(self, bits: int) -> np.ndarray:
+        """A number for every word, the same in all blocks, small for frequent ones: its place in its range, and the range."""
+        parts = [whole(x)[1] << bits | part for part, x in sorted(self.rows.get(0, []), key=lambda r: r[0])]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
     def kept(self, level: int, keys: np.ndarray, bits: int) -> np.ndarray:
         part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         sizes = np.unique(part, return_counts=True)[1]
@@ -250,7 +325,7 @@ class Answers:
 # ---- the tree ---------------------------------------------------------------
 
 def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root, bits: int) -> list | tuple:
-    """What a block asks at a step, as (kind, keys, amounts); after the last, counts and probabilities of its tokens.
+    """What a block asks at a step, as (kind, keys, amounts, words or None); after the last, counts and probabilities of its tokens.
 
     Step s asks for the runs of level s (s words and a next one) and gives its part of
     the gains of the contexts of level s - 1, whose counts it knows.
@@ -258,6 +333,7 @@ def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root
     asks = []
     words, _ = b.vocabulary()
     c = words.spread(told.counts(0)[0])[b.number]
+    word = words.spread(told.numbers(bits))[b.number]
     h = b.words[b.number]
     starts = np.cumsum(b.n) - b.n
     place = np.arange(len(h)) - np.repeat(starts, b.n)
@@ -269,9 +345,9 @@ def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root
         total[starts] = c[starts + b.n - 1] if d == 1 else 0
         k = np.flatnonzero((total >= least) & (place >= d - 1))
         context, total_k = key[k], total[k]
-        runs = Distinct(followed(context, h[k]))
+        runs, at = runs_of(context, word[k], total_k)
         if d == step:
-            asks.append((2 * d, runs.keys, runs.total(b.train[k].astype(np.int64))))
+            asks.append((2 * d, runs.one_of(at), runs.total(b.train[k].astype(np.int64)), runs.one_of(word[k])))
             break
         n, mine = told.counts(d)
         states = Distinct(context)
@@ -282,7 +358,7 @@ def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root
             gain[own] = n[own] * (np.log((n[own] - 1 + PRIOR * q[own]) / (t[own] - 1 + PRIOR)) - np.log(q[own]))
             once = np.zeros(len(k))
             once[runs.order[runs.first]] = gain
-            asks.append((2 * d + 1, states.keys, states.total(once)))
+            asks.append((2 * d + 1, states.keys, states.total(once), None))
         n = runs.spread(n)
         if d < step - 1:
             kept = states.spread(told.kept(d, states.keys, bits))
@@ -299,8 +375,22 @@ def _met(state: pa.Table, told: pa.Table) -> tuple[int, Block, Answers]:
     return state["block"][0].as_py(), Block.read(state["tokens"][0].as_py(), held), Answers(told)
 
 
-def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int) -> tuple[Root, DataFrame]:
-    """The root, and what every block has been told about its words, runs and contexts."""
+def answer_table(told: DataFrame, buckets: int, name: str | None = None) -> str:
+    """Adds answers to a table bucketed by block, so that they meet their blocks without another shuffle; its name."""
+    out = told.repartition(buckets, "block").write
+    if name:
+        out.insertInto(name)
+        return name
+    name = f"told_{uuid.uuid4().hex}"
+    out.bucketBy(buckets, "block").option("path", scratch_path(told.sparkSession, "told")).saveAsTable(name)
+    return name
+
+
+def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int, buckets: int | None = None) -> tuple[Root, DataFrame]:
+    """The root, and what every block has been told about its words, runs and contexts. `buckets`: those of `state`."""
+    spark = state.sparkSession
+    buckets = buckets or parts(spark)
+
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -308,7 +398,8 @@ def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int)
                 words, amounts = b.vocabulary()
                 yield ask(0, number, words.keys, amounts, bits)
 
-    told = written(tell(state.mapInArrow(first, _ASKED), divergence))
+    name = answer_table(tell(state.mapInArrow(first, _ASKED), divergence), buckets)
+    told = spark.table(name)
     s = told.filter("kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "words", "once", "twice")]).first()
     # with no word seen once there is still something unknown to expect
     discount = s["once"] / (s["once"] + 2 * s["twice"]) if s["once"] and s["twice"] else 0.5
@@ -316,16 +407,17 @@ def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int)
     for step in range(1, depth + 2):
         def asking(mine: pa.Table, answers: pa.Table, step: int = step) -> pa.Table:
             number, b, known = _met(mine, answers)
-            out = [ask(kind, number, keys, amounts, bits)
-                   for kind, keys, amounts in visit(b, known, step, depth, least, root, bits) if len(keys)]
+            out = [ask(kind, number, keys, amounts, bits, word)
+                   for kind, keys, amounts, word in visit(b, known, step, depth, least, root, bits) if len(keys)]
             return pa.Table.from_batches(out) if out else ask(0, 0, np.zeros(0, np.uint64), np.zeros(0, np.int64), bits)
 
-        told = told.unionByName(written(tell(meeting(state, told, asking, _ASKED), divergence)))
+        answer_table(tell(meeting(state, told, asking, _ASKED), divergence), buckets, name)
+        told = spark.table(name)
     return root, told
 
 
 def meeting(state: DataFrame, told: DataFrame, fn, schema: str) -> DataFrame:
-    """`fn` on every block with what it was told; only the answers are shuffled."""
+    """`fn` on every block with what it was told; only the answers are shuffled, unless they are bucketed by block too."""
     def guarded(mine: pa.Table, answers: pa.Table) -> pa.Table:
         out = fn(mine, answers)
         return pa.table(out) if isinstance(out, pa.RecordBatch) else out
@@ -340,8 +432,9 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, least_context: int = LEAST_
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(split_for(spark, total, BYTES_A_RANGE))))
-    state = block_table(docs, folds, block_bytes, split_for(spark, total, BYTES_A_TASK))
-    root, told = grow(state, depth, least_context, divergence, bits)
+    buckets = split_for(spark, total, BYTES_A_TASK)
+    state = block_table(docs, folds, block_bytes, buckets)
+    root, told = grow(state, depth, least_context, divergence, bits, buckets)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(mine: pa.Table, answers: pa.Table) -> pa.Table:
