@@ -28,7 +28,7 @@ CACHE_ROWS = 150_000
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter (null text included) and those that resemble no language in `lang`."""
     model = learn(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text"))
-    known = identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, ["row"])
+    known = identify(docs.select(F.struct(*docs.columns).alias("row")), model, ["row"], "row")
     return known.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 

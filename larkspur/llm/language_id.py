@@ -171,19 +171,28 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE, bits: int = POS
     return Model(languages, common, tables, bits, probes)
 
 
-def identify(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """`columns` of docs plus lang_pred and score, from the column `text` alone."""
+def identify(docs: DataFrame, model: Model, columns: list[str], row: str | None = None) -> DataFrame:
+    """`columns` of docs plus lang_pred and score, from the column `text` alone.
+
+    `row`: one of `columns`, a struct without nulls whose field `text` is read in place of the column, so that
+    workers are sent every text once.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a size set by `bits` and the number of languages
     fields = [f"_c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns)]
 
+    field = None if row is None else docs.schema[row].dataType.names.index("text")
+    at = len(columns) if row is None else columns.index(row)
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores = shared.value.predict(b.column(b.num_columns - 1).to_pylist())
+            texts = b.column(at) if field is None else b.column(at).field(field)
+            names, scores = shared.value.predict(texts.to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*b.schema.names[:-1], "lang_pred", "score"])
+                [*b.columns[:len(columns)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*b.schema.names[:len(columns)], "lang_pred", "score"])
 
-    out = docs.select(*[docs[c].alias(f"_c{i}") for i, c in enumerate(columns)], docs["text"].alias("_text")).mapInArrow(
+    text = [docs["text"].alias("_text")] if row is None else []
+    out = docs.select(*[docs[c].alias(f"_c{i}") for i, c in enumerate(columns)], *text).mapInArrow(
         predict, ", ".join([*fields, "lang_pred string", "score double"]))
     return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], "lang_pred", "score")
 

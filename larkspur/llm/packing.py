@@ -57,14 +57,15 @@ class ChunkIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        if any(c.isspace() for t in spec["added_tokens"] for c in t["content"]) or not self._drops_blanks():
+        # part by part: the file as Python objects takes a worker many times the room of its bytes
+        normalizer, pre = (json.loads(x.__getstate__()) for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer))
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(c.isspace() for t in added for c in t) or not self._drops_blanks():
             raise ValueError("tokens of this tokenizer may hold blanks")
-        if [n["type"] for n in spec["normalizer"]["normalizers"]] != ["NFC", "Replace", "Lowercase"] or not all(
-                t["content"].startswith("<|") for t in spec["added_tokens"]):
+        if [n["type"] for n in normalizer["normalizers"]] != ["NFC", "Replace", "Lowercase"] or not all(
+                t.startswith("<|") for t in added):
             raise ValueError("unknown normaliser or special tokens")
-        pre = spec["pre_tokenizer"]["pretokenizers"]
+        pre = pre["pretokenizers"]
         self.split = regex.compile(pre[0]["pattern"]["Regex"]).findall
         self.letter = {b: c for c, b in byte_of_char().items()}
         self.pieces, self.words = Memo(self._piece, cache_rows // 2), Memo(self._word, cache_rows)
