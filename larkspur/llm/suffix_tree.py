@@ -15,11 +15,13 @@ No task and no driver holds the tree. Texts become blocks of token numbers, one
 row each, in a table that is bucketed by block. A block asks for the counts of its
 own distinct words and runs, level by level: askings go to ranges of the hash, are
 summed there, and the sums come back in the order they were asked in. Runs are only
-asked for behind a run that the level before found frequent; they are told as that
-run's hash, once, and the numbers of the words that follow it, for which words are
-numbered by falling count when they are counted. Answers are shuffled once, to a
-table that is bucketed like the blocks. One asking block of
-every run is told to weigh it, so gains are summed over distinct runs. A hot word
+asked for behind a run that the level before found frequent, and go to the range that
+counted it. They are told as that run's place there, once, and the numbers of the words
+that follow it: words are numbered by falling count when they are counted, frequent
+runs in the order of asking, so that the places a block tells lie close together.
+Answers are shuffled once, to a table that is bucketed like the blocks. One asking block of
+every run is told to weigh it, so gains are summed over distinct runs; runs seen once
+weigh alike behind a context and are only counted. A hot word
 or run is one number a block; followers of a context that occurs over SPREAD times
 are dealt to several hashes.
 
@@ -56,6 +58,7 @@ BLOCK_BYTES = 8 << 20  # of text that ask and are scored together; a block takes
 BYTES_A_TASK = 64 << 20
 BYTES_A_RANGE = 8 << 20
 SPREAD = 1 << 18  # occurrences of a context whose followers go to one range
+PLACE_BITS = 24  # of a key, for the place in a range; runs beyond them are known by a hash of their place
 #: the end token's hash: no word is empty
 END = int(mix(np.array([0xE0D], np.uint64))[0])
 _ASKED = "kind int, range bigint, block bigint, keys binary, amounts binary"
@@ -218,10 +221,21 @@ class Block:
 
 # ---- asking and telling -----------------------------------------------------
 
+def numbered(part: np.ndarray, place: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of words or frequent runs by their ranges and places there: both in the top bits, others are left to a word's number."""
+    place = place.astype(np.uint64)
+    top = part.astype(np.uint64) << np.uint64(64 - bits) if bits else np.zeros(len(place), np.uint64)
+    keys = top | place << np.uint64(64 - bits - PLACE_BITS)
+    far = np.flatnonzero(place >> np.uint64(PLACE_BITS))
+    keys[far] = mix(top[far] | place[far])
+    return keys
+
+
 def runs_of(context: np.ndarray, word: np.ndarray, total: np.ndarray) -> tuple[Distinct, np.ndarray]:
     """The distinct runs of a block, by context and word number, and the hash by which each place's run is asked for.
 
-    The order has the top bits of that hash before the word's number; hashes that differ in their other bits stay apart.
+    The order has the top bits of that hash (or key of a range and place) before the word's number; those that differ in
+    their other bits stay apart.
     """
     pieces = total // SPREAD + 1
     turn = (word % pieces).astype(np.uint64)
@@ -231,7 +245,10 @@ def runs_of(context: np.ndarray, word: np.ndarray, total: np.ndarray) -> tuple[D
 
 
 def ask(kind: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int, word: np.ndarray | None = None) -> pa.RecordBatch:
-    """Sorted `keys` with their amounts, a row for every range of the hash that has any; of runs, `word` follows the key."""
+    """Sorted `keys` with their amounts, a row for every range of the hash that has any; of runs, `word` follows the key.
+
+    Amounts of odd kinds, gains, are three rows: runs seen once, occurrences (0 but from one block), gain of the other runs.
+    """
     part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)])
     told, counted = [], []
@@ -244,50 +261,81 @@ def ask(kind: int, block: int, keys: np.ndarray, amounts: np.ndarray, bits: int,
             up = steps(follows)
             up[start] = follows[start]
             told.append(squeezed(steps(key[start]), np.diff(start, append=hi - lo), up))
-        counted.append(squeezed(amounts[lo:hi]))
+        if kind % 2:
+            once, total, gain = amounts[:, lo:hi]
+            counted.append(squeezed((2 * once + (gain != 0)).astype(np.int64), total.astype(np.int64), gain[gain != 0]))
+        else:
+            counted.append(squeezed(amounts[lo:hi]))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(first), kind, np.int32)), pa.array(part[first]), pa.array(np.full(len(first), block, np.int64)),
          pa.array(told, pa.binary()), pa.array(counted, pa.binary())], names=[c.split()[0] for c in _ASKED.split(", ")])
 
 
+def asked_runs(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Of every amount, the key of its context and the number of its word."""
+    key, n, up = whole(blob)
+    up, start = up.astype(np.uint64), np.cumsum(n) - n
+    total = np.cumsum(up, dtype=np.uint64)
+    return np.repeat(sums(key), n), total - np.repeat(total[start] - up[start], n)
+
+
 def asked_keys(blob: bytes) -> np.ndarray:
     """One key for every amount: of a run, its context with the word."""
     found = whole(blob)
-    if len(found) == 1:
-        return sums(found[0])
-    key, n, up = found
-    up, start = up.astype(np.uint64), np.cumsum(n) - n
-    total = np.cumsum(up, dtype=np.uint64)
-    return followed(np.repeat(sums(key), n), total - np.repeat(total[start] - up[start], n))
+    return sums(found[0]) if len(found) == 1 else followed(*asked_runs(blob))
+
 
+def asked_gains(blob: bytes) -> np.ndarray:
+    """Three rows, as for `ask`."""
+    once, total, some = whole(blob)
+    gain = np.zeros(len(once))
+    gain[once & 1 == 1] = some
+    return np.stack([once >> 1, total, gain])
 
-def tell(asked: DataFrame, divergence: float) -> DataFrame:
+
+def tell(asked: DataFrame, least: int, divergence: float, depth: int) -> DataFrame:
     """Of every range: to each asking block the sums of its keys, in its order.
 
     Even kinds are counts: twice the sum, plus one for the block that weighs the key; with words (kind 0)
-    come their places by falling count. Odd kinds are gains: whether their sum is above `divergence`.
+    come their places by falling count, with runs the places of the frequent ones in order of context and
+    word, which nobody needs of the last level. Odd kinds are gains: whether their sum is above `divergence`.
     """
     def meet(t: pa.Table) -> pa.Table:
         kind, block = t["kind"][0].as_py(), t["block"].to_numpy()
         turn = np.argsort(block, kind="stable")
-        keys = [asked_keys(t["keys"][int(i)].as_buffer()) for i in turn]
-        amounts = [whole(t["amounts"][int(i)].as_buffer())[0] for i in turn]
-        edges = np.cumsum([len(k) for k in keys])[:-1]
-        each = Distinct(np.concatenate(keys))
-        sums = each.total(np.concatenate(amounts))
+        blobs, amounts = ([t[c][int(i)].as_buffer() for i in turn] for c in ("keys", "amounts"))
+        runs = kind > 0 and kind % 2 == 0
+        if runs:
+            found = [asked_runs(x) for x in blobs]
+            edges = np.cumsum([len(k) for k, _ in found])[:-1]
+            context, word = (np.concatenate(x) for x in zip(*found))
+            each = Distinct(followed(mix(context), word))
+        else:
+            found = [asked_keys(x) for x in blobs]
+            edges = np.cumsum([len(k) for k in found])[:-1]
+            each = Distinct(np.concatenate(found))
         facts = np.zeros((4, len(turn)), np.int64)
         if kind % 2:
-            told = [np.packbits(a).tobytes() for a in np.split(each.spread(sums > divergence), edges)]
+            once, total, gain = (each.total(x) for x in np.concatenate([asked_gains(x) for x in amounts], axis=1))
+            gain += once * (np.log(PRIOR) - np.log(np.maximum(total, 1) - 1 + PRIOR))
+            told = [np.packbits(a).tobytes() for a in np.split(each.spread(gain > divergence), edges)]
         else:
+            sums = each.total(np.concatenate([whole(x)[0] for x in amounts]))
             answers = each.spread(sums * 2)
             answers[each.order[each.first]] += 1
             facts[:, 0] = sums.sum(), (sums > 0).sum(), (sums == 1).sum(), (sums == 2).sum()
-            answers = [np.split(answers, edges)]
+            answers = np.split(answers, edges)
+            place = np.zeros(len(sums), np.int64)
             if kind == 0:
-                place = np.empty(len(sums), np.int64)
                 place[np.argsort(-sums, kind="stable")] = np.arange(len(sums))
-                answers.append(np.split(each.spread(place), edges))
-            told = [squeezed(*a) for a in zip(*answers)]
+                told = [squeezed(*x) for x in zip(answers, np.split(each.spread(place), edges))]
+            elif kind < 2 * depth:
+                often = np.flatnonzero(sums >= least)
+                at = each.order[each.first[often]]
+                place[often[np.lexsort((word[at], context[at]))]] = np.arange(len(often))
+                told = [squeezed(x, steps(p[x >> 1 >= least])) for x, p in zip(answers, np.split(each.spread(place), edges))]
+            else:
+                told = [squeezed(x) for x in answers]
         return pa.table({"kind": t["kind"].take(pa.array(turn)), "range": t["range"].take(pa.array(turn)),
                          "block": pa.array(block[turn]), "told": pa.array(told, pa.binary()),
                          **{c: pa.array(x) for c, x in zip(("total", "words", "once", "twice"), facts)}})
@@ -303,16 +351,23 @@ class Answers:
         for kind, part, told in zip(t["kind"].to_pylist(), t["range"].to_pylist(), t["told"]):
             self.rows.setdefault(kind, []).append((part, told.as_buffer()))
 
-    def counts(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts of the keys of a level, and whether this block weighs them."""
-        parts = [whole(x)[0] for _, x in sorted(self.rows.get(2 * level, []), key=lambda r: r[0])]
-        x = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return x >> 1, (x & 1).astype(bool)
-
-    def numbers(self, bits: int) -> np.ndarray:
-        """A number for every word, the same in all blocks, small for frequent ones: its place in its range, and the range."""
-        parts = [whole(x)[1] << bits | part for part, x in sorted(self.rows.get(0, []), key=lambda r: r[0])]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    def counts(self, level: int, least: int, bits: int, last: bool = False) -> tuple[np.ndarray, ...]:
+        """Of the keys of a level: training counts, whether this block weighs them, ranges and places there.
+
+        Runs have a place if they are frequent (others 0), but for those of the last level.
+        """
+        found = [(part, *whole(x)) for part, x in sorted(self.rows.get(2 * level, []), key=lambda r: r[0])]
+        if not found:
+            return (np.zeros(0, np.int64), np.zeros(0, bool), *[np.zeros(0, np.int64)] * 2)
+        x = np.concatenate([x for _, x, *_ in found])
+        count, part = x >> 1, np.repeat([part for part, *_ in found], [len(x) for _, x, *_ in found])
+        if level == 0:
+            place = np.concatenate([p for *_, p in found])
+        else:
+            place = np.zeros(len(x), np.int64)
+            if not last:
+                place[count >= least] = np.concatenate([sums(p) for *_, p in found])
+        return count, (x & 1).astype(bool), part, place
 
     def kept(self, level: int, keys: np.ndarray, bits: int) -> np.ndarray:
         part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
@@ -324,6 +379,22 @@ class Answers:
 
 # ---- the tree ---------------------------------------------------------------
 
+def gains(runs: Distinct, states: Distinct, n: np.ndarray, mine: np.ndarray,
+          weighs: np.ndarray, total: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """A block's part of the gains of its contexts, three rows as for `ask`: `n` and `mine` are of runs, the rest of places."""
+    at = runs.order[runs.first]
+    own = np.flatnonzero(mine & (n > 1))
+    n_own, q, t = n[own], p[at[own]], total[at[own]]
+    out, each = np.zeros((3, len(states.keys))), np.zeros(len(p))
+    each[at] = mine & (n == 1)
+    out[0] = states.total(each)
+    out[1] = states.one_of(total) * (states.total(weighs.astype(np.int64)) > 0)
+    each[:] = 0
+    each[at[own]] = n_own * (np.log((n_own - 1 + PRIOR * q) / (t - 1 + PRIOR)) - np.log(q))
+    out[2] = states.total(each)
+    return out
+
+
 def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root, bits: int) -> list | tuple:
     """What a block asks at a step, as (kind, keys, amounts, words or None); after the last, counts and probabilities of its tokens.
 
@@ -332,41 +403,34 @@ def visit(b: Block, told: Answers, step: int, depth: int, least: int, root: Root
     """
     asks = []
     words, _ = b.vocabulary()
-    c = words.spread(told.counts(0)[0])[b.number]
-    word = words.spread(told.numbers(bits))[b.number]
-    h = b.words[b.number]
+    c, mine, part, spot = told.counts(0, least, bits)
+    word = words.spread(spot << bits | part)[b.number]  # a number for every word, the same in all blocks, small for frequent ones
+    keys = words.spread(numbered(part, spot, bits))[b.number]
+    c, weighed = words.spread(c)[b.number], words.spread(mine)[b.number]
     starts = np.cumsum(b.n) - b.n
-    place = np.arange(len(h)) - np.repeat(starts, b.n)
+    ends = starts + b.n - 1
+    place = np.arange(len(c)) - np.repeat(starts, b.n)
     p, count = root.known(c), c
-    key = np.append(np.uint64(END), h[:-1])
-    key[starts] = np.uint64(END)  # a text's first token has the end token before it, and nothing before that
     for d in range(1, min(step, depth) + 1):
-        total = np.append(0, count[:-1])  # every occurrence of a run but for the end token has a next token
-        total[starts] = c[starts + b.n - 1] if d == 1 else 0
+        key, total, weighs = (np.append(x[:1], x[:-1]) for x in (keys, count, weighed))
+        # every occurrence of a run but for the end token has a next token; a text's first has the end token before it
+        key[starts], total[starts], weighs[starts] = (keys[ends], c[ends], weighed[ends]) if d == 1 else (0, 0, False)
         k = np.flatnonzero((total >= least) & (place >= d - 1))
         context, total_k = key[k], total[k]
         runs, at = runs_of(context, word[k], total_k)
         if d == step:
             asks.append((2 * d, runs.one_of(at), runs.total(b.train[k].astype(np.int64)), runs.one_of(word[k])))
             break
-        n, mine = told.counts(d)
+        n, mine, part, spot = told.counts(d, least, bits, d == depth)
         states = Distinct(context)
         if d == step - 1:
-            q, t = runs.one_of(p[k]), runs.one_of(total_k)
-            own = mine & (n > 0)
-            gain = np.zeros(len(n))
-            gain[own] = n[own] * (np.log((n[own] - 1 + PRIOR * q[own]) / (t[own] - 1 + PRIOR)) - np.log(q[own]))
-            once = np.zeros(len(k))
-            once[runs.order[runs.first]] = gain
-            asks.append((2 * d + 1, states.keys, states.total(once), None))
+            asks.append((2 * d + 1, states.keys, gains(runs, states, n, mine, weighs[k], total_k, p[k]), None))
         n = runs.spread(n)
         if d < step - 1:
             kept = states.spread(told.kept(d, states.keys, bits))
             p[k] = np.where(kept, (n + PRIOR * p[k]) / (total_k + PRIOR), p[k])
-        count = np.zeros(len(h), np.int64)
-        count[k] = n
-        ahead = followed(key, h)  # the run of a place is the next place's context
-        key = np.append(np.uint64(0), ahead[:-1])
+        count, weighed, keys = np.zeros(len(c), np.int64), np.zeros(len(c), bool), np.zeros(len(c), np.uint64)
+        count[k], weighed[k], keys[k] = n, runs.spread(mine), runs.spread(numbered(part, spot, bits))
     return (c, p, starts) if step == depth + 2 else asks
 
 
@@ -398,7 +462,7 @@ def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int,
                 words, amounts = b.vocabulary()
                 yield ask(0, number, words.keys, amounts, bits)
 
-    name = answer_table(tell(state.mapInArrow(first, _ASKED), divergence), buckets)
+    name = answer_table(tell(state.mapInArrow(first, _ASKED), least, divergence, depth), buckets)
     told = spark.table(name)
     s = told.filter("kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "words", "once", "twice")]).first()
     # with no word seen once there is still something unknown to expect
@@ -411,7 +475,7 @@ def grow(state: DataFrame, depth: int, least: int, divergence: float, bits: int,
                    for kind, keys, amounts, word in visit(b, known, step, depth, least, root, bits) if len(keys)]
             return pa.Table.from_batches(out) if out else ask(0, 0, np.zeros(0, np.uint64), np.zeros(0, np.int64), bits)
 
-        answer_table(tell(meeting(state, told, asking, _ASKED), divergence), buckets, name)
+        answer_table(tell(meeting(state, told, asking, _ASKED), least, divergence, depth), buckets, name)
         told = spark.table(name)
     return root, told
 
